@@ -14,6 +14,7 @@ ORACLE: dict[str, str] = {}
 
 _MODULES = [
     "tallyframe.plans.pmf_plans",
+    "tallyframe.plans.cdf_plans",
 ]
 
 
