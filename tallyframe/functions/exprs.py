@@ -11,6 +11,7 @@ import math
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 __all__ = [
     "col_of",
@@ -116,7 +117,7 @@ def exponential_pdf(x: Column, lam: Column) -> Column:
     return F.when(x < 0, F.lit(0.0)).otherwise(lam * F.exp(-lam * x))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def _std_normal_cdf(z: pd.Series) -> pd.Series:
     # Spark SQL has no erf; this Arrow-batched helper is the only Python on the path.
     return z.map(lambda v: None if v is None or v != v else 0.5 * (1.0 + math.erf(v / math.sqrt(2.0))))

@@ -15,6 +15,7 @@ ORACLE: dict[str, str] = {}
 _MODULES = [
     "tallyframe.plans.pmf_plans",
     "tallyframe.plans.cdf_plans",
+    "tallyframe.plans.monoid_plans",
 ]
 
 
