@@ -16,6 +16,7 @@ _MODULES = [
     "tallyframe.plans.pmf_plans",
     "tallyframe.plans.cdf_plans",
     "tallyframe.plans.monoid_plans",
+    "tallyframe.plans.bayes_plans",
 ]
 
 
