@@ -17,6 +17,7 @@ _MODULES = [
     "tallyframe.plans.cdf_plans",
     "tallyframe.plans.monoid_plans",
     "tallyframe.plans.bayes_plans",
+    "tallyframe.plans.sketch_plans",
 ]
 
 
