@@ -38,33 +38,52 @@ def value_block(v: str | Column, width: float) -> Column:
     return F.floor(c / F.lit(width)).cast("bigint")
 
 
-def running_sums(
-    df: DataFrame, by, order: Sequence[str], sums: dict[str, Column], block: Column | None = None
+_OPS = {"sum": F.sum, "max": F.max, "min": F.min}
+_COMBINE = {"sum": lambda a, b: a + b, "max": F.greatest, "min": F.least}
+
+
+def running(
+    df: DataFrame, by, order: Sequence[str], aggs: dict[str, tuple[str, Column]], block: Column | None = None
 ) -> DataFrame:
-    """Add inclusive running sums ``sums`` (name -> expression) per key in ``order``.
+    """Add inclusive running aggregates per key in ``order``: ``aggs`` maps name -> (op, expression), op in
+    sum/max/min (any associative, commutative op works the same way).
 
     With ``block`` the scan is skew-safe (see module doc); without it, one window per key.
     """
     by = _by(by)
     order = list(order)
-    names = list(sums)
-    vals = {f"_v_{c}": F.coalesce(e, F.lit(0)) for c, e in sums.items()}
+    names = list(aggs)
+    ops = {c: op for c, (op, _) in aggs.items()}
+    vals = {f"_v_{c}": (F.coalesce(e, F.lit(0)) if ops[c] == "sum" else e) for c, (_, e) in aggs.items()}
     base = df.withColumns(vals)
     if block is None:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = base.withColumns({c: F.sum(f"_v_{c}").over(w) for c in names})
+        out = base.withColumns({c: _OPS[ops[c]](f"_v_{c}").over(w) for c in names})
         return out.drop(*vals)
 
     base = base.withColumn(BLOCK, block)
-    tot = base.groupBy(*by, BLOCK).agg(*[F.sum(v).alias(v) for v in vals])
+    tot = base.groupBy(*by, BLOCK).agg(*[_OPS[ops[c]](f"_v_{c}").alias(f"_v_{c}") for c in names])
     before = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*by, BLOCK, *[F.sum(v).over(before).alias(f"_o{v}") for v in vals])
+    offs = tot.select(*by, BLOCK, *[_OPS[ops[c]](f"_v_{c}").over(before).alias(f"_o_v_{c}") for c in names])
     joined = base.join(offs, [*by, BLOCK], "left")
     w = Window.partitionBy(*by, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    out = joined.withColumns(
-        {c: F.sum(f"_v_{c}").over(w) + F.coalesce(F.col(f"_o_v_{c}"), F.lit(0)) for c in names}
-    )
-    return out.drop(BLOCK, *vals, *[f"_o{v}" for v in vals])
+    cols = {}
+    for c in names:
+        local = _OPS[ops[c]](f"_v_{c}").over(w)
+        off = F.col(f"_o_v_{c}")
+        if ops[c] == "sum":
+            cols[c] = local + F.coalesce(off, F.lit(0))
+        else:
+            cols[c] = F.when(off.isNull(), local).when(local.isNull(), off).otherwise(_COMBINE[ops[c]](local, off))
+    out = joined.withColumns(cols)
+    return out.drop(BLOCK, *vals, *[f"_o_v_{c}" for c in names])
+
+
+def running_sums(
+    df: DataFrame, by, order: Sequence[str], sums: dict[str, Column], block: Column | None = None
+) -> DataFrame:
+    """Add inclusive running sums ``sums`` (name -> expression) per key in ``order``."""
+    return running(df, by, order, {c: ("sum", e) for c, e in sums.items()}, block)
 
 
 def rank_within(df: DataFrame, by, order: Sequence[str], out: str = "pos", block: Column | None = None) -> DataFrame:

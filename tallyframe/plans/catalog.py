@@ -18,6 +18,7 @@ _MODULES = [
     "tallyframe.plans.monoid_plans",
     "tallyframe.plans.bayes_plans",
     "tallyframe.plans.sketch_plans",
+    "tallyframe.plans.fold_plans",
 ]
 
 
