@@ -19,6 +19,7 @@ _MODULES = [
     "tallyframe.plans.bayes_plans",
     "tallyframe.plans.sketch_plans",
     "tallyframe.plans.fold_plans",
+    "tallyframe.plans.dist_plans",
 ]
 
 
