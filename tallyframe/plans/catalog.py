@@ -20,6 +20,7 @@ _MODULES = [
     "tallyframe.plans.sketch_plans",
     "tallyframe.plans.fold_plans",
     "tallyframe.plans.dist_plans",
+    "tallyframe.plans.stream_plans",
 ]
 
 
