@@ -66,33 +66,64 @@ def credible_interval(cdf: DataFrame, by, prob: float, outcome: str = "outcome")
     )
 
 
-def lookup(cdf: DataFrame, probes: DataFrame, by, key: str, outcome: str = "outcome", value: str = "cdf") -> DataFrame:
+def _bucket(x: Column, origin: Column, width: Column, top: int) -> Column:
+    """Monotone bucket of x in ``[origin, origin + top·width)``: below -> -1, above -> ``top``."""
+    b = F.floor((x - origin) / width)
+    return F.when(b < 0, F.lit(-1)).when(b > top, F.lit(top)).otherwise(b).cast("int")
+
+
+def _range_join(intervals: DataFrame, points: DataFrame, by: list[str], x: str, lo: str, hi: str,
+                origin: Column, width: Column, buckets: int, helper_cols: tuple[str, ...] = ()) -> DataFrame:
+    """Exact interval lookup ``lo <= x < hi`` as an equi-join on (group, bucket).
+
+    Each interval is exploded to the buckets it touches (at most ``#intervals + buckets`` rows per group);
+    each point joins its one bucket and keeps the interval that really contains it. Points are never
+    gathered per group, and a group's points spread over its buckets.
+    """
+    iv = intervals.withColumn("_b0", _bucket(F.col(lo), origin, width, buckets)).withColumn(
+        "_b1", _bucket(F.coalesce(F.col(hi), F.lit(float("inf"))), origin, width, buckets)
+    )
+    iv = iv.withColumn("_bucket", F.explode(F.sequence(F.greatest(F.col("_b0"), F.lit(0)), F.col("_b1")))).drop(
+        "_b0", "_b1", *helper_cols
+    )
+    pts = points.withColumn("_bucket", _bucket(F.col(x), origin, width, buckets)).drop(*helper_cols)
+    j = pts.join(iv, [*by, "_bucket"], "left")
+    inside = (F.col(x) >= F.col(lo)) & (F.col(hi).isNull() | (F.col(x) < F.col(hi)))
+    return j.where(F.col(lo).isNull() | inside).drop("_bucket")
+
+
+def lookup(cdf: DataFrame, probes: DataFrame, by, key: str, outcome: str = "outcome", value: str = "cdf",
+           buckets: int = 1024) -> DataFrame:
     """As-of lookup: for each probe, ``value`` at the greatest outcome <= the probe key; 0.0 below the first.
 
-    Distinct probe keys are merged with the CDF rows and carried forward with ``last(..., ignoreNulls)`` in
-    outcome order; the answers are then equi-joined back to the probe rows. The window sees one row per
-    distinct key, so probe volume only costs a distinct and a hash join.
+    Consecutive outcomes form intervals ``[o_j, o_{j+1})`` holding ``value_j`` (the last one is open-ended);
+    each distinct probe key finds its interval with an exact bucketed range join, and the answers are
+    equi-joined back to the probe rows.
     """
     by = _by(by)
+    w = Window.partitionBy(*by).orderBy("_lo")
+    steps = cdf.select(*by, F.col(outcome).cast("double").alias("_lo"), F.col(value).alias("_v"))
+    steps = steps.withColumn("_hi", F.lead("_lo").over(w))
+    span = steps.groupBy(*by).agg(F.min("_lo").alias("_o"), F.max("_lo").alias("_e"))
+    span = span.withColumn("_w", F.when(F.col("_e") > F.col("_o"), (F.col("_e") - F.col("_o")) / buckets).otherwise(1.0))
+    steps = steps.join(span, by) if by else steps.crossJoin(F.broadcast(span))
     keys = probes.select(*by, F.col(key).cast("double").alias("_k")).distinct()
-    steps = cdf.select(*by, F.col(outcome).cast("double").alias("_k"), F.col(value).alias("_v"), F.lit(0).alias("_probe"))
-    merged = steps.unionByName(keys.select(*by, "_k", F.lit(None).cast("double").alias("_v"), F.lit(1).alias("_probe")))
-    w = Window.partitionBy(*by).orderBy("_k", "_probe").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    carried = merged.withColumn("_c", F.last("_v", ignorenulls=True).over(w)).where(F.col("_probe") == 1)
-    answers = carried.select(*by, "_k", F.coalesce("_c", F.lit(0.0)).alias(value))
+    keys = keys.join(span, by) if by else keys.crossJoin(F.broadcast(span))
+    hit = _range_join(steps, keys, by, "_k", "_lo", "_hi", F.col("_o"), F.col("_w"), buckets, ("_o", "_e", "_w"))
+    answers = hit.select(*by, "_k", F.coalesce("_v", F.lit(0.0)).alias(value))
     return probes.withColumn("_k", F.col(key).cast("double")).join(answers, [*by, "_k"], "left").drop("_k")
 
 
-def sample_lookup(cdf: DataFrame, draws: DataFrame, by, u: str, outcome: str = "outcome") -> DataFrame:
+def sample_lookup(cdf: DataFrame, draws: DataFrame, by, u: str, outcome: str = "outcome",
+                  buckets: int = 1024) -> DataFrame:
     """Map uniforms ``u`` in [0,1) to outcomes: the first outcome whose ``cdf`` exceeds ``u`` (inverse transform).
 
-    Same carry-forward as :func:`lookup`, in the other direction: each draw takes the outcome of the first CDF
-    step strictly above it (a draw equal to a step sorts after it).
+    Outcome j owns ``[cdf_{j-1}, cdf_j)``; the draws find it with the exact bucketed range join on [0, 1).
     """
     by = _by(by)
-    steps = cdf.select(*by, F.col("cdf").alias("_k"), F.col(outcome).alias("_o"), F.lit(0).alias("_d"))
-    pts = draws.select(*by, F.col(u).alias("_k"), F.lit(None).alias("_o"), F.lit(1).alias("_d")).distinct()
-    merged = steps.unionByName(pts.withColumn("_o", F.col("_o").cast(steps.schema["_o"].dataType)))
-    w = Window.partitionBy(*by).orderBy("_k", "_d").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    carried = merged.withColumn("_c", F.first("_o", ignorenulls=True).over(w)).where(F.col("_d") == 1)
-    return draws.join(carried.select(*by, F.col("_k").alias(u), F.col("_c").alias(outcome)), [*by, u], "left")
+    w = Window.partitionBy(*by).orderBy("_out")
+    iv = cdf.select(*by, F.col(outcome).alias("_out"), F.col("cdf").alias("_hi"))
+    iv = iv.withColumn("_lo", F.coalesce(F.lag("_hi").over(w), F.lit(0.0))).where(F.col("_hi") > F.col("_lo"))
+    width = F.lit(1.0 / buckets)
+    hit = _range_join(iv, draws, by, u, "_lo", "_hi", F.lit(0.0), width, buckets)
+    return hit.withColumnRenamed("_out", outcome).drop("_lo", "_hi")
