@@ -15,6 +15,7 @@ from pyspark.sql import types as T
 
 __all__ = [
     "col_of",
+    "with_scalars",
     "normalise_weight",
     "md5_int",
     "md5_positions",
@@ -36,6 +37,12 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def with_scalars(df, one_row, cols):
+    """Attach the columns of a one-row DataFrame (e.g. a global aggregate) as scalar subqueries: each value is
+    computed once and inlined, with no join at all."""
+    return df.withColumns({c: one_row.select(c).scalar() for c in cols})
+
+
 def normalise_weight(weight: Column, total: Column) -> Column:
     """``w / total``, except that a zero total leaves the weights alone (a zero sum is never divided)."""
     return F.when(total == 0, weight).otherwise(weight / total)

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import normalise_weight
+from tallyframe.functions.exprs import normalise_weight, with_scalars
 from tallyframe.operators.pmf import _by
 
 
@@ -106,9 +106,9 @@ def lookup(cdf: DataFrame, probes: DataFrame, by, key: str, outcome: str = "outc
     steps = steps.withColumn("_hi", F.lead("_lo").over(w))
     span = steps.groupBy(*by).agg(F.min("_lo").alias("_o"), F.max("_lo").alias("_e"))
     span = span.withColumn("_w", F.when(F.col("_e") > F.col("_o"), (F.col("_e") - F.col("_o")) / buckets).otherwise(1.0))
-    steps = steps.join(span, by) if by else steps.crossJoin(F.broadcast(span))
+    steps = steps.join(span, by) if by else with_scalars(steps, span, ["_o", "_e", "_w"])
     keys = probes.select(*by, F.col(key).cast("double").alias("_k")).distinct()
-    keys = keys.join(span, by) if by else keys.crossJoin(F.broadcast(span))
+    keys = keys.join(span, by) if by else with_scalars(keys, span, ["_o", "_e", "_w"])
     hit = _range_join(steps, keys, by, "_k", "_lo", "_hi", F.col("_o"), F.col("_w"), buckets, ("_o", "_e", "_w"))
     answers = hit.select(*by, "_k", F.coalesce("_v", F.lit(0.0)).alias(value))
     return probes.withColumn("_k", F.col(key).cast("double")).join(answers, [*by, "_k"], "left").drop("_k")

@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from tallyframe.operators.pmf import _by, normalize
 
 
+MAX_BROADCAST_OUTCOMES = 1_000_000
+
+
 def join(
     a: DataFrame, b: DataFrame, by, comb: Callable[[Column, Column], Column], outcome: str = "outcome",
     prob: str = "prob",
@@ -26,8 +29,14 @@ def join(
     if by:
         pairs = left.join(right, by)
     else:
-        # Without group keys each side is one small PMF; the smaller side is broadcast (AQE checks the size).
-        pairs = left.crossJoin(right)
+        # Without group keys the product of two single PMFs is the operator itself (every pair of distinct
+        # outcomes). The side with fewer outcomes is broadcast when its size is within the bound; beyond it
+        # Spark's partitioned product runs instead.
+        n_left, n_right = left.count(), right.count()
+        small, big = (left, right) if n_left <= n_right else (right, left)
+        if min(n_left, n_right) <= MAX_BROADCAST_OUTCOMES:
+            small = F.broadcast(small)
+        pairs = big.crossJoin(small)
     merged = pairs.groupBy(*by, comb(F.col("_k1"), F.col("_k2")).alias(outcome)).agg(
         F.sum(F.col("_p1") * F.col("_p2")).alias(prob)
     )

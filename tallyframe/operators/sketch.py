@@ -14,9 +14,16 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import col_of, md5_int, md5_positions
+from tallyframe.functions.exprs import col_of, md5_int, md5_positions, with_scalars
 from tallyframe.operators.pmf import _by
 
+def _hash_halves(item: Column) -> list[Column]:
+    """h1, h2: the first two 8-hex-digit slices of md5(item), from one digest per item."""
+    hx = F.md5(item.cast("string"))
+    return [F.conv(F.substring(hx, 1, 8), 16, 10).cast("bigint").alias("_h1"),
+            F.conv(F.substring(hx, 9, 8), 16, 10).cast("bigint").alias("_h2")]
+
+
 # ---------------------------------------------------------------- HyperLogLog
 
 
@@ -77,7 +84,7 @@ def bloom_build(df: DataFrame, by, item: str | Column, fpp: float = 0.01, n: int
         counts = items.select(*by).distinct().withColumn("_n", F.lit(int(n)))
     m, k = bloom_params(F.col("_n"), fpp)
     params = counts.select(*by, m.alias("m"), k.alias("k"))
-    pos = items.join(params, by) if by else items.crossJoin(F.broadcast(params))
+    pos = items.join(params, by) if by else with_scalars(items, params, ["m", "k"])
     pos = pos.select(*by, F.explode(md5_positions(F.col("_item"), F.col("k"), F.col("m"))).alias("pos"))
     filt = pos.groupBy(*by, F.bitmap_bucket_number("pos").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("pos")).alias("bitmap")
@@ -94,7 +101,7 @@ def bloom_contains(filt: DataFrame, params: DataFrame, probes: DataFrame, by, it
     """Membership of each distinct probe item: all k positions set. No false negatives."""
     by = _by(by)
     items = probes.select(*by, F.col(item).alias("_item")).where(F.col("_item").isNotNull()).distinct()
-    x = items.join(params, by) if by else items.crossJoin(F.broadcast(params))
+    x = items.join(params, by) if by else with_scalars(items, params, ["m", "k"])
     x = x.select(*by, "_item", "k", F.explode(md5_positions(F.col("_item"), F.col("k"), F.col("m"))).alias("pos"))
     x = x.withColumn("bucket", F.bitmap_bucket_number("pos")).withColumn("bit", F.bitmap_bit_position("pos"))
     hit = x.join(filt, [*by, "bucket"], "left").withColumn(
@@ -153,7 +160,11 @@ def cms_shape(eps: float, delta: float) -> tuple[int, int]:
 
 def cms_buckets(item: Column, width: int, depth: int) -> Column:
     """Array of (depth, bucket) cells of an item: bucket_i = (h1 + i·h2) mod width."""
-    h1, h2 = md5_int(item, 1), md5_int(item, 9)
+    return cms_cells(md5_int(item, 1), md5_int(item, 9), width, depth)
+
+
+def cms_cells(h1: Column, h2: Column, width: int, depth: int) -> Column:
+    """Cells from the two hash halves (computed once per item by the caller)."""
     return F.transform(
         F.sequence(F.lit(0), F.lit(depth - 1)),
         lambda i: F.struct(i.alias("depth"), F.pmod(h1 + i.cast("bigint") * h2, F.lit(width)).alias("bucket")),
@@ -163,9 +174,16 @@ def cms_buckets(item: Column, width: int, depth: int) -> Column:
 def cms_build(df: DataFrame, by, item: str | Column, eps: float, delta: float) -> DataFrame:
     """Long-table sketch ``(by..., depth, bucket, cnt)``; items are pre-counted, then hashed once each."""
     by = _by(by)
-    width, depth = cms_shape(eps, delta)
     counts = df.groupBy(*by, col_of(item).alias("_item")).agg(F.count(F.lit(1)).alias("_c"))
-    cells = counts.select(*by, "_c", F.explode(cms_buckets(F.col("_item"), width, depth)).alias("_cell"))
+    return cms_from_counts(counts, by, "_item", "_c", eps, delta)
+
+
+def cms_from_counts(counts: DataFrame, by, item: str, cnt: str, eps: float, delta: float) -> DataFrame:
+    """Sketch from pre-aggregated ``(by..., item, cnt)`` rows (partial sketches merge by summing cells)."""
+    by = _by(by)
+    width, depth = cms_shape(eps, delta)
+    counts = counts.select(*by, F.col(cnt).alias("_c"), *_hash_halves(F.col(item)))
+    cells = counts.select(*by, "_c", F.explode(cms_cells(F.col("_h1"), F.col("_h2"), width, depth)).alias("_cell"))
     return cells.groupBy(*by, F.col("_cell.depth").alias("depth"), F.col("_cell.bucket").alias("bucket")).agg(
         F.sum("_c").alias("cnt")
     )
@@ -179,20 +197,27 @@ def cms_estimate(sketch: DataFrame, probes: DataFrame, by, item: str, eps: float
     """
     by = _by(by)
     width, depth = cms_shape(eps, delta)
-    items = probes.select(*by, item).distinct()
-    cells = items.select(*by, item, F.explode(cms_buckets(F.col(item), width, depth)).alias("_cell")).select(
-        *by, item, F.col("_cell.depth").alias("depth"), F.col("_cell.bucket").alias("bucket")
-    )
+    keep = [c for c in probes.columns if c not in by and c != item]
+    items = probes.select(*by, item, *keep).dropDuplicates([*by, item])
+    cells = items.select(*by, item, *keep, *_hash_halves(F.col(item)))
+    cells = cells.select(*by, item, *keep, F.explode(cms_cells(F.col("_h1"), F.col("_h2"), width, depth)).alias("_cell"))
+    cells = cells.select(*by, item, *keep, F.col("_cell.depth").alias("depth"), F.col("_cell.bucket").alias("bucket"))
     sk = sketch if by else F.broadcast(sketch)
     hit = cells.join(sk, [*by, "depth", "bucket"], "left")
-    return hit.groupBy(*by, item).agg(F.min(F.coalesce(F.col("cnt"), F.lit(0))).alias(out))
+    return hit.groupBy(*by, item, *keep).agg(F.min(F.coalesce(F.col("cnt"), F.lit(0))).alias(out))
 
 
 def heavy_hitters(df: DataFrame, by, item: str, eps: float, delta: float, pct: float) -> DataFrame:
-    """Items whose CMS estimate reaches ``pct`` of the group's total count: ``(by..., item, est)``."""
+    """Items whose CMS estimate reaches ``pct`` of the group's total count: ``(by..., item, est, exact)``."""
     by = _by(by)
-    sk = cms_build(df, by, F.col(item), eps, delta)
-    total = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_N"))
-    est = cms_estimate(sk, df, by, item, eps, delta)
-    est = est.join(total, by) if by else est.crossJoin(F.broadcast(total))
-    return est.where(F.col("est") >= F.lit(float(pct)) * F.col("_N")).drop("_N")
+    # One per-item count table feeds the sketch, the candidate items and the total, so the input is read
+    # (and, for words, tokenised) once: the three branches share the same exchange.
+    counts = df.groupBy(*by, item).agg(F.count(F.lit(1)).alias("_c"))
+    sk = cms_from_counts(counts, by, item, "_c", eps, delta)
+    est = cms_estimate(sk, counts, by, item, eps, delta).withColumnRenamed("_c", "exact")
+    if by:
+        total = counts.groupBy(*by).agg(F.sum("_c").alias("_N"))
+        est = est.join(total, by)
+        return est.where(F.col("est") >= F.lit(float(pct)) * F.col("_N")).drop("_N")
+    total = counts.select(F.sum("_c")).scalar()
+    return est.where(F.col("est") >= F.lit(float(pct)) * total)

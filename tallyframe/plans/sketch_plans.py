@@ -80,7 +80,7 @@ def q_bloom_build(spark, sf):
     o = load(spark, sf, "orders", ["o_custkey"])
     filt, params = sketch.bloom_build(o, [], "o_custkey", 0.01)
     bits = filt.select(F.bitmap_count("bitmap").alias("c")).agg(F.sum("c").cast("bigint").alias("bits_set"))
-    return params.crossJoin(bits)
+    return params.withColumn("bits_set", bits.scalar())
 
 
 @register(
@@ -180,7 +180,7 @@ WORDS_SQL = r"(SELECT unnest(regexp_split_to_array(lower(text), '\s+')) AS word
 @register(
     "heavy_hitters",
     _cms_sql(f"(SELECT word FROM {WORDS_SQL} w0 WHERE word <> '') w", "word", 2719, 7)
-    + "SELECT item AS word, est FROM est WHERE est >= 0.001 * (SELECT sum(c) FROM items)",
+    + "SELECT item AS word, est, exact FROM est WHERE est >= 0.001 * (SELECT sum(c) FROM items)",
 )
 def q_heavy_hitters(spark, sf):
     """Words whose count-min estimate is at least 0.1% of all words (eps 0.001, delta 1e-3)."""

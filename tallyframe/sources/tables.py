@@ -47,7 +47,8 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def words(text: Column) -> Column:
     """Lower-cased whitespace tokens of a whole text, as an array; empty tokens are dropped."""
-    return F.filter(F.split(F.lower(text), r"\s+"), lambda w: w != F.lit(""))
+    flat = F.translate(F.lower(text), "\t\n\x0b\x0c\r", "     ")
+    return F.filter(F.split(flat, " "), lambda w: w != F.lit(""))
 
 
 def parse_pairs(line: Column, first: str = "userId", second: str = "itemId") -> list[Column]:
