@@ -16,6 +16,9 @@ from pyspark.sql import types as T
 __all__ = [
     "col_of",
     "with_scalars",
+    "ntz_micros",
+    "utc_instant",
+    "utc_day",
     "normalise_weight",
     "md5_int",
     "md5_positions",
@@ -37,6 +40,27 @@ def col_of(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def ntz_micros(ts: Column) -> Column:
+    """Microseconds since 1970-01-01 of a timestamp's wall-clock value (TIMESTAMP_NTZ arithmetic), the same
+    whatever the session time zone."""
+    return F.timestamp_diff("MICROSECOND", F.lit(_EPOCH_NTZ).cast("timestamp_ntz"), ts.cast("timestamp_ntz"))
+
+
+def utc_instant(ts: Column) -> Column:
+    """TIMESTAMP whose UTC reading equals the wall-clock value: event time for watermarks and windows,
+    aligned to UTC days in any session time zone."""
+    return F.timestamp_micros(ntz_micros(ts))
+
+
+def utc_day(instant: Column) -> Column:
+    """'yyyy-MM-dd' of an instant read in UTC (from epoch days; no session time zone involved)."""
+    days = F.floor(F.unix_micros(instant) / F.lit(86_400_000_000)).cast("int")
+    return F.date_format(F.date_from_unix_date(days), "yyyy-MM-dd")
+
+
 def with_scalars(df, one_row, cols):
     """Attach the columns of a one-row DataFrame (e.g. a global aggregate) as scalar subqueries: each value is
     computed once and inlined, with no join at all."""

@@ -20,6 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyframe.functions.exprs import ntz_micros
 from tallyframe.operators.pmf import _by
 
 BLOCK = "_block"
@@ -28,7 +29,7 @@ BLOCK = "_block"
 def time_block(ts: str | Column, seconds: int) -> Column:
     """Block id of a timestamp: whole ``seconds``-wide buckets since the epoch."""
     c = F.col(ts) if isinstance(ts, str) else ts
-    us = F.unix_micros(c.cast("timestamp"))
+    us = ntz_micros(c)
     w = F.lit(seconds * 1_000_000)
     return ((us - F.pmod(us, w)) / w).cast("bigint")
 

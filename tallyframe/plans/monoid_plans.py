@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyframe.functions.exprs import ntz_micros
 from tallyframe.operators import decay, monoid, ordered
 from tallyframe.plans.catalog import register
 from tallyframe.sources import load, parse_pairs
@@ -12,8 +13,8 @@ EPOCH_2024 = "2024-01-01 00:00:00"
 
 
 def hours_since_2024(ts: str = "ts"):
-    """Event time in hours from a fixed instant (UTC)."""
-    us = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.lit(EPOCH_2024).cast("timestamp"))
+    """Event time in hours from a fixed instant (wall-clock arithmetic, independent of the session zone)."""
+    us = ntz_micros(F.col(ts)) - ntz_micros(F.lit(EPOCH_2024))
     return us / F.lit(3.6e9)
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tallyframe.functions.exprs import utc_day
 from tallyframe.operators import sketch
 from tallyframe.operators.bayes import _normalise_log
 from tallyframe.plans.bayes_plans import BAYES_SET_SQL, user_type_tables
@@ -25,7 +26,7 @@ def q_stream_distinct_exact(spark, sf):
     """Exact distinct users per day (tumbling event-time windows, dedup within the watermark)."""
     s = file_stream(spark, sf, "events")
     res = run_stream(ops.distinct_per_window(s, "ts", "user_id", "1 day", "25 hours"), "complete")
-    return res.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"),
+    return res.select(utc_day(F.col("window_start")).alias("day"),
                       F.col("distinct_keys").alias("distinct_users"))
 
 
@@ -66,7 +67,7 @@ def q_stream_window_hll(spark, sf):
     s = file_stream(spark, sf, "events")
     res = run_stream(ops.window_sketch(s, "ts", ["event_type"], "user_id", "1 day", "1 day", 12), "update")
     last = res.groupBy("window_start", "event_type").agg(F.hll_union_agg("sketch", True).alias("sketch"))
-    est = last.select(F.date_format("window_start", "yyyy-MM-dd").alias("day"), "event_type",
+    est = last.select(utc_day(F.col("window_start")).alias("day"), "event_type",
                       sketch.hll_estimate("sketch").alias("est"))
     ev = load(spark, sf, "events", ["ts", "event_type", "user_id"])
     exact = ev.groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day"), "event_type").agg(

@@ -12,12 +12,14 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.functions.exprs import utc_instant
 from tallyframe.session import scratch_path
 
 
 def file_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
-    """Stream the Parquet files named ``*<table>.parquet`` under ``folder``; ``ts`` becomes TIMESTAMP
-    (watermarks reject TIMESTAMP_NTZ)."""
+    """Stream the Parquet files named ``*<table>.parquet`` under ``folder``; ``ts`` becomes a TIMESTAMP whose
+    UTC reading is the recorded wall clock (watermarks reject TIMESTAMP_NTZ, and days must not depend on the
+    session time zone)."""
     pattern = f"{folder.rstrip('/')}/*{table}.parquet"
     schema = spark.read.parquet(pattern).schema
     reader = spark.readStream.schema(schema)
@@ -25,7 +27,7 @@ def file_stream(spark: SparkSession, folder: str, table: str, max_files: int | N
         reader = reader.option("maxFilesPerTrigger", int(max_files))
     df = reader.parquet(pattern)
     if "ts" in df.columns:
-        df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+        df = df.withColumn("ts", utc_instant(F.col("ts")))
     return df
 
 
