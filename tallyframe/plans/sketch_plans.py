@@ -204,3 +204,16 @@ def q_approx_top_k(spark, sf):
     n = words.select(F.count(F.lit(1))).scalar()
     j = top.join(exact, "word")
     return j.select("word", "exact", (F.abs(F.col("est") - F.col("exact")) <= n / 10000.0).alias("within_bound"))
+
+
+@register(
+    "heavy_hitters_top10",
+    _cms_sql(f"(SELECT word FROM {WORDS_SQL} w0 WHERE word <> '') w", "word", 2719, 7)
+    + """SELECT item AS word, est FROM est WHERE est >= 0.001 * (SELECT sum(c) FROM items)
+         ORDER BY est DESC, word LIMIT 10""",
+)
+def q_heavy_hitters_top10(spark, sf):
+    """The 10 heaviest words by count-min estimate (ties: alphabetical)."""
+    words = monoid.word_rows(load(spark, sf, "documents", ["text"]), "text")
+    hh = sketch.heavy_hitters(words, [], "word", 0.001, 1e-3, 0.001)
+    return monoid.top_k(hh, [], 10, "est", "word").select("word", "est")

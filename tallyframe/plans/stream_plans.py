@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyframe.functions.exprs import utc_day
-from tallyframe.operators import sketch
+from tallyframe.operators import monoid, sketch
 from tallyframe.operators.bayes import _normalise_log
 from tallyframe.plans.bayes_plans import BAYES_SET_SQL, user_type_tables
 from tallyframe.plans.catalog import register
+from tallyframe.plans.sketch_plans import _cms_sql
 from tallyframe.sources import load
 from tallyframe.streaming import file_stream, run_stream
 from tallyframe.streaming import ops
@@ -135,3 +136,19 @@ def q_stream_fold(spark, sf):
     res = run_stream(ops.ordered_fold(s, "user_id", ["ts", "event_id"], "value", ["event_id"]), "append",
                      sink="parquet")
     return res.select("user_id", "event_id", F.round("state", 6).alias("state"))
+
+
+@register(
+    "stream_cms_heavy_hitters",
+    _cms_sql("events", "user_id", 272, 7)
+    + "SELECT item AS user_id, est, exact FROM est WHERE est >= 0.001 * (SELECT sum(c) FROM items)",
+)
+def q_stream_cms_heavy_hitters(spark, sf):
+    """Running count-min sketch of user ids as streaming state; heavy users (>= 0.1% of events) read from it."""
+    s = file_stream(spark, sf, "events").select("user_id")
+    cells = run_stream(ops.cms_state(s, "user_id", 0.01, 1e-3), "complete")
+    ev = load(spark, sf, "events", ["user_id"])
+    counts = monoid.count_by_key(ev, "user_id", "exact")
+    est = sketch.cms_estimate(cells, counts, [], "user_id", 0.01, 1e-3)
+    total = cells.where(F.col("depth") == 0).select(F.sum("cnt")).scalar()
+    return est.where(F.col("est") >= F.lit(0.001) * total).select("user_id", "est", "exact")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tallyframe.operators.sketch import clamp_lg_k
+from tallyframe.operators.sketch import _hash_halves, clamp_lg_k, cms_cells, cms_shape
 
 
 def distinct_per_window(stream: DataFrame, ts: str, key: str, window: str, lateness: str) -> DataFrame:
@@ -89,3 +89,13 @@ def ordered_fold(stream: DataFrame, key: str, order: Sequence[str], value: str,
     return stream.groupBy(key).applyInPandasWithState(
         step, out_schema, state_schema, "append", GroupStateTimeout.NoTimeout
     )
+
+
+def cms_state(stream: DataFrame, item: str, eps: float, delta: float) -> DataFrame:
+    """Count-min sketch as streaming state: ``(depth, bucket, cnt)``, at most depth × width rows whatever the
+    traffic, plus nothing else; each micro-batch adds its cell counts (combined map-side)."""
+    width, depth = cms_shape(eps, delta)
+    cells = stream.select(*_hash_halves(F.col(item))).select(
+        F.explode(cms_cells(F.col("_h1"), F.col("_h2"), width, depth)).alias("_cell"))
+    return cells.groupBy(F.col("_cell.depth").alias("depth"), F.col("_cell.bucket").alias("bucket")).agg(
+        F.count(F.lit(1)).alias("cnt"))
