@@ -16,11 +16,13 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import normalise_weight
+from tallyframe.functions.exprs import normalise_weight, with_scalars
 from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
 
 MAX_BROADCAST_HYPOTHESES = 100_000
+# Hypotheses become columns (one pass, no per-hypothesis rows) when there are at most this many.
+MAX_WIDE_HYPOTHESES = 256
 
 
 def data_counts(data: DataFrame, by, datum: str | Sequence[str]) -> DataFrame:
@@ -48,6 +50,39 @@ def _pair(counts: DataFrame, prior: DataFrame, by: list[str], datum: list[str],
     return x.withColumn("lik", likelihood(x))
 
 
+def _hypotheses(prior: DataFrame, hypo: str) -> list | None:
+    """The distinct hypotheses in order, when few enough to become columns (a bounded, checked collect)."""
+    hs = prior.select(hypo).distinct()
+    if hs.count() > MAX_WIDE_HYPOTHESES:
+        return None
+    return [r[0] for r in hs.orderBy(hypo).collect()]
+
+
+def _wide_likelihood(likelihood: DataFrame, datum: list[str], hypo: str, hyps: list) -> DataFrame:
+    """One row per datum with ``_l0.._l{H-1}``: the likelihood of each hypothesis (NULL when not given)."""
+    lk = likelihood.groupBy(*datum).pivot(hypo, hyps).agg(F.first("lik"))
+    return lk.select(*datum, *[F.col(f"`{h}`").cast("double").alias(f"_l{i}") for i, h in enumerate(hyps)])
+
+
+def _wide_prior(prior: DataFrame, prior_by: list[str], hypo: str, hyps: list) -> DataFrame:
+    p = prior.groupBy(*prior_by).pivot(hypo, hyps).agg(F.first("prior"))
+    return p.select(*prior_by, *[F.col(f"`{h}`").cast("double").alias(f"_p{i}") for i, h in enumerate(hyps)])
+
+
+def _normalise_wide(df: DataFrame, hyps: list, keep: list[str], hypo: str) -> DataFrame:
+    """Row-wise: ``_ll{i}`` (NULL = impossible) and ``_p{i}`` -> rows ``(keep..., hypo, prob)``."""
+    n = len(hyps)
+    m = F.greatest(*[F.col(f"_ll{i}") for i in range(n)]) if n > 1 else F.col("_ll0")
+    d = df.withColumn("_m", m)
+    d = d.withColumns({f"_w{i}": F.coalesce(F.col(f"_p{i}") * F.exp(F.col(f"_ll{i}") - F.col("_m")), F.lit(0.0))
+                       for i in range(n)})
+    tot = sum((F.col(f"_w{i}") for i in range(1, n)), F.col("_w0"))
+    d = d.withColumn("_tot", tot)
+    rows = F.array(*[F.struct(F.lit(h).alias(hypo), normalise_weight(F.col(f"_w{i}"), F.col("_tot")).alias("prob"))
+                     for i, h in enumerate(hyps)])
+    return d.select(*keep, F.inline(rows))
+
+
 def posterior(
     prior: DataFrame, data: DataFrame, by, datum: str | Sequence[str], hypo: str = "hypo",
     likelihood: DataFrame | Callable[[DataFrame], Column] | None = None,
@@ -59,6 +94,21 @@ def posterior(
     by = _by(by)
     datum = _by(datum)
     counts = data_counts(data, by, datum)
+    hyps = _hypotheses(prior, hypo) if isinstance(likelihood, DataFrame) else None
+    if hyps is not None:
+        # Bounded hypotheses: likelihoods as columns, one aggregate per group, row-wise normalisation.
+        prior_by = [c for c in by if c in prior.columns]
+        x = counts.join(F.broadcast(_wide_likelihood(likelihood, datum, hypo, hyps)), datum)
+        aggs = []
+        for i in range(len(hyps)):
+            lik = F.col(f"_l{i}")
+            aggs += [F.min(lik).alias(f"_min{i}"), F.sum(F.col("n") * F.log(F.when(lik > 0, lik))).alias(f"_s{i}")]
+        ll = x.groupBy(*by).agg(*aggs)
+        ll = ll.withColumns({f"_ll{i}": F.when(F.col(f"_min{i}") > 0, F.coalesce(F.col(f"_s{i}"), F.lit(0.0)))
+                             for i in range(len(hyps))})
+        wp = _wide_prior(prior, prior_by, hypo, hyps)
+        ll = ll.join(wp, prior_by) if prior_by else with_scalars(ll, wp, [f"_p{i}" for i in range(len(hyps))])
+        return _normalise_wide(ll, hyps, by, hypo)
     x = _pair(counts, prior, by, datum, hypo, likelihood)
     ll = x.groupBy(*by, hypo, "prior").agg(
         F.min("lik").alias("_minlik"),
@@ -91,6 +141,21 @@ def sequential(
     order = list(order)
     rows = data.select(*by, *order, *datum, *keep)
     prior_by = [c for c in by if c in prior.columns]
+    hyps = _hypotheses(prior, hypo)
+    if hyps is not None:
+        # Bounded hypotheses: every event carries all hypotheses' running sums in one scan; the posterior of
+        # each step is a row-wise normalisation, exploded to one row per hypothesis at the end.
+        x = rows.join(F.broadcast(_wide_likelihood(likelihood, datum, hypo, hyps)), datum)
+        sums = {}
+        for i in range(len(hyps)):
+            lik = F.col(f"_l{i}")
+            sums[f"_s{i}"] = F.log(F.when(lik > 0, lik))
+            sums[f"_z{i}"] = F.when(lik <= 0, F.lit(1)).otherwise(F.lit(0))
+        run = ordered.running_sums(x, by, order, sums, block)
+        run = run.withColumns({f"_ll{i}": F.when(F.col(f"_z{i}") == 0, F.col(f"_s{i}")) for i in range(len(hyps))})
+        wp = _wide_prior(prior, prior_by, hypo, hyps)
+        run = run.join(wp, prior_by) if prior_by else with_scalars(run, wp, [f"_p{i}" for i in range(len(hyps))])
+        return _normalise_wide(run, hyps, [*by, *order, *keep], hypo)
     x = rows.join(likelihood.select(hypo, *datum, "lik"), datum)
     x = x.join(prior.select(*prior_by, hypo, "prior"), [*prior_by, hypo])
     sums = {
