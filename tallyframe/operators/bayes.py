@@ -52,10 +52,8 @@ def _pair(counts: DataFrame, prior: DataFrame, by: list[str], datum: list[str],
 
 def _hypotheses(prior: DataFrame, hypo: str) -> list | None:
     """The distinct hypotheses in order, when few enough to become columns (a bounded, checked collect)."""
-    hs = prior.select(hypo).distinct()
-    if hs.count() > MAX_WIDE_HYPOTHESES:
-        return None
-    return [r[0] for r in hs.orderBy(hypo).collect()]
+    hs = [r[0] for r in prior.select(hypo).distinct().orderBy(hypo).limit(MAX_WIDE_HYPOTHESES + 1).collect()]
+    return hs if len(hs) <= MAX_WIDE_HYPOTHESES else None
 
 
 def _wide_likelihood(likelihood: DataFrame, datum: list[str], hypo: str, hyps: list) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import bayes, combine, ordered, pmf
 from tallyframe.plans.catalog import register
-from tallyframe.sources import load
+from tallyframe.sources import literal_table, load
 
 # Latent user types, their prior, and P(event_type | type). A bot never purchases (zero
 # likelihood), so one purchase rules that type out.
@@ -33,8 +33,8 @@ LIK_SQL = _values_sql(EVENT_LIKELIHOOD, ["hypo", "event_type", "lik"])
 
 
 def user_type_tables(spark):
-    prior = spark.createDataFrame(USER_TYPES, "hypo string, prior double")
-    lik = spark.createDataFrame(EVENT_LIKELIHOOD, "hypo string, event_type string, lik double")
+    prior = literal_table(spark, USER_TYPES, "hypo string, prior double")
+    lik = literal_table(spark, EVENT_LIKELIHOOD, "hypo string, event_type string, lik double")
     return prior, lik
 
 
@@ -141,7 +141,7 @@ def q_bayes_quality(spark, sf):
     lab = load(spark, sf, "labels", ["doc_id", "quality"])
     docs = load(spark, sf, "documents", ["doc_id", "source"])
     data = lab.join(docs, "doc_id").select("source", "quality")
-    prior = spark.createDataFrame([(q, 1.0 / 9) for q in QUALITY_RATES], "hypo double, prior double")
+    prior = literal_table(spark, [(q, 1.0 / 9) for q in QUALITY_RATES], "hypo double, prior double")
     lik = lambda x: F.when(F.col("quality") == 1, F.col("hypo")).otherwise(F.lit(1.0) - F.col("hypo"))
     post = bayes.posterior(prior, data, ["source"], "quality", "hypo", lik)
     return post.withColumn("prob", F.round("prob", 6))

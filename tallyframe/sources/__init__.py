@@ -1,5 +1,6 @@
 from tallyframe.sources.tables import (  # noqa: F401
     TABLES,
+    literal_table,
     load,
     parse_pairs,
     read_json_records,

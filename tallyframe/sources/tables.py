@@ -17,6 +17,16 @@ def load(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
+def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A small fixed table (model parameters, hypotheses) built in the JVM from literals: a local relation,
+    no Python-side RDD. ``schema`` is a DDL string such as ``"hypo string, prior double"``."""
+    fields = [f.strip().split()[:2] for f in schema.split(",")]
+    structs = [
+        F.struct(*[F.lit(v).cast(t).alias(n) for v, (n, t) in zip(row, fields)]) for row in rows
+    ]
+    return spark.range(1).select(F.inline(F.array(*structs)))
+
+
 def read_json_records(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """JSON scan. A file holding one top-level array on one line yields one row per array element."""
     reader = spark.read
