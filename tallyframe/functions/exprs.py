@@ -16,6 +16,8 @@ from pyspark.sql import types as T
 __all__ = [
     "col_of",
     "with_scalars",
+    "broadcast_if_small",
+    "MAX_BROADCAST_ROWS",
     "ntz_micros",
     "utc_instant",
     "utc_day",
@@ -61,6 +63,18 @@ def utc_day(instant: Column) -> Column:
     return F.date_format(F.date_from_unix_date(days), "yyyy-MM-dd")
 
 
+MAX_BROADCAST_ROWS = 2_000_000
+
+
+def broadcast_if_small(df, max_rows: int = MAX_BROADCAST_ROWS):
+    """Broadcast hint only behind a size check: counting at most ``max_rows + 1`` rows stops early, so the
+    check is cheap even when the table is large. Beyond the bound the plain join (and AQE) decide."""
+    from pyspark.sql import functions as _F
+
+    n = df.limit(max_rows + 1).count()
+    return _F.broadcast(df) if n <= max_rows else df
+
+
 def with_scalars(df, one_row, cols):
     """Attach the columns of a one-row DataFrame (e.g. a global aggregate) as scalar subqueries: each value is
     computed once and inlined, with no join at all."""

@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import normalise_weight, with_scalars
+from tallyframe.functions.exprs import broadcast_if_small, normalise_weight, with_scalars
 from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
 
@@ -96,7 +96,7 @@ def posterior(
     if hyps is not None:
         # Bounded hypotheses: likelihoods as columns, one aggregate per group, row-wise normalisation.
         prior_by = [c for c in by if c in prior.columns]
-        x = counts.join(F.broadcast(_wide_likelihood(likelihood, datum, hypo, hyps)), datum)
+        x = counts.join(broadcast_if_small(_wide_likelihood(likelihood, datum, hypo, hyps)), datum)
         aggs = []
         for i in range(len(hyps)):
             lik = F.col(f"_l{i}")
@@ -143,7 +143,7 @@ def sequential(
     if hyps is not None:
         # Bounded hypotheses: every event carries all hypotheses' running sums in one scan; the posterior of
         # each step is a row-wise normalisation, exploded to one row per hypothesis at the end.
-        x = rows.join(F.broadcast(_wide_likelihood(likelihood, datum, hypo, hyps)), datum)
+        x = rows.join(broadcast_if_small(_wide_likelihood(likelihood, datum, hypo, hyps)), datum)
         sums = {}
         for i in range(len(hyps)):
             lik = F.col(f"_l{i}")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
+from tallyframe.functions.exprs import broadcast_if_small
 from tallyframe.operators.sketch import _hash_halves, clamp_lg_k, cms_cells, cms_shape
 
 
@@ -51,7 +52,7 @@ def top_counts(stream: DataFrame, key: str, k: int) -> DataFrame:
 def enrich_top(stream: DataFrame, key: str, item: str, dim: DataFrame, dim_key: str, k: int, lg_k: int = 14):
     """Per-key distinct estimate (sketch state) joined to a static dimension, top ``k`` by estimate."""
     s = stream.groupBy(key).agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(item), clamp_lg_k(lg_k))).alias("est"))
-    j = s.join(F.broadcast(dim), s[key] == dim[dim_key])
+    j = s.join(broadcast_if_small(dim), s[key] == dim[dim_key])
     return j.orderBy(F.desc("est"), F.asc(key)).limit(k)
 
 
@@ -59,7 +60,7 @@ def bayes_state(stream: DataFrame, by: Sequence[str], datum: str, likelihood: Da
                 hypo: str = "hypo") -> DataFrame:
     """Sufficient statistics of a set update as streaming state: per (group, hypothesis) the minimum
     likelihood and the log-likelihood sum. The posterior is a normalisation over this small table."""
-    x = stream.join(F.broadcast(likelihood), datum).join(F.broadcast(prior), hypo)
+    x = stream.join(broadcast_if_small(likelihood), datum).join(broadcast_if_small(prior), hypo)
     return x.groupBy(*by, hypo, "prior").agg(
         F.min("lik").alias("_minlik"), F.sum(F.log(F.when(F.col("lik") > 0, F.col("lik")))).alias("_ll0")
     )
