@@ -13,24 +13,45 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.exprs import normalise_weight, with_scalars
+from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
 
 
-def to_cdf(pmf: DataFrame, by, outcome: str = "outcome", weight: str = "n") -> DataFrame:
+# An ungrouped CDF with at most this many distinct outcomes is scanned by one window task.
+MAX_SINGLE_SCAN_OUTCOMES = 1_000_000
+
+
+def _outcome_block(pmf: DataFrame, by: list[str], outcome: str, block):
+    """Grouped CDFs scan per group (one row per distinct outcome). An ungrouped CDF is scanned in one task
+    only when it provably has few outcomes (an early-stopping count); beyond that it is cut into outcome
+    blocks so that no single task holds every distinct outcome."""
+    if isinstance(block, str) and block == "auto":
+        if by or pmf.limit(MAX_SINGLE_SCAN_OUTCOMES + 1).count() <= MAX_SINGLE_SCAN_OUTCOMES:
+            return None
+        return ordered.auto_block(pmf, outcome)
+    return block
+
+
+def to_cdf(pmf: DataFrame, by, outcome: str = "outcome", weight: str = "n", block="auto") -> DataFrame:
     """Running sum of weight in outcome order, plus the group total; ``cdf = cum / total``."""
     by = _by(by)
-    run = Window.partitionBy(*by).orderBy(outcome).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    whole = Window.partitionBy(*by)
-    out = pmf.withColumn("cum", F.sum(weight).over(run)).withColumn("total", F.sum(weight).over(whole))
+    blk = _outcome_block(pmf, by, outcome, block)
+    out = ordered.running_sums(pmf, by, [outcome], {"cum": F.col(weight)}, blk)
+    if by:
+        out = out.withColumn("total", F.sum(weight).over(Window.partitionBy(*by)))
+    else:
+        out = out.withColumn("total", pmf.select(F.sum(weight)).scalar())
     return out.withColumn("cdf", normalise_weight(F.col("cum").cast("double"), F.col("total")))
 
 
-def to_pmf(cdf: DataFrame, by, outcome: str = "outcome", cum: str = "cum", total: str = "total") -> DataFrame:
+def to_pmf(cdf: DataFrame, by, outcome: str = "outcome", cum: str = "cum", total: str = "total",
+           block="auto") -> DataFrame:
     """Successive differences of the cumulative column: the inverse of :func:`to_cdf`."""
     by = _by(by)
-    w = Window.partitionBy(*by).orderBy(outcome)
-    step = F.col(cum) - F.lag(cum, 1, 0).over(w)
-    return cdf.withColumn("mass", step).withColumn("prob", normalise_weight(F.col("mass").cast("double"), F.col(total)))
+    prev = ordered.neighbour(cdf, by, [outcome], cum, "_prev", "prev", _outcome_block(cdf, by, outcome, block))
+    step = F.col(cum) - F.coalesce(F.col("_prev"), F.lit(0))
+    out = prev.withColumn("mass", step).drop("_prev")
+    return out.withColumn("prob", normalise_weight(F.col("mass").cast("double"), F.col(total)))
 
 
 def power(cdf: DataFrame, p: float, col: str = "cdf", out: str = "cdf_pow") -> DataFrame:
@@ -101,9 +122,8 @@ def lookup(cdf: DataFrame, probes: DataFrame, by, key: str, outcome: str = "outc
     equi-joined back to the probe rows.
     """
     by = _by(by)
-    w = Window.partitionBy(*by).orderBy("_lo")
     steps = cdf.select(*by, F.col(outcome).cast("double").alias("_lo"), F.col(value).alias("_v"))
-    steps = steps.withColumn("_hi", F.lead("_lo").over(w))
+    steps = ordered.neighbour(steps, by, ["_lo"], "_lo", "_hi", "next", _outcome_block(steps, by, "_lo", "auto"))
     span = steps.groupBy(*by).agg(F.min("_lo").alias("_o"), F.max("_lo").alias("_e"))
     span = span.withColumn("_w", F.when(F.col("_e") > F.col("_o"), (F.col("_e") - F.col("_o")) / buckets).otherwise(1.0))
     steps = steps.join(span, by) if by else with_scalars(steps, span, ["_o", "_e", "_w"])
@@ -121,9 +141,9 @@ def sample_lookup(cdf: DataFrame, draws: DataFrame, by, u: str, outcome: str = "
     Outcome j owns ``[cdf_{j-1}, cdf_j)``; the draws find it with the exact bucketed range join on [0, 1).
     """
     by = _by(by)
-    w = Window.partitionBy(*by).orderBy("_out")
     iv = cdf.select(*by, F.col(outcome).alias("_out"), F.col("cdf").alias("_hi"))
-    iv = iv.withColumn("_lo", F.coalesce(F.lag("_hi").over(w), F.lit(0.0))).where(F.col("_hi") > F.col("_lo"))
+    iv = ordered.neighbour(iv, by, ["_out"], "_hi", "_lo", "prev", _outcome_block(iv, by, "_out", "auto"))
+    iv = iv.withColumn("_lo", F.coalesce(F.col("_lo"), F.lit(0.0))).where(F.col("_hi") > F.col("_lo"))
     width = F.lit(1.0 / buckets)
     hit = _range_join(iv, draws, by, u, "_lo", "_hi", F.lit(0.0), width, buckets)
     return hit.withColumnRenamed("_out", outcome).drop("_lo", "_hi")

@@ -91,3 +91,40 @@ def rank_within(df: DataFrame, by, order: Sequence[str], out: str = "pos", block
     """1-based position of each row within its key in ``order`` (a skew-safe row_number)."""
     r = running_sums(df, by, order, {out: F.lit(1)}, block)
     return r.withColumn(out, F.col(out).cast("bigint"))
+
+
+def neighbour(df: DataFrame, by, order: Sequence[str], col: str, out: str, direction: str = "prev",
+              block: Column | None = None) -> DataFrame:
+    """``lag`` (``direction="prev"``) or ``lead`` (``"next"``) of ``col`` per key in ``order``, skew-safe.
+
+    Inside a block it is the plain window function; the first (last) row of a block takes the last (first)
+    value of the nearest earlier (later) non-empty block of its key, read from one summary row per block.
+    """
+    by = _by(by)
+    order = list(order)
+    if block is None:
+        w = Window.partitionBy(*by).orderBy(*order)
+        fn = F.lag if direction == "prev" else F.lead
+        return df.withColumn(out, fn(col, 1).over(w))
+    base = df.withColumn(BLOCK, block)
+    key = F.struct(*[F.col(o) for o in order])
+    edge = (F.max_by(col, key) if direction == "prev" else F.min_by(col, key)).alias("_edge")
+    blocks = base.groupBy(*by, BLOCK).agg(edge)
+    bw = Window.partitionBy(*by).orderBy(BLOCK)
+    across = (F.lag if direction == "prev" else F.lead)("_edge", 1).over(bw)
+    blocks = blocks.select(*by, BLOCK, across.alias("_across"))
+    w = Window.partitionBy(*by, BLOCK).orderBy(*order)
+    within = (F.lag if direction == "prev" else F.lead)(col, 1).over(w)
+    j = base.join(blocks, [*by, BLOCK], "left")
+    return j.withColumn(out, F.coalesce(within, F.col("_across"))).drop(BLOCK, "_across")
+
+
+def auto_block(df: DataFrame, c: str, blocks: int = 1024) -> Column:
+    """A deterministic, order-preserving block for an ungrouped scan over ``c``: equal-width ranges of a numeric
+    column (width from one scalar aggregate), or the first two characters of a string."""
+    t = df.schema[c].dataType.typeName()
+    if t == "string":
+        return F.substring(F.col(c), 1, 2)
+    span = df.select(((F.max(c) - F.min(c)).cast("double") / F.lit(float(blocks))).alias("w")).scalar()
+    width = F.when(span > 0, span).otherwise(F.lit(1.0))
+    return F.floor(F.col(c).cast("double") / width).cast("bigint")

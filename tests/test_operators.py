@@ -180,3 +180,18 @@ def test_sources(spark, tmp_path):
 def test_words_drop_empty_tokens(spark):
     df = spark.createDataFrame([(" A b\tb\n c ",)], "text string")
     assert [r["word"] for r in monoid.word_rows(df, "text").collect()] == ["a", "b", "b", "c"]
+
+
+def test_blocked_cdf_paths_equal_plain(spark):
+    rnd = random.Random(5)
+    df = spark.createDataFrame([(rnd.randint(0, 5000),) for _ in range(4000)], "k int")
+    p = pmf.from_keys(df, [], "k")
+    plain = cdf.to_cdf(p, [], block=None)
+    blocked = cdf.to_cdf(p, [], block=ordered.auto_block(p, "outcome", 16))
+    j = plain.join(blocked.select("outcome", F.col("cum").alias("cum2")), "outcome")
+    assert j.where(F.col("cum") != F.col("cum2")).count() == 0
+    back = cdf.to_pmf(blocked, [], block=ordered.auto_block(blocked, "outcome", 16))
+    assert back.where(F.col("mass") != F.col("n")).count() == 0
+    nxt = ordered.neighbour(p, [], ["outcome"], "outcome", "nxt", "next", ordered.value_block("outcome", 300))
+    ref = p.withColumn("nxt2", F.lead("outcome").over(Window.orderBy("outcome")))
+    assert nxt.join(ref, "outcome").where(~F.col("nxt").eqNullSafe(F.col("nxt2"))).count() == 0
