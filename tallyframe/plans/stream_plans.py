@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tallyframe.functions.exprs import broadcast_if_small, utc_day
 from tallyframe.operators import monoid, sketch
 from tallyframe.operators.bayes import _normalise_log
-from tallyframe.plans.bayes_plans import BAYES_SET_SQL, user_type_tables
+from tallyframe.plans.bayes_plans import BAYES_SET_SQL, USER_TYPES, user_type_tables
 from tallyframe.plans.catalog import register
 from tallyframe.plans.sketch_plans import _cms_sql
 from tallyframe.sources import load
@@ -113,11 +113,17 @@ def q_stream_enrich_top5(spark, sf):
 
 @register("stream_bayes", BAYES_SET_SQL)
 def q_stream_bayes(spark, sf):
-    """Latent user-type posterior from streamed events: log-likelihood sums are the streaming state."""
+    """Latent user-type posterior from streamed events. Per-user log-likelihood sums live in the state store
+    and are appended to Parquet as a versioned changelog; the posterior normalises the latest state."""
     prior, lik = user_type_tables(spark)
+    hyps = [h for h, _ in USER_TYPES]
     s = file_stream(spark, sf, "events").select("user_id", "event_type")
-    res = run_stream(ops.bayes_state(s, ["user_id"], "event_type", lik, prior), "complete")
-    ll = res.withColumn("_ll", F.when(F.col("_minlik") > 0, F.col("_ll0")))
+    log = run_stream(ops.bayes_changelog(s, "user_id", "event_type", lik, hyps), "append", sink="parquet")
+    cur = ops.latest_version(log, "user_id")
+    rows = cur.select("user_id", F.posexplode(F.arrays_zip("minlik", "ll")).alias("i", "z"))
+    hyp_of = F.element_at(F.array(*[F.lit(h) for h in hyps]), F.col("i") + 1)
+    ll = rows.select("user_id", hyp_of.alias("hypo"), F.col("z.minlik").alias("_minlik"), F.col("z.ll").alias("_ll0"))
+    ll = ll.join(prior, "hypo").withColumn("_ll", F.when(F.col("_minlik") > 0, F.col("_ll0")))
     post = _normalise_log(ll, ["user_id"], "hypo")
     return post.withColumn("prob", F.round("prob", 6))
 

@@ -100,3 +100,56 @@ def cms_state(stream: DataFrame, item: str, eps: float, delta: float) -> DataFra
         F.explode(cms_cells(F.col("_h1"), F.col("_h2"), width, depth)).alias("_cell"))
     return cells.groupBy(F.col("_cell.depth").alias("depth"), F.col("_cell.bucket").alias("bucket")).agg(
         F.count(F.lit(1)).alias("cnt"))
+
+
+def bayes_changelog(stream: DataFrame, key: str, datum: str, likelihood: DataFrame, hyps: list,
+                    hypo: str = "hypo") -> DataFrame:
+    """Per-key Bayes sufficient statistics kept in the state store and emitted as an append-only changelog.
+
+    For each key and micro-batch the state holds, per hypothesis, the minimum likelihood seen and the sum of
+    log-likelihoods; the updated state is appended with a version number, so a file sink (not the driver)
+    receives it and readers take the latest version per key. ``hyps`` is the bounded hypothesis list.
+    """
+    from tallyframe.operators.bayes import _wide_likelihood
+
+    n = len(hyps)
+    lk = broadcast_if_small(_wide_likelihood(likelihood, [datum], hypo, hyps))
+    x = stream.join(lk, datum).select(key, *[f"_l{i}" for i in range(n)])
+    out_schema = T.StructType([
+        stream.schema[key],
+        T.StructField("version", T.LongType()),
+        T.StructField("minlik", T.ArrayType(T.DoubleType())),
+        T.StructField("ll", T.ArrayType(T.DoubleType())),
+    ])
+    state_schema = T.StructType([
+        T.StructField("version", T.LongType()),
+        T.StructField("minlik", T.ArrayType(T.DoubleType())),
+        T.StructField("ll", T.ArrayType(T.DoubleType())),
+    ])
+
+    def step(k, batches, state):
+        import numpy as np
+
+        if state.exists:
+            version, minlik, ll = state.get
+            minlik, ll = np.asarray(minlik, float), np.asarray(ll, float)
+        else:
+            version, minlik, ll = 0, np.full(n, np.inf), np.zeros(n)
+        for pdf in batches:
+            lik = pdf[[f"_l{i}" for i in range(n)]].to_numpy(float)
+            minlik = np.minimum(minlik, np.nanmin(np.where(np.isnan(lik), np.inf, lik), axis=0))
+            with np.errstate(divide="ignore"):
+                ll = ll + np.where(lik > 0, np.log(np.where(lik > 0, lik, 1.0)), 0.0).sum(axis=0)
+        version += 1
+        state.update((version, minlik.tolist(), ll.tolist()))
+        yield pd.DataFrame({key: [k[0]], "version": [version], "minlik": [minlik.tolist()], "ll": [ll.tolist()]})
+
+    return x.groupBy(key).applyInPandasWithState(step, out_schema, state_schema, "append",
+                                                 GroupStateTimeout.NoTimeout)
+
+
+def latest_version(changelog: DataFrame, key: str) -> DataFrame:
+    """The newest row per key of an append-only state changelog (a mergeable ``max_by`` aggregate)."""
+    cols = [c for c in changelog.columns if c not in (key, "version")]
+    latest = changelog.groupBy(key).agg(F.max_by(F.struct(*cols), "version").alias("_s"))
+    return latest.select(key, *[F.col(f"_s.{c}").alias(c) for c in cols])

@@ -39,3 +39,28 @@ def test_ordered_fold_state_across_batches(spark, tmp_path):
     res = run_stream(ops.ordered_fold(s, "user_id", ["event_id"], "value", ["event_id"]), "append", sink="parquet")
     got = {r["event_id"]: r["state"] for r in res.collect()}
     assert got == {1: 1.0, 2: 3.0, 3: 7.0, 4: 1.0}
+
+
+def test_bayes_changelog_latest_equals_batch(spark, tmp_path):
+    import math
+
+    import pyarrow as pa
+    import pyarrow.parquet as pq
+
+    from tallyframe.sources import literal_table
+
+    src = tmp_path / "in"
+    src.mkdir()
+    for name, rows in [("a-events.parquet", [(1, "x"), (1, "y"), (2, "x")]), ("b-events.parquet", [(1, "x"), (2, "z")])]:
+        pq.write_table(pa.table({"user_id": pa.array([r[0] for r in rows], pa.int64()),
+                                 "event_type": pa.array([r[1] for r in rows])}), f"{src}/{name}")
+    lik = literal_table(spark, [("h1", "x", 0.5), ("h1", "y", 0.5), ("h1", "z", 0.0),
+                                ("h2", "x", 0.2), ("h2", "y", 0.3), ("h2", "z", 0.5)],
+                        "hypo string, event_type string, lik double")
+    s = file_stream(spark, str(src), "events", max_files=1)
+    log = run_stream(ops.bayes_changelog(s, "user_id", "event_type", lik, ["h1", "h2"]), "append", sink="parquet")
+    assert log.where("user_id = 1").agg(F.max("version")).first()[0] == 2
+    cur = {r["user_id"]: (r["minlik"], r["ll"]) for r in ops.latest_version(log, "user_id").collect()}
+    assert cur[1][0] == [0.5, 0.2]
+    assert cur[1][1][0] == math.log(0.5) * 3 and abs(cur[1][1][1] - (2 * math.log(0.2) + math.log(0.3))) < 1e-12
+    assert cur[2][0] == [0.0, 0.2]
