@@ -128,3 +128,15 @@ def auto_block(df: DataFrame, c: str, blocks: int = 1024) -> Column:
     span = df.select(((F.max(c) - F.min(c)).cast("double") / F.lit(float(blocks))).alias("w")).scalar()
     width = F.when(span > 0, span).otherwise(F.lit(1.0))
     return F.floor(F.col(c).cast("double") / width).cast("bigint")
+
+
+def range_block(df: DataFrame, c: str, blocks: int) -> Column:
+    """Deterministic block over ``[min, max]`` of a numeric column: ``blocks`` equal-width ranges.
+
+    min and max are exact scalar aggregates, so every recomputation assigns the same block; the block count
+    (not the data size) sets the number of chunks, and with it the per-chunk work.
+    """
+    lo = df.select(F.min(c)).scalar()
+    hi = df.select(F.max(c)).scalar()
+    width = F.greatest((hi - lo).cast("double") / F.lit(float(blocks)), F.lit(1.0))
+    return F.floor((F.col(c) - lo).cast("double") / width).cast("bigint")

@@ -86,6 +86,7 @@ def q_fold_last(spark, sf):
 
 SGD_ORDER = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
 SGD_STEP = 0.01
+SGD_BLOCKS = 64  # ordered chunks per key: the unit of parallel work for a hot key
 SGD_SQL = """
     list_reduce(list({'a': l_quantity / 50.0, 'b': l_extendedprice / 10000.0}
                      ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice),
@@ -98,7 +99,7 @@ def _sgd(spark, sf, by):
     li = load(spark, sf, "lineitem", ["l_returnflag", *SGD_ORDER])
     x = F.col("l_quantity") / 50.0
     y = F.col("l_extendedprice") / 1e4
-    blk = F.floor(F.col("l_orderkey") / 4096).cast("bigint")
+    blk = ordered.range_block(li, "l_orderkey", SGD_BLOCKS)
     return sgd.sgd_linear(li, by, SGD_ORDER, y, [x], SGD_STEP, [0.0, 0.0], block=blk)
 
 
