@@ -120,10 +120,20 @@ def prob_where(pmf: DataFrame, by, predicate: Column, prob: str = "prob", out: s
     return pmf.groupBy(*by).agg(F.coalesce(mass, F.lit(0.0)).alias(out))
 
 
-def series(parts: dict[str, DataFrame], key: str, value: str) -> DataFrame:
-    """Plot series as one long ``(series, k, v)`` table; a later series of the same name replaces the earlier."""
+def series(parts: dict, key: str, value: str) -> DataFrame:
+    """Plot series as one long ``(series, k, v)`` table. Keys of ``parts`` name the series: a string, or a
+    Column computing the name per row (one series per group). Re-plotting a name replaces it: the last
+    part given for a name wins."""
     out = None
-    for name, df in parts.items():
-        piece = df.select(F.lit(name).alias("series"), F.col(key).alias("k"), F.col(value).alias("v"))
+    seen: dict[str, int] = {}
+    items = list(parts.items())
+    for i, (name, _) in enumerate(items):
+        if isinstance(name, str):
+            seen[name] = i
+    for i, (name, df) in enumerate(items):
+        if isinstance(name, str) and seen[name] != i:
+            continue
+        label = F.lit(name) if isinstance(name, str) else name
+        piece = df.select(label.alias("series"), F.col(key).alias("k"), F.col(value).alias("v"))
         out = piece if out is None else out.unionByName(piece)
     return out

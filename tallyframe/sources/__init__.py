@@ -6,5 +6,4 @@ from tallyframe.sources.tables import (  # noqa: F401
     read_json_records,
     read_text_lines,
     read_xy_csv,
-    words,
 )

@@ -55,12 +55,6 @@ def read_text_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def words(text: Column) -> Column:
-    """Lower-cased whitespace tokens of a whole text, as an array; empty tokens are dropped."""
-    flat = F.translate(F.lower(text), "\t\n\x0b\x0c\r", "     ")
-    return F.filter(F.split(flat, " "), lambda w: w != F.lit(""))
-
-
 def parse_pairs(line: Column, first: str = "userId", second: str = "itemId") -> list[Column]:
     """Parse ``"1, 90001"`` style messages into two INT columns; malformed parts become NULL."""
     parts = F.split(line, ",")

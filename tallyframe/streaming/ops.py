@@ -1,5 +1,6 @@
 """Streaming operators: per-window and running distinct counts, sketches, heavy hitters, keyed sketch
-state joined to a dimension, Bayes log-likelihood state, and an ordered per-key fold with custom state."""
+state joined to a dimension, per-key Bayes state as a changelog, and an ordered per-key fold with custom
+state."""
 
 from __future__ import annotations
 
@@ -56,16 +57,6 @@ def enrich_top(stream: DataFrame, key: str, item: str, dim: DataFrame, dim_key:
     return j.orderBy(F.desc("est"), F.asc(key)).limit(k)
 
 
-def bayes_state(stream: DataFrame, by: Sequence[str], datum: str, likelihood: DataFrame, prior: DataFrame,
-                hypo: str = "hypo") -> DataFrame:
-    """Sufficient statistics of a set update as streaming state: per (group, hypothesis) the minimum
-    likelihood and the log-likelihood sum. The posterior is a normalisation over this small table."""
-    x = stream.join(broadcast_if_small(likelihood), datum).join(broadcast_if_small(prior), hypo)
-    return x.groupBy(*by, hypo, "prior").agg(
-        F.min("lik").alias("_minlik"), F.sum(F.log(F.when(F.col("lik") > 0, F.col("lik")))).alias("_ll0")
-    )
-
-
 def ordered_fold(stream: DataFrame, key: str, order: Sequence[str], value: str, keep: Sequence[str],
                  init: float = 0.0) -> DataFrame:
     """Per-key running sum emitted for every event, with the state kept in the streaming state store.
