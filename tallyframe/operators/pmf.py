@@ -120,13 +120,13 @@ def prob_where(pmf: DataFrame, by, predicate: Column, prob: str = "prob", out: s
     return pmf.groupBy(*by).agg(F.coalesce(mass, F.lit(0.0)).alias(out))
 
 
-def series(parts: dict, key: str, value: str) -> DataFrame:
-    """Plot series as one long ``(series, k, v)`` table. Keys of ``parts`` name the series: a string, or a
-    Column computing the name per row (one series per group). Re-plotting a name replaces it: the last
-    part given for a name wins."""
+def series(parts, key: str, value: str) -> DataFrame:
+    """Plot series as one long ``(series, k, v)`` table. ``parts`` is a dict or a list of ``(name, df)``
+    pairs; a name is a string, or a Column computing the name per row (one series per group). Re-plotting
+    a name replaces it: the last part given for a string name wins."""
     out = None
     seen: dict[str, int] = {}
-    items = list(parts.items())
+    items = list(parts.items()) if isinstance(parts, dict) else list(parts)
     for i, (name, _) in enumerate(items):
         if isinstance(name, str):
             seen[name] = i

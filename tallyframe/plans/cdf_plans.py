@@ -140,7 +140,7 @@ def q_credible_interval(spark, sf):
 def q_series_table(spark, sf):
     """Plot series per return flag: its PMF and its CDF as one long (series, k, v) table."""
     c = quantity_cdf(spark, sf)
-    return pmf.series({
-        F.concat(F.lit("pmf_"), "l_returnflag"): c.withColumn("v", F.round(F.col("n") / F.col("total"), 9)),
-        F.concat(F.lit("cdf_"), "l_returnflag"): c.withColumn("v", F.round("cdf", 9)),
-    }, "outcome", "v")
+    return pmf.series([
+        (F.concat(F.lit("pmf_"), "l_returnflag"), c.withColumn("v", F.round(F.col("n") / F.col("total"), 9))),
+        (F.concat(F.lit("cdf_"), "l_returnflag"), c.withColumn("v", F.round("cdf", 9))),
+    ], "outcome", "v")
