@@ -41,9 +41,9 @@ def _pair(counts: DataFrame, prior: DataFrame, by: list[str], datum: list[str],
     # Expression likelihood: pair distinct data with the hypothesis table. The table must be small.
     hyps = prior.select(*prior_by, hypo, "prior")
     if not prior_by:
-        n = hyps.count()
+        n = hyps.limit(MAX_BROADCAST_HYPOTHESES + 1).count()
         if n > MAX_BROADCAST_HYPOTHESES:
-            raise ValueError(f"{n} hypotheses: pass a likelihood table instead of an expression")
+            raise ValueError(f"more than {MAX_BROADCAST_HYPOTHESES} hypotheses: pass a likelihood table instead")
         x = counts.crossJoin(F.broadcast(hyps))
     else:
         x = counts.join(hyps, prior_by)

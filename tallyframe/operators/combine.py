@@ -32,7 +32,8 @@ def join(
         # Without group keys the product of two single PMFs is the operator itself (every pair of distinct
         # outcomes). The side with fewer outcomes is broadcast when its size is within the bound; beyond it
         # Spark's partitioned product runs instead.
-        n_left, n_right = left.count(), right.count()
+        cap = MAX_BROADCAST_OUTCOMES + 1
+        n_left, n_right = left.limit(cap).count(), right.limit(cap).count()
         small, big = (left, right) if n_left <= n_right else (right, left)
         if min(n_left, n_right) <= MAX_BROADCAST_OUTCOMES:
             small = F.broadcast(small)

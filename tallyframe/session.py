@@ -58,6 +58,24 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(ident)
 
 
+# Settings we run with on a cluster (documentation; deployments set them in their own configuration).
+CLUSTER_SETTINGS = {
+    # AQE re-plans from runtime sizes: coalesces small shuffle partitions, broadcasts small join sides,
+    # splits skewed join partitions.
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    # Start high and let AQE coalesce: about 2-3 shuffle partitions per core of the cluster.
+    "spark.sql.shuffle.partitions": "8000",
+    # Scan splits of up to 256 MB (Parquet row groups are the unit of work).
+    "spark.sql.files.maxPartitionBytes": "256m",
+    # Event time arithmetic does not depend on it, but readable day labels in logs do.
+    "spark.sql.session.timeZone": "UTC",
+    # spark.checkpoint.dir: a shared folder (HDFS/object store), set by the deployment.
+}
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
