@@ -41,8 +41,8 @@ def ship_package(spark: SparkSession) -> None:
     The package is zipped once per SparkContext and added with ``addPyFile``, Spark's own way of shipping
     code to executors; nothing depends on the workers' current directory.
     """
-    sc = spark.sparkContext
-    ident = sc.applicationId
+    sc = _context(spark)
+    ident = sc.applicationId if sc is not None else f"connect-{id(spark)}"
     if ident in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
@@ -54,7 +54,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
+    if sc is not None:
+        sc.addPyFile(out)
+    else:
+        spark.addArtifacts(out, pyfile=True)
     _SHIPPED.add(ident)
 
 
@@ -82,17 +85,26 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the folder is set by the deployment and is shared storage; only when it is unset (local tests)
     do we create one ourselves.
     """
+    sc = _context(spark)
     cur = spark.conf.get("spark.checkpoint.dir", None)
-    if not cur:
-        cur = spark.sparkContext.getCheckpointDir()
+    if not cur and sc is not None:
+        cur = sc.getCheckpointDir()
     if not cur:
         cur = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
         spark.conf.set("spark.checkpoint.dir", cur)
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(cur)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(cur)
     return cur
 
 
+def _context(spark: SparkSession):
+    """The SparkContext of a classic session; None for a Spark Connect session."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect sessions have no SparkContext
+        return None
+
+
 def scratch_path(spark: SparkSession, kind: str) -> str:
     """A fresh sub-folder of the shared checkpoint folder (stream checkpoints, materialised tables)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
