@@ -76,9 +76,10 @@ def broadcast_if_small(df, max_rows: int = MAX_BROADCAST_ROWS):
 
 
 def with_scalars(df, one_row, cols):
-    """Attach the columns of a one-row DataFrame (e.g. a global aggregate) as scalar subqueries: each value is
-    computed once and inlined, with no join at all."""
-    return df.withColumns({c: one_row.select(c).scalar() for c in cols})
+    """Attach the columns of a one-row DataFrame (e.g. a global aggregate) through one scalar subquery (a
+    struct of all the values): computed once, reused wherever it appears, and no join at all."""
+    packed = one_row.select(F.struct(*cols).alias("_s")).scalar()
+    return df.withColumns({c: packed.getField(c) for c in cols})
 
 
 def normalise_weight(weight: Column, total: Column) -> Column:

@@ -141,8 +141,14 @@ def sample_lookup(cdf: DataFrame, draws: DataFrame, by, u: str, outcome: str = "
     Outcome j owns ``[cdf_{j-1}, cdf_j)``; the draws find it with the exact bucketed range join on [0, 1).
     """
     by = _by(by)
-    iv = cdf.select(*by, F.col(outcome).alias("_out"), F.col("cdf").alias("_hi"))
-    iv = ordered.neighbour(iv, by, ["_out"], "_hi", "_lo", "prev", _outcome_block(iv, by, "_out", "auto"))
+    fields = {f.name: f.dataType.typeName() for f in cdf.schema.fields}
+    if {"cum", "total", "n"} <= set(fields) and fields["n"] in ("long", "integer") and fields["cum"] in ("long", "integer"):
+        # Integral counts: the previous step is exactly (cum - n) / total, no window needed.
+        iv = cdf.select(*by, F.col(outcome).alias("_out"), F.col("cdf").alias("_hi"),
+                        normalise_weight((F.col("cum") - F.col("n")).cast("double"), F.col("total")).alias("_lo"))
+    else:
+        iv = cdf.select(*by, F.col(outcome).alias("_out"), F.col("cdf").alias("_hi"))
+        iv = ordered.neighbour(iv, by, ["_out"], "_hi", "_lo", "prev", _outcome_block(iv, by, "_out", "auto"))
     iv = iv.withColumn("_lo", F.coalesce(F.col("_lo"), F.lit(0.0))).where(F.col("_hi") > F.col("_lo"))
     width = F.lit(1.0 / buckets)
     hit = _range_join(iv, draws, by, u, "_lo", "_hi", F.lit(0.0), width, buckets)
