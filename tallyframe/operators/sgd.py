@@ -43,9 +43,14 @@ def _ordered_product(m: np.ndarray) -> np.ndarray:
 
 def sgd_linear(
     df: DataFrame, by, order: Sequence[str], y: str | Column, xs: Sequence[str | Column], step: float,
-    w0: Sequence[float] | None = None, block: Column | None = None,
+    w0: Sequence[float] | None = None, block: Column | None = None, grad_scale: float = 1.0,
 ) -> DataFrame:
-    """Weights after one ordered pass per key: ``(by..., w ARRAY<DOUBLE> (bias last), count)``."""
+    """Weights after one ordered pass per key: ``(by..., w ARRAY<DOUBLE> (bias last), count)``.
+
+    ``grad_scale`` multiplies the gradient (a custom gradient ``c·(w·x̃ − y)·x̃``; c = 2 is the squared-error
+    derivative without the usual 1/2); the step stays affine in ``w``.
+    """
+    step = step * float(grad_scale)
     by = _by(by)
     order = list(order)
     d = len(xs) + 1

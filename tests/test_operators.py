@@ -195,3 +195,14 @@ def test_blocked_cdf_paths_equal_plain(spark):
     nxt = ordered.neighbour(p, [], ["outcome"], "outcome", "nxt", "next", ordered.value_block("outcome", 300))
     ref = p.withColumn("nxt2", F.lead("outcome").over(Window.orderBy("outcome")))
     assert nxt.join(ref, "outcome").where(~F.col("nxt").eqNullSafe(F.col("nxt2"))).count() == 0
+
+
+def test_sgd_custom_gradient_scale(spark):
+    pts = [(i, i / 10.0, 1.0 + i / 5.0) for i in range(20)]
+    df = spark.createDataFrame(pts, "seq int, x double, y double")
+    w = [0.0, 0.0]
+    for _, x, y in pts:
+        g = 2 * (w[0] * x + w[1] - y)
+        w = [w[0] - 0.01 * g * x, w[1] - 0.01 * g]
+    got = sgd.sgd_linear(df, [], ["seq"], "y", ["x"], 0.01, grad_scale=2.0, block=F.floor(F.col("seq") / 6)).first()
+    assert got["w"] == pytest.approx(w, rel=1e-12)
