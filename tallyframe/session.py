@@ -75,6 +75,9 @@ CLUSTER_SETTINGS = {
     "spark.sql.files.maxPartitionBytes": "256m",
     # Event time arithmetic does not depend on it, but readable day labels in logs do.
     "spark.sql.session.timeZone": "UTC",
+    # Per-key streaming state (folds, dedup, Bayes) can be large: keep it in RocksDB, not the JVM heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # spark.checkpoint.dir: a shared folder (HDFS/object store), set by the deployment.
 }
 
