@@ -65,17 +65,23 @@ def count_by_key(df: DataFrame, key: str | Sequence[str], out: str = "cnt") -> D
     return df.groupBy(*keys).agg(F.count(F.lit(1)).alias(out))
 
 
-def top_k(counts: DataFrame, by, k: int, score: str, tie: str) -> DataFrame:
-    """The ``k`` highest ``score`` rows per group (ties: smallest ``tie`` first).
+def top_k(counts: DataFrame, by, k: int, score: str, tie: str, buckets: int = 64) -> DataFrame:
+    """The ``k`` highest ``score`` rows per group (ties: smallest ``tie`` first), exactly.
 
-    Without groups this is ``orderBy().limit()`` (per-partition top-k, then a k-row merge). With groups it is
-    a window over already aggregated counts.
+    Without groups this is ``orderBy().limit()`` (per-partition top-k, then a k-row merge). With groups it
+    runs in two phases so that a group with very many items is never sorted in one task: the top ``k`` of
+    each (group, hash bucket of ``tie``) first, then the top ``k`` among those candidates (at most
+    ``k × buckets`` rows per group). The group's true top ``k`` is always among the candidates.
     """
     by = _by(by)
     if not by:
         return counts.orderBy(F.col(score).desc(), F.col(tie).asc()).limit(k)
-    w = Window.partitionBy(*by).orderBy(F.col(score).desc(), F.col(tie).asc())
-    return counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    rank = [F.col(score).desc(), F.col(tie).asc()]
+    b = F.pmod(F.xxhash64(F.col(tie)), F.lit(buckets))
+    first = counts.withColumn("_b", b).withColumn("_r", F.row_number().over(Window.partitionBy(*by, "_b").orderBy(*rank)))
+    cand = first.where(F.col("_r") <= k).drop("_b", "_r")
+    w = Window.partitionBy(*by).orderBy(*rank)
+    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
 def word_rows(df: DataFrame, text: str, keep: Sequence[str] = ()) -> DataFrame:

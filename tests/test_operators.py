@@ -206,3 +206,13 @@ def test_sgd_custom_gradient_scale(spark):
         w = [w[0] - 0.01 * g * x, w[1] - 0.01 * g]
     got = sgd.sgd_linear(df, [], ["seq"], "y", ["x"], 0.01, grad_scale=2.0, block=F.floor(F.col("seq") / 6)).first()
     assert got["w"] == pytest.approx(w, rel=1e-12)
+
+
+def test_grouped_top_k_equals_window(spark):
+    rnd = random.Random(9)
+    rows = [(g, i, rnd.randint(0, 50)) for g in range(3) for i in range(2000 if g == 0 else 50)]
+    df = spark.createDataFrame(rows, "g int, item int, cnt int")
+    got = monoid.top_k(df, ["g"], 5, "cnt", "item", buckets=16).select("g", "item", "rank")
+    w = Window.partitionBy("g").orderBy(F.col("cnt").desc(), F.col("item").asc())
+    ref = df.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("g", "item", "rank")
+    assert sorted(got.collect()) == sorted(ref.collect())
