@@ -45,10 +45,18 @@ def multi_aggregate(df: DataFrame, by, spec: Sequence[tuple[str, str, str | Colu
     return df.groupBy(*by).agg(*aggs)
 
 
-def set_union(df: DataFrame, by, c: str | Column, out: str = "items", arrays: bool = False) -> DataFrame:
-    """Union of values (or of array elements when ``arrays``) per group, as a sorted distinct array."""
+def set_union(df: DataFrame, by, c: str | Column, out: str = "items", arrays: bool = False,
+              as_rows: bool = False) -> DataFrame:
+    """Union of values (or of array elements when ``arrays``) per group.
+
+    ``as_rows=True`` returns the set as distinct ``(by..., out)`` rows, which is the scalable form for
+    unbounded domains. Otherwise it returns one sorted distinct array per group, meant for bounded domains
+    (types, flags, tags).
+    """
     by = _by(by)
     src = df.select(*by, F.explode(col_of(c)).alias("_e")) if arrays else df.select(*by, col_of(c).alias("_e"))
+    if as_rows:
+        return src.where(F.col("_e").isNotNull()).distinct().withColumnRenamed("_e", out)
     return src.groupBy(*by).agg(F.sort_array(F.collect_set("_e")).alias(out))
 
 

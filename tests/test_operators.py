@@ -216,3 +216,11 @@ def test_grouped_top_k_equals_window(spark):
     w = Window.partitionBy("g").orderBy(F.col("cnt").desc(), F.col("item").asc())
     ref = df.withColumn("rank", F.row_number().over(w)).where("rank <= 5").select("g", "item", "rank")
     assert sorted(got.collect()) == sorted(ref.collect())
+
+
+def test_set_union_forms(spark):
+    df = spark.createDataFrame([(1, ["a", "b"]), (1, ["b", "c"]), (2, ["x"]), (2, None)], "g int, tags array<string>")
+    arr = {r["g"]: r["items"] for r in monoid.set_union(df, ["g"], "tags", arrays=True).collect()}
+    assert arr == {1: ["a", "b", "c"], 2: ["x"]}
+    rows = sorted(tuple(r) for r in monoid.set_union(df, ["g"], "tags", arrays=True, as_rows=True).collect())
+    assert rows == [(1, "a"), (1, "b"), (1, "c"), (2, "x")]
