@@ -8,10 +8,8 @@ from __future__ import annotations
 
 import math
 
-import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 __all__ = [
     "col_of",
@@ -32,6 +30,7 @@ __all__ = [
     "normal_pdf",
     "exponential_pdf",
     "normal_cdf",
+    "erf",
     "TWO_POW_32",
 ]
 
@@ -163,11 +162,40 @@ def exponential_pdf(x: Column, lam: Column) -> Column:
     return F.when(x < 0, F.lit(0.0)).otherwise(lam * F.exp(-lam * x))
 
 
-@F.pandas_udf(T.DoubleType())
-def _std_normal_cdf(z: pd.Series) -> pd.Series:
-    # Spark SQL has no erf; this Arrow-batched helper is the only Python on the path.
-    return z.map(lambda v: None if v is None or v != v else 0.5 * (1.0 + math.erf(v / math.sqrt(2.0))))
+# Series lengths of the erf evaluation (Taylor up to |x| = 3, continued fraction beyond).
+ERF_TAYLOR_TERMS = 60
+ERFC_FRACTION_DEPTH = 60
+ERF_SWITCH = 3.0
+TWO_OVER_SQRT_PI = 2.0 / math.sqrt(math.pi)
+INV_SQRT_PI = 1.0 / math.sqrt(math.pi)
+INV_SQRT2 = 1.0 / math.sqrt(2.0)
+
+
+def _erf_taylor(x: Column) -> Column:
+    """erf by its Maclaurin series, summed term by term in a sequential fold (|x| <= 3)."""
+    start = F.struct(x.alias("t"), x.alias("s"))
+
+    def step(acc, n):
+        t = acc["t"] * (-(x * x)) / n
+        return F.struct(t.alias("t"), (acc["s"] + t / (n * 2 + 1)).alias("s"))
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ERF_TAYLOR_TERMS)), start, step)["s"] * F.lit(TWO_OVER_SQRT_PI)
+
+
+def _erfc_fraction(x: Column) -> Column:
+    """erfc for x > 3 by its continued fraction, evaluated from the innermost level outwards."""
+    f = F.aggregate(F.sequence(F.lit(ERFC_FRACTION_DEPTH), F.lit(1), F.lit(-1)), x,
+                    lambda acc, k: x + (k / 2.0) / acc)
+    return F.exp(-(x * x)) * F.lit(INV_SQRT_PI) / f
+
+
+def erf(x: Column) -> Column:
+    """The error function as a Column expression (Spark SQL has none): exact to double rounding."""
+    x = x.cast("double")
+    ax = F.abs(x)
+    tail = F.lit(1.0) - _erfc_fraction(ax)
+    return F.when(ax <= ERF_SWITCH, _erf_taylor(x)).otherwise(F.when(x > 0, tail).otherwise(-tail))
 
 
 def normal_cdf(x: Column, mu: Column, sigma: Column) -> Column:
-    return _std_normal_cdf((x - mu) / sigma)
+    return F.lit(0.5) * (F.lit(1.0) + erf((x - mu) / sigma * F.lit(INV_SQRT2)))

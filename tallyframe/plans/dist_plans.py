@@ -83,9 +83,33 @@ def q_dist_cdf(spark, sf):
     return g.select("event_type", "i", F.round(dist.exponential_cdf(F.col("x"), F.col("lam")), 9).alias("cdf"))
 
 
-@register("dist_normal_cdf")
+def _erf_sql(x: str) -> str:
+    """The same erf recipe as the Spark expression: Taylor fold up to |x| = 3, continued fraction beyond."""
+    from tallyframe.functions.exprs import (
+        ERF_SWITCH, ERF_TAYLOR_TERMS, ERFC_FRACTION_DEPTH, INV_SQRT_PI, TWO_OVER_SQRT_PI)
+
+    taylor = (f"list_reduce(range(1, {ERF_TAYLOR_TERMS + 1}), lambda acc, n: "
+              f"{{'t': acc.t * (-({x} * {x})) / n, 's': acc.s + (acc.t * (-({x} * {x})) / n) / (n * 2 + 1)}}, "
+              f"{{'t': {x}, 's': {x}}}).s * {TWO_OVER_SQRT_PI!r}")
+    ax = f"abs({x})"
+    frac = f"list_reduce(range({ERFC_FRACTION_DEPTH}, 0, -1), lambda acc, k: {ax} + (k / 2.0) / acc, {ax})"
+    tail = f"(1.0 - exp(-({ax} * {ax})) * {INV_SQRT_PI!r} / {frac})"
+    return (f"CASE WHEN {ax} <= {ERF_SWITCH!r} THEN {taylor} "
+            f"WHEN {x} > 0 THEN {tail} ELSE -{tail} END")
+
+
+@register(
+    "dist_normal_cdf",
+    TYPE_STATS_SQL + f"""
+    , g AS (SELECT event_type, mu, sigma, i,
+                   (mu - 4.0 * sigma) + i * (((mu + 4.0 * sigma) - (mu - 4.0 * sigma)) / 2000.0) AS x
+            FROM s, range(0, 2001) r(i)),
+    z AS (SELECT event_type, i, (x - mu) / sigma * {1 / math.sqrt(2.0)!r} AS y FROM g)
+    SELECT event_type, CAST(i AS INTEGER) AS i, round(0.5 * (1.0 + ({_erf_sql('y')})), 9) AS cdf FROM z
+    """,
+)
 def q_dist_normal_cdf(spark, sf):
-    """Normal CDF on the ±4σ grid (erf in an Arrow-batched helper; no SQL oracle has erf)."""
+    """Normal CDF on the ±4σ grid, with erf as a Column expression (Spark SQL has no erf)."""
     g = dist.normal_pmf(_type_stats(spark, sf), "mu", "sigma")
     return g.select("event_type", "i", F.round(dist.normal_cdf_col(F.col("x"), F.col("mu"), F.col("sigma")), 9).alias("cdf"))
 
