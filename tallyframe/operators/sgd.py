@@ -65,6 +65,8 @@ def sgd_linear(
         *[col_of(x).cast("double").alias(f"_x{i}") for i, x in enumerate(xs)],
         (block if block is not None else F.lit(0)).cast("bigint").alias("_blk"),
     )
+    # a point without a label or a feature is not a sample: it is skipped, not folded in as NaN
+    rows = rows.dropna(subset=["_y", *[f"_x{i}" for i in range(len(xs))]])
     okeys = [f"_o{i}" for i in range(len(order))]
     key_fields = [f for f in rows.schema.fields if f.name in g]
     block_schema = T.StructType(key_fields + [

@@ -129,7 +129,9 @@ def q_kll_quantile(spark, sf):
     sk = sketch.kll_sketch(o, [], "v")
     ps = [0.25, 0.5, 0.75]
     # each estimate is a scalar subquery; its true rank is one conditional count, all three in one pass
-    qs = [sk.select(F.kll_sketch_get_quantile_bigint("sketch", F.lit(p))).scalar() for p in ps]
+    packed = sk.select(F.struct(*[F.kll_sketch_get_quantile_bigint("sketch", F.lit(p)).alias(f"q{i}")
+                                  for i, p in enumerate(ps)])).scalar()
+    qs = [packed.getField(f"q{i}") for i in range(len(ps))]
     ranks = o.agg(F.count(F.lit(1)).alias("n"),
                   *[F.sum(F.when(F.col("v") <= q, 1).otherwise(0)).alias(f"r{i}") for i, q in enumerate(qs)])
     rows = F.array(*[F.struct(F.lit(p).alias("p"), (F.col(f"r{i}") / F.col("n")).alias("f")) for i, p in enumerate(ps)])
