@@ -224,8 +224,10 @@ def q_pmf_mixture(spark, sf):
     o = load(spark, sf, "orders", ["o_custkey", "o_orderpriority"])
     c = load(spark, sf, "customer", ["c_custkey", "c_mktsegment"])
     oc = o.join(c, o.o_custkey == c.c_custkey).select("c_mktsegment", "o_orderpriority")
-    weights = pmf.from_keys(oc, [], "c_mktsegment").select(F.col("outcome").alias("c_mktsegment"),
-                                                           F.col("prob").alias("weight"))
-    comps = pmf.from_keys(oc, ["c_mktsegment"], "o_orderpriority").select("c_mktsegment", "outcome", "prob")
+    # one count table feeds both the components and the weights, so the join and its aggregate run once
+    counts = oc.groupBy("c_mktsegment", F.col("o_orderpriority").alias("outcome")).agg(F.count(F.lit(1)).alias("n"))
+    comps = pmf.normalize(counts, ["c_mktsegment"], weight="n", out="prob")
+    seg = counts.groupBy("c_mktsegment").agg(F.sum("n").alias("n"))
+    weights = pmf.normalize(seg, [], weight="n", out="weight")
     m = combine.mixture(weights, comps, [], "c_mktsegment")
     return m.withColumn("prob", F.round("prob", 9))
