@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.operators import monoid, sketch
 from tallyframe.plans.catalog import register
-from tallyframe.sources import load
+from tallyframe.sources import load, materialize
 
 
 def _exact_vs(est_df, exact_df, keys, rse):
@@ -35,7 +35,8 @@ def q_hll_rollup(spark, sf):
     """Daily sketches per event type are stored, then merged to the month without touching raw rows."""
     ev = load(spark, sf, "events", ["event_type", "user_id", "ts"])
     daily = sketch.hll_sketch(ev.withColumn("day", F.to_date("ts")), ["event_type", "day"], "user_id", 14)
-    month = sketch.hll_merge(daily, ["event_type"]).select("event_type", sketch.hll_estimate("sketch").alias("est"))
+    stored = materialize(daily, "hll-daily")  # one sketch per (type, day), kept as a table
+    month = sketch.hll_merge(stored, ["event_type"]).select("event_type", sketch.hll_estimate("sketch").alias("est"))
     exact = ev.groupBy("event_type").agg(F.count_distinct("user_id").alias("exact"))
     return _exact_vs(month, exact, ["event_type"], sketch.hll_rse(14))
 

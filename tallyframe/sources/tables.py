@@ -17,6 +17,19 @@ def load(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None
     return df.select(*columns) if columns else df
 
 
+def materialize(df: DataFrame, kind: str) -> DataFrame:
+    """Write ``df`` as a Parquet table under the session's shared checkpoint folder and read it back.
+
+    Used for stored intermediate results (e.g. daily sketches that later jobs re-merge) and to cut long
+    lineages: a lost executor then recomputes from the stored table, not from the raw input.
+    """
+    from tallyframe.session import scratch_path
+
+    path = scratch_path(df.sparkSession, kind)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def literal_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
     """A small fixed table (model parameters, hypotheses) built in the JVM from literals: a local relation,
     no Python-side RDD. ``schema`` is a DDL string such as ``"hypo string, prior double"``."""
