@@ -73,8 +73,9 @@ def bloom_build(df: DataFrame, by, item: str | Column, fpp: float = 0.01, n: int
     """Build a Bloom filter per group. Returns ``(filter, params)``:
 
     * ``params``: ``(by..., m, k)``; ``n`` defaults to the group's exact distinct item count;
-    * ``filter``: ``(by..., bucket, bitmap)``, bit ``pos`` of ``1..m`` set for each of the k positions of each
-      item. Bitmaps hold 32768 positions each, so the filter takes m/8 bytes, independent of the data size.
+    * ``filter``: ``(by..., word, bits)``: bit ``pos % 64`` of 64-bit word ``pos div 64`` is set for each of
+      the k positions (1..m) of each item. Words merge with ``bit_or`` (any order); the filter holds m/64
+      rows of 8 bytes, independent of the data size, and a probe joins only the 8-byte word it needs.
     """
     by = _by(by)
     items = df.select(*by, col_of(item).alias("_item")).where(F.col("_item").isNotNull()).distinct()
@@ -86,15 +87,24 @@ def bloom_build(df: DataFrame, by, item: str | Column, fpp: float = 0.01, n: int
     params = counts.select(*by, m.alias("m"), k.alias("k"))
     pos = items.join(params, by) if by else with_scalars(items, params, ["m", "k"])
     pos = pos.select(*by, F.explode(md5_positions(F.col("_item"), F.col("k"), F.col("m"))).alias("pos"))
-    filt = pos.groupBy(*by, F.bitmap_bucket_number("pos").alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("pos")).alias("bitmap")
+    filt = pos.groupBy(*by, _word(F.col("pos")).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(F.col("pos")))).alias("bits")
     )
     return filt, params
 
 
-def _bit_is_set(bitmap: Column, bit: Column) -> Column:
-    byte = F.conv(F.hex(F.substring(bitmap, (bit / 8).cast("int") + 1, 1)), 16, 10).cast("int")
-    return F.getbit(byte, (bit % 8).cast("int"))
+def _word(pos: Column) -> Column:
+    return F.floor(pos / 64).cast("bigint")
+
+
+def _bit(pos: Column) -> Column:
+    return F.pmod(pos, F.lit(64)).cast("int")
+
+
+def bloom_bits_set(filt: DataFrame, by=None) -> DataFrame:
+    """Number of set bits per group (fill of the filter)."""
+    by = _by(by)
+    return filt.groupBy(*by).agg(F.sum(F.bit_count("bits")).cast("bigint").alias("bits_set"))
 
 
 def bloom_contains(filt: DataFrame, params: DataFrame, probes: DataFrame, by, item: str, out: str = "in_filter"):
@@ -102,10 +112,10 @@ def bloom_contains(filt: DataFrame, params: DataFrame, probes: DataFrame, by, it
     by = _by(by)
     items = probes.select(*by, F.col(item).alias("_item")).where(F.col("_item").isNotNull()).distinct()
     x = items.join(params, by) if by else with_scalars(items, params, ["m", "k"])
-    x = x.select(*by, "_item", "k", F.explode(md5_positions(F.col("_item"), F.col("k"), F.col("m"))).alias("pos"))
-    x = x.withColumn("bucket", F.bitmap_bucket_number("pos")).withColumn("bit", F.bitmap_bit_position("pos"))
-    hit = x.join(filt, [*by, "bucket"], "left").withColumn(
-        "_set", F.coalesce(_bit_is_set(F.col("bitmap"), F.col("bit")), F.lit(0))
+    x = x.select(*by, "_item", F.explode(md5_positions(F.col("_item"), F.col("k"), F.col("m"))).alias("pos"))
+    x = x.select(*by, "_item", _word(F.col("pos")).alias("word"), _bit(F.col("pos")).alias("bit"))
+    hit = x.join(filt, [*by, "word"], "left").withColumn(
+        "_set", F.coalesce(F.getbit(F.col("bits"), F.col("bit")), F.lit(0))
     )
     member = hit.groupBy(*by, "_item").agg((F.min("_set") == 1).alias(out))
     return member.withColumnRenamed("_item", item)

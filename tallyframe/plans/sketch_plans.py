@@ -80,8 +80,7 @@ BLOOM_SQL = """
 def q_bloom_build(spark, sf):
     o = load(spark, sf, "orders", ["o_custkey"])
     filt, params = sketch.bloom_build(o, [], "o_custkey", 0.01)
-    bits = filt.select(F.bitmap_count("bitmap").alias("c")).agg(F.sum("c").cast("bigint").alias("bits_set"))
-    return params.withColumn("bits_set", bits.scalar())
+    return params.withColumn("bits_set", sketch.bloom_bits_set(filt).scalar())
 
 
 @register(
