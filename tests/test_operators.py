@@ -245,3 +245,21 @@ def test_results_do_not_depend_on_partitioning(spark):
     assert all(abs(a[2] - b[2]) <= 1e-9 * max(1.0, abs(a[2])) for a, b in zip(r1, r2))
     # SGD composes identical block maps in block order: bit-identical
     assert w1 == w2
+
+
+def test_grouped_bloom_and_cms(spark):
+    rows = [(g, f"w{(i * (g + 1)) % (100 + 50 * g)}") for g in range(2) for i in range(1500)]
+    df = spark.createDataFrame(rows, "g int, w string")
+    filt, params = sketch.bloom_build(df, ["g"], "w", 0.01)
+    assert {r["g"] for r in params.collect()} == {0, 1}
+    mem = sketch.bloom_contains(filt, params, df, ["g"], "w")
+    assert mem.where(~F.col("in_filter")).count() == 0
+    sk = sketch.cms_build(df, ["g"], F.col("w"), 0.01, 1e-3)
+    est = sketch.cms_estimate(sk, df, ["g"], "w", 0.01, 1e-3)
+    exact = df.groupBy("g", "w").agg(F.count(F.lit(1)).alias("exact"))
+    j = est.join(exact, ["g", "w"])
+    assert j.count() == exact.count()
+    assert j.where((F.col("est") < F.col("exact")) | (F.col("est") > F.col("exact") + 0.01 * 1500)).count() == 0
+    hh = {(r["g"], r["w"]) for r in sketch.heavy_hitters(df, ["g"], "w", 0.01, 1e-3, 0.005).collect()}
+    truth = {(r["g"], r["w"]) for r in exact.where(F.col("exact") >= 0.005 * 1500).collect()}
+    assert truth <= hh
