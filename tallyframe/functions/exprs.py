@@ -14,14 +14,13 @@ from pyspark.sql import functions as F
 __all__ = [
     "col_of",
     "with_scalars",
-    "broadcast_if_small",
-    "MAX_BROADCAST_ROWS",
+    "join_by",
     "ntz_micros",
     "utc_instant",
     "utc_day",
     "normalise_weight",
     "md5_int",
-    "md5_positions",
+    "hash_positions",
     "md5_uniform",
     "lgamma",
     "ln_factorial",
@@ -62,16 +61,14 @@ def utc_day(instant: Column) -> Column:
     return F.date_format(F.date_from_unix_date(days), "yyyy-MM-dd")
 
 
-MAX_BROADCAST_ROWS = 2_000_000
-
-
-def broadcast_if_small(df, max_rows: int = MAX_BROADCAST_ROWS):
-    """Broadcast hint only behind a size check: counting at most ``max_rows + 1`` rows stops early, so the
-    check is cheap even when the table is large. Beyond the bound the plain join (and AQE) decide."""
-    from pyspark.sql import functions as _F
-
-    n = df.limit(max_rows + 1).count()
-    return _F.broadcast(df) if n <= max_rows else df
+def join_by(left, right, by, how="inner"):
+    """Equi-join on the key columns ``by`` in which NULL keys match each other; the keys of ``left`` stay."""
+    renamed = right.withColumnsRenamed({c: f"_r_{c}" for c in by})
+    cond = None
+    for c in by:
+        same = F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        cond = same if cond is None else cond & same
+    return left.join(renamed, cond, how).drop(*[f"_r_{c}" for c in by])
 
 
 def with_scalars(df, one_row, cols):
@@ -91,14 +88,12 @@ def md5_int(item: Column, offset: int) -> Column:
     return F.conv(F.substring(F.md5(item.cast("string")), offset, 8), 16, 10).cast("bigint")
 
 
-def md5_positions(item: Column, k: Column | int, m: Column | int) -> Column:
+def hash_positions(h1: Column, h2: Column, k: Column | int, m: Column | int) -> Column:
     """Array of ``k`` positions in ``1..m`` by double hashing: ``1 + (h1 + i*h2) mod m`` for i in 0..k-1.
 
-    h1 and h2 are the first two 8-hex-digit slices of the item's md5. Positions start at 1 (bitmap position
-    0 would share a bit with 1).
+    h1 and h2 are columns of their own (two slices of one md5 per item), so no digest is taken for each of the k
+    positions. Positions start at 1 (bitmap position 0 would share a bit with 1).
     """
-    h1 = md5_int(item, 1)
-    h2 = md5_int(item, 9)
     k = F.lit(k) if isinstance(k, int) else k
     m = F.lit(m) if isinstance(m, int) else m
     return F.transform(F.sequence(F.lit(0).cast("bigint"), k.cast("bigint") - 1), lambda i: F.pmod(h1 + i * h2, m) + 1)

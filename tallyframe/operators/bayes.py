@@ -1,8 +1,8 @@
 """Bayesian updates of a prior over hypotheses from observed data.
 
 Data are first reduced to ``(group, datum, n)`` counts, so the hypothesis join sees distinct data only. The
-likelihood is either a table ``(hypo, datum, lik)`` (an equi-join on the datum) or a Column expression
-``lik(datum, hypo)`` evaluated against a small, size-checked hypothesis table.
+likelihood is either a table ``(hypo, datum, lik)`` (an equi-join on both) or a Column expression
+``lik(datum, hypo)``; one code path serves any number of hypotheses.
 
 The update is done in log space: ``ll = Σ n · ln(lik)``; ``w = prior · exp(ll − max ll)``; then normalise once.
 A zero likelihood makes its hypothesis impossible for good (``ln 0`` would be NULL in Spark and skipped by
@@ -16,44 +16,38 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import broadcast_if_small, normalise_weight, with_scalars
+from tallyframe.functions.exprs import join_by, normalise_weight
 from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
 
-MAX_BROADCAST_HYPOTHESES = 100_000
-# Hypotheses become columns (one pass, no per-hypothesis rows) when there are at most this many.
-MAX_WIDE_HYPOTHESES = 256
-
-
 def data_counts(data: DataFrame, by, datum: str | Sequence[str]) -> DataFrame:
     by = _by(by)
     return data.groupBy(*by, *_by(datum)).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _with_hypotheses(rows: DataFrame, prior: DataFrame, by: list[str], hypo: str, how: str) -> DataFrame:
+    """Each row with the hypotheses and priors of its group. A prior without group columns is one packed row
+    (a scalar subquery), so rows and hypotheses never meet in a cross join."""
+    prior_by = [c for c in by if c in prior.columns]
+    if prior_by:
+        return join_by(prior.select(*prior_by, hypo, "prior"), rows, prior_by, how)
+    packed = prior.select(F.collect_list(F.struct(hypo, "prior"))).scalar()
+    return rows.select("*", F.inline(packed))
+
+
 def _pair(counts: DataFrame, prior: DataFrame, by: list[str], datum: list[str], hypo: str,
           likelihood: DataFrame | Callable[[DataFrame], Column]) -> DataFrame:
-    """Attach ``lik`` to each (group, hypothesis, datum) with the group's prior."""
-    prior_by = [c for c in by if c in prior.columns]
+    """Attach ``lik`` to each (group, hypothesis, datum) with the group's prior; ``lik`` is NULL where none is given
+    and for a group of the prior without data."""
+    if not by:  # one group, which is there even without data
+        none = [F.lit(None).cast(counts.schema[c].dataType).alias(c) for c in datum]
+        counts = counts.unionByName(counts.sparkSession.range(1).select(*none, F.lit(0).cast("bigint").alias("n")))
+    x = _with_hypotheses(counts, prior, by, hypo, "left")
     if isinstance(likelihood, DataFrame):
-        lk = likelihood.select(hypo, *datum, "lik")
-        x = counts.join(lk, datum)
-        return x.join(prior.select(*prior_by, hypo, "prior"), [*prior_by, hypo])
-    # Expression likelihood: pair distinct data with the hypothesis table. The table must be small.
-    hyps = prior.select(*prior_by, hypo, "prior")
-    if not prior_by:
-        n = hyps.limit(MAX_BROADCAST_HYPOTHESES + 1).count()
-        if n > MAX_BROADCAST_HYPOTHESES:
-            raise ValueError(f"more than {MAX_BROADCAST_HYPOTHESES} hypotheses: pass a likelihood table instead")
-        x = counts.crossJoin(F.broadcast(hyps))
+        x = x.join(likelihood.select(hypo, *datum, "lik"), [hypo, *datum], "left")
     else:
-        x = counts.join(hyps, prior_by)
-    return x.withColumn("lik", likelihood(x))
-
-
-def _hypotheses(prior: DataFrame, hypo: str) -> list | None:
-    """The distinct hypotheses in order, when few enough to become columns (a bounded, checked collect)."""
-    hs = [r[0] for r in prior.select(hypo).distinct().orderBy(hypo).limit(MAX_WIDE_HYPOTHESES + 1).collect()]
-    return hs if len(hs) <= MAX_WIDE_HYPOTHESES else None
+        x = x.withColumn("lik", likelihood(x))
+    return x.withColumn("lik", F.when(F.col("n") > 0, F.col("lik")))
 
 
 def _wide_likelihood(likelihood: DataFrame, datum: list[str], hypo: str, hyps: list) -> DataFrame:
@@ -62,57 +56,25 @@ def _wide_likelihood(likelihood: DataFrame, datum: list[str], hypo: str, hyps: l
     return lk.select(*datum, *[F.col(f"`{h}`").cast("double").alias(f"_l{i}") for i, h in enumerate(hyps)])
 
 
-def _wide_prior(prior: DataFrame, prior_by: list[str], hypo: str, hyps: list) -> DataFrame:
-    p = prior.groupBy(*prior_by).pivot(hypo, hyps).agg(F.first("prior"))
-    return p.select(*prior_by, *[F.col(f"`{h}`").cast("double").alias(f"_p{i}") for i, h in enumerate(hyps)])
-
-
-def _normalise_wide(df: DataFrame, hyps: list, keep: list[str], hypo: str) -> DataFrame:
-    """Row-wise: ``_ll{i}`` (NULL = impossible) and ``_p{i}`` -> rows ``(keep..., hypo, prob)``."""
-    n = len(hyps)
-    m = F.greatest(*[F.col(f"_ll{i}") for i in range(n)]) if n > 1 else F.col("_ll0")
-    d = df.withColumn("_m", m)
-    d = d.withColumns({f"_w{i}": F.coalesce(F.col(f"_p{i}") * F.exp(F.col(f"_ll{i}") - F.col("_m")), F.lit(0.0))
-                       for i in range(n)})
-    tot = sum((F.col(f"_w{i}") for i in range(1, n)), F.col("_w0"))
-    d = d.withColumn("_tot", tot)
-    rows = F.array(*[F.struct(F.lit(h).alias(hypo), normalise_weight(F.col(f"_w{i}"), F.col("_tot")).alias("prob"))
-                     for i, h in enumerate(hyps)])
-    return d.select(*keep, F.inline(rows))
-
-
 def posterior(
     prior: DataFrame, data: DataFrame, by, datum: str | Sequence[str], hypo: str = "hypo",
     likelihood: DataFrame | Callable[[DataFrame], Column] | None = None,
 ) -> DataFrame:
     """Posterior ``(by..., hypo, prob)`` after observing all ``data`` (set update, normalised once).
 
-    ``prior``: (by?..., hypo, prior). Groups are those of ``data``; hypotheses with no data keep their prior.
+    ``prior``: (by?..., hypo, prior). Groups are those of ``prior`` if it has the group columns, else those of
+    ``data``; a group without data keeps its prior. A datum for which a hypothesis has no likelihood row leaves
+    that hypothesis as it is (a factor of one).
     """
     by = _by(by)
     datum = _by(datum)
-    counts = data_counts(data, by, datum)
-    hyps = _hypotheses(prior, hypo) if isinstance(likelihood, DataFrame) else None
-    if hyps is not None:
-        # Bounded hypotheses: likelihoods as columns, one aggregate per group, row-wise normalisation.
-        prior_by = [c for c in by if c in prior.columns]
-        x = counts.join(broadcast_if_small(_wide_likelihood(likelihood, datum, hypo, hyps)), datum)
-        aggs = []
-        for i in range(len(hyps)):
-            lik = F.col(f"_l{i}")
-            aggs += [F.min(lik).alias(f"_min{i}"), F.sum(F.col("n") * F.log(F.when(lik > 0, lik))).alias(f"_s{i}")]
-        ll = x.groupBy(*by).agg(*aggs)
-        ll = ll.withColumns({f"_ll{i}": F.when(F.col(f"_min{i}") > 0, F.coalesce(F.col(f"_s{i}"), F.lit(0.0)))
-                             for i in range(len(hyps))})
-        wp = _wide_prior(prior, prior_by, hypo, hyps)
-        ll = ll.join(wp, prior_by) if prior_by else with_scalars(ll, wp, [f"_p{i}" for i in range(len(hyps))])
-        return _normalise_wide(ll, hyps, by, hypo)
-    x = _pair(counts, prior, by, datum, hypo, likelihood)
+    x = _pair(data_counts(data, by, datum), prior, by, datum, hypo, likelihood)
     ll = x.groupBy(*by, hypo, "prior").agg(
         F.min("lik").alias("_minlik"),
         F.sum(F.col("n") * F.log(F.when(F.col("lik") > 0, F.col("lik")))).alias("_ll"),
     )
-    return _normalise_log(ll.withColumn("_ll", F.when(F.col("_minlik") > 0, F.col("_ll"))), by, hypo)
+    possible = F.col("_minlik").isNull() | (F.col("_minlik") > 0)
+    return _normalise_log(ll.withColumn("_ll", F.when(possible, F.coalesce("_ll", F.lit(0.0)))), by, hypo)
 
 
 def _normalise_log(ll: DataFrame, by: list[str], hypo: str, extra: Sequence[str] = ()) -> DataFrame:
@@ -132,30 +94,15 @@ def sequential(
     """The posterior after each datum, in ``order`` per group: ``(by..., order..., keep..., hypo, prob)``.
 
     Running log-likelihood sums per (group, hypothesis) use the skew-safe block scan; a running count of
-    impossible data enforces the zero rule; each step normalises over the hypotheses of that step.
+    impossible data enforces the zero rule; each step normalises over the hypotheses of that step. A datum for
+    which a hypothesis has no likelihood row leaves that hypothesis as it is.
     """
     by = _by(by)
     datum = _by(datum)
     order = list(order)
     rows = data.select(*by, *order, *datum, *keep)
-    prior_by = [c for c in by if c in prior.columns]
-    hyps = _hypotheses(prior, hypo)
-    if hyps is not None:
-        # Bounded hypotheses: every event carries all hypotheses' running sums in one scan; the posterior of
-        # each step is a row-wise normalisation, exploded to one row per hypothesis at the end.
-        x = rows.join(broadcast_if_small(_wide_likelihood(likelihood, datum, hypo, hyps)), datum)
-        sums = {}
-        for i in range(len(hyps)):
-            lik = F.col(f"_l{i}")
-            sums[f"_s{i}"] = F.log(F.when(lik > 0, lik))
-            sums[f"_z{i}"] = F.when(lik <= 0, F.lit(1)).otherwise(F.lit(0))
-        run = ordered.running_sums(x, by, order, sums, block)
-        run = run.withColumns({f"_ll{i}": F.when(F.col(f"_z{i}") == 0, F.col(f"_s{i}")) for i in range(len(hyps))})
-        wp = _wide_prior(prior, prior_by, hypo, hyps)
-        run = run.join(wp, prior_by) if prior_by else with_scalars(run, wp, [f"_p{i}" for i in range(len(hyps))])
-        return _normalise_wide(run, hyps, [*by, *order, *keep], hypo)
-    x = rows.join(likelihood.select(hypo, *datum, "lik"), datum)
-    x = x.join(prior.select(*prior_by, hypo, "prior"), [*prior_by, hypo])
+    x = _with_hypotheses(rows, prior, by, hypo, "inner")
+    x = x.join(likelihood.select(hypo, *datum, "lik"), [hypo, *datum], "left")
     sums = {
         "_lls": F.log(F.when(F.col("lik") > 0, F.col("lik"))),
         "_zeros": F.when(F.col("lik") <= 0, F.lit(1)).otherwise(F.lit(0)),

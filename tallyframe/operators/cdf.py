@@ -17,18 +17,11 @@ from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
 
 
-# An ungrouped CDF with at most this many distinct outcomes is scanned by one window task.
-MAX_SINGLE_SCAN_OUTCOMES = 1_000_000
-
-
 def _outcome_block(pmf: DataFrame, by: list[str], outcome: str, block):
-    """Grouped CDFs scan per group (one row per distinct outcome). An ungrouped CDF is scanned in one task
-    only when it provably has few outcomes (an early-stopping count); beyond that it is cut into outcome
-    blocks so that no single task holds every distinct outcome."""
+    """Grouped CDFs scan per group (one row per distinct outcome) unless a ``block`` is given. An ungrouped CDF
+    is always cut into outcome blocks, so that no single task holds every distinct outcome."""
     if isinstance(block, str) and block == "auto":
-        if by or pmf.limit(MAX_SINGLE_SCAN_OUTCOMES + 1).count() <= MAX_SINGLE_SCAN_OUTCOMES:
-            return None
-        return ordered.auto_block(pmf, outcome)
+        return None if by else ordered.auto_block(pmf, outcome)
     return block
 
 

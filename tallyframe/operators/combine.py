@@ -12,10 +12,21 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyframe.functions.exprs import join_by
 from tallyframe.operators.pmf import _by, normalize
 
 
-MAX_BROADCAST_OUTCOMES = 1_000_000
+# Blocks of each side of an ungrouped product: every pair of blocks is one join key.
+PRODUCT_BLOCKS = 8
+
+
+def _product(left: DataFrame, right: DataFrame, blocks: int = PRODUCT_BLOCKS) -> DataFrame:
+    """All pairs of two single PMFs' distinct outcomes (the operator itself), as an equi-join on block pairs:
+    each row goes to ``blocks`` keys, and the pairs spread over ``blocks²`` of them, whatever the sizes."""
+    every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+    a = left.withColumn("_ba", F.pmod(F.xxhash64("_k1"), F.lit(blocks)).cast("int")).withColumn("_bb", every)
+    b = right.withColumn("_bb", F.pmod(F.xxhash64("_k2"), F.lit(blocks)).cast("int")).withColumn("_ba", every)
+    return a.join(b, ["_ba", "_bb"]).drop("_ba", "_bb")
 
 
 def join(
@@ -26,18 +37,7 @@ def join(
     by = _by(by)
     left = a.select(*by, F.col(outcome).alias("_k1"), F.col(prob).alias("_p1"))
     right = b.select(*by, F.col(outcome).alias("_k2"), F.col(prob).alias("_p2"))
-    if by:
-        pairs = left.join(right, by)
-    else:
-        # Without group keys the product of two single PMFs is the operator itself (every pair of distinct
-        # outcomes). The side with fewer outcomes is broadcast when its size is within the bound; beyond it
-        # Spark's partitioned product runs instead.
-        cap = MAX_BROADCAST_OUTCOMES + 1
-        n_left, n_right = left.limit(cap).count(), right.limit(cap).count()
-        small, big = (left, right) if n_left <= n_right else (right, left)
-        if min(n_left, n_right) <= MAX_BROADCAST_OUTCOMES:
-            small = F.broadcast(small)
-        pairs = big.crossJoin(small)
+    pairs = join_by(left, right, by) if by else _product(left, right)
     merged = pairs.groupBy(*by, comb(F.col("_k1"), F.col("_k2")).alias(outcome)).agg(
         F.sum(F.col("_p1") * F.col("_p2")).alias(prob)
     )

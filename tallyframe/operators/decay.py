@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import col_of
+from tallyframe.functions.exprs import col_of, join_by
 from tallyframe.operators.pmf import _by
 
 LN2 = math.log(2.0)
@@ -53,14 +53,16 @@ def decayed_running(
     """Decayed sum as of every row: ``D_i = Σ_{j<=i} v_j 2^(-(t_i - t_j)/h)``, per key in ``order``.
 
     Within a block: a running window over ``(key, block)``. Across blocks: each block adds the carried sums of
-    the key's earlier blocks, rescaled to its own anchor; that carry reads one summary row per earlier block.
+    the key's earlier blocks, rescaled to its own anchor. A block is ``blocks_per_anchor`` half-lives wide, so
+    the k-th earlier block is scaled by at most ``2^(-blocks_per_anchor·(k - 1))``; past the whole exponent range
+    of a double (about 2100 powers of two) its share is exactly 0, and the carry reads no further back.
     """
     by = _by(by)
     h = float(half_life)
     d, _ = _blocked(df.withColumn("_v", col_of(value).cast("double")), t, h, blocks_per_anchor)
     d = d.withColumn("_x", F.col("_v") * F.pow(F.lit(2.0), (F.col("_t") - F.col("_a")) / F.lit(h)))
     blocks = d.groupBy(*by, "_b", "_a").agg(F.sum("_x").alias("_s"))
-    prev = Window.partitionBy(*by).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    prev = Window.partitionBy(*by).orderBy("_b").rowsBetween(-(math.ceil(2100 / blocks_per_anchor) + 2), -1)
     carry = blocks.withColumn("_prev", F.collect_list(F.struct("_a", "_s")).over(prev)).select(
         *by,
         "_b",
@@ -71,7 +73,7 @@ def decayed_running(
         ).alias("_carry"),
     )
     run = Window.partitionBy(*by, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    j = d.join(carry, [*by, "_b"], "left")
+    j = join_by(d, carry, [*by, "_b"], "left")
     out = j.withColumn(
         "decayed",
         (F.coalesce(F.col("_carry"), F.lit(0.0)) + F.sum("_x").over(run))

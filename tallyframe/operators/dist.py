@@ -44,10 +44,12 @@ def normal_pmf(params: DataFrame, mu: str, sigma: str, num_sigmas: float = 4.0,
     return g.withColumn("density", normal_pdf(F.col("x"), m, s))
 
 
-def exponential_pmf(params: DataFrame, lam: str, steps: int = 2000, cutoff: float = DEFAULT_CUTOFF) -> DataFrame:
-    """Exponential densities on ``[0, F⁻¹(1 − cutoff)] = [0, −ln(cutoff)/λ]``."""
+def exponential_pmf(params: DataFrame, lam: str, steps: int = 2000, cutoff: float = DEFAULT_CUTOFF,
+                    abs_cutoff: float | None = None) -> DataFrame:
+    """Exponential densities on ``[0, F⁻¹(1 − cutoff)] = [0, −ln(cutoff)/λ]``, or on ``[0, abs_cutoff]``."""
     lam_c = F.col(lam)
-    g = grid(params, F.lit(0.0), F.lit(-math.log(cutoff)) / lam_c, steps)
+    end = F.lit(float(abs_cutoff)) if abs_cutoff is not None else F.lit(-math.log(cutoff)) / lam_c
+    g = grid(params, F.lit(0.0), end, steps)
     return g.withColumn("density", exponential_pdf(F.col("x"), lam_c))
 
 
@@ -59,20 +61,30 @@ def normal_cdf_col(x: Column, mu: Column, sigma: Column) -> Column:
     return normal_cdf(x, mu, sigma)
 
 
+# Points of an integer support that one array holds; a support is exploded in ranges of so many.
+SUPPORT_RANGE = 1 << 16
+
+
 def _integer_support(params: DataFrame, lo: Column, hi: Column) -> DataFrame:
-    return params.withColumn("k", F.explode(F.sequence(lo.cast("int"), hi.cast("int"))))
+    """One row per integer ``k`` (BIGINT) in ``lo..hi``; a row whose ``lo`` is above its ``hi`` has no support."""
+    p = params.withColumn("_lo", lo.cast("bigint")).withColumn("_hi", hi.cast("bigint")).where("_lo <= _hi")
+    p = p.withColumn("_r", F.explode(F.sequence(F.lit(0).cast("bigint"), F.floor((F.col("_hi") - F.col("_lo")) / SUPPORT_RANGE))))
+    first = F.col("_lo") + F.col("_r") * SUPPORT_RANGE
+    return p.withColumn("k", F.explode(F.sequence(first, F.least("_hi", first + (SUPPORT_RANGE - 1))))).drop("_lo", "_hi", "_r")
 
 
 def poisson_pmf(params: DataFrame, by, lam: str, cutoff: float = DEFAULT_CUTOFF) -> DataFrame:
     """Poisson PMF on ``0 .. F⁻¹(1 − cutoff)``; empty when λ <= 0.
 
-    The support is exploded to a safe bound ``λ + 12√λ + 12`` and cut at the first k whose cumulative
-    probability reaches ``1 − cutoff``, with a running sum over the (short) support of each row.
+    The support is exploded to a bound that holds ``F⁻¹(1 − cutoff)`` for every cutoff: Bernstein's inequality
+    gives ``P(X >= λ + t) <= cutoff`` for ``t = L/3 + √(L²/9 + 2λL)``, ``L = −ln cutoff``. It is cut at the
+    first k whose cumulative probability reaches ``1 − cutoff``, with a running sum over each row's support.
     """
     by = _by(by)
     lam_c = F.col(lam)
     p = params.where(lam_c > 0)
-    kmax = F.ceil(lam_c + F.lit(12.0) * F.sqrt(lam_c) + F.lit(12.0))
+    tail = -math.log(cutoff)
+    kmax = F.ceil(lam_c + F.lit(tail / 3) + F.sqrt(F.lit(tail * tail / 9) + F.lit(2 * tail) * lam_c)) + 1
     s = _integer_support(p, F.lit(0), kmax)
     s = s.withColumn("prob", F.exp(F.col("k") * F.log(lam_c) - lam_c - ln_factorial(F.col("k"))))
     w = Window.partitionBy(*by).orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -97,7 +109,8 @@ def binomial_pmf(params: DataFrame, n: str, p: str) -> DataFrame:
 def hypergeom_pmf(params: DataFrame, pop: str, succ: str, sample: str) -> DataFrame:
     """Hypergeometric PMF: ``C(K,k)·C(N−K, n−k) / C(N, n)`` on ``max(0, n−(N−K)) .. min(n, K)``.
 
-    A sample of 0 or no successes gives ``{0: 1}``; a population of successes only gives ``{n: 1}``.
+    A sample of 0 or no successes gives ``{0: 1}``; a population of successes only gives ``{n: 1}``. A sample
+    larger than the population has no rows otherwise (its support is empty).
     """
     N, K, n = F.col(pop), F.col(succ), F.col(sample)
     degenerate0 = (n == 0) | (K == 0)
@@ -116,8 +129,12 @@ def beta_pdf(params: DataFrame, a: str, b: str, steps: int = 100) -> DataFrame:
     a_c, b_c = F.col(a), F.col(b)
     g = grid(params, F.lit(0.0), F.lit(1.0), steps)
     x = F.col("x")
-    dens = F.exp(-ln_beta(a_c, b_c)) * F.pow(x, a_c - 1) * F.pow(F.lit(1.0) - x, b_c - 1)
-    return g.withColumn("density", dens)
+    inside = F.exp((a_c - 1) * F.log(x) + (b_c - 1) * F.log(F.lit(1.0) - x) - ln_beta(a_c, b_c))
+
+    def edge(own: Column, other: Column) -> Column:
+        return F.when(own > 1, F.lit(0.0)).when(own == 1, other.cast("double")).otherwise(F.lit(float("inf")))
+
+    return g.withColumn("density", F.when(x <= 0, edge(a_c, b_c)).when(x >= 1, edge(b_c, a_c)).otherwise(inside))
 
 
 def betabinom_pmf(params: DataFrame, n: str, a: str, b: str) -> DataFrame:
@@ -129,22 +146,83 @@ def betabinom_pmf(params: DataFrame, n: str, a: str, b: str) -> DataFrame:
 
 
 def betabinom_moments(n: Column, a: Column, b: Column) -> dict[str, Column]:
-    """Closed-form mean, variance and (approximate) mode of a beta-binomial."""
+    """Closed-form mean, variance and mode of a beta-binomial; of equal masses the smallest k is the mode.
+
+    The mass ratio p(k)/p(k − 1) falls in k when α, β > 1 and passes 1 at ``(n + 1)(α − 1)/(α + β − 2)``. In all
+    other cases an end of the support has the largest mass, and p(0) >= p(n) just when β >= α.
+    """
     s = a + b
-    mode = (
-        F.when((a > 1) & (b > 1), F.round(n * (a - 1) / (s - 2)).cast("int"))
-        .when((a == 1) & (b == 1), F.lit(0))
-        .when((a < 1) & (b < 1), F.lit(0))
-        .when(((a < 1) & (b >= 1)) | ((a == 1) & (b > 1)), F.lit(0))
-        .otherwise(n.cast("int"))
-    )
+    turn = F.ceil((n + 1) * (a - 1) / F.nullif(s - 2, F.lit(0.0))) - 1
+    mode = F.when((a > 1) & (b > 1), F.greatest(F.lit(0), F.least(n, turn))).when(b >= a, F.lit(0)).otherwise(n)
     return {
         "mean": n * a / s,
         "variance": n * a * b * (s + n) / (s * s * (s + 1)),
-        "mode": mode,
+        "mode": mode.cast("int"),
     }
 
 
+def poisson_moments(lam: Column) -> dict[str, Column]:
+    return {"mean": lam, "variance": lam}
+
+
+def binomial_moments(n: Column, p: Column) -> dict[str, Column]:
+    return {"mean": n * p, "variance": n * p * (F.lit(1.0) - p)}
+
+
+def hypergeom_moments(pop: Column, succ: Column, sample: Column) -> dict[str, Column]:
+    """A population of one has variance 0."""
+    share = succ / pop
+    variance = F.when(pop > 1, sample * share * (F.lit(1.0) - share) * (pop - sample) / F.nullif(pop - 1, F.lit(0)))
+    return {"mean": sample * share, "variance": F.coalesce(variance, F.lit(0.0))}
+
+
+def exponential_quantile(p: Column, lam: Column) -> Column:
+    """Inverse CDF ``−ln(1 − p)/λ`` for p in [0, 1)."""
+    return -F.log1p(-p) / lam
+
+
+# Rational approximation of the standard normal quantile (relative error below 1.2e-9), for the
+# middle and for the tails, highest power first.
+_MIDDLE_UP = (-3.969683028665376e01, 2.209460984245205e02, -2.759285104469687e02, 1.383577518672690e02,
+              -3.066479806614716e01, 2.506628277459239e00)
+_MIDDLE_DOWN = (-5.447609879822406e01, 1.615858368580409e02, -1.556989798598866e02, 6.680131188771972e01,
+                -1.328068155288572e01, 1.0)
+_TAIL_UP = (-7.784894002430293e-03, -3.223964580411365e-01, -2.400758277161838e00, -2.549732539343734e00,
+            4.374664141464968e00, 2.938163982698783e00)
+_TAIL_DOWN = (7.784695709041462e-03, 3.224671290700398e-01, 2.445134137142996e00, 3.754408661907416e00, 1.0)
+_TAIL = 0.02425
+
+
+def _horner(x: Column, coefficients) -> Column:
+    out = F.lit(coefficients[0])
+    for c in coefficients[1:]:
+        out = out * x + F.lit(c)
+    return out
+
+
+def normal_quantile(p: Column, mu: Column, sigma: Column) -> Column:
+    """Inverse CDF of the normal law for p in (0, 1), to the relative error of the approximation above."""
+    low = F.least(p, F.lit(1.0) - p)
+    q = low - F.lit(0.5)
+    r = q * q
+    middle = q * _horner(r, _MIDDLE_UP) / _horner(r, _MIDDLE_DOWN)
+    t = F.sqrt(F.lit(-2.0) * F.log(low))
+    tail = _horner(t, _TAIL_UP) / _horner(t, _TAIL_DOWN)
+    z = F.when(low < _TAIL, tail).otherwise(middle)
+    return mu + sigma * F.when(p > 0.5, -z).otherwise(z)
+
+
+def table_quantile(table: DataFrame, by, ps, k: str = "k", prob: str = "prob") -> DataFrame:
+    """``(by..., p, value)`` of integer laws: the smallest k whose cumulative probability reaches p, or the last."""
+    by = _by(by)
+    w = Window.partitionBy(*by).orderBy(k).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = table.withColumn("_cum", F.sum(prob).over(w))
+    wide = t.groupBy(*by).agg(*[
+        F.coalesce(F.min(F.when(F.col("_cum") >= F.lit(float(p)), F.col(k))), F.max(k)).alias(f"_q{i}") for i, p in enumerate(ps)])
+    rows = F.array(*[F.struct(F.lit(float(p)).alias("p"), F.col(f"_q{i}").alias("value")) for i, p in enumerate(ps)])
+    return wide.select(*by, F.inline(rows))
+
+
 def pdf_to_pmf(points: DataFrame, by, density: Callable[[Column], Column], x: str = "x") -> DataFrame:
     """Density at each **distinct** point, normalised per group (a PDF viewed as a PMF)."""
     by = _by(by)

@@ -12,7 +12,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import col_of
+from tallyframe.functions.exprs import join_by
 from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
 
@@ -70,11 +70,11 @@ def reset_fold(
     last = x.where(F.col("_reset")).groupBy(*by).agg(
         F.max("_ord").alias("_last"), F.max_by("_rs", "_ord").alias("_state0")
     )
-    j = x.where(~F.col("_reset")).join(last, by, "left")
+    j = join_by(x.where(~F.col("_reset")), last, by, "left")
     after = j.where(F.col("_last").isNull() | (F.col("_ord") > F.col("_last")))
     sums = after.groupBy(*by).agg(F.sum("_in").alias("_s"), F.count(F.lit(1)).alias("inputs"))
     keys = x.select(*by).distinct()
-    out = keys.join(last, by, "left").join(sums, by, "left")
+    out = join_by(join_by(keys, last, by, "left"), sums, by, "left")
     return out.select(
         *by,
         (F.coalesce(F.col("_state0"), F.lit(zero)) + F.coalesce(F.col("_s"), F.lit(0.0))).alias("state"),

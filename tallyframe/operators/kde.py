@@ -12,7 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import col_of, with_scalars
+from tallyframe.functions.exprs import col_of, join_by, with_scalars
 from tallyframe.operators.pmf import _by
 
 EXACT_BAND = 39.0
@@ -34,7 +34,7 @@ def kde_grid(df: DataFrame, by, value: str | Column, points: int = 101, precisio
         "_h",
         F.greatest((F.col("_max") - F.col("_min")) / F.sqrt(F.col("_n")), F.col("_prec") / F.lit(6.0)),
     ).withColumn("_step", (F.col("_max") - F.col("_min")) / F.lit(float(points - 1)))
-    j = v.join(stats, by) if by else with_scalars(v, stats, ["_min", "_max", "_n", "_prec", "_h", "_step"])
+    j = join_by(v, stats, by) if by else with_scalars(v, stats, ["_min", "_max", "_n", "_prec", "_h", "_step"])
     cell = F.when(F.col("_prec") > 0, F.round(F.col("_v") / F.col("_prec")) * F.col("_prec")).otherwise(F.col("_v"))
     cells = j.groupBy(*by, "_min", "_max", "_n", "_h", "_step", cell.alias("_c")).agg(F.count(F.lit(1)).alias("_w"))
     last = F.lit(points - 1)

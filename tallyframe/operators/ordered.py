@@ -9,7 +9,7 @@ then a window over a few rows per key). A hot key is thereby spread over as many
 Because blocks are a pure function of the row, every recomputation (a lost executor, a second branch of the
 plan) assigns the same rows to the same block; nothing depends on sampling or partition ids.
 
-Keys must be non-null; ``order`` must be a total order within a key (add a unique tie-breaker otherwise), and
+A NULL key is a key like any other; ``order`` must be a total order within a key (add a unique tie-breaker otherwise), and
 ``block`` must be non-decreasing in ``order``.
 """
 
@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import ntz_micros
+from tallyframe.functions.exprs import join_by, ntz_micros
 from tallyframe.operators.pmf import _by
 
 BLOCK = "_block"
@@ -66,7 +66,7 @@ def running(
     tot = base.groupBy(*by, BLOCK).agg(*[_OPS[ops[c]](f"_v_{c}").alias(f"_v_{c}") for c in names])
     before = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
     offs = tot.select(*by, BLOCK, *[_OPS[ops[c]](f"_v_{c}").over(before).alias(f"_o_v_{c}") for c in names])
-    joined = base.join(offs, [*by, BLOCK], "left")
+    joined = join_by(base, offs, [*by, BLOCK], "left")
     w = Window.partitionBy(*by, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = {}
     for c in names:
@@ -115,19 +115,23 @@ def neighbour(df: DataFrame, by, order: Sequence[str], col: str, out: str, direc
     blocks = blocks.select(*by, BLOCK, across.alias("_across"))
     w = Window.partitionBy(*by, BLOCK).orderBy(*order)
     within = (F.lag if direction == "prev" else F.lead)(col, 1).over(w)
-    j = base.join(blocks, [*by, BLOCK], "left")
+    j = join_by(base, blocks, [*by, BLOCK], "left")
     return j.withColumn(out, F.coalesce(within, F.col("_across"))).drop(BLOCK, "_across")
 
 
-def auto_block(df: DataFrame, c: str, blocks: int = 1024) -> Column:
-    """A deterministic, order-preserving block for an ungrouped scan over ``c``: equal-width ranges of a numeric
-    column (width from one scalar aggregate), or the first two characters of a string."""
-    t = df.schema[c].dataType.typeName()
-    if t == "string":
-        return F.substring(F.col(c), 1, 2)
-    span = df.select(((F.max(c) - F.min(c)).cast("double") / F.lit(float(blocks))).alias("w")).scalar()
-    width = F.when(span > 0, span).otherwise(F.lit(1.0))
-    return F.floor(F.col(c).cast("double") / width).cast("bigint")
+def auto_block(df: DataFrame, c: str, blocks: int = 256) -> Column:
+    """A deterministic, order-preserving block for an ungrouped scan over any orderable column ``c``.
+
+    Of each of ``blocks`` hash classes of the values, the value with the least hash is a splitter: a fixed-size
+    sample of the distinct values, whatever their type and spread. A row's block is the number of splitters below
+    its value. The splitters are one scalar subquery; no action runs while the plan is built.
+    """
+    h = F.xxhash64(c)
+    picked = df.where(F.col(c).isNotNull()).groupBy(F.pmod(h, F.lit(blocks)).alias("_class")).agg(F.min_by(c, h).alias("_s"))
+    splitters = picked.select(F.array_sort(F.collect_list("_s"))).scalar()
+    # A sorted array with the value put in, not a filter: subqueries in its place must stay out of lambdas.
+    below = F.array_position(F.sort_array(F.array_append(splitters, F.col(c))), F.col(c)) - 1
+    return F.coalesce(below, F.lit(-1)).cast("bigint")
 
 
 def range_block(df: DataFrame, c: str, blocks: int) -> Column:

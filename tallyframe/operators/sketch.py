@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import col_of, md5_int, md5_positions, with_scalars
+from tallyframe.functions.exprs import col_of, hash_positions, with_scalars
 from tallyframe.operators.pmf import _by
 
 def _hash_halves(item: Column) -> list[Column]:
@@ -86,7 +86,8 @@ def bloom_build(df: DataFrame, by, item: str | Column, fpp: float = 0.01, n: int
     m, k = bloom_params(F.col("_n"), fpp)
     params = counts.select(*by, m.alias("m"), k.alias("k"))
     pos = items.join(params, by) if by else with_scalars(items, params, ["m", "k"])
-    pos = pos.select(*by, F.explode(md5_positions(F.col("_item"), F.col("k"), F.col("m"))).alias("pos"))
+    pos = pos.select(*by, "k", "m", *_hash_halves(F.col("_item")))
+    pos = pos.select(*by, F.explode(hash_positions(F.col("_h1"), F.col("_h2"), F.col("k"), F.col("m"))).alias("pos"))
     filt = pos.groupBy(*by, _word(F.col("pos")).alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), _bit(F.col("pos")))).alias("bits")
     )
@@ -112,7 +113,8 @@ def bloom_contains(filt: DataFrame, params: DataFrame, probes: DataFrame, by, it
     by = _by(by)
     items = probes.select(*by, F.col(item).alias("_item")).where(F.col("_item").isNotNull()).distinct()
     x = items.join(params, by) if by else with_scalars(items, params, ["m", "k"])
-    x = x.select(*by, "_item", F.explode(md5_positions(F.col("_item"), F.col("k"), F.col("m"))).alias("pos"))
+    x = x.select(*by, "_item", "k", "m", *_hash_halves(F.col("_item")))
+    x = x.select(*by, "_item", F.explode(hash_positions(F.col("_h1"), F.col("_h2"), F.col("k"), F.col("m"))).alias("pos"))
     x = x.select(*by, "_item", _word(F.col("pos")).alias("word"), _bit(F.col("pos")).alias("bit"))
     hit = x.join(filt, [*by, "word"], "left").withColumn(
         "_set", F.coalesce(F.getbit(F.col("bits"), F.col("bit")), F.lit(0))

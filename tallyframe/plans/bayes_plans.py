@@ -22,6 +22,11 @@ EVENT_LIKELIHOOD = [
 QUALITY_RATES = [i / 10 for i in range(1, 10)]
 
 
+def _prior_of(groups, prior):
+    """The same prior for every group."""
+    return groups.select("*", F.inline(prior.select(F.collect_list(F.struct("hypo", "prior"))).scalar()))
+
+
 def _values_sql(rows, cols):
     body = ", ".join("(" + ", ".join(f"'{v}'" if isinstance(v, str) else f"{float(v)!r}::DOUBLE" for v in r) + ")"
                      for r in rows)
@@ -88,40 +93,43 @@ def q_bayes_sequential(spark, sf):
     return post.select("user_id", "event_id", "hypo", F.round("prob", 6).alias("prob"))
 
 
-@register(
-    "bayes_chain",
-    f"""
-    WITH c AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE ts < TIMESTAMP '2024-01-16' GROUP BY 1, 2),
-    x AS (SELECT c.user_id, l.hypo, p.prior, min(l.lik) AS minlik, sum(CASE WHEN l.lik > 0 THEN c.n * ln(l.lik) END) AS ll0
-          FROM c JOIN {LIK_SQL.replace(' AS t(', ' AS l(')} ON c.event_type = l.event_type
-          JOIN {PRIOR_SQL.replace(' AS t(', ' AS p(')} ON l.hypo = p.hypo GROUP BY 1, 2, 3),
-    y AS (SELECT user_id, hypo, prior, CASE WHEN minlik > 0 THEN ll0 END AS ll FROM x),
-    z AS (SELECT user_id, hypo, coalesce(prior * exp(ll - max(ll) OVER (PARTITION BY user_id)), 0.0) AS w FROM y),
-    p1 AS (SELECT user_id, hypo, CASE WHEN sum(w) OVER (PARTITION BY user_id) = 0 THEN w
-                                 ELSE w / sum(w) OVER (PARTITION BY user_id) END AS prior FROM z),
-    c2 AS (SELECT user_id, event_type, count(*) AS n FROM events WHERE ts >= TIMESTAMP '2024-01-16' GROUP BY 1, 2),
-    x2 AS (SELECT c2.user_id, l.hypo, p1.prior, min(l.lik) AS minlik,
-                  sum(CASE WHEN l.lik > 0 THEN c2.n * ln(l.lik) END) AS ll0
-           FROM c2 JOIN {LIK_SQL.replace(' AS t(', ' AS l(')} ON c2.event_type = l.event_type
-           JOIN p1 ON l.hypo = p1.hypo AND c2.user_id = p1.user_id GROUP BY 1, 2, 3),
-    y2 AS (SELECT user_id, hypo, prior, CASE WHEN minlik > 0 THEN ll0 END AS ll FROM x2),
-    z2 AS (SELECT user_id, hypo, coalesce(prior * exp(ll - max(ll) OVER (PARTITION BY user_id)), 0.0) AS w FROM y2)
-    SELECT user_id, hypo,
-           round(CASE WHEN sum(w) OVER (PARTITION BY user_id) = 0 THEN w ELSE w / sum(w) OVER (PARTITION BY user_id) END, 6) AS prob
-    FROM z2
-    """,
-)
+# A chain of two updates is one update with all data, for users with events in either half.
+@register("bayes_chain", BAYES_SET_SQL)
 def q_bayes_chain(spark, sf):
     """Posterior of the first half of the month becomes the prior of the second half (update keeping the model)."""
     prior, lik = user_type_tables(spark)
     ev = load(spark, sf, "events", ["user_id", "event_type", "ts"])
     cut = F.lit("2024-01-16 00:00:00").cast("timestamp_ntz")
-    first = bayes.posterior(prior, ev.where(F.col("ts") < cut), ["user_id"], "event_type", "hypo", lik)
+    everyone = _prior_of(ev.select("user_id").distinct(), prior)
+    first = bayes.posterior(everyone, ev.where(F.col("ts") < cut), ["user_id"], "event_type", "hypo", lik)
     second = bayes.posterior(first.withColumnRenamed("prob", "prior"), ev.where(F.col("ts") >= cut), ["user_id"],
                              "event_type", "hypo", lik)
     return second.withColumn("prob", F.round("prob", 6))
 
 
+@register(
+    "bayes_prior_only",
+    f"""
+    WITH u AS (SELECT DISTINCT user_id FROM events),
+    c AS (SELECT user_id, event_type, count(*) AS n FROM events
+          WHERE ts < TIMESTAMP '2024-01-03' AND event_type <> 'view' GROUP BY 1, 2),
+    x AS (SELECT u.user_id, p.hypo, p.prior, min(l.lik) AS minlik, sum(CASE WHEN l.lik > 0 THEN c.n * ln(l.lik) END) AS ll0
+          FROM u CROSS JOIN {PRIOR_SQL.replace(' AS t(', ' AS p(')} LEFT JOIN c ON u.user_id = c.user_id
+          LEFT JOIN {LIK_SQL.replace(' AS t(', ' AS l(')} ON c.event_type = l.event_type AND l.hypo = p.hypo
+          GROUP BY 1, 2, 3),
+    z AS (SELECT user_id, hypo, CASE WHEN minlik = 0 THEN 0.0 ELSE prior * exp(coalesce(ll0, 0.0)) END AS w FROM x)
+    SELECT user_id, hypo, round(w / sum(w) OVER (PARTITION BY user_id), 6) AS prob FROM z
+    """,
+)
+def q_bayes_prior_only(spark, sf):
+    """All users' posterior after the rare events of two days: users without any keep their prior."""
+    prior, lik = user_type_tables(spark)
+    ev = load(spark, sf, "events", ["user_id", "event_type", "ts"])
+    early = ev.where((F.col("ts") < F.lit("2024-01-03 00:00:00").cast("timestamp_ntz")) & (F.col("event_type") != "view"))
+    everyone = _prior_of(ev.select("user_id").distinct(), prior)
+    return bayes.posterior(everyone, early, ["user_id"], "event_type", "hypo", lik).withColumn("prob", F.round("prob", 6))
+
+
 @register(
     "bayes_quality",
     f"""

@@ -114,20 +114,51 @@ def q_dist_normal_cdf(spark, sf):
     return g.select("event_type", "i", F.round(dist.normal_cdf_col(F.col("x"), F.col("mu"), F.col("sigma")), 9).alias("cdf"))
 
 
+def _daily_rates(ev):
+    days = ev.select((F.datediff(F.max("ts"), F.min("ts")) + 1).alias("d")).scalar()
+    return ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("_n")).select("user_id", (F.col("_n") / days.cast("double")).alias("lam"))
+
+
+@register(
+    "dist_quantile",
+    TYPE_STATS_SQL + """
+    , e AS (SELECT event_type, 1.0 / mu AS lam FROM s),
+    q AS (SELECT unnest([0.05, 0.5, 0.95]) AS p),
+    c AS (SELECT event_type, count(*) / 1000.0 AS lam FROM events GROUP BY 1),
+    k AS (SELECT event_type, k, exp(k * ln(lam) - lam - lgamma(k + 1.0)) AS m FROM c, range(0, CAST(ceil(lam * 3 + 200) AS BIGINT)) r(k)),
+    w AS (SELECT event_type, k, sum(m) OVER (PARTITION BY event_type ORDER BY k) AS cum FROM k)
+    SELECT event_type, 'exponential' AS law, CAST(p AS DOUBLE) AS p, round(-ln(1.0 - p) / lam, 9) AS value FROM e, q
+    UNION ALL
+    SELECT event_type, 'poisson' AS law, CAST(p AS DOUBLE) AS p, CAST(min(k) AS DOUBLE) AS value FROM w, q WHERE cum >= p GROUP BY 1, p
+    """,
+)
+def q_dist_quantile(spark, sf):
+    """Quantiles per event type: of the exponential law with the mean value, of the Poisson law of its events
+    per thousand."""
+    ps = [0.05, 0.5, 0.95]
+    rates = _type_stats(spark, sf).select("event_type", (F.lit(1.0) / F.col("mu")).alias("lam"), F.explode(F.array(*map(F.lit, ps))).alias("p"))
+    real = rates.select("event_type", F.lit("exponential").alias("law"), "p",
+                        F.round(dist.exponential_quantile(F.col("p"), F.col("lam")), 9).alias("value"))
+    counts = load(spark, sf, "events", ["event_type"]).groupBy("event_type").agg((F.count(F.lit(1)) / 1000.0).alias("lam"))
+    table = dist.poisson_pmf(counts, ["event_type"], "lam")
+    whole = dist.table_quantile(table, ["event_type"], ps)
+    return real.unionByName(whole.select("event_type", F.lit("poisson").alias("law"), "p", F.col("value").cast("double").alias("value")))
+
+
 @register(
     "dist_poisson",
     """
-    WITH p AS (SELECT user_id, count(*) / 30.0 AS lam FROM events GROUP BY 1),
+    WITH d AS (SELECT date_diff('day', min(ts), max(ts)) + 1 AS days FROM events),
+    p AS (SELECT user_id, count(*) / any_value(days)::DOUBLE AS lam FROM events, d GROUP BY 1),
     s AS (SELECT user_id, lam, k FROM p, range(0, CAST(ceil(lam + 12.0 * sqrt(lam) + 12.0) AS BIGINT) + 1) r(k) WHERE lam > 0),
     q AS (SELECT user_id, k, exp(k * ln(lam) - lam - lgamma(k + 1.0)) AS prob FROM s),
     c AS (SELECT user_id, k, prob, sum(prob) OVER (PARTITION BY user_id ORDER BY k ROWS UNBOUNDED PRECEDING) AS cum FROM q)
-    SELECT user_id, CAST(k AS INTEGER) AS k, round(prob, 9) AS prob FROM c WHERE cum - prob < 1.0 - 0.0001
+    SELECT user_id, CAST(k AS BIGINT) AS k, round(prob, 9) AS prob FROM c WHERE cum - prob < 1.0 - 0.0001
     """,
 )
 def q_dist_poisson(spark, sf):
-    """Poisson PMF per user, λ = events per day over the 30-day span, cut at cumulative 0.9999."""
-    ev = load(spark, sf, "events", ["user_id"])
-    p = ev.groupBy("user_id").agg((F.count(F.lit(1)) / 30.0).alias("lam"))
+    """Poisson PMF per user, λ = events per day over the days that the table spans, cut at cumulative 0.9999."""
+    p = _daily_rates(load(spark, sf, "events", ["user_id", "ts"]))
     out = dist.poisson_pmf(p, ["user_id"], "lam")
     return out.select("user_id", "k", F.round("prob", 9).alias("prob"))
 
@@ -138,7 +169,7 @@ def q_dist_poisson(spark, sf):
     WITH p AS (SELECT user_id, count(*) AS n, avg(CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END) AS p
                FROM events GROUP BY 1),
     s AS (SELECT user_id, n, p, k FROM p, range(0, n + 1) r(k))
-    SELECT user_id, CAST(k AS INTEGER) AS k,
+    SELECT user_id, CAST(k AS BIGINT) AS k,
            round(CASE WHEN p <= 0 THEN (CASE WHEN k = 0 THEN 1.0 ELSE 0.0 END)
                       WHEN p >= 1 THEN (CASE WHEN k = n THEN 1.0 ELSE 0.0 END)
                       ELSE exp(lgamma(n + 1.0) - lgamma(k + 1.0) - lgamma(n - k + 1.0) + k * ln(p) + (n - k) * ln(1.0 - p)) END, 9) AS prob
@@ -161,7 +192,7 @@ def q_dist_binomial(spark, sf):
     b AS (SELECT *, CASE WHEN samp = 0 OR succ = 0 THEN 0 WHEN pop = succ THEN samp ELSE greatest(0, samp - (pop - succ)) END AS lo,
                     CASE WHEN samp = 0 OR succ = 0 THEN 0 WHEN pop = succ THEN samp ELSE least(samp, succ) END AS hi FROM q),
     x AS (SELECT source, pop, succ, samp, r.k AS k FROM b, range(CAST(lo AS BIGINT), CAST(hi AS BIGINT) + 1) r(k))
-    SELECT source, CAST(k AS INTEGER) AS k,
+    SELECT source, CAST(k AS BIGINT) AS k,
            round(CASE WHEN samp = 0 OR succ = 0 OR pop = succ THEN 1.0
                  ELSE exp((lgamma(succ + 1.0) - lgamma(k + 1.0) - lgamma(succ - k + 1.0))
                         + (lgamma(pop - succ + 1.0) - lgamma(samp - k + 1.0) - lgamma(pop - succ - (samp - k) + 1.0))
@@ -195,7 +226,7 @@ def q_dist_beta(spark, sf):
     "dist_betabinom",
     SOURCE_SQL + """
     , x AS (SELECT source, alpha, beta, 10 AS n, k FROM s, range(0, 11) r(k))
-    SELECT source, CAST(k AS INTEGER) AS k,
+    SELECT source, CAST(k AS BIGINT) AS k,
            round(exp((lgamma(n + 1.0) - lgamma(k + 1.0) - lgamma(n - k + 1.0))
                      + (lgamma(k + alpha) + lgamma(n - k + beta) - lgamma(alpha + beta + n))
                      - (lgamma(alpha) + lgamma(beta) - lgamma(alpha + beta))), 9) AS prob
@@ -211,12 +242,13 @@ def q_dist_betabinom(spark, sf):
 @register(
     "dist_moments",
     SOURCE_SQL + """
-    SELECT source, round(10 * alpha / (alpha + beta), 9) AS mean,
-           round(10 * alpha * beta * (alpha + beta + 10) / ((alpha + beta) * (alpha + beta) * (alpha + beta + 1)), 9) AS variance,
-           CASE WHEN alpha > 1 AND beta > 1 THEN CAST(round(10 * (alpha - 1) / (alpha + beta - 2)) AS INTEGER)
-                WHEN alpha = 1 AND beta = 1 THEN 0 WHEN alpha < 1 AND beta < 1 THEN 0
-                WHEN (alpha < 1 AND beta >= 1) OR (alpha = 1 AND beta > 1) THEN 0 ELSE 10 END AS mode
-    FROM s
+    , m AS (SELECT source, alpha, beta, k, lgamma(k + alpha) + lgamma(10 - k + beta) - lgamma(k + 1) - lgamma(11 - k) AS lm
+            FROM s, range(0, 11) r(k)),
+    top AS (SELECT source, max(lm) AS best FROM m GROUP BY 1)
+    SELECT source, round(10 * any_value(alpha) / (any_value(alpha) + any_value(beta)), 9) AS mean,
+           round(sum(exp(lm) * k * k) / sum(exp(lm)) - (sum(exp(lm) * k) / sum(exp(lm))) ** 2, 9) AS variance,
+           CAST(min(CASE WHEN lm >= best - 1e-9 THEN k END) AS INTEGER) AS mode
+    FROM m JOIN top USING (source) GROUP BY source
     """,
 )
 def q_dist_moments(spark, sf):

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import broadcast_if_small
 from tallyframe.operators import fold, ordered, sgd
 from tallyframe.plans.catalog import register
 from tallyframe.sources import load
@@ -145,7 +144,7 @@ def q_linear_mse(spark, sf):
     li = load(spark, sf, "lineitem", ["l_returnflag", "l_quantity", "l_extendedprice"])
     x = F.col("l_quantity") / 50.0
     y = F.col("l_extendedprice") / 1e4
-    j = li.join(broadcast_if_small(w), "l_returnflag")
+    j = li.join(w, "l_returnflag")
     return j.groupBy("l_returnflag").agg(
         F.round(F.avg(F.pow(y, 2)), 6).alias("mse_zero"),
         F.round(sgd.mse(j, y, [x], F.col("w")), 6).alias("mse_fit"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import broadcast_if_small, utc_day
+from tallyframe.functions.exprs import utc_day
 from tallyframe.operators import monoid, sketch
 from tallyframe.operators.bayes import _normalise_log
 from tallyframe.plans.bayes_plans import BAYES_SET_SQL, USER_TYPES, user_type_tables
@@ -101,7 +101,7 @@ def q_stream_enrich_top5(spark, sf):
     s = file_stream(spark, sf, "customer")
     nation = load(spark, sf, "nation", ["n_nationkey", "n_name"])
     agg = s.groupBy("c_nationkey").agg(F.hll_sketch_estimate(F.hll_sketch_agg("c_custkey", 14)).alias("est"))
-    top = agg.join(broadcast_if_small(nation), agg.c_nationkey == nation.n_nationkey).orderBy(
+    top = agg.join(nation, agg.c_nationkey == nation.n_nationkey).orderBy(
         F.desc("est"), F.asc("c_nationkey")).limit(5)
     res = run_stream(top, "complete")
     exact = load(spark, sf, "customer", ["c_nationkey", "c_custkey"]).groupBy("c_nationkey").agg(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 import zipfile
@@ -85,15 +87,19 @@ CLUSTER_SETTINGS = {
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
-    On a cluster the folder is set by the deployment and is shared storage; only when it is unset (local tests)
-    do we create one ourselves.
+    On a cluster the folder is set by the deployment and is shared storage; only when it is unset on a local
+    master (tests) do we create one ourselves, which goes when the process ends.
     """
     sc = _context(spark)
     cur = spark.conf.get("spark.checkpoint.dir", None)
     if not cur and sc is not None:
         cur = sc.getCheckpointDir()
     if not cur:
+        master = sc.master if sc is not None else "remote"
+        if not master.startswith("local[") and master != "local":
+            raise RuntimeError(f"spark.checkpoint.dir is not set on {master}: stored tables need a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
+        atexit.register(shutil.rmtree, cur, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", cur)
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(cur)

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tallyframe.functions.exprs import broadcast_if_small
 from tallyframe.operators.sketch import _hash_halves, clamp_lg_k, cms_cells, cms_shape
 
 
@@ -53,7 +52,7 @@ def top_counts(stream: DataFrame, key: str, k: int) -> DataFrame:
 def enrich_top(stream: DataFrame, key: str, item: str, dim: DataFrame, dim_key: str, k: int, lg_k: int = 14):
     """Per-key distinct estimate (sketch state) joined to a static dimension, top ``k`` by estimate."""
     s = stream.groupBy(key).agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(item), clamp_lg_k(lg_k))).alias("est"))
-    j = s.join(broadcast_if_small(dim), s[key] == dim[dim_key])
+    j = s.join(dim, s[key] == dim[dim_key])
     return j.orderBy(F.desc("est"), F.asc(key)).limit(k)
 
 
@@ -104,7 +103,7 @@ def bayes_changelog(stream: DataFrame, key: str, datum: str, likelihood: DataFra
     from tallyframe.operators.bayes import _wide_likelihood
 
     n = len(hyps)
-    lk = broadcast_if_small(_wide_likelihood(likelihood, [datum], hypo, hyps))
+    lk = _wide_likelihood(likelihood, [datum], hypo, hyps)
     x = stream.join(lk, datum).select(key, *[f"_l{i}" for i in range(n)])
     out_schema = T.StructType([
         stream.schema[key],

@@ -16,15 +16,17 @@ from tallyframe.functions.exprs import utc_instant
 from tallyframe.session import scratch_path
 
 
-def file_stream(spark: SparkSession, folder: str, table: str, max_files: int | None = None) -> DataFrame:
+# Files of one micro-batch: bounds the rows that a stateful step sees at once, whatever the backlog.
+MAX_FILES = 64
+
+
+def file_stream(spark: SparkSession, folder: str, table: str, max_files: int = MAX_FILES) -> DataFrame:
     """Stream the Parquet files named ``*<table>.parquet`` under ``folder``; ``ts`` becomes a TIMESTAMP whose
     UTC reading is the recorded wall clock (watermarks reject TIMESTAMP_NTZ, and days must not depend on the
     session time zone)."""
     pattern = f"{folder.rstrip('/')}/*{table}.parquet"
     schema = spark.read.parquet(pattern).schema
-    reader = spark.readStream.schema(schema)
-    if max_files:
-        reader = reader.option("maxFilesPerTrigger", int(max_files))
+    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", int(max_files))
     df = reader.parquet(pattern)
     if "ts" in df.columns:
         df = df.withColumn("ts", utc_instant(F.col("ts")))

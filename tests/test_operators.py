@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators import cdf, combine, decay, monoid, ordered, pmf, sample, sgd, sketch
+from tallyframe.operators import bayes, cdf, combine, decay, dist, monoid, ordered, pmf, sample, sgd, sketch
 from tallyframe.sources import parse_pairs, read_json_records, read_xy_csv
 
 
@@ -263,3 +263,107 @@ def test_grouped_bloom_and_cms(spark):
     hh = {(r["g"], r["w"]) for r in sketch.heavy_hitters(df, ["g"], "w", 0.01, 1e-3, 0.005).collect()}
     truth = {(r["g"], r["w"]) for r in exact.where(F.col("exact") >= 0.005 * 1500).collect()}
     assert truth <= hh
+
+
+# ---------------------------------------------------------------- one code path, NULL keys, edges of laws
+
+@pytest.mark.parametrize("kind", ["string", "date", "timestamp_ntz", "double"])
+def test_ungrouped_cdf_of_any_orderable_outcome(spark, kind):
+    rows = spark.range(700).select((F.col("id") * 37 % 701).alias("i"))
+    value = {
+        "string": F.concat(F.lit("same prefix "), F.lpad(F.col("i").cast("string"), 4, "0")),
+        "date": F.date_add(F.lit("2020-01-01").cast("date"), F.col("i").cast("int")),
+        "timestamp_ntz": F.lit("2020-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(hours=F.col("i").cast("int")),
+        "double": F.when(F.col("i") == 700, F.lit(1e12)).otherwise(F.col("i").cast("double")),
+    }[kind]
+    p = pmf.from_keys(rows.select(value.alias("v")), [], "v")
+    one = cdf.to_cdf(p, [], block=None).orderBy("outcome").collect()
+    got = cdf.to_cdf(p, [], block=ordered.auto_block(p, "outcome", 16)).orderBy("outcome").collect()
+    auto = cdf.to_cdf(p, []).orderBy("outcome").collect()
+    assert [tuple(r) for r in one] == [tuple(r) for r in got] == [tuple(r) for r in auto]
+    back = cdf.to_pmf(cdf.to_cdf(p, []), []).collect()
+    assert {r["mass"] for r in back} == {1}
+
+
+def test_null_keys_are_keys(spark):
+    from tallyframe.operators import decay, fold, kde
+
+    rows = [(k, i, float(i), i == 3) for k in (None, "a") for i in range(8)]
+    df = spark.createDataFrame(rows, "k string, i int, v double, reset boolean")
+    got = {r["k"]: (r["state"], r["was_reset"]) for r in fold.reset_fold(
+        df, "k", ["i"], F.col("reset"), F.lit(100.0), F.col("v")).collect()}
+    assert got == {None: (122.0, True), "a": (122.0, True)}
+    run = ordered.running_sums(df, "k", ["i"], {"s": F.col("v")}, F.floor(F.col("i") / 3)).collect()
+    assert {(r["k"], r["i"]): r["s"] for r in run} == {(k, i): sum(range(i + 1)) for k in (None, "a") for i in range(8)}
+    dens = kde.kde_grid(df, "k", "v", points=5).collect()
+    assert sorted(r["density"] for r in dens if r["k"] is None) == pytest.approx(sorted(r["density"] for r in dens if r["k"] == "a"))
+    old = {(r["k"], r["i"]): r["decayed"] for r in decay.decayed_running(
+        df, "k", ["i"], "v", F.col("i").cast("double"), 1.0, blocks_per_anchor=2.0).collect()}
+    for k in (None, "a"):
+        for i in range(8):
+            assert old[(k, i)] == pytest.approx(sum(j * 2.0 ** (j - i) for j in range(i + 1)))
+
+
+def test_running_decay_over_many_blocks_is_exact(spark):
+    from tallyframe.operators import decay
+
+    df = spark.range(4000).select((F.col("id") * 40.0).alias("t"), F.lit(1.0).alias("v"), F.lit("k").alias("k"))
+    got = [r["decayed"] for r in decay.decayed_running(df, "k", ["t"], "v", F.col("t"), 10.0, blocks_per_anchor=4.0).orderBy("t").collect()]
+    assert got[0] == 1.0 and got[-1] == pytest.approx(1 / (1 - 2**-4), rel=1e-12)
+
+
+def test_bayes_without_data_or_likelihood(spark):
+    prior = spark.createDataFrame([("u", h, p) for h, p in (("a", 0.5), ("b", 0.5))] + [("w", "a", 0.25), ("w", "b", 0.75)],
+                                  "g string, hypo string, prior double")
+    data = spark.createDataFrame([("u", "x"), ("u", "unknown")], "g string, d string")
+    lik = spark.createDataFrame([("a", "x", 0.9)], "hypo string, d string, lik double")
+    got = {(r["g"], r["hypo"]): r["prob"] for r in bayes.posterior(prior, data, "g", "d", "hypo", lik).collect()}
+    assert got == pytest.approx({("u", "a"): 0.9 / 1.9, ("u", "b"): 1 / 1.9, ("w", "a"): 0.25, ("w", "b"): 0.75})
+    single = prior.where("g = 'w'").select("hypo", "prior")
+    none = bayes.posterior(single, data.select("d").limit(0), [], "d", "hypo", lik).collect()
+    assert {r["hypo"]: r["prob"] for r in none} == {"a": 0.25, "b": 0.75}
+
+
+@pytest.mark.parametrize("count", [3, 400])
+def test_bayes_any_number_of_hypotheses(spark, count):
+    prior = spark.range(count).select(F.col("id").cast("string").alias("hypo"), F.lit(1.0 / count).alias("prior"))
+    lik = spark.range(count).select(F.col("id").cast("string").alias("hypo"), F.lit("x").alias("d"), ((F.col("id") + 1) / F.lit(count + 1.0)).alias("lik"))
+    data = spark.createDataFrame([("u", "x", 1), ("u", "x", 2)], "g string, d string, i int")
+    got = {r["hypo"]: r["prob"] for r in bayes.posterior(prior, data, "g", "d", "hypo", lik).collect()}
+    total = sum((i + 1) ** 2 for i in range(count))
+    assert got == pytest.approx({str(i): (i + 1) ** 2 / total for i in range(count)})
+    last = {r["hypo"]: r["prob"] for r in bayes.sequential(prior, data, "g", ["i"], "d", "hypo", lik).where("i = 2").collect()}
+    assert last == pytest.approx(got)
+
+
+def test_laws_at_their_edges(spark):
+    from statistics import NormalDist
+
+    p = spark.createDataFrame([("over", 3, 2, 5), ("ok", 5, 2, 3)], "g string, n int, k int, s int")
+    got = dist.hypergeom_pmf(p.select("g", F.col("n").alias("pop"), F.col("k").alias("succ"), F.col("s").alias("sample")), "pop", "succ", "sample").collect()
+    assert {r["g"] for r in got} == {"ok"} and sum(r["prob"] for r in got) == pytest.approx(1)
+    assert [r["k"] for r in got] == [0, 1, 2]
+    big = spark.createDataFrame([(50001.0, 50001.0), (0.5, 1.0), (1.0, 3.0)], "a double, b double")
+    beta = {(r["a"], r["i"]): r["density"] for r in dist.beta_pdf(big, "a", "b", 10).collect()}
+    lnb = 2 * math.lgamma(50001) - math.lgamma(100002)
+    assert beta[(50001.0, 5)] == pytest.approx(math.exp(100000 * math.log(0.5) - lnb), rel=1e-6)
+    assert beta[(50001.0, 0)] == 0.0 and beta[(0.5, 0)] == float("inf") and beta[(1.0, 0)] == 3.0 and beta[(1.0, 10)] == 0.0
+    lam = spark.createDataFrame([("x", 2.0)], "g string, lam double")
+    tail = dist.poisson_pmf(lam, "g", "lam", cutoff=1e-14).agg(F.max("k").alias("k")).first()["k"]
+    assert sum(math.exp(k * math.log(2) - 2 - math.lgamma(k + 1)) for k in range(tail + 1)) >= 1 - 2e-14
+    assert dist._integer_support(spark.range(1), F.lit(3_000_000_000), F.lit(3_000_200_000)).agg(F.max("k")).first()[0] == 3_000_200_000
+    qs = [1e-9, 0.01, 0.3, 0.5, 0.975, 1 - 1e-6]
+    z = spark.createDataFrame([(q,) for q in qs], "p double").select("p", dist.normal_quantile(F.col("p"), F.lit(3.0), F.lit(2.0)).alias("x")).collect()
+    for r in z:
+        assert r["x"] == pytest.approx(NormalDist(3, 2).inv_cdf(r["p"]), rel=1e-8, abs=1e-8)
+    e = dist.exponential_pmf(spark.createDataFrame([(2.0,)], "l double"), "l", 10, abs_cutoff=4.0).agg(F.max("x")).first()[0]
+    assert e == 4.0
+
+
+def test_beta_binomial_mode_is_the_argmax(spark):
+    rows = [(a, b, n) for a in (0.3, 1.0, 1.5, 4.0) for b in (0.3, 1.0, 2.0, 9.5) for n in (1, 7, 10)]
+    df = spark.createDataFrame(rows, "a double, b double, n int")
+    m = dist.betabinom_moments(F.col("n"), F.col("a"), F.col("b"))
+    for r in df.select("a", "b", "n", m["mode"].alias("mode")).collect():
+        lm = [math.lgamma(k + r["a"]) + math.lgamma(r["n"] - k + r["b"]) - math.lgamma(k + 1) - math.lgamma(r["n"] - k + 1) for k in range(r["n"] + 1)]
+        assert r["mode"] == min(k for k, x in enumerate(lm) if x >= max(lm) - 1e-9), r
