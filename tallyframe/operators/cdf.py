@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import normalise_weight, with_scalars
+from tallyframe.functions.exprs import join_by, normalise_weight
 from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
 
@@ -80,69 +80,47 @@ def credible_interval(cdf: DataFrame, by, prob: float, outcome: str = "outcome")
     )
 
 
-def _bucket(x: Column, origin: Column, width: Column, top: int) -> Column:
-    """Monotone bucket of x in ``[origin, origin + top·width)``: below -> -1, above -> ``top``."""
-    b = F.floor((x - origin) / width)
-    return F.when(b < 0, F.lit(-1)).when(b > top, F.lit(top)).otherwise(b).cast("int")
+def _as_of(steps: DataFrame, rows: DataFrame, by: list[str], key: str, out: str, buckets: int) -> DataFrame:
+    """Each of ``rows`` with ``_v`` of the step (by..., _k, _v) at the greatest ``_k <= key``; NULL below the first.
 
-
-def _range_join(intervals: DataFrame, points: DataFrame, by: list[str], x: str, lo: str, hi: str,
-                origin: Column, width: Column, buckets: int, helper_cols: tuple[str, ...] = ()) -> DataFrame:
-    """Exact interval lookup ``lo <= x < hi`` as an equi-join on (group, bucket).
-
-    Each interval is exploded to the buckets it touches (at most ``#intervals + buckets`` rows per group);
-    each point joins its one bucket and keeps the interval that really contains it. Points are never
-    gathered per group, and a group's points spread over its buckets.
+    Steps and rows are put in one order and the last step's value is carried forward, block by block. The blocks'
+    edges are drawn from the values themselves (``ordered.auto_block``), so neither an outlier nor an uneven spread
+    fills one block, and any orderable type will do. Nothing is paired.
     """
-    iv = intervals.withColumn("_b0", _bucket(F.col(lo), origin, width, buckets)).withColumn(
-        "_b1", _bucket(F.coalesce(F.col(hi), F.lit(float("inf"))), origin, width, buckets)
-    )
-    iv = iv.withColumn("_bucket", F.explode(F.sequence(F.greatest(F.col("_b0"), F.lit(0)), F.col("_b1")))).drop(
-        "_b0", "_b1", *helper_cols
-    )
-    pts = points.withColumn("_bucket", _bucket(F.col(x), origin, width, buckets)).drop(*helper_cols)
-    j = pts.join(iv, [*by, "_bucket"], "left")
-    inside = (F.col(x) >= F.col(lo)) & (F.col(hi).isNull() | (F.col(x) < F.col(hi)))
-    return j.where(F.col(lo).isNull() | inside).drop("_bucket")
+    every = F.struct(*[rows[f"`{c}`"] for c in rows.columns])
+    kind = rows.select(every.alias("_row")).schema["_row"].dataType
+    points = rows.select(*by, F.col(key).alias("_k"), F.lit(1).alias("_t"), every.alias("_row"))
+    both = steps.select(*by, "_k", F.lit(0).alias("_t"), F.struct("_v").alias("_v"), F.lit(None).cast(kind).alias("_row"))
+    both = both.unionByName(points, allowMissingColumns=True)
+    carried = ordered.carry_last(both, by, ["_k", "_t"], "_v", "_last", ordered.auto_block(both, "_k", buckets))
+    return carried.where(F.col("_t") == 1).select("_row.*", F.col("_last._v").alias(out))
 
 
 def lookup(cdf: DataFrame, probes: DataFrame, by, key: str, outcome: str = "outcome", value: str = "cdf",
-           buckets: int = 1024) -> DataFrame:
-    """As-of lookup: for each probe, ``value`` at the greatest outcome <= the probe key; 0.0 below the first.
-
-    Consecutive outcomes form intervals ``[o_j, o_{j+1})`` holding ``value_j`` (the last one is open-ended);
-    each distinct probe key finds its interval with an exact bucketed range join, and the answers are
-    equi-joined back to the probe rows.
-    """
+           buckets: int = 256) -> DataFrame:
+    """As-of lookup: for each probe, ``value`` at the greatest outcome <= the probe key; 0.0 below the first and
+    for a group without a CDF. Keys may be of any orderable type; each distinct key is looked up once."""
     by = _by(by)
-    steps = cdf.select(*by, F.col(outcome).cast("double").alias("_lo"), F.col(value).alias("_v"))
-    steps = ordered.neighbour(steps, by, ["_lo"], "_lo", "_hi", "next", _outcome_block(steps, by, "_lo", "auto"))
-    span = steps.groupBy(*by).agg(F.min("_lo").alias("_o"), F.max("_lo").alias("_e"))
-    span = span.withColumn("_w", F.when(F.col("_e") > F.col("_o"), (F.col("_e") - F.col("_o")) / buckets).otherwise(1.0))
-    steps = steps.join(span, by) if by else with_scalars(steps, span, ["_o", "_e", "_w"])
-    keys = probes.select(*by, F.col(key).cast("double").alias("_k")).distinct()
-    keys = keys.join(span, by) if by else with_scalars(keys, span, ["_o", "_e", "_w"])
-    hit = _range_join(steps, keys, by, "_k", "_lo", "_hi", F.col("_o"), F.col("_w"), buckets, ("_o", "_e", "_w"))
-    answers = hit.select(*by, "_k", F.coalesce("_v", F.lit(0.0)).alias(value))
-    return probes.withColumn("_k", F.col(key).cast("double")).join(answers, [*by, "_k"], "left").drop("_k")
+    steps = cdf.select(*by, F.col(outcome).alias("_k"), F.col(value).alias("_v"))
+    keys = probes.select(*by, key).distinct()
+    answers = _as_of(steps, keys, by, key, value, buckets).withColumn(value, F.coalesce(value, F.lit(0.0)))
+    return join_by(probes, answers, [*by, key], "left")
 
 
 def sample_lookup(cdf: DataFrame, draws: DataFrame, by, u: str, outcome: str = "outcome",
-                  buckets: int = 1024) -> DataFrame:
+                  buckets: int = 256) -> DataFrame:
     """Map uniforms ``u`` in [0,1) to outcomes: the first outcome whose ``cdf`` exceeds ``u`` (inverse transform).
 
-    Outcome j owns ``[cdf_{j-1}, cdf_j)``; the draws find it with the exact bucketed range join on [0, 1).
+    Outcome j owns ``[cdf_{j-1}, cdf_j)``, and the last one all above. A draw of a group without a CDF gets NULL.
     """
     by = _by(by)
     fields = {f.name: f.dataType.typeName() for f in cdf.schema.fields}
     if {"cum", "total", "n"} <= set(fields) and fields["n"] in ("long", "integer") and fields["cum"] in ("long", "integer"):
         # Integral counts: the previous step is exactly (cum - n) / total, no window needed.
-        iv = cdf.select(*by, F.col(outcome).alias("_out"), F.col("cdf").alias("_hi"),
-                        normalise_weight((F.col("cum") - F.col("n")).cast("double"), F.col("total")).alias("_lo"))
+        iv = cdf.select(*by, F.col(outcome).alias("_v"), F.col("cdf").alias("_hi"),
+                        normalise_weight((F.col("cum") - F.col("n")).cast("double"), F.col("total")).alias("_k"))
     else:
-        iv = cdf.select(*by, F.col(outcome).alias("_out"), F.col("cdf").alias("_hi"))
-        iv = ordered.neighbour(iv, by, ["_out"], "_hi", "_lo", "prev", _outcome_block(iv, by, "_out", "auto"))
-    iv = iv.withColumn("_lo", F.coalesce(F.col("_lo"), F.lit(0.0))).where(F.col("_hi") > F.col("_lo"))
-    width = F.lit(1.0 / buckets)
-    hit = _range_join(iv, draws, by, u, "_lo", "_hi", F.lit(0.0), width, buckets)
-    return hit.withColumnRenamed("_out", outcome).drop("_lo", "_hi")
+        iv = cdf.select(*by, F.col(outcome).alias("_v"), F.col("cdf").alias("_hi"))
+        iv = ordered.neighbour(iv, by, ["_v"], "_hi", "_k", "prev", _outcome_block(iv, by, "_v", "auto"))
+    iv = iv.withColumn("_k", F.coalesce("_k", F.lit(0.0))).where(F.col("_hi") > F.col("_k"))
+    return _as_of(iv, draws, by, u, outcome, buckets)

@@ -119,6 +119,21 @@ def neighbour(df: DataFrame, by, order: Sequence[str], col: str, out: str, direc
     return j.withColumn(out, F.coalesce(within, F.col("_across"))).drop(BLOCK, "_across")
 
 
+def carry_last(df: DataFrame, by, order: Sequence[str], col: str, out: str, block: Column) -> DataFrame:
+    """The last non-NULL ``col`` at or before each row per key in ``order``, skew-safe: inside a block a window,
+    across blocks the last value of the nearest earlier block that has one, read from a summary row per block."""
+    by = _by(by)
+    order = list(order)
+    base = df.withColumn(BLOCK, block)
+    key = F.when(F.col(col).isNotNull(), F.struct(*[F.col(o) for o in order]))
+    ends = base.groupBy(*by, BLOCK).agg(F.max_by(col, key).alias("_end"))
+    before = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
+    ends = ends.select(*by, BLOCK, F.last("_end", True).over(before).alias("_across"))
+    inside = Window.partitionBy(*by, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    j = join_by(base, ends, [*by, BLOCK], "left")
+    return j.withColumn(out, F.coalesce(F.last(col, True).over(inside), F.col("_across"))).drop(BLOCK, "_across")
+
+
 def auto_block(df: DataFrame, c: str, blocks: int = 256) -> Column:
     """A deterministic, order-preserving block for an ungrouped scan over any orderable column ``c``.
 

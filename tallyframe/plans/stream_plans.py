@@ -144,6 +144,25 @@ def q_stream_fold(spark, sf):
     return res.select("user_id", "event_id", F.round("state", 6).alias("state"))
 
 
+@register(
+    "stream_heavy_hitters",
+    """
+    WITH c AS (SELECT strftime(time_bucket(INTERVAL 1 day, ts), '%Y-%m-%d') AS day, user_id, count(*) AS n FROM events GROUP BY 1, 2
+               UNION ALL SELECT 'all' AS day, user_id, count(*) AS n FROM events GROUP BY 2),
+    r AS (SELECT day, n, row_number() OVER (PARTITION BY day ORDER BY n DESC) AS rank FROM c)
+    SELECT day, CAST(rank AS BIGINT) AS rank, n AS cnt FROM r WHERE rank <= 5
+    """,
+)
+def q_stream_heavy_hitters(spark, sf):
+    """Approximate heavy hitters per day and overall, from the mergeable frequent-items state alone: counts of the
+    five most active users (exact while a group has fewer users than the sketch tracks)."""
+    s = file_stream(spark, sf, "events").select("ts", "user_id")
+    both = s.select("user_id", F.explode(F.array(utc_day(F.col("ts")), F.lit("all"))).alias("day"))
+    res = run_stream(both.groupBy("day").agg(F.expr("approx_top_k(user_id, 5, 100000)").alias("top")), "complete")
+    return res.select("day", F.posexplode("top").alias("i", "e")).select(
+        "day", (F.col("i") + 1).cast("bigint").alias("rank"), F.col("e.count").alias("cnt"))
+
+
 @register(
     "stream_cms_heavy_hitters",
     _cms_sql("events", "user_id", 272, 7)

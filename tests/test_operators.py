@@ -367,3 +367,26 @@ def test_beta_binomial_mode_is_the_argmax(spark):
     for r in df.select("a", "b", "n", m["mode"].alias("mode")).collect():
         lm = [math.lgamma(k + r["a"]) + math.lgamma(r["n"] - k + r["b"]) - math.lgamma(k + 1) - math.lgamma(r["n"] - k + 1) for k in range(r["n"] + 1)]
         assert r["mode"] == min(k for k, x in enumerate(lm) if x >= max(lm) - 1e-9), r
+
+
+def test_as_of_lookup_survives_an_outlier_and_takes_any_type(spark):
+    steps = spark.createDataFrame([(float(i), i / 100) for i in range(100)] + [(1e15, 1.0)], "outcome double, cdf double")
+    probes = spark.createDataFrame([(x, ) for x in (-1.0, 0.0, 3.5, 99.5, 1e14, 1e15, 2e15)], "x double")
+    got = {r["x"]: r["cdf"] for r in cdf.lookup(steps, probes, [], "x").collect()}
+    assert got == {-1.0: 0.0, 0.0: 0.0, 3.5: 0.03, 99.5: 0.99, 1e14: 0.99, 1e15: 1.0, 2e15: 1.0}
+    names = spark.createDataFrame([("g", "b", 0.4), ("g", "d", 1.0), (None, "c", 1.0)], "g string, outcome string, cdf double")
+    asked = spark.createDataFrame([(g, x) for g in ("g", None, "none") for x in "abcde"], "g string, x string")
+    found = {(r["g"], r["x"]): r["cdf"] for r in cdf.lookup(names, asked, "g", "x").collect()}
+    assert [found[("g", x)] for x in "abcde"] == [0.0, 0.4, 0.4, 1.0, 1.0]
+    assert [found[(None, x)] for x in "abcde"] == [0.0, 0.0, 1.0, 1.0, 1.0]
+    assert {found[("none", x)] for x in "abcde"} == {0.0}
+
+
+def test_normal_tails_by_erfc(spark):
+    from tallyframe.functions.exprs import erfc, normal_cdf
+
+    xs = [-30.0, -8.0, -4.5, -2.9, -0.1, 0.0, 0.7, 2.9, 3.1, 8.0, 25.0]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    for r in df.select("x", erfc(F.col("x")).alias("e"), normal_cdf(F.col("x"), F.lit(0.0), F.lit(1.0)).alias("c")).collect():
+        assert r["e"] == pytest.approx(math.erfc(r["x"]), rel=1e-9, abs=1e-300)
+        assert r["c"] == pytest.approx(0.5 * math.erfc(-r["x"] / math.sqrt(2)), rel=2e-9, abs=1e-300)
