@@ -7,7 +7,7 @@ division happens last.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -80,30 +80,31 @@ def credible_interval(cdf: DataFrame, by, prob: float, outcome: str = "outcome")
     )
 
 
-def _as_of(steps: DataFrame, rows: DataFrame, by: list[str], key: str, out: str, buckets: int) -> DataFrame:
+def _as_of(steps: DataFrame, rows: DataFrame, by: list[str], key: str, out: str,
+           block: Callable[[DataFrame], Column]) -> DataFrame:
     """Each of ``rows`` with ``_v`` of the step (by..., _k, _v) at the greatest ``_k <= key``; NULL below the first.
 
-    Steps and rows are put in one order and the last step's value is carried forward, block by block. The blocks'
-    edges are drawn from the values themselves (``ordered.auto_block``), so neither an outlier nor an uneven spread
-    fills one block, and any orderable type will do. Nothing is paired.
+    Steps and rows are put in one order and the last step's value is carried forward, ``block`` by block; nothing
+    is paired.
     """
     every = F.struct(*[rows[f"`{c}`"] for c in rows.columns])
     kind = rows.select(every.alias("_row")).schema["_row"].dataType
     points = rows.select(*by, F.col(key).alias("_k"), F.lit(1).alias("_t"), every.alias("_row"))
-    both = steps.select(*by, "_k", F.lit(0).alias("_t"), F.struct("_v").alias("_v"), F.lit(None).cast(kind).alias("_row"))
-    both = both.unionByName(points, allowMissingColumns=True)
-    carried = ordered.carry_last(both, by, ["_k", "_t"], "_v", "_last", ordered.auto_block(both, "_k", buckets))
+    marked = steps.select(*by, "_k", F.lit(0).alias("_t"), F.struct("_v").alias("_v"))
+    both = marked.withColumn("_row", F.lit(None).cast(kind)).unionByName(points, allowMissingColumns=True)
+    carried = ordered.carry_last(both, marked, by, ["_k", "_t"], "_v", "_last", block(both))
     return carried.where(F.col("_t") == 1).select("_row.*", F.col("_last._v").alias(out))
 
 
 def lookup(cdf: DataFrame, probes: DataFrame, by, key: str, outcome: str = "outcome", value: str = "cdf",
            buckets: int = 256) -> DataFrame:
     """As-of lookup: for each probe, ``value`` at the greatest outcome <= the probe key; 0.0 below the first and
-    for a group without a CDF. Keys may be of any orderable type; each distinct key is looked up once."""
+    for a group without a CDF. Keys may be of any orderable type; each distinct key is looked up once. The blocks'
+    edges are drawn from the values themselves, so neither an outlier nor an uneven spread fills one block."""
     by = _by(by)
     steps = cdf.select(*by, F.col(outcome).alias("_k"), F.col(value).alias("_v"))
     keys = probes.select(*by, key).distinct()
-    answers = _as_of(steps, keys, by, key, value, buckets).withColumn(value, F.coalesce(value, F.lit(0.0)))
+    answers = _as_of(steps, keys, by, key, value, lambda d: ordered.auto_block(d, "_k", buckets)).withColumn(value, F.coalesce(value, F.lit(0.0)))
     return join_by(probes, answers, [*by, key], "left")
 
 
@@ -123,4 +124,5 @@ def sample_lookup(cdf: DataFrame, draws: DataFrame, by, u: str, outcome: str = "
         iv = cdf.select(*by, F.col(outcome).alias("_v"), F.col("cdf").alias("_hi"))
         iv = ordered.neighbour(iv, by, ["_v"], "_hi", "_k", "prev", _outcome_block(iv, by, "_v", "auto"))
     iv = iv.withColumn("_k", F.coalesce("_k", F.lit(0.0))).where(F.col("_hi") > F.col("_k"))
-    return _as_of(iv, draws, by, u, outcome, buckets)
+    # Draws are uniform, so equal ranges of [0, 1) hold equal shares of them.
+    return _as_of(iv, draws, by, u, outcome, lambda d: F.floor(F.col("_k") * F.lit(float(buckets))))

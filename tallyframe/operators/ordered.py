@@ -20,7 +20,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import join_by, ntz_micros
+from tallyframe.functions.exprs import join_by, ntz_micros, with_scalars
 from tallyframe.operators.pmf import _by
 
 BLOCK = "_block"
@@ -119,19 +119,27 @@ def neighbour(df: DataFrame, by, order: Sequence[str], col: str, out: str, direc
     return j.withColumn(out, F.coalesce(within, F.col("_across"))).drop(BLOCK, "_across")
 
 
-def carry_last(df: DataFrame, by, order: Sequence[str], col: str, out: str, block: Column) -> DataFrame:
-    """The last non-NULL ``col`` at or before each row per key in ``order``, skew-safe: inside a block a window,
-    across blocks the last value of the nearest earlier block that has one, read from a summary row per block."""
+def carry_last(df: DataFrame, values: DataFrame, by, order: Sequence[str], col: str, out: str, block: Column) -> DataFrame:
+    """The last non-NULL ``col`` at or before each row per key in ``order``, skew-safe.
+
+    ``values`` holds just the rows of ``df`` that have one (the smaller part). Inside a block a window carries the
+    value; what earlier blocks left is read from one short array per key: the last value of each block that has any.
+    """
     by = _by(by)
     order = list(order)
+    ends = values.withColumn(BLOCK, block).groupBy(*by, BLOCK).agg(F.max_by(col, F.struct(*[F.col(o) for o in order])).alias("_end"))
+    ends = ends.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(BLOCK).alias("b"), F.col("_end").alias("v")))).alias("_ends"))
     base = df.withColumn(BLOCK, block)
-    key = F.when(F.col(col).isNotNull(), F.struct(*[F.col(o) for o in order]))
-    ends = base.groupBy(*by, BLOCK).agg(F.max_by(col, key).alias("_end"))
-    before = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    ends = ends.select(*by, BLOCK, F.last("_end", True).over(before).alias("_across"))
+    base = join_by(base, ends, by, "left") if by else with_scalars(base, ends, ["_ends"])
     inside = Window.partitionBy(*by, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    j = join_by(base, ends, [*by, BLOCK], "left")
-    return j.withColumn(out, F.coalesce(F.last(col, True).over(inside), F.col("_across"))).drop(BLOCK, "_across")
+    earlier = F.filter("_ends", lambda e: e["b"] < F.col(BLOCK))
+    across = F.try_element_at(earlier, F.lit(-1))["v"]
+    return base.withColumn("_here", F.last(col, True).over(inside)).withColumn(
+        out, F.when(F.col("_here").isNull(), across).otherwise(F.col("_here"))).drop(BLOCK, "_ends", "_here")
+
+
+# Splitters are searched in two steps: every so many first, then those between.
+_STRIDE = 16
 
 
 def auto_block(df: DataFrame, c: str, blocks: int = 256) -> Column:
@@ -143,10 +151,18 @@ def auto_block(df: DataFrame, c: str, blocks: int = 256) -> Column:
     """
     h = F.xxhash64(c)
     picked = df.where(F.col(c).isNotNull()).groupBy(F.pmod(h, F.lit(blocks)).alias("_class")).agg(F.min_by(c, h).alias("_s"))
-    splitters = picked.select(F.array_sort(F.collect_list("_s"))).scalar()
-    # A sorted array with the value put in, not a filter: subqueries in its place must stay out of lambdas.
-    below = F.array_position(F.sort_array(F.array_append(splitters, F.col(c))), F.col(c)) - 1
-    return F.coalesce(below, F.lit(-1)).cast("bigint")
+    every = F.array_sort(F.collect_list("_s"))
+    packed = picked.select(every.alias("fine")).select(F.struct(
+        "fine", F.filter("fine", lambda _, i: i % _STRIDE == _STRIDE - 1).alias("coarse"))).scalar()
+
+    def below(values: Column) -> Column:
+        """How many values are below: the place of the row's value, put in and sorted (a subquery must stay out of
+        lambdas)."""
+        return F.array_position(F.sort_array(F.array_append(values, F.col(c))), F.col(c)) - 1
+
+    group = below(packed.getField("coarse"))
+    inside = below(F.slice(packed.getField("fine"), (group * _STRIDE + 1).cast("int"), _STRIDE))
+    return F.coalesce(group * _STRIDE + inside, F.lit(-1)).cast("bigint")
 
 
 def range_block(df: DataFrame, c: str, blocks: int) -> Column:

@@ -38,5 +38,5 @@ def sample_join(
         cols.append(F.col(f"_d{i}"))
     vals = joined.select(comb(cols).alias(outcome))
     counts = vals.groupBy(outcome).agg(F.count(F.lit(1)).alias("n"))
-    total = vals.select(F.count(F.lit(1))).scalar()
+    total = counts.select(F.sum("n")).scalar()
     return counts.withColumn("prob", F.col("n") / total)

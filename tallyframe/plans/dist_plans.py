@@ -323,7 +323,8 @@ def q_pmf_sample(spark, sf):
 
 def _flag_cdf(spark, sf, flag):
     li = load(spark, sf, "lineitem", ["l_returnflag", "l_quantity"]).where(F.col("l_returnflag") == flag)
-    return cdf.to_cdf(pmf.from_keys(li, [], "l_quantity"), [])
+    # Quantities are whole numbers from 1 to 50: at most 50 outcomes, one scan.
+    return cdf.to_cdf(pmf.from_keys(li, [], "l_quantity"), [], block=None)
 
 
 def _sample_sql(comb):
