@@ -66,10 +66,15 @@ PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 
 
 def kind(entity: Column) -> Column:
-    """The type of an entity that PATTERN found."""
+    """The type of an entity that PATTERN found; NULL for a number in the form of a card's whose first or check
+    digit is not a card's, which is left alone."""
     out = F.lit("name")
     for name, pattern in reversed([x for x in PATTERNS.items() if x[0] != "name"]):
-        out = F.when(entity.rlike(f"^(?:{pattern})$"), F.lit(name)).otherwise(out)
+        found = F.lit(name)
+        if name == "card":
+            digits = F.regexp_replace(entity, r"\D", "")
+            found = F.when((_check_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.substring(digits, -1, 1)) & entity.rlike("^[2-6]"), found)
+        out = F.when(entity.rlike(f"^(?:{pattern})$"), found).otherwise(out)
     return out
 
 
@@ -98,7 +103,8 @@ def parts(entity: Column, type_: Column) -> Column:
     value = F.substring(entity, F.length(lead) + 1, F.length(entity))
     national = F.when(F.length(digits) > 10, F.substring(digits, -10, 10)).otherwise(digits)
     return (
-        F.when(type_ == "name", name)
+        F.when(type_.isNull(), F.array(keep(entity)))
+        .when(type_ == "name", name)
         .when(type_.isin("secret", "cloud_key"), F.array(keep(lead), _part(type_, value, value)))
         .when(type_ == "phone", F.array(_part(type_, national, entity)))
         .when(type_.isin("card", "ssn"), F.array(_part(type_, digits, entity)))
@@ -160,8 +166,7 @@ def drawn(values: DataFrame, draw: int, key: str = KEY) -> DataFrame:
     ip = F.concat_ws(".", *[(more(i, 254) + 1).cast("string") for i in range(4)])
     phone = F.concat((more(0, 8) + 2).cast("string"), F.substring("shape", 2, 300))
     body = F.concat(F.substring(norm, 1, 1), F.substring("shape", F.lit(2), n - 2))
-    valid = _check_digit(F.substring(norm, F.lit(1), n - 1)) == F.substring(norm, -1, 1)
-    card = F.concat(body, F.when(valid, _check_digit(body)).otherwise(F.substring("shape", -1, 1)))
+    card = F.concat(body, _check_digit(body))
     out = F.when(type_ == "email", email).when(type_ == "ip", ip).when(type_ == "phone", phone).when(type_ == "card", card)
     for script, syllables in SYLLABLES.items():
         size = 2 if draw == 0 else 3 if draw < 3 else 5 if draw < 7 else 8
@@ -227,15 +232,16 @@ def replace_entities(docs: DataFrame, key: str = KEY, count: str = "n_entities")
     split = stored(split.select("entities", "i", "j", "part", F.col("part.type").alias("type"), F.col("part.norm").alias("norm")), "pii-parts")
     chosen = assign(split.where("type IS NOT NULL").select("type", "norm"), key)
     known = split.where("type IS NOT NULL").join(hinted(chosen), ["type", "norm"]).select(
-        "entities", "i", "j", shown(F.col("part"), F.col("surrogate")).alias("new"))
-    kept = split.where("type IS NULL").select("entities", "i", "j", F.col("part.shown").alias("new"))
+        "entities", "i", "j", shown(F.col("part"), F.col("surrogate")).alias("new"), F.lit(1).alias("real"))
+    kept = split.where("type IS NULL").select("entities", "i", "j", F.col("part.shown").alias("new"), F.lit(0).alias("real"))
     rebuilt = known.unionByName(kept).groupBy("entities", "i").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", "new"))), lambda p: p["new"]), "").alias("new"))
-    rebuilt = rebuilt.groupBy("entities").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "new"))), lambda p: p["new"]).alias("news"))
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", "new"))), lambda p: p["new"]), "").alias("new"), F.max("real").alias("real"))
+    rebuilt = rebuilt.groupBy("entities").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "new"))), lambda p: p["new"]).alias("news"),
+        F.sum("real").alias("n_real"))
     gaps = F.split(F.col("row.text"), PATTERN, -1)
     text = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col("news"), i), F.lit("")))), "")
     changed = hits.join(rebuilt, "entities").withColumn("__tf_new", text).select(
         *[F.col("__tf_new").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns],
-        F.size("entities").cast("long").alias(count))
+        F.col("n_real").alias(count))
     same = docs.where(~has).select(*[docs[f"`{c}`"] for c in docs.columns], F.lit(0).cast("long").alias(count))
     return same.unionByName(changed)
