@@ -1,13 +1,14 @@
-"""Line dedup by winnowing: runs of at least ``run`` lines that occur earlier in the corpus are deleted.
+"""Line dedup by winnowing: runs of ``run`` lines, or of ``words`` words, that occur earlier in the corpus are deleted.
 
-All work is in DataFrame functions. The non-blank lines of a document, trimmed of spaces, are hashed; the minimum
-of every window of ``run`` line hashes (the rightmost of equals) is a fingerprint. Any repeated run of that many
-lines holds a fingerprint at the same place in both, so only windows whose fingerprint occurs more than once are
-joined by position. A window whose lines occur earlier (by doc_id, then by place) is deleted, and matches extend
-both ways as the union of such windows: a line goes if it lies in any. Results for odd rows: a null text counts as
-empty; documents with fewer lines than ``run`` stay; a null doc_id comes before all others; rows that repeat both
-doc_id and text count as one and get the same result; blank lines stay; an empty table gives an empty one; other
-columns are ignored.
+All work is in DataFrame functions. The non-blank lines of a document, trimmed of spaces, are hashed. Windows are
+the runs of ``run`` lines and, of the shorter runs, the least from each line that holds ``words`` words, so that a
+long passage counts although it has one or two lines only. The minimum of a window's line hashes (the rightmost of
+equals) is its fingerprint. Any repeated run that holds a window holds its fingerprint at the same place in both, so
+only windows whose fingerprint occurs more than once are joined by position. A window whose lines occur earlier (by
+doc_id, then by place) is deleted, and matches extend both ways as the union of such windows: a line goes if it lies
+in any. Results for odd rows: a null text counts as empty; documents with fewer lines and words than a window stay;
+a null doc_id comes before all others; rows that repeat both doc_id and text count as one and get the same result;
+blank lines stay; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -19,6 +20,9 @@ from tallyframe.llm.common import BROADCAST_ROWS, hinted, stored, text_or_empty
 
 #: Lines of the shortest run that counts as repeated.
 RUN_LINES = 3
+#: Words of the shortest run of fewer lines that counts as repeated.
+RUN_WORDS = 50
+_WORD = r"[^\x20\x09-\x0D]+"
 _WHERE = ["doc_id", "text_hash"]
 
 
@@ -27,29 +31,34 @@ def _lines(text: Column) -> Column:
 
 
 def hashed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, text_hash and hashes: of each non-blank line two independent 64-bit hashes and its line number."""
+    """doc_id, text_hash and hashes: of each non-blank line two independent 64-bit hashes, its line number and words."""
     numbered = F.transform(_lines(F.col("text")), lambda x, i: F.struct(F.trim(x).alias("line"), i.alias("at")))
     pairs = F.transform(F.filter(numbered, lambda x: x["line"] != ""), lambda x: F.struct(
-        F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(17), x["line"]).alias("b"), x["at"].alias("at")))
+        F.xxhash64(x["line"]).alias("a"), F.xxhash64(F.lit(17), x["line"]).alias("b"), x["at"].alias("at"),
+        F.regexp_count(x["line"], F.lit(_WORD)).alias("words")))
     return docs.select("doc_id", F.xxhash64(text_or_empty(F.col("text"))).alias("text_hash"), pairs.alias("hashes"))
 
 
-def windows(lines: DataFrame, run: int) -> DataFrame:
-    """One row per window of ``run`` lines: where it starts, its fingerprint and the fingerprint's line, its key."""
-    starts = F.sequence(F.lit(0), F.size("hashes") - run)
-    rows = lines.where(F.size("hashes") >= run).select(*_WHERE, "hashes", F.explode(starts).alias("start"))
-    inside = F.slice("hashes", F.col("start") + 1, run)
+def windows(lines: DataFrame, run: int, words: int) -> DataFrame:
+    """One row per window: where it starts, its fingerprint and the fingerprint's line, its key and its lines."""
+    rows = lines.select(*_WHERE, "hashes", F.posexplode("hashes").alias("start", "_line"))
+    ahead = F.slice("hashes", F.col("start") + 1, run)
+    total = [F.aggregate(F.slice(ahead, 1, n), F.lit(0), lambda t, x: t + x["words"]) for n in range(1, run)]
+    long = F.coalesce(*[F.when((F.size(ahead) >= n) & (t >= words), n) for n, t in enumerate(total, 1)], F.lit(run))
+    sizes = F.array_distinct(F.array(F.lit(run), long))
+    rows = rows.select(*_WHERE, "start", ahead.alias("ahead"), F.explode(sizes).alias("size")).where(F.size("ahead") >= F.col("size"))
+    inside = F.slice("ahead", F.lit(1), F.col("size"))
     least = F.array_min(F.transform(inside, lambda x: x["a"]))
-    last = run - F.array_position(F.reverse(F.transform(inside, lambda x: x["a"])), least)
+    last = F.col("size") - F.array_position(F.reverse(F.transform(inside, lambda x: x["a"])), least)
     key = F.struct(F.xxhash64(F.transform(inside, lambda x: x["a"])).alias("x"), F.xxhash64(F.transform(inside, lambda x: x["b"])).alias("y"))
     return rows.select(*_WHERE, "start", least.alias("print"), (F.col("start") + last.cast("int")).alias("anchor"), key.alias("key"),
                        F.transform(inside, lambda x: x["at"]).alias("at"))
 
 
-def repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
+def repeated_lines(docs: DataFrame, run: int = RUN_LINES, words: int = RUN_WORDS) -> DataFrame:
     """(doc_id, text_hash, gone): the sorted numbers of the lines to delete, for documents that lose any."""
     lines = stored(hashed_lines(docs).dropDuplicates(_WHERE), "line-hashes")
-    found = stored(windows(lines, run), "line-windows")
+    found = stored(windows(lines, run, words), "line-windows")
     # Fingerprints are counted once per place: neighbouring windows mostly share theirs.
     places = found.groupBy("print", "anchor", *_WHERE).agg(F.count(F.lit(1)))
     prints = places.groupBy("print").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("print")
@@ -61,9 +70,9 @@ def repeated_lines(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
     return later.groupBy(*_WHERE).agg(gone.alias("gone"))
 
 
-def line_dedup(docs: DataFrame, run: int = RUN_LINES) -> DataFrame:
+def line_dedup(docs: DataFrame, run: int = RUN_LINES, words: int = RUN_WORDS) -> DataFrame:
     """doc_id, text (without the deleted lines), n_lines and n_removed (both of non-blank lines)."""
-    gone = repeated_lines(docs, run).select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone")
+    gone = repeated_lines(docs, run, words).select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone")
     gone = hinted(stored(gone, "line-gone"), BROADCAST_ROWS // 4)  # rows hold arrays
     rows = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
     joined = rows.withColumn("h", F.xxhash64("text")).join(

@@ -100,9 +100,17 @@ WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 l AS (
   SELECT doc_id, text, list_filter(list_zip(list_transform(string_split(text, chr(10)), lambda x: trim(x)),
     range(len(string_split(text, chr(10))))), lambda p: p[1] <> '') AS ls FROM d
+), c AS (
+  SELECT doc_id, i, ls, len(ls) - i AS ahead,
+    len(regexp_extract_all(ls[i + 1][1], '[^\\x20\\x09-\\x0D]+')) AS one,
+    len(regexp_extract_all(ls[i + 2][1], '[^\\x20\\x09-\\x0D]+')) AS two
+  FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS i FROM l)
+), z AS (
+  SELECT doc_id, i, ls, 3 AS n FROM c WHERE ahead >= 3
+  UNION ALL SELECT doc_id, i, ls, CASE WHEN one >= 50 THEN 1 ELSE 2 END FROM c
+  WHERE one >= 50 OR (ahead >= 2 AND one + two >= 50)
 ), w AS (
-  SELECT doc_id, i, list_transform(ls[i + 1:i + 3], lambda p: p[1]) AS k, list_transform(ls[i + 1:i + 3], lambda p: p[2]) AS ats
-  FROM (SELECT doc_id, ls, unnest(range(len(ls) - 2)) AS i FROM l WHERE len(ls) >= 3)
+  SELECT doc_id, i, list_transform(ls[i + 1:i + n], lambda p: p[1]) AS k, list_transform(ls[i + 1:i + n], lambda p: p[2]) AS ats FROM z
 ), r AS (SELECT doc_id, ats, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM w),
 g AS (SELECT doc_id, list(DISTINCT a) AS gone FROM (SELECT doc_id, unnest(ats) AS a FROM r WHERE n > 1) GROUP BY doc_id)
 SELECT l.doc_id, CAST(len(l.ls) AS BIGINT) AS n_lines, CAST(coalesce(len(g.gone), 0) AS BIGINT) AS n_removed,

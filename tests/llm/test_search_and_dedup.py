@@ -3,6 +3,7 @@
 import itertools
 import math
 import random
+import re
 
 import numpy as np
 import pytest
@@ -185,28 +186,32 @@ def test_components_of_chains_and_stars(spark):
     assert {r["node"]: r["root"] for r in got} == {**dict.fromkeys(range(1, 61), 0), **dict.fromkeys(range(101, 180), 100), 201: 200}
 
 
-def _line_dedup(rows, run):
+def _line_dedup(rows, run, words):
     seen, out = set(), {}
     for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
         lines = text.split("\n")
         solid = [(i, x.strip(" ")) for i, x in enumerate(lines) if x.strip(" ")]
         gone = set()
-        for s in range(len(solid) - run + 1):
-            key = tuple(x for _, x in solid[s:s + run])
-            if key in seen:
-                gone.update(i for i, _ in solid[s:s + run])
-            seen.add(key)
+        for s in range(len(solid)):
+            long = [n for n in range(1, run) if len(re.findall(r"[^\x20\x09-\x0D]+", "\n".join(x for _, x in solid[s:s + n]))) >= words]
+            for size in {run, *long[:1]}:
+                part = solid[s:s + size]
+                key = tuple(x for _, x in part)
+                if len(part) == size:
+                    if key in seen:
+                        gone.update(i for i, _ in part)
+                    seen.add(key)
         out[doc_id] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(solid), len(gone))
     return out
 
 
-@pytest.mark.parametrize("run", [1, 2, 3, 5])
-def test_line_dedup_by_brute_force(spark, run):
+@pytest.mark.parametrize(("run", "words"), [(1, 50), (2, 2), (3, 50), (5, 3)])
+def test_line_dedup_by_brute_force(spark, run, words):
     rng = random.Random(run)
     texts = ["\n".join(rng.choice(["a", "b", " c ", "", "  ", "d e"]) for _ in range(rng.randint(0, 14))) for _ in range(60)]
     docs = odd_documents(spark, [*odd_texts(), *texts])
-    want = _line_dedup([(r["doc_id"], r["text"] or "") for r in docs.collect()], run)
-    got = line_dedup.line_dedup(docs, run).collect()
+    want = _line_dedup([(r["doc_id"], r["text"] or "") for r in docs.collect()], run, words)
+    got = line_dedup.line_dedup(docs, run, words).collect()
     assert len(got) == docs.count()
     for r in got:
         assert (r["text"], r["n_lines"], r["n_removed"]) == want[r["doc_id"]], r["doc_id"]
@@ -221,6 +226,14 @@ def test_one_common_line_run_in_a_third_of_the_documents(spark):
     assert all(got[i] == (3 if i % 3 == 0 and i else 0) for i in range(300))
 
 
+def test_a_passage_of_over_fifty_words_in_one_or_two_lines(spark):
+    one, left, right = (" ".join(f"{p}{i}" for i in range(n)) for p, n in (("o", 51), ("l", 30), ("r", 30)))
+    rows = [(1, f"first\n{one}\nend"), (2, f"{one}\nother"), (3, f"a\n{left}\n\n{right}"), (4, f"{left}\n{right}\nb"), (5, left)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(docs).collect()}
+    assert got == {**dict(rows), 2: "other", 4: "b"}
+
+
 def test_simhash_on_given_documents(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r["doc_id"], _simhash(r["text"])) for r in docs.collect()]
