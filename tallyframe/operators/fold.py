@@ -2,15 +2,19 @@
 
 * :func:`scan` emits the initial state and then one state per input (running aggregate, skew-safe blocks);
 * :func:`final` returns only the last state (a grouped aggregate: no ordering needed for sum/max/min);
-* :func:`reset_fold` applies "reset" events: a reset replaces the state and discards every earlier input.
+* :func:`reset_fold` applies "reset" events: a reset replaces the state and discards every earlier input;
+* :func:`affine_scan` emits every state of ``s <- a*s + b``, with factors and steps (so also resets) per row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from itertools import accumulate
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions.exprs import join_by
 from tallyframe.operators import ordered
@@ -81,3 +85,56 @@ def reset_fold(
         F.coalesce(F.col("inputs"), F.lit(0)).cast("bigint").alias("inputs"),
         F.col("_last").isNotNull().alias("was_reset"),
     )
+
+
+#: Rows folded in one call of the affine scan.
+CHUNK_ROWS = 50_000
+
+
+def _states(a, b, start: float) -> list[float]:
+    return list(accumulate(zip(a, b), lambda s, r: r[1] if r[0] == 0 else r[0] * s + r[1], initial=start))
+
+
+def affine_scan(
+    df: DataFrame, by, order: Sequence[str], a: Column, b: Column, init: float = 0.0, block: Column | None = None,
+    keep: Sequence[str] = (), rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """``(by..., order..., keep..., state)``: the state after each row of ``s <- a*s + b`` from ``init``, in ``order``.
+
+    A factor of 0 is a reset to ``b``; a row with a NULL factor or step leaves the state as it is. Each chunk of at
+    most ``rows`` rows of a key reduces to one map (its own a and b); the maps of a key, one small row per chunk,
+    give each chunk its first state, and the chunks then emit their states side by side.
+    """
+    by = _by(by)
+    g = by or ["_g"]
+    shown = list(dict.fromkeys([*order, *keep]))
+    known = a.isNotNull() & b.isNotNull()
+    x = df.select(*([F.col(c) for c in by] or [F.lit(0).alias("_g")]), *shown,
+                  F.when(known, a.cast("double")).otherwise(F.lit(1.0)).alias("_a"),
+                  F.when(known, b.cast("double")).otherwise(F.lit(0.0)).alias("_b"),
+                  (block if block is not None else F.lit(0).cast("bigint")).alias("_blk"))
+    x = ordered.row_chunks(x, g, order, rows, "_chunk", F.col("_blk")).drop("_blk")
+    fields = {f.name: f for f in x.schema.fields}
+    keys = [fields[c] for c in g]
+
+    def chunk_map(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(list(order), kind="mergesort")
+        factor = 0.0 if (pdf["_a"] == 0).any() else pdf["_a"].prod()
+        out = {c: [pdf[c].iloc[0]] for c in [*g, "_chunk"]}
+        return pd.DataFrame({**out, "_a": [factor], "_b": [_states(pdf["_a"], pdf["_b"], 0.0)[-1]]})
+
+    def chunk_starts(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("_chunk")
+        return pdf[[*g, "_chunk"]].assign(_start=_states(pdf["_a"], pdf["_b"], float(init))[:-1])
+
+    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(list(order), kind="mergesort")
+        return pdf[[*g, *shown]].assign(state=_states(pdf["_a"], pdf["_b"], pdf["_start"].iloc[0])[1:])
+
+    number = [T.StructField("_chunk", T.LongType())]
+    double = {c: T.StructField(c, T.DoubleType()) for c in ("_a", "_b", "_start", "state")}
+    maps = x.groupBy(*g, "_chunk").applyInPandas(chunk_map, T.StructType([*keys, *number, double["_a"], double["_b"]]))
+    starts = maps.groupBy(*g).applyInPandas(chunk_starts, T.StructType([*keys, *number, double["_start"]]))
+    out = join_by(x, starts, [*g, "_chunk"]).groupBy(*g, "_chunk").applyInPandas(
+        emit, T.StructType([*keys, *[fields[c] for c in shown], double["state"]]))
+    return out if by else out.drop("_g")

@@ -93,6 +93,13 @@ def rank_within(df: DataFrame, by, order: Sequence[str], out: str = "pos", block
     return r.withColumn(out, F.col(out).cast("bigint"))
 
 
+def row_chunks(df: DataFrame, by, order: Sequence[str], rows: int, out: str, block: Column | None = None) -> DataFrame:
+    """Add ``out``: the number of the chunk of at most ``rows`` consecutive rows of a key, from 0. A chunk's size
+    does not depend on the data, whatever its key or block holds."""
+    ranked = rank_within(df, by, order, "_rank", block)
+    return ranked.withColumn(out, F.floor((F.col("_rank") - 1) / F.lit(rows)).cast("bigint")).drop("_rank")
+
+
 def neighbour(df: DataFrame, by, order: Sequence[str], col: str, out: str, direction: str = "prev",
               block: Column | None = None) -> DataFrame:
     """``lag`` (``direction="prev"``) or ``lead`` (``"next"``) of ``col`` per key in ``order``, skew-safe.

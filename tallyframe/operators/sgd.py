@@ -1,10 +1,11 @@
 """One-pass stochastic gradient descent for a linear model, in row order, at any scale.
 
 The step ``w <- w − s·(w·x̃ − y)·x̃`` (``x̃ = xs ++ [1.0]``, bias last) is affine in ``w``:
-``w <- (I − s x̃ x̃ᵀ) w + s y x̃``. A run of rows therefore composes to a single affine map. Rows are cut into
-ordered blocks (a deterministic function of the order key); each block's map is the product of its rows' maps
-(a vectorised tree product in numpy, within one task); the block maps of a key then compose in block order
-(a handful of rows per key). No key is ever gathered into one list, and a hot key spreads over its blocks.
+``w <- (I − s x̃ x̃ᵀ) w + s y x̃``. A run of rows therefore composes to a single affine map. The rows of a key are cut
+into chunks of a fixed number of consecutive rows; each chunk's map is the product of its rows' maps (a vectorised
+tree product in numpy, within one task). The maps compose in order, first within groups of neighbouring chunks and
+then per key. No key is ever gathered into one list, a hot key spreads over its chunks, and a call's memory depends
+on the chunk's rows alone.
 """
 
 from __future__ import annotations
@@ -18,8 +19,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.functions.exprs import col_of
+from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
 
+#: Rows of a chunk, and chunks whose maps compose in one call before the maps of a key do.
+CHUNK_ROWS, CHUNK_GROUP = 50_000, 4096
+
 
 def _row_maps(x: np.ndarray, y: np.ndarray, step: float) -> np.ndarray:
     """Homogeneous (d+1)x(d+1) matrices of each row's affine step, x already holding the bias column."""
@@ -44,11 +49,13 @@ def _ordered_product(m: np.ndarray) -> np.ndarray:
 def sgd_linear(
     df: DataFrame, by, order: Sequence[str], y: str | Column, xs: Sequence[str | Column], step: float,
     w0: Sequence[float] | None = None, block: Column | None = None, grad_scale: float = 1.0,
+    chunk_rows: int = CHUNK_ROWS,
 ) -> DataFrame:
     """Weights after one ordered pass per key: ``(by..., w ARRAY<DOUBLE> (bias last), count)``.
 
     ``grad_scale`` multiplies the gradient (a custom gradient ``c·(w·x̃ − y)·x̃``; c = 2 is the squared-error
-    derivative without the usual 1/2); the step stays affine in ``w``.
+    derivative without the usual 1/2); the step stays affine in ``w``. ``block`` (see :mod:`ordered`) spreads the
+    numbering of a hot key's rows.
     """
     step = step * float(grad_scale)
     by = _by(by)
@@ -68,40 +75,36 @@ def sgd_linear(
     # a point without a label or a feature is not a sample: it is skipped, not folded in as NaN
     rows = rows.dropna(subset=["_y", *[f"_x{i}" for i in range(len(xs))]])
     okeys = [f"_o{i}" for i in range(len(order))]
+    rows = ordered.row_chunks(rows, g, okeys, chunk_rows, "_chunk", F.col("_blk"))
     key_fields = [f for f in rows.schema.fields if f.name in g]
-    block_schema = T.StructType(key_fields + [
-        T.StructField("_blk", T.LongType()),
+    map_schema = T.StructType(key_fields + [
+        T.StructField("_chunk", T.LongType()),
         T.StructField("_m", T.ArrayType(T.DoubleType())),
         T.StructField("_n", T.LongType()),
     ])
 
-    def block_map(pdf: pd.DataFrame) -> pd.DataFrame:
+    def chunk_map(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values(okeys, kind="mergesort")
         x = np.column_stack([pdf[f"_x{i}"].to_numpy(float) for i in range(d - 1)] + [np.ones(len(pdf))])
         m = _ordered_product(_row_maps(x, pdf["_y"].to_numpy(float), step))
-        out = {k: [pdf[k].iloc[0]] for k in g}
-        out.update({"_blk": [int(pdf["_blk"].iloc[0])], "_m": [m.ravel().tolist()], "_n": [len(pdf)]})
-        return pd.DataFrame(out)
-
-    blocks = rows.groupBy(*g, "_blk").applyInPandas(block_map, block_schema)
-
-    out_schema = T.StructType(key_fields + [
-        T.StructField("w", T.ArrayType(T.DoubleType())),
-        T.StructField("count", T.LongType()),
-    ])
-    start = np.array(list(w0) + [1.0])
+        return one_row(pdf, m, len(pdf))
 
     def compose(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("_blk")
-        state = start
-        for flat in pdf["_m"]:
-            state = np.asarray(flat, dtype=float).reshape(d + 1, d + 1) @ state
-        out = {k: [pdf[k].iloc[0]] for k in g}
-        out.update({"w": [state[:d].tolist()], "count": [int(pdf["_n"].sum())]})
-        return pd.DataFrame(out)
-
-    res = blocks.groupBy(*g).applyInPandas(compose, out_schema)
-    return res if by else res.drop("_g")
+        pdf = pdf.sort_values("_chunk")
+        m = np.stack([np.asarray(flat, dtype=float).reshape(d + 1, d + 1) for flat in pdf["_m"]])
+        return one_row(pdf, _ordered_product(m), int(pdf["_n"].sum()))
+
+    def one_row(pdf: pd.DataFrame, m: np.ndarray, n: int) -> pd.DataFrame:
+        out = {k: [pdf[k].iloc[0]] for k in [*g, "_chunk"]}
+        return pd.DataFrame({**out, "_m": [m.ravel().tolist()], "_n": [n]})
+
+    maps = rows.groupBy(*g, "_chunk").applyInPandas(chunk_map, map_schema)
+    near = F.floor(F.col("_chunk") / F.lit(CHUNK_GROUP))
+    maps = maps.groupBy(*g, near).applyInPandas(compose, map_schema)
+    whole = maps.groupBy(*g).applyInPandas(compose, map_schema)
+    state = [*w0, 1.0]
+    weights = [sum((F.col("_m")[i * (d + 1) + j] * F.lit(float(v)) for j, v in enumerate(state)), F.lit(0.0)) for i in range(d)]
+    return whole.select(*by, F.array(*weights).alias("w"), F.col("_n").alias("count"))
 
 
 def mse(df: DataFrame, y: str | Column, xs: Sequence[str | Column], w: Column) -> Column:

@@ -27,20 +27,22 @@ def _hash_halves(item: Column) -> list[Column]:
 # ---------------------------------------------------------------- HyperLogLog
 
 
-def clamp_lg_k(lg_k: int) -> int:
-    """Spark accepts 4..21 register bits; larger requests (e.g. 22) are clamped to 21."""
-    return max(4, min(21, int(lg_k)))
+def checked_lg_k(lg_k: int) -> int:
+    """Spark's sketches have 4 to 21 register bits; others raise an error."""
+    if not 4 <= lg_k <= 21:
+        raise ValueError(f"register bits must be 4 to 21, not {lg_k}")
+    return int(lg_k)
 
 
 def hll_rse(lg_k: int) -> float:
     """Relative standard error of an HLL estimate with 2^lg_k registers: 1.04 / sqrt(2^lg_k)."""
-    return 1.04 / math.sqrt(2 ** clamp_lg_k(lg_k))
+    return 1.04 / math.sqrt(2 ** checked_lg_k(lg_k))
 
 
 def hll_sketch(df: DataFrame, by, item: str | Column, lg_k: int = 12, out: str = "sketch") -> DataFrame:
     """One HLL sketch (BINARY) per group; NULL items are skipped, an empty group estimates 0."""
     by = _by(by)
-    return df.groupBy(*by).agg(F.hll_sketch_agg(col_of(item), clamp_lg_k(lg_k)).alias(out))
+    return df.groupBy(*by).agg(F.hll_sketch_agg(col_of(item), checked_lg_k(lg_k)).alias(out))
 
 
 def hll_merge(sketches: DataFrame, by, sketch: str = "sketch", out: str = "sketch") -> DataFrame:

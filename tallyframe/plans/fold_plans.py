@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tallyframe.operators import fold, ordered, sgd
@@ -83,9 +85,33 @@ def q_fold_last(spark, sf):
     return out.select("user_id", F.round("state", 6).alias("state"), "inputs", F.round("output", 6).alias("output"))
 
 
+LEAK = math.exp(-0.1)  # what an event leaves of the state; no finite decimal, so rounding meets no ties
+
+
+@register(
+    "fold_affine",
+    f"""
+    WITH RECURSIVE e AS (
+      SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos,
+             CASE WHEN event_type = 'signup' THEN 0::DOUBLE ELSE {LEAK!r}::DOUBLE END AS a, value AS b FROM events),
+    s AS (
+      SELECT user_id, event_id, pos, b AS state FROM e WHERE pos = 1
+      UNION ALL
+      SELECT e.user_id, e.event_id, e.pos, e.a * s.state + e.b FROM s JOIN e ON e.user_id = s.user_id AND e.pos = s.pos + 1)
+    SELECT user_id, event_id, round(state, 6) AS state FROM s
+    """,
+)
+def q_fold_affine(spark, sf):
+    """Every state of a leaky sum per user (state <- LEAK × state + value), which a signup resets to its value."""
+    ev = load(spark, sf, "events", ["user_id", "ts", "event_id", "event_type", "value"])
+    s = fold.affine_scan(ev, ["user_id"], ["ts", "event_id"], F.when(F.col("event_type") == "signup", 0.0).otherwise(LEAK),
+                         F.col("value"), block=ordered.time_block("ts", 86400))
+    return s.select("user_id", "event_id", F.round("state", 6).alias("state"))
+
+
 SGD_ORDER = ["l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice"]
 SGD_STEP = 0.01
-SGD_BLOCKS = 64  # ordered chunks per key: the unit of parallel work for a hot key
+SGD_BLOCKS = 64  # ranges of order keys in which rows are numbered; chunks of rows are the unit of work
 SGD_SQL = """
     list_reduce(list({'a': l_quantity / 50.0, 'b': l_extendedprice / 10000.0}
                      ORDER BY l_orderkey, l_linenumber, l_quantity, l_extendedprice),

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from tallyframe.operators.sketch import _hash_halves, clamp_lg_k, cms_cells, cms_shape
+from tallyframe.operators.sketch import _hash_halves, checked_lg_k, cms_cells, cms_shape
 
 
 def distinct_per_window(stream: DataFrame, ts: str, key: str, window: str, lateness: str) -> DataFrame:
@@ -31,7 +31,7 @@ def running_distinct(stream: DataFrame, key: str) -> DataFrame:
 
 def sketch_state(stream: DataFrame, by: Sequence[str], item: str, lg_k: int = 12) -> DataFrame:
     """Keyed HLL sketch as streaming state (merged across micro-batches)."""
-    return stream.groupBy(*by).agg(F.hll_sketch_agg(F.col(item), clamp_lg_k(lg_k)).alias("sketch"))
+    return stream.groupBy(*by).agg(F.hll_sketch_agg(F.col(item), checked_lg_k(lg_k)).alias("sketch"))
 
 
 def window_sketch(stream: DataFrame, ts: str, by: Sequence[str], item: str, window: str, lateness: str,
@@ -39,7 +39,7 @@ def window_sketch(stream: DataFrame, ts: str, by: Sequence[str], item: str, wind
     """Tumbling event-time window sketches with a watermark (state dropped once a window is final)."""
     w = stream.withWatermark(ts, lateness)
     return w.groupBy(F.window(ts, window).start.alias("window_start"), *by).agg(
-        F.hll_sketch_agg(F.col(item), clamp_lg_k(lg_k)).alias("sketch")
+        F.hll_sketch_agg(F.col(item), checked_lg_k(lg_k)).alias("sketch")
     )
 
 
@@ -51,7 +51,7 @@ def top_counts(stream: DataFrame, key: str, k: int) -> DataFrame:
 
 def enrich_top(stream: DataFrame, key: str, item: str, dim: DataFrame, dim_key: str, k: int, lg_k: int = 14):
     """Per-key distinct estimate (sketch state) joined to a static dimension, top ``k`` by estimate."""
-    s = stream.groupBy(key).agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(item), clamp_lg_k(lg_k))).alias("est"))
+    s = stream.groupBy(key).agg(F.hll_sketch_estimate(F.hll_sketch_agg(F.col(item), checked_lg_k(lg_k))).alias("est"))
     j = s.join(dim, s[key] == dim[dim_key])
     return j.orderBy(F.desc("est"), F.asc(key)).limit(k)
 

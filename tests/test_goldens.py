@@ -18,8 +18,10 @@ def test_hll_letters_is_three(spark):
 
 
 def test_hll_lg_k_is_clamped():
-    assert sketch.clamp_lg_k(22) == 21
-    assert sketch.clamp_lg_k(2) == 4
+    assert [sketch.checked_lg_k(k) for k in (4, 12, 21)] == [4, 12, 21]
+    for bits in (3, 22):
+        with pytest.raises(ValueError):
+            sketch.checked_lg_k(bits)
 
 
 def _dice(spark, rolls):

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tallyframe.operators import bayes, cdf, combine, decay, dist, monoid, ordered, pmf, sample, sgd, sketch
+from tallyframe.operators import bayes, cdf, combine, decay, dist, fold, monoid, ordered, pmf, sample, sgd, sketch
 from tallyframe.sources import parse_pairs, read_json_records, read_xy_csv
 
 
@@ -126,6 +126,8 @@ def test_sgd_blocks_equal_sequential(spark):
     got = sgd.sgd_linear(df, [], ["seq"], "y", ["x"], 0.05, [0.0, 0.0], block=F.floor(F.col("seq") / 37)).first()
     assert got["count"] == 500
     assert got["w"] == pytest.approx(w, rel=1e-9, abs=1e-12)
+    small = sgd.sgd_linear(df, [], ["seq"], "y", ["x"], 0.05, [0.0, 0.0], chunk_rows=7).first()
+    assert (small["count"], small["w"]) == (500, pytest.approx(w, rel=1e-9, abs=1e-12))
     mse = df.select(sgd.mse(df, "y", ["x"], F.array(F.lit(0.0), F.lit(0.0)))).first()[0]
     assert mse == pytest.approx(sum(y * y for _, _, y in pts) / 500)
 
@@ -197,6 +199,26 @@ def test_blocked_cdf_paths_equal_plain(spark):
     assert nxt.join(ref, "outcome").where(~F.col("nxt").eqNullSafe(F.col("nxt2"))).count() == 0
 
 
+@pytest.mark.parametrize("rows", [1, 7, 1000])
+def test_affine_scan_with_a_hot_key_resets_and_nulls(spark, rows):
+    rnd = random.Random(rows)
+    data = [(rnd.choice(["hot", "hot", "hot", "k1", None]), i, rnd.choice([0.0, 0.5, -1.5, 1.0, None]), rnd.choice([1.0, -2.0, 0.25, None]))
+            for i in range(300)]
+    df = spark.createDataFrame(data, "k string, t int, a double, b double")
+    want, state = {}, {}
+    for k, t, a, b in data:
+        s = state.get(k, 3.0)
+        state[k] = s if a is None or b is None else a * s + b
+        want[t] = (k, state[k])
+    for block in (None, F.floor(F.col("t") / 40)):
+        got = fold.affine_scan(df, ["k"], ["t"], F.col("a"), F.col("b"), 3.0, block, rows=rows)
+        assert got.columns == ["k", "t", "state"]
+        assert {r["t"]: (r["k"], pytest.approx(r["state"], rel=1e-9)) for r in got.collect()} == want
+    whole = fold.affine_scan(df, [], ["t"], F.lit(1.0), F.lit(1.0), rows=rows).collect()
+    assert sorted((r["t"], r["state"]) for r in whole) == [(i, i + 1.0) for i in range(300)]
+    assert fold.affine_scan(df.limit(0), ["k"], ["t"], F.col("a"), F.col("b")).count() == 0
+
+
 def test_sgd_custom_gradient_scale(spark):
     pts = [(i, i / 10.0, 1.0 + i / 5.0) for i in range(20)]
     df = spark.createDataFrame(pts, "seq int, x double, y double")

@@ -9,8 +9,8 @@ from tallyframe.plans import all_queries
 from .conftest import SF01
 
 ALLOWED_PAIRINGS: set[str] = set()
-# Python runs in batch plans only for the SGD block products (Arrow-batched grouped pandas functions).
-ALLOWED_PYTHON = {"sgd_linear", "sgd_affine", "linear_mse"}
+# Python runs in batch plans only for SGD and affine scans (Arrow-batched pandas functions over chunks of fixed size).
+ALLOWED_PYTHON = {"sgd_linear", "sgd_affine", "linear_mse", "fold_affine"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "AggregateInPandas")
 BATCH = sorted(n for n in all_queries() if not n.startswith("stream_"))
 
