@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.exprs import join_by, normalise_weight
@@ -29,11 +29,7 @@ def to_cdf(pmf: DataFrame, by, outcome: str = "outcome", weight: str = "n", bloc
     """Running sum of weight in outcome order, plus the group total; ``cdf = cum / total``."""
     by = _by(by)
     blk = _outcome_block(pmf, by, outcome, block)
-    out = ordered.running_sums(pmf, by, [outcome], {"cum": F.col(weight)}, blk)
-    if by:
-        out = out.withColumn("total", F.sum(weight).over(Window.partitionBy(*by)))
-    else:
-        out = out.withColumn("total", pmf.select(F.sum(weight)).scalar())
+    out = ordered.running(pmf, by, [outcome], {"cum": ("sum", F.col(weight))}, blk, {"cum": "total"})
     return out.withColumn("cdf", normalise_weight(F.col("cum").cast("double"), F.col("total")))
 
 

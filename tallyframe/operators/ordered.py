@@ -44,14 +44,17 @@ _COMBINE = {"sum": lambda a, b: a + b, "max": F.greatest, "min": F.least}
 
 
 def running(
-    df: DataFrame, by, order: Sequence[str], aggs: dict[str, tuple[str, Column]], block: Column | None = None
+    df: DataFrame, by, order: Sequence[str], aggs: dict[str, tuple[str, Column]], block: Column | None = None,
+    totals: dict[str, str] | None = None,
 ) -> DataFrame:
     """Add inclusive running aggregates per key in ``order``: ``aggs`` maps name -> (op, expression), op in
     sum/max/min (any associative, commutative op works the same way).
 
-    With ``block`` the scan is skew-safe (see module doc); without it, one window per key.
+    With ``block`` the scan is skew-safe (see module doc); without it, one window per key. ``totals`` maps names in
+    ``aggs`` to columns for the aggregate over the whole key.
     """
     by = _by(by)
+    totals = totals or {}
     order = list(order)
     names = list(aggs)
     ops = {c: op for c, (op, _) in aggs.items()}
@@ -59,13 +62,15 @@ def running(
     base = df.withColumns(vals)
     if block is None:
         w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        out = base.withColumns({c: _OPS[ops[c]](f"_v_{c}").over(w) for c in names})
+        whole = {t: _OPS[ops[c]](f"_v_{c}").over(Window.partitionBy(*by)) for c, t in totals.items()}
+        out = base.withColumns({c: _OPS[ops[c]](f"_v_{c}").over(w) for c in names} | whole)
         return out.drop(*vals)
 
     base = base.withColumn(BLOCK, block)
     tot = base.groupBy(*by, BLOCK).agg(*[_OPS[ops[c]](f"_v_{c}").alias(f"_v_{c}") for c in names])
     before = Window.partitionBy(*by).orderBy(BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    offs = tot.select(*by, BLOCK, *[_OPS[ops[c]](f"_v_{c}").over(before).alias(f"_o_v_{c}") for c in names])
+    offs = tot.select(*by, BLOCK, *[_OPS[ops[c]](f"_v_{c}").over(before).alias(f"_o_v_{c}") for c in names],
+                      *[_OPS[ops[c]](f"_v_{c}").over(Window.partitionBy(*by)).alias(f"_t_v_{c}") for c in totals])
     joined = join_by(base, offs, [*by, BLOCK], "left")
     w = Window.partitionBy(*by, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     cols = {}
@@ -76,8 +81,8 @@ def running(
             cols[c] = local + F.coalesce(off, F.lit(0))
         else:
             cols[c] = F.when(off.isNull(), local).when(local.isNull(), off).otherwise(_COMBINE[ops[c]](local, off))
-    out = joined.withColumns(cols)
-    return out.drop(BLOCK, *vals, *[f"_o_v_{c}" for c in names])
+    out = joined.withColumns(cols | {t: F.col(f"_t_v_{c}") for c, t in totals.items()})
+    return out.drop(BLOCK, *vals, *[f"_o_v_{c}" for c in names], *[f"_t_v_{c}" for c in totals])
 
 
 def running_sums(

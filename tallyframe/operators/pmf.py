@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.exprs import col_of, normalise_weight
+from tallyframe.functions.exprs import col_of, join_by, normalise_weight
 
 
 def _by(by: Sequence[str] | str | None) -> list[str]:
@@ -38,15 +38,17 @@ def from_weights(df: DataFrame, by, key: str | Column, weight: str | Column, out
 def normalize(pmf: DataFrame, by, weight: str = "weight", out: str | None = None) -> DataFrame:
     """Divide weights by their group total; a group whose total is zero keeps its weights.
 
-    The total is a window over the already aggregated PMF rows (one per outcome). With no group keys the total
-    is a scalar subquery, so the rows never gather into a single window partition.
+    The totals are a partial aggregate joined by group, one row each, so a group with many outcomes does not gather
+    in one task (AQE broadcasts the totals or splits the skewed side). With no group keys the total is a scalar
+    subquery.
     """
     by = _by(by)
     out = out or weight
     if by:
-        total = F.sum(weight).over(Window.partitionBy(*by))
-    else:
-        total = pmf.select(F.sum(weight)).scalar()
+        totals = pmf.groupBy(*by).agg(F.sum(weight).alias("_total"))
+        held = join_by(pmf, totals, by, "left")
+        return held.withColumn(out, normalise_weight(F.col(weight).cast("double"), F.col("_total"))).drop("_total")
+    total = pmf.select(F.sum(weight)).scalar()
     return pmf.withColumn(out, normalise_weight(F.col(weight).cast("double"), total))
 
 

@@ -219,6 +219,20 @@ def test_affine_scan_with_a_hot_key_resets_and_nulls(spark, rows):
     assert fold.affine_scan(df.limit(0), ["k"], ["t"], F.col("a"), F.col("b")).count() == 0
 
 
+def test_grouped_cdf_blocks_equal_one_scan_with_a_hot_group(spark):
+    rnd = random.Random(8)
+    keys = [(rnd.choice(["hot", "hot", "k1", None]), rnd.randint(0, 400)) for _ in range(3000)]
+    table = pmf.from_keys(spark.createDataFrame(keys, "g string, v int"), ["g"], "v")
+    fifty = ordered.value_block("outcome", 50)
+    split, whole = cdf.to_cdf(table, ["g"], block=fifty), cdf.to_cdf(table, ["g"])
+    assert sorted(map(tuple, split.collect()), key=repr) == sorted(map(tuple, whole.collect()), key=repr)
+    assert split.columns == whole.columns
+    back = {(r["g"], r["outcome"]): r["mass"] for r in cdf.to_pmf(split, ["g"], block=fifty).collect()}
+    assert back == {(r["g"], r["outcome"]): r["n"] for r in table.collect()}
+    sums = {r["g"]: r["p"] for r in table.groupBy("g").agg(F.sum("prob").alias("p")).collect()}
+    assert sums == {g: pytest.approx(1.0) for g in ("hot", "k1", None)}
+
+
 def test_sgd_custom_gradient_scale(spark):
     pts = [(i, i / 10.0, 1.0 + i / 5.0) for i in range(20)]
     df = spark.createDataFrame(pts, "seq int, x double, y double")
