@@ -11,6 +11,8 @@ be null; other columns, whatever their names, stay as they are.
 
 from __future__ import annotations
 
+import unicodedata
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,6 +51,16 @@ SYLLABLES = {
     "greek": "βαλ γορ δαν καλ λεμ μαρ νικ παπ ραλ σολ τερ φιλ".split(),
 }
 LATIN, CYRILLIC, GREEK = "abcdefghijklmnopqrstuvwxyz", "абвгдежзиклмнопрстуфхцчшэюя", "αβγδεζηθικλμνξοπρστυφχψω"
+#: Letters of other scripts by their name in regular expressions (first and last code point, at most 256), and their digits.
+SCRIPTS = {
+    "Han": (0x4E00, 0x4EFF), "Hiragana": (0x3041, 0x3096), "Katakana": (0x30A1, 0x30FA), "Hangul": (0xAC00, 0xACFF),
+    "Arabic": (0x0621, 0x064A), "Hebrew": (0x05D0, 0x05EA), "Devanagari": (0x0905, 0x0939), "Bengali": (0x0985, 0x09B9),
+    "Tamil": (0x0B85, 0x0BB9), "Telugu": (0x0C05, 0x0C39), "Thai": (0x0E01, 0x0E2E), "Khmer": (0x1780, 0x17A2),
+    "Armenian": (0x0561, 0x0586), "Georgian": (0x10D0, 0x10F0), "Ethiopic": (0x1200, 0x12BE),
+}
+LETTERS = {script: "".join(chr(c) for c in range(low, high + 1) if chr(c).isalpha() and unicodedata.category(chr(c)) != "Lm")
+           for script, (low, high) in SCRIPTS.items()}
+DIGITS = ["".join(chr(zero + i) for i in range(10)) for zero in (0x0660, 0x06F0, 0x0966, 0x09E6, 0x0E50, 0xFF10)]
 
 # Entity patterns (Java regular expressions); the first that matches at a place counts.
 _TITLE = "|".join(sorted((t for own in TITLES.values() for t in own), key=len, reverse=True))
@@ -63,17 +75,21 @@ PATTERNS = {
     "name": rf"\b(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What goes before the value of a secret or cloud key.
+_LEAD = r"^(?:AKIA|ASIA|[^=:]*[=:]\s*[\"']?)"
 
 
 def kind(entity: Column) -> Column:
-    """The type of an entity that PATTERN found; NULL for a number in the form of a card's whose first or check
-    digit is not a card's, which is left alone."""
+    """The type of an entity that PATTERN found; NULL for what is left alone: a number in the form of a card's whose
+    first or check digit is not a card's, and a secret without any letter or digit (a mask or an underline)."""
     out = F.lit("name")
     for name, pattern in reversed([x for x in PATTERNS.items() if x[0] != "name"]):
         found = F.lit(name)
         if name == "card":
             digits = F.regexp_replace(entity, r"\D", "")
             found = F.when((_check_digit(F.substring(digits, F.lit(1), F.length(digits) - 1)) == F.substring(digits, -1, 1)) & entity.rlike("^[2-6]"), found)
+        if name == "secret":
+            found = F.when(F.regexp_replace(entity, _LEAD, "").rlike(r"[\p{L}\p{N}]"), found)
         out = F.when(entity.rlike(f"^(?:{pattern})$"), found).otherwise(out)
     return out
 
@@ -99,7 +115,7 @@ def parts(entity: Column, type_: Column) -> Column:
     first = F.element_at(words, 1)
     given = _part(F.concat(F.lit("given:"), _script(first), F.lit(":"), gender), F.lower(first), first)
     name = F.when(F.size(words) > 1, F.array(keep(title), given, keep(F.lit(" ")), surname)).otherwise(F.array(keep(title), surname))
-    lead = F.regexp_extract(entity, r"^(?:AKIA|ASIA|[^=:]*[=:]\s*[\"']?)", 0)
+    lead = F.regexp_extract(entity, _LEAD, 0)
     value = F.substring(entity, F.length(lead) + 1, F.length(entity))
     national = F.when(F.length(digits) > 10, F.substring(digits, -10, 10)).otherwise(digits)
     return (
@@ -120,15 +136,20 @@ def _number(i: Column | int, bound: int) -> Column:
 
 
 def _reshaped(value: Column, hexadecimal: Column) -> Column:
-    """The value with every letter and digit replaced by another of its script, case and kind."""
+    """The value with every letter and digit replaced by another of its script, case and kind (of a script that is
+    not listed, by a Latin letter; of another kind of number, by a digit)."""
 
     def one(c: Column, i: Column) -> Column:
-        low, out = F.lower(c), c
+        low = F.lower(c)
+        place = lambda letters: F.substring(F.lit(letters), (_number(i, len(letters)) + 1).cast("int"), F.lit(1))
+        out = F.when(c.rlike(r"^\p{L}$"), place(LATIN)).when(c.rlike(r"^\p{N}$"), _number(i, 10).cast("string")).otherwise(c)
+        for own, letters in [*((f"[{d}]", d) for d in DIGITS), *((rf"\p{{L}}(?<=\p{{Is{n}}})", x) for n, x in LETTERS.items())]:
+            out = F.when(c.rlike(f"^{own}$"), place(letters)).otherwise(out)
         for letters in (GREEK, CYRILLIC, LATIN):
-            new = F.substring(F.lit(letters), (_number(i, len(letters)) + 1).cast("int"), F.lit(1))
+            new = place(letters)
             mine = F.instr(F.lit(letters), low) > 0 if letters != LATIN else low.rlike(r"^\p{IsLatin}$")
             out = F.when(mine, F.when(c == low, new).otherwise(F.upper(new))).otherwise(out)
-        hexed = F.substring(F.lit("0123456789abcdef"), (_number(i, 16) + 1).cast("int"), F.lit(1))
+        hexed = place("0123456789abcdef")
         out = F.when(c.rlike("^[0-9]$"), _number(i, 10).cast("string")).otherwise(out)
         return F.when(hexadecimal & c.rlike("^[0-9a-f]$"), hexed).otherwise(out)
 
@@ -149,7 +170,7 @@ _MORE = 24
 
 
 def drawn(values: DataFrame, draw: int, key: str = KEY) -> DataFrame:
-    """Adds ``surrogate`` to rows of (type, norm); later draws of mail names and personal names get longer."""
+    """Adds ``surrogate`` to rows of (type, norm); later draws of mail names, secrets, keys and personal names get longer."""
     norm, type_ = F.col("norm"), F.col("type")
     n = F.length(norm)
     block = lambda b: F.sha2(F.concat_ws("\u0001", F.lit(key), type_, norm, F.lit(str(draw)), b.cast("string")), 256)
@@ -160,7 +181,10 @@ def drawn(values: DataFrame, draw: int, key: str = KEY) -> DataFrame:
     def pick(i: int, options: list[str]) -> Column:
         return F.element_at(F.array(*map(F.lit, options)), (more(i, len(options)) + 1).cast("int"))
 
-    longer = [more(i, 100).cast("string") for i in (3, 4)] if draw > 3 else []
+    # 64 bits of the hash, whatever the value holds, so that values of few changeable characters do not run out.
+    tail = F.substring("hex", (n + 8) * 2 + 1, F.lit(16))
+    longer = [tail] if draw > 7 else [more(i, 100).cast("string") for i in (3, 4)] if draw > 3 else []
+    grown = F.concat("shape", F.when(type_ == "cloud_key", F.upper(tail)).otherwise(tail)) if draw > 3 else F.col("shape")
     email = F.concat(F.regexp_extract("shape", "^[^@]*", 0), *longer, F.lit("@mail"), more(0, 10).cast("string"),
                      F.lit(".example."), pick(1, ["com", "net", "org"]))
     ip = F.concat_ws(".", *[(more(i, 254) + 1).cast("string") for i in range(4)])
@@ -168,6 +192,7 @@ def drawn(values: DataFrame, draw: int, key: str = KEY) -> DataFrame:
     body = F.concat(F.substring(norm, 1, 1), F.substring("shape", F.lit(2), n - 2))
     card = F.concat(body, _check_digit(body))
     out = F.when(type_ == "email", email).when(type_ == "ip", ip).when(type_ == "phone", phone).when(type_ == "card", card)
+    out = out.when(type_.isin("secret", "cloud_key"), grown)
     for script, syllables in SYLLABLES.items():
         size = 2 if draw == 0 else 3 if draw < 3 else 5 if draw < 7 else 8
         out = out.when(type_ == f"surname:{script}", F.initcap(F.concat(*[pick(i, syllables) for i in range(size)])))

@@ -142,6 +142,27 @@ def test_surrogates_are_distinct_and_new(spark):
     assert sorted(map(tuple, pii_surrogates.assign(values.repartition(5)).collect())) == sorted(map(tuple, got))
 
 
+def _replaced(spark, texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    return {r["doc_id"]: r for r in pii_surrogates.replace_entities(docs).collect()}
+
+
+def test_masks_stay_and_every_script_is_replaced(spark):
+    masks = ["password: ********", "Password: ______________", "token: ------", "Token\n========\nnext line"]
+    secrets = ["password: 密码是秘密的", "secret=ひみつのことば", "token: كلمةسرية", "pwd: סיסמהסודית", "api_key: ٣٤٥٦٧٨", "secret: 𠀀𠀁𠀂𠀃𠀄𠀅"]
+    got = _replaced(spark, [*masks, *secrets, *[f"password: *****{i}" for i in range(10)], "password: *****x"])
+    for i, text in enumerate(masks):
+        assert (got[i]["text"], got[i]["n_entities"]) == (text, 0)
+    for i, text in enumerate(secrets, len(masks)):
+        lead, old = re.fullmatch(r"(\w+[:=] ?)(.*)", text).groups()
+        new = got[i]["text"].removeprefix(lead)
+        assert new != old and len(new) == len(old) and got[i]["n_entities"] == 1
+    assert re.fullmatch(r"[\u4e00-\u4eff]{6}", got[4]["text"].removeprefix("password: "))
+    assert re.fullmatch(r"[\u0660-\u0669]{6}", got[8]["text"].removeprefix("api_key: "))
+    few = [got[i]["text"] for i in range(10, 21)]
+    assert len(set(few)) == 11 and not set(few) & {f"password: *****{i}" for i in [*range(10), "x"]}
+
+
 def test_surrogates_leave_odd_rows(spark):
     docs = odd_documents(spark).withColumn("n_entities", F.lit("own"))
     got = pii_surrogates.replace_entities(docs, count="found")
