@@ -1,7 +1,7 @@
 """Main text of web pages: a linear-chain conditional random field over the DOM's leaf blocks.
 
 A page becomes a sequence of text blocks with the tags and attribute words of their ancestors. A chain of two
-labels (main text or not) is trained on labelled pages: those of a bounded sample whose markup states what is
+labels (main text or not) is trained on labelled pages: a bounded sample of those whose markup states what is
 the article, each also with its tags replaced by plain ones and with labelled comments, forms, sidebars and
 notices put in. Viterbi decoding labels all blocks of a page together. Results for odd rows: a null or empty
 html gives an empty text; a page without any labelled page to learn from is decoded by an empty model (nothing
@@ -52,6 +52,8 @@ _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?…:;,]")
+#: Matches every page whose markup names an article, and some others.
+NAMES = r"(?i)(?<![a-z])(?:articlebody|article|main)(?![a-z])"
 
 
 @dataclass
@@ -279,13 +281,24 @@ def variants(page: str, borrowed: str) -> Iterator[tuple[str, str]]:
 
 
 def labelled_pages(pages: DataFrame, count: int) -> list[str]:
-    """At most ``count`` pages by hash of id and content, for every size of the table."""
-    total = pages.where("html IS NOT NULL").count()
+    """At most ``count`` pages whose markup names an article with text, by hash of id and content, for every size of
+    the table and every share of such pages; none only if the table has none."""
+    named = pages.where(F.col("html").rlike(NAMES))
+    total = named.count()
     parts = 1 << 30
     place = F.pmod(F.xxhash64("page_id", "html"), F.lit(parts))
     share = min(parts, int(parts * (2 * count + 20) / max(total, 1)))
-    found = pages.where(F.col("html").isNotNull()).select("html", place.alias("place")).where(F.col("place") < share)
-    return [r["html"] for r in found.orderBy("place", F.xxhash64("html")).limit(count).collect()]
+
+    def run(cols: dict[str, list]) -> dict[str, list]:
+        rows = [(p, at) for p, at in zip(cols["html"], cols["place"]) if any(labels(blocks(p)) or [])]
+        return {"html": [p for p, _ in rows], "place": [at for _, at in rows]}
+
+    while True:
+        drawn = named.select("html", place.alias("place")).where(F.col("place") < share)
+        found = arrow_map(drawn, run, "html string, place long").orderBy("place", F.xxhash64("html")).limit(count).collect()
+        if len(found) == count or share == parts:
+            return [r["html"] for r in found]
+        share = min(parts, share * 8)
 
 
 def fit(pages: list[str]) -> Chain:

@@ -86,6 +86,19 @@ def test_odd_pages(spark):
     assert {r["text"] for r in plain} == {""}
 
 
+def test_the_sample_holds_labelled_pages_only(spark):
+    """A few labelled pages among many without article markup, some of which have the words in their text."""
+    own = [r["html"] for r in spark.read.parquet(f"{SF001}/pages.parquet").orderBy("page_id").limit(4).collect()]
+    rows = [(i, "u", html) for i, html in enumerate(own)]
+    rows += [(10 + i, "u", f"<body><p>page {i}</p><p>{'the main article' if i % 2 else 'other'}</p></body>") for i in range(600)]
+    rows += [(700, "u", "<nav class=main-nav>menu</nav>"), (701, "u", "<div itemprop='articleBody'>text</div>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    assert sorted(html_extract.labelled_pages(pages, 20)) == sorted([*own, rows[-1][2]])
+    assert len(html_extract.labelled_pages(pages, 3)) == 3
+    got = {r["page_id"]: r["text"] for r in html_extract.extract(pages, 5).collect()}
+    assert all(got[i] for i in range(4))
+
+
 TEXTS = [
     "write to bob.12@mail3.example.com or BOB.12@MAIL3.EXAMPLE.COM, call +1 (274) 555-9629.",
     "call 274-555-9629 or +1 (274) 555-9630 now; card 4539578763621486 and 4539 5787 6362 1486",
