@@ -27,6 +27,8 @@ SAMPLE_PAGES = 120
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title noscript iframe noembed noframes template svg math select".split())
+FOREIGN = {"svg", "math"}  # of RAW: these may close themselves
+TO_THE_END = set("script style textarea title".split())  # of RAW: without an end tag, the rest of the page is theirs
 INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img input button".split()
@@ -72,6 +74,7 @@ def blocks(page: str) -> list[Block]:
     words: list[frozenset[str]] = [frozenset()]
     parts: list[str] = []
     linked, links, hidden = 0, 0, 0
+    unclosed: set[str] = set()
 
     def flush() -> None:
         nonlocal linked
@@ -132,11 +135,16 @@ def blocks(page: str) -> list[Block]:
                     pop()
             if name == "body":
                 hidden = 0
-        if name in VOID or match[3].endswith("/") and name not in RAW:
+        if name in VOID or match[3].endswith("/") and (name in FOREIGN or name not in RAW):
             continue
         if name in RAW:  # only its own end tag counts
-            end = re.compile(f"</{re.escape(name)}\\b[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            end = None if name in unclosed else re.compile(f"</{re.escape(name)}\\b[^>]*>", re.I).search(page, at)
+            if end:
+                at = end.end()
+            elif name in TO_THE_END:
+                at = len(page)
+            else:
+                unclosed.add(name)
             continue
         names.append(name)
         own = words[-1]

@@ -27,6 +27,18 @@ def test_blocks_and_character_references():
         html_extract.blocks(odd)
 
 
+def test_blocks_after_closed_and_unclosed_raw_elements():
+    texts = lambda page: [b.text for b in html_extract.blocks(page)]
+    assert texts("<p>a <svg class='i'/>b</p><p>c</p>") == ["a", "b", "c"]
+    assert texts("<svg/><p>a</p><svg><text>icon</text></svg><math /><p>b</p>") == ["a", "b"]
+    for name in ("select", "noscript", "template", "iframe", "svg", "math"):
+        assert texts(f"<p>a</p><{name}><p>b</p><p>c</p>") == ["a", "b", "c"], name
+        assert texts(f"<p>a</p><{name}>hidden</{name}><p>b</p>") == ["a", "b"], name
+    for name in ("script", "style", "textarea", "title"):
+        assert texts(f"<p>a</p><{name}>hidden<p>b</p>") == ["a"], name
+        assert texts(f"<p>a</p><{name}/>hidden</{name}><p>b</p>") == ["a", "b"], name
+
+
 def test_viterbi_by_brute_force():
     rng = np.random.default_rng(4)
     index = {f"f{i}": i for i in range(3)}
