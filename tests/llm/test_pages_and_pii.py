@@ -39,6 +39,11 @@ def test_blocks_after_closed_and_unclosed_raw_elements():
         assert texts(f"<p>a</p><{name}/>hidden</{name}><p>b</p>") == ["a", "b"], name
 
 
+def test_marks_count_over_the_whole_block():
+    block = html_extract.Block("p", ("p",), frozenset(), "word " * 100 + "end. Next, last; more: all.", 0)
+    assert "marks 4" in html_extract.features(block, 0, 1)
+
+
 def test_viterbi_by_brute_force():
     rng = np.random.default_rng(4)
     index = {f"f{i}": i for i in range(3)}
