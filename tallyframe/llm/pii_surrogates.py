@@ -62,8 +62,12 @@ LETTERS = {script: "".join(chr(c) for c in range(low, high + 1) if chr(c).isalph
            for script, (low, high) in SCRIPTS.items()}
 DIGITS = ["".join(chr(zero + i) for i in range(10)) for zero in (0x0660, 0x06F0, 0x0966, 0x09E6, 0x0E50, 0xFF10)]
 
+#: Country calling codes.
+COUNTRY_CODES = r"(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+
 # Entity patterns (Java regular expressions); the first that matches at a place counts.
 _TITLE = "|".join(sorted((t for own in TITLES.values() for t in own), key=len, reverse=True))
+_STEP = r"(?:[ ./-]|\) ?| ?\()?"  # what may stand between two digits of a phone number
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}_.+%-])[\p{L}\p{N}_.+%-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,8}\.\p{L}{2,24}",
     "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"',;]{6,}",
@@ -71,7 +75,10 @@ PATTERNS = {
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
-    "phone": r"(?<![\d\p{L}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3}[ .-]\d{3,4}(?!\d)|(?<!\d)\+\d{8,15}(?!\d)",
+    "phone": rf"(?=[+(\d])(?:(?<!\d)\+(?!1[ .(-])\d(?:{_STEP}\d){{7,14}}(?!\d)"  # + country code, but for North America
+    r"|(?<![\d\p{L}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3}[ .-]\d{3,4}(?!\d)"
+    r"|(?<![\d\p{L}]|\d[.,/-])(?:0[1-9](?:[ .-]\d\d){4}|[6-9]\d\d(?:[ .-]\d\d){3}|9\d[ .-]\d{3}(?:[ .-]\d\d){2})(?![.,/-]?\d)"
+    rf"|(?<![\d\p{{L}}]|\d[.,/-])(?=\(\d{{2,5}}\)|0\d{{1,4}}[ ./-])(?!\d\d[ ./-]\d\d[ ./-](?:19|20)\d\d(?!\d))(?:\(0?|00?)[1-9](?:{_STEP}\d){{7,13}}(?!\d))",
     "name": rf"\b(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
@@ -117,7 +124,10 @@ def parts(entity: Column, type_: Column) -> Column:
     name = F.when(F.size(words) > 1, F.array(keep(title), given, keep(F.lit(" ")), surname)).otherwise(F.array(keep(title), surname))
     lead = F.regexp_extract(entity, _LEAD, 0)
     value = F.substring(entity, F.length(lead) + 1, F.length(entity))
-    national = F.when(F.length(digits) > 10, F.substring(digits, -10, 10)).otherwise(digits)
+    abroad = entity.startswith("+") | digits.startswith("00")
+    own = F.when(abroad, F.regexp_replace(digits, f"^(?:00)?{COUNTRY_CODES}0?", "")).when(digits.startswith("0"), F.substring(digits, F.lit(2), F.length(digits)))
+    own = F.coalesce(own, F.when(F.length(digits) > 10, F.substring(digits, -10, 10)), digits)
+    national = F.when(F.length(own) < 7, digits).otherwise(own)  # the country code and a leading 0 stay as they are
     return (
         F.when(type_.isNull(), F.array(keep(entity)))
         .when(type_ == "name", name)

@@ -193,6 +193,22 @@ def test_masks_stay_and_every_script_is_replaced(spark):
     assert len(set(few)) == 11 and not set(few) & {f"password: *****{i}" for i in [*range(10), "x"]}
 
 
+def test_phone_numbers_of_other_countries(spark):
+    numbers = ["+44 20 7946 0958", "+33 1 23 45 67 89", "01 23 45 67 89", "+49 30 1234567", "030 12345678", "+34 91 123 45 67",
+               "912 34 56 78", "(030) 123 45 67", "030/1234567", "+49 (0)30 1234567", "0033 1 23 45 67 89", "+441632960961"]
+    plain = ["on 01.02.2024 and 01/02/2024", "0.12345678 or 12345678", "figures 1234 5678 and 12 34", "2024-01-02 10:30", "1,030 12345678",
+             "0001 0002 0003"]
+    got = _replaced(spark, [*[f"call {n}, please" for n in numbers], *plain])
+    for i, old in enumerate(numbers):
+        new = got[i]["text"].removeprefix("call ").removesuffix(", please")
+        assert new != old and re.sub(r"\d", "#", new) == re.sub(r"\d", "#", old) and got[i]["n_entities"] == 1, old
+        assert old[0] not in "+0" or new[:2 if old[0] == "+" else 1] == old[:2 if old[0] == "+" else 1], old
+    bare = lambda i: re.sub(r"\D", "", got[i]["text"])[-9:]
+    assert bare(1) == bare(2) == bare(10)  # one number in three formats
+    for i, text in enumerate(plain, len(numbers)):
+        assert got[i]["text"] == text
+
+
 def test_surrogates_leave_odd_rows(spark):
     docs = odd_documents(spark).withColumn("n_entities", F.lit("own"))
     got = pii_surrogates.replace_entities(docs, count="found")
