@@ -4,7 +4,7 @@ All work is in DataFrame functions. Entities (mail addresses, phone numbers, car
 social security numbers, secrets and titled names) are found with one pattern; the distinct normalised values of
 the whole corpus get surrogates from a keyed hash, and a value whose surrogate another value holds, or that
 occurs in the corpus itself, draws again until all are distinct. The same value gets the same surrogate
-everywhere, so does a name's part, whatever its title. Results for odd rows: a null text stays null; a text
+everywhere, so does a name's part, whatever its title, and its further mentions in the document without one. Results for odd rows: a null text stays null; a text
 without entities stays as it is; repeated rows get the same text; an empty table gives an empty one; a doc_id may
 be null; other columns, whatever their names, stay as they are.
 """
@@ -67,6 +67,7 @@ COUNTRY_CODES = r"(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|
 
 # Entity patterns (Java regular expressions); the first that matches at a place counts.
 _TITLE = "|".join(sorted((t for own in TITLES.values() for t in own), key=len, reverse=True))
+_NAME = r"\p{Lu}(?:\p{L}|['-](?!s(?!\p{L}))(?=\p{L}))+"  # without a possessive 's
 _STEP = r"(?:[ ./-]|\) ?| ?\()?"  # what may stand between two digits of a phone number
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}_.+%-])[\p{L}\p{N}_.+%-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,8}\.\p{L}{2,24}",
@@ -79,7 +80,7 @@ PATTERNS = {
     r"|(?<![\d\p{L}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3}[ .-]\d{3,4}(?!\d)"
     r"|(?<![\d\p{L}]|\d[.,/-])(?:0[1-9](?:[ .-]\d\d){4}|[6-9]\d\d(?:[ .-]\d\d){3}|9\d[ .-]\d{3}(?:[ .-]\d\d){2})(?![.,/-]?\d)"
     rf"|(?<![\d\p{{L}}]|\d[.,/-])(?=\(\d{{2,5}}\)|0\d{{1,4}}[ ./-])(?!\d\d[ ./-]\d\d[ ./-](?:19|20)\d\d(?!\d))(?:\(0?|00?)[1-9](?:{_STEP}\d){{7,13}}(?!\d))",
-    "name": rf"\b(?:{_TITLE})\.? \p{{Lu}}[\p{{L}}'-]+(?: \p{{Lu}}[\p{{L}}'-]+)?",
+    "name": rf"\b(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
 }
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 #: What goes before the value of a secret or cloud key.
@@ -256,6 +257,22 @@ def shown(part: Column, new: Column) -> Column:
     )
 
 
+def bare_mentions(gap: Column, names: Column) -> tuple[Column, Column]:
+    """``gap`` with each capitalised whole word of ``names`` (norm, surrogate) replaced, and the number of these."""
+    own = F.transform(F.sort_array(F.transform(names, lambda x: F.struct(F.length(x["norm"]).alias("n"), x["norm"].alias("norm"))), asc=False), lambda x: x["norm"])
+    pattern = F.concat(F.lit(r"(?<![\p{L}\p{N}_])(?=\p{Lu})(?iu:"), F.array_join(F.array_distinct(own), "|"), F.lit(r")(?![\p{L}\p{N}_])"))
+    words = F.regexp_extract_all(gap, pattern, 0)
+
+    def one(old: Column) -> Column:
+        new = F.element_at(F.filter(names, lambda x: x["norm"] == F.lower(old)), 1)["surrogate"]
+        return F.coalesce(F.when((old == F.upper(old)) & (F.length(old) > 1), F.upper(new)).otherwise(new), old)
+
+    new = F.transform(words, one)
+    text = F.array_join(F.transform(F.split(gap, pattern, -1), lambda g, i: F.concat(g, F.coalesce(F.get(new, i), F.lit("")))), "")
+    has = F.size(names) > 0
+    return F.when(has, text).otherwise(gap), F.when(has, F.size(words)).otherwise(0)
+
+
 def replace_entities(docs: DataFrame, key: str = KEY, count: str = "n_entities") -> DataFrame:
     """``docs`` with replaced texts and a last column ``count``, the number of entities."""
     has = F.coalesce(F.col("text").rlike(PATTERN), F.lit(False))
@@ -267,16 +284,20 @@ def replace_entities(docs: DataFrame, key: str = KEY, count: str = "n_entities")
     split = stored(split.select("entities", "i", "j", "part", F.col("part.type").alias("type"), F.col("part.norm").alias("norm")), "pii-parts")
     chosen = assign(split.where("type IS NOT NULL").select("type", "norm"), key)
     known = split.where("type IS NOT NULL").join(hinted(chosen), ["type", "norm"]).select(
-        "entities", "i", "j", shown(F.col("part"), F.col("surrogate")).alias("new"), F.lit(1).alias("real"))
+        "entities", "i", "j", shown(F.col("part"), F.col("surrogate")).alias("new"), F.lit(1).alias("real"),
+        F.when(F.col("type").rlike("^(given|surname):"), F.struct("j", "norm", "surrogate")).alias("name"))
     kept = split.where("type IS NULL").select("entities", "i", "j", F.col("part.shown").alias("new"), F.lit(0).alias("real"))
-    rebuilt = known.unionByName(kept).groupBy("entities", "i").agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", "new"))), lambda p: p["new"]), "").alias("new"), F.max("real").alias("real"))
+    rebuilt = known.unionByName(kept, allowMissingColumns=True).groupBy("entities", "i").agg(
+        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("j", "new"))), lambda p: p["new"]), "").alias("new"), F.max("real").alias("real"),
+        F.array_sort(F.collect_list("name")).alias("names"))
     rebuilt = rebuilt.groupBy("entities").agg(F.transform(F.array_sort(F.collect_list(F.struct("i", "new"))), lambda p: p["new"]).alias("news"),
-        F.sum("real").alias("n_real"))
-    gaps = F.split(F.col("row.text"), PATTERN, -1)
-    text = F.array_join(F.transform(gaps, lambda g, i: F.concat(g, F.coalesce(F.get(F.col("news"), i), F.lit("")))), "")
-    changed = hits.join(rebuilt, "entities").withColumn("__tf_new", text).select(
+        F.sum("real").alias("n_real"), F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("i", "names"))), lambda p: p["names"])).alias("names"))
+    # Further mentions of a document's names, without a title, get the surrogate of the first mention with one.
+    gaps = F.transform(F.split(F.col("row.text"), PATTERN, -1), lambda g: F.struct(*[
+        c.alias(n) for c, n in zip(bare_mentions(g, F.col("names")), ("text", "n"))]))
+    text = F.array_join(F.transform("__tf_gaps", lambda g, i: F.concat(g["text"], F.coalesce(F.get(F.col("news"), i), F.lit("")))), "")
+    changed = hits.join(rebuilt, "entities").withColumn("__tf_gaps", gaps).withColumn("__tf_new", text).select(
         *[F.col("__tf_new").alias("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns],
-        F.col("n_real").alias(count))
+        (F.col("n_real") + F.aggregate("__tf_gaps", F.lit(0).cast("long"), lambda t, g: t + g["n"])).alias(count))
     same = docs.where(~has).select(*[docs[f"`{c}`"] for c in docs.columns], F.lit(0).cast("long").alias(count))
     return same.unionByName(changed)

@@ -193,6 +193,19 @@ def test_masks_stay_and_every_script_is_replaced(spark):
     assert len(set(few)) == 11 and not set(few) & {f"password: *****{i}" for i in [*range(10), "x"]}
 
 
+def test_names_without_a_title_later_in_the_document(spark):
+    got = _replaced(spark, [
+        "Smith's. Mr. John Smith came, call 274-555-9629. Later Smith said; John left. SMITH! Smith's Smithers smith Smith-like.",
+        "Smith and John of another document stay, Mrs. Jones's too; Jones left.", "John Smith alone", "Dr. O'Neil-Ray met O'Neil-Ray."])
+    (given, surname), new = re.search(r"Mr\. (\S+) (\S+) came", got[0]["text"]).groups(), got[0]["text"]
+    assert new.startswith(f"{surname}'s. Mr.") and new.endswith(
+        f". Later {surname} said; {given} left. {surname.upper()}! {surname}'s Smithers smith {surname}-like.")
+    assert got[0]["n_entities"] == 8
+    other = re.fullmatch(r"Smith and John of another document stay, Mrs\. (\w+)'s too; (\w+) left\.", got[1]["text"])
+    assert other[1] == other[2] != "Jones" and got[1]["n_entities"] == 2 and got[2]["text"] == "John Smith alone"
+    assert len(set(re.fullmatch(r"Dr\. (.+) met (.+)\.", got[3]["text"]).groups())) == 1 and "Neil" not in got[3]["text"]
+
+
 def test_phone_numbers_of_other_countries(spark):
     numbers = ["+44 20 7946 0958", "+33 1 23 45 67 89", "01 23 45 67 89", "+49 30 1234567", "030 12345678", "+34 91 123 45 67",
                "912 34 56 78", "(030) 123 45 67", "030/1234567", "+49 (0)30 1234567", "0033 1 23 45 67 89", "+441632960961"]
