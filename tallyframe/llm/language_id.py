@@ -21,8 +21,10 @@ from tallyframe.llm.common import arrow_map, kind_of
 UNDETERMINED = "und"
 #: Bounds of the fit: labelled rows over all languages, landmarks, and the ridge.
 SAMPLE_ROWS, LANDMARKS, RIDGE = 2000, 192, 1e-3
-#: Letters with a number of their own; number 0 is all that is no letter, the last number all other letters.
+#: Letters whose n-grams have a byte each; number 0 is all that is no letter, the last number all other letters, whose
+#: n-grams are kept as codes.
 ALPHABET = 62
+_POINTS = 0x110000
 _UNI, _BI, _TRI = 0, 64, 64 + 64**2
 FEATURES = _TRI + 64**3
 
@@ -37,7 +39,7 @@ def fold(doc_id: Column) -> Column:
 
 
 class Spectrum:
-    """Presence of n-grams as a byte per n-gram; letters are numbered by how common they are in the sample."""
+    """Presence of n-grams: a byte per n-gram of the letters most common in the sample, a code per other n-gram."""
 
     def __init__(self, texts: list[str]):
         counts = np.zeros(0x110000, np.int64)
@@ -53,16 +55,34 @@ class Spectrum:
     def _points(text: str) -> np.ndarray:
         return np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
 
-    def present(self, text: str, flags: np.ndarray) -> int:
-        """Set ``flags`` to the n-grams that the text has; returns how many there are."""
+    def grams(self, text: str, flags: np.ndarray) -> np.ndarray:
+        """Set ``flags`` to the n-grams that the text has; returns the sorted codes of those with another letter."""
         flags[:] = False
-        c = np.concatenate([[0], self.numbers[self._points(text)], [0]]).astype(np.int32)
+        points = self._points(text)
+        c = np.concatenate([[0], self.numbers[points], [0]]).astype(np.int32)
         pair = c[:-1] * 64 + c[1:]
-        flags[_UNI + c] = True
-        flags[_BI + pair] = True
-        flags[_TRI + pair[:-1] * 64 + c[2:]] = True
+        other = c == ALPHABET + 1
+        if not other.any():
+            flags[_UNI + c] = True
+            flags[_BI + pair] = True
+            flags[_TRI + pair[:-1] * 64 + c[2:]] = True
+            flags[[_UNI, _BI, _TRI]] = False
+            return np.zeros(0, np.int64)
+        two = other[:-1] | other[1:]
+        three = two[:-1] | other[2:]
+        flags[_UNI + c[~other]] = True
+        flags[_BI + pair[~two]] = True
+        flags[_TRI + (pair[:-1] * 64 + c[2:])[~three]] = True
         flags[[_UNI, _BI, _TRI]] = False
-        return int(np.count_nonzero(flags))
+        p = np.where(c > 0, np.concatenate([[0], points, [0]]), 0).astype(np.int64)
+        couple = p[:-1] * _POINTS + p[1:]
+        triple = couple[:-1] * _POINTS + p[2:]  # below _POINTS**3; the others follow
+        return np.unique(np.concatenate([triple[three], _POINTS**3 + couple[two], _POINTS**3 + _POINTS**2 + p[other]]))
+
+    def present(self, text: str, flags: np.ndarray) -> int:
+        """Set ``flags`` as ``grams`` does; returns the number of n-grams that the text has."""
+        others = self.grams(text, flags)
+        return int(np.count_nonzero(flags)) + len(others)
 
 
 @dataclass
@@ -71,16 +91,32 @@ class Classifier:
     languages: list[str]
     columns: np.ndarray  # n-grams that any landmark has
     landmarks: np.ndarray  # columns x landmarks, scaled
+    codes: np.ndarray  # other n-grams that any landmark has, sorted
+    starts: np.ndarray  # where the landmarks of each code start in owners; one more at the end
+    owners: np.ndarray  # landmarks of the codes
+    scales: np.ndarray  # of the landmarks
     weights: np.ndarray  # landmarks x languages
     bias: np.ndarray
 
     def kernel(self, texts: list[str]) -> np.ndarray:
         rows = np.zeros((len(texts), len(self.columns)), np.float32)
         flags, norms = np.zeros(FEATURES, bool), np.ones(len(texts), np.float32)
+        shared = np.zeros((len(texts), len(self.scales)), np.float32)
         for i, text in enumerate(texts):
-            norms[i] = max(1, self.spectrum.present(text, flags)) ** 0.5
+            others = self.spectrum.grams(text, flags)
+            norms[i] = max(1, int(np.count_nonzero(flags)) + len(others)) ** 0.5
             rows[i] = flags[self.columns]
-        return (rows @ self.landmarks) / norms[:, None]
+            if len(others) and len(self.codes):
+                shared[i] = self._shared(others) * self.scales
+        return (rows @ self.landmarks + shared) / norms[:, None]
+
+    def _shared(self, others: np.ndarray) -> np.ndarray:
+        """How many of the sorted codes each landmark has."""
+        at = np.searchsorted(self.codes, others)
+        at = at[self.codes[np.minimum(at, len(self.codes) - 1)] == others]
+        sizes = self.starts[at + 1] - self.starts[at]
+        places = np.repeat(self.starts[at] - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
+        return np.bincount(self.owners[places], minlength=len(self.scales))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         names, scores = [UNDETERMINED] * len(texts), [0.0] * len(texts)
@@ -123,15 +159,21 @@ def fit(sample: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float
     spectrum = Spectrum([t for t, _ in sample])
     queues = [[t for t, lang in sample if lang == one] for one in languages]
     chosen = [q[i] for i in range(max(map(len, queues))) for q in queues if i < len(q)][:landmarks]
-    flags, rows = np.zeros(FEATURES, bool), []
+    flags, rows, rest = np.zeros(FEATURES, bool), [], []
     for text in chosen:
-        n = spectrum.present(text, flags)
-        rows.append((np.flatnonzero(flags), max(1, n) ** -0.5))
+        rest.append(spectrum.grams(text, flags))
+        own = np.flatnonzero(flags)
+        rows.append((own, max(1, len(own) + len(rest[-1])) ** -0.5))
     columns = np.unique(np.concatenate([r for r, _ in rows]))
     table = np.zeros((len(columns), len(chosen)), np.float32)
     for j, (r, scale) in enumerate(rows):
         table[np.searchsorted(columns, r), j] = scale
-    model = Classifier(spectrum, languages, columns, table, np.zeros((len(chosen), len(languages))), np.zeros(len(languages)))
+    codes = np.concatenate(rest)
+    order = np.argsort(codes, kind="stable")
+    owners = np.repeat(np.arange(len(chosen), dtype=np.uint16), list(map(len, rest)))[order]
+    codes, starts = np.unique(codes[order], return_index=True)
+    scales = np.array([scale for _, scale in rows], np.float32)
+    model = Classifier(spectrum, languages, columns, table, codes, np.append(starts, len(owners)), owners, scales, np.zeros((len(chosen), len(languages))), np.zeros(len(languages)))
     between = model.kernel(chosen).astype(float)
     values, vectors = np.linalg.eigh((between + between.T) / 2)
     good = values > 1e-6 * max(values.max(), 1e-12)
@@ -148,7 +190,7 @@ def fit(sample: list[tuple[str, str]], landmarks: int = LANDMARKS, ridge: float
 def identify(docs: DataFrame, sample_rows: int = SAMPLE_ROWS, landmarks: int = LANDMARKS) -> DataFrame:
     """doc_id, held_out, lang_pred, score and text_hash (of the raw text) per document."""
     model = fit(labelled_sample(docs, sample_rows), landmarks)
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the sample and the alphabet
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the n-grams of the landmarks
 
     def run(cols: dict[str, list]) -> dict[str, list]:
         one = shared.value

@@ -1,6 +1,7 @@
 """Codec, language ID, packing, sharding: brute force, round trips, held-out accuracy, odd rows."""
 
 import hashlib
+import random
 import zlib
 
 import numpy as np
@@ -97,6 +98,35 @@ def test_language_odd_rows(spark):
     assert language_id.identify(empty_documents(spark)).count() == 0
 
 
+def _ideographic(rng, own, common):
+    return "".join(chr(rng.choice(own if rng.random() < 0.4 else common)) for _ in range(80))
+
+
+def test_languages_of_many_letters_are_told_apart():
+    """Two ideographic languages that share their 70 most common characters."""
+    rng = random.Random(9)
+    common = range(0x4E00, 0x4E00 + 70)
+    own = {"qa": range(0x5000, 0x5400), "qb": range(0x6000, 0x6400)}
+    texts = [(_ideographic(rng, own[lang], common), lang) for _ in range(150) for lang in own]
+    model = language_id.fit(texts[:200], 60)
+    names, _ = model.predict([t for t, _ in texts[200:]])
+    assert sum(a == lang for a, (_, lang) in zip(names, texts[200:])) >= 0.95 * 100
+
+
+def test_kernel_of_many_letters_by_brute_force():
+    rng = random.Random(3)
+    texts = ["".join(chr(rng.choice([*range(0x4E00, 0x4E50), *range(0x61, 0x71), 0x20, 0x20000])) for _ in range(rng.randint(1, 60))) for _ in range(30)]
+    model = language_id.fit([(t, "a" if i % 2 else "b") for i, t in enumerate(texts)], 20)
+
+    def grams(text):
+        c = [0, *(ord(ch) if ch.isalpha() else 0 for ch in text.lower()), 0]
+        return {g for n in (1, 2, 3) for i in range(len(c) - n + 1) if any(g := tuple(c[i:i + n]))}
+
+    chosen = [t for pair in zip(texts[::2], texts[1::2]) for t in pair[::-1]][:20]
+    want = [[len(grams(t) & grams(u)) / (max(1, len(grams(t))) * max(1, len(grams(u)))) ** 0.5 for u in chosen] for t in texts]
+    assert np.allclose(model.kernel(texts), want, atol=1e-5)
+
+
 def test_presence_kernel_by_brute_force():
     spectrum = language_id.Spectrum(["abc abd", "xyz"])
     flags = np.zeros(language_id.FEATURES, bool)
