@@ -9,12 +9,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyframe.llm import (
+    bin_packing,
     exact_dedup,
     html_extract,
+    importance_resampling,
     language_id,
     line_dedup,
     packing,
     pii_surrogates,
+    product_codes,
     sentencepiece_codec,
     sharding,
     simhash_dedup,
@@ -24,6 +27,7 @@ from tallyframe.sources.tables import load
 
 #: Files of public tokenizers: read on the driver, sent to the tasks by content.
 PIECE_MODEL, BYTE_MODEL = public_tokenizers.path("piece_bpe_32k.model"), public_tokenizers.path("byte_bpe_50k.json")
+WORD_MODEL = public_tokenizers.path("word_bpe_49k.json")
 
 
 def piece_model(path: str = PIECE_MODEL) -> bytes:
@@ -76,15 +80,88 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents")).drop("text_hash")
 
 
+def op11_product_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return product_codes.encode(load(spark, sf_dir, "embeddings"))
+
+
+def op12_bin_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bin_packing.pack(load(spark, sf_dir, "documents"), byte_model(WORD_MODEL))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance_resampling.resample(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_sentencepiece, op2_html_extraction, op3_sharding, op4_pii_surrogates, op5_packing, op6_language_id,
-        op7_topk_search, op8_simhash_dedup, op9_line_dedup, op10_exact_dedup,
+        op7_topk_search, op8_simhash_dedup, op9_line_dedup, op10_exact_dedup, op11_product_codes, op12_bin_packing,
+        op13_importance_resampling,
     )
 }
 
+def _codes_sql(rounds: int = 4) -> str:
+    """Exact product codes: every part against every entry of its position, round by round."""
+    steps = ["""
+WITH v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY vec_id) AS r, vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), x AS MATERIALIZED (
+  SELECT r, CAST(p AS INTEGER) AS p, v[p * len(v) // 4 + 1:(p + 1) * len(v) // 4] AS x FROM (SELECT r, v, unnest(range(4)) AS p FROM v)
+), b0 AS MATERIALIZED (SELECT p, r - 1 AS e, x AS c FROM x WHERE r <= 256)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, x.p, min({{'d': list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2]))), 'e': e}}) AS m
+  FROM x JOIN b{i} b ON x.p = b.p GROUP BY r, x.p
+)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (
+  SELECT p, e, list(c ORDER BY j) AS c FROM (
+    SELECT p, e, j, CAST(floor(sum(y) / count(*)) AS BIGINT) AS c
+    FROM (SELECT a.p, m.e AS e, unnest(x) AS y, unnest(range(len(x))) AS j FROM a{i} a JOIN x USING (r, p)) GROUP BY p, e, j) GROUP BY p, e
+), b{i + 1} AS MATERIALIZED (SELECT b.p, b.e, coalesce(s.c, b.c) AS c FROM b{i} b LEFT JOIN s{i} s USING (p, e))""")
+    steps.append(f"""f AS (
+  SELECT vec_id, label, string_agg(printf('%02x', m.e), '' ORDER BY p) AS code, CAST(sum(m.d) AS BIGINT) AS error
+  FROM a{rounds} JOIN v USING (r) GROUP BY r, vec_id, label
+), h AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM b{rounds})
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, h AS codebooks_sha256 FROM f, h""")
+    return ",\n".join(steps)
+
+
 ORACLE = {
+    "op11_product_codes": _codes_sql(),
+    "op13_importance_resampling": """
+WITH tab AS (
+  SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END, b) ORDER BY b) AS tab
+  FROM (SELECT unnest(range(256)) AS b)
+), docs AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws
+  FROM documents
+), goal AS (
+  SELECT unnest(regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS w FROM benchmark
+), n AS MATERIALIZED (SELECT r, w, count(*) AS n FROM (SELECT r, unnest(ws) AS w FROM docs) GROUP BY r, w),
+u AS MATERIALIZED (
+  SELECT w, xor(list_reduce(list_transform(range(octet_length(encode(w))), lambda i: CAST('0x' || substr(hex(encode(w)), CAST(2 * i + 1 AS INTEGER), 2) AS BIGINT)),
+    lambda c, y: xor(c // 256, tab[CAST(xor(c % 256, y) + 1 AS INTEGER)]), 4294967295), 4294967295) % 10000 AS b
+  FROM (SELECT DISTINCT w FROM (SELECT w FROM n UNION ALL SELECT w FROM goal)), tab
+), s AS (SELECT b, sum(n) AS s FROM n JOIN u USING (w) GROUP BY b),
+t AS (SELECT b, count(*) AS t FROM goal JOIN u USING (w) GROUP BY b),
+big AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS s, coalesce((SELECT sum(t) FROM t), 0) AS t),
+g AS (
+  SELECT b, CAST(floor(1000 * ln(CAST((coalesce(t.t, 0) + 1) * (big.s + 10000) AS DOUBLE) / CAST((coalesce(s.s, 0) + 1) * (big.t + 10000) AS DOUBLE))) AS BIGINT) AS g
+  FROM (SELECT DISTINCT b FROM u) LEFT JOIN s USING (b) LEFT JOIN t USING (b), big
+), w AS (SELECT r, CAST(sum(n.n * g.g) AS BIGINT) AS weight FROM n JOIN u USING (w) JOIN g USING (b) GROUP BY r),
+d AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM docs LEFT JOIN w USING (r)
+), o AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_features >= 20) AS all_n FROM d
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN n_features >= 20 AND place <= 10 * all_n // 100 THEN place END AS rank FROM o""",
     "op7_topk_search": """
 WITH v AS (
   SELECT vec_id, list_transform(embedding, lambda x: floor(64 * CAST(x AS DOUBLE))) AS v FROM embeddings
