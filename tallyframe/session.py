@@ -88,7 +88,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
     On a cluster the folder is set by the deployment and is shared storage; only when it is unset on a local
-    master (tests) do we create one ourselves, which goes when the process ends.
+    master (tests) do we create one ourselves, which goes when the process ends. The setting itself cannot change in
+    a running session, so an own folder is known to the context only.
     """
     sc = _context(spark)
     cur = spark.conf.get("spark.checkpoint.dir", None)
@@ -100,7 +101,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
             raise RuntimeError(f"spark.checkpoint.dir is not set on {master}: stored tables need a folder that all executors share")
         cur = tempfile.mkdtemp(prefix="tallyframe-ckpt-")
         atexit.register(shutil.rmtree, cur, ignore_errors=True)
-        spark.conf.set("spark.checkpoint.dir", cur)
+        sc.setCheckpointDir(cur)
+        return sc.getCheckpointDir()
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(cur)
     return cur
