@@ -256,3 +256,27 @@ def test_sharding_splits_a_text_that_holds_a_third(spark):
 def test_splitters_keep_light_texts_whole():
     assert sharding.settle([(5, 9), (7, 1), (7, 4), (9, 2)]) == [
         (5, sharding.LOWEST), (7, sharding.LOWEST), (7, 1), (7, 4), (8, sharding.LOWEST), (9, sharding.LOWEST)]
+
+
+@pytest.mark.parametrize("make", [
+    lambda n: "a" + " " * n + "end", lambda n: "\n" * n, lambda n: " \t\n" * (n // 3) + " ", lambda n: "a" * n, lambda n: "7" * n, lambda n: "!?" * n])
+def test_long_runs_are_encoded_like_the_library(tokenizer, make):
+    assert tokenizer.fast is not None
+    for n in (packing.SPACES - 1, packing.SPACES, packing.SPACES + 1, 1_100_000):
+        text = make(n)
+        assert tokenizer.encode([text, "plain"])[0] == tokenizer._library(text)
+
+
+def test_packing_of_a_million_spaces(spark):
+    docs = spark.createDataFrame([(1, " " * 1_100_000), (2, "plain")], "doc_id long, text string")
+    got = packing.pack(docs, queries.byte_model()).groupBy("doc_id").agg(F.sum("length").alias("n")).collect()
+    assert {r["doc_id"]: r["n"] for r in got} == {1: 1_100_001, 2: 2}
+
+
+def test_encoders_that_differ_raise_an_error(monkeypatch):
+    own = packing.Tokenizer(queries.byte_model())
+    monkeypatch.setattr(own, "_quick", lambda text: b"")
+    with pytest.raises(ValueError, match="differ"):
+        own.encode(["some text"])
+    monkeypatch.setattr(packing.Tokenizer, "_quick", lambda self, text: b"")
+    assert packing.Tokenizer(queries.byte_model()).fast is None
