@@ -7,12 +7,13 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructField, StructType
 
 from tallyframe.sources.tables import materialize
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: Rows up to which a stored table of a few narrow columns is broadcast; beyond it the join shuffles.
-BROADCAST_ROWS = 200_000
+#: Bytes of its values up to which a stored table is broadcast; beyond it the join shuffles.
+BROADCAST_BYTES = 12 << 20
 
 
 def stored(df: DataFrame, kind: str) -> DataFrame:
@@ -20,9 +21,19 @@ def stored(df: DataFrame, kind: str) -> DataFrame:
     return materialize(df, kind)
 
 
-def hinted(table: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A stored table of narrow rows, marked for broadcast only if its counted size allows it."""
-    return F.broadcast(table) if table.count() <= rows else table
+def hinted(table: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """A stored table, marked for broadcast only if the summed bytes of its values allow it."""
+
+    def width(field: StructField) -> Column:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (StringType, BinaryType)):
+            return F.coalesce(F.octet_length(c), F.lit(0)) + 8
+        if isinstance(field.dataType, (ArrayType, MapType, StructType)):
+            return F.coalesce(F.octet_length(F.to_json(F.struct(c))), F.lit(0)) + 8
+        return F.lit(8)
+
+    row = sum((width(f) for f in table.schema.fields), F.lit(16))
+    return F.broadcast(table) if (table.agg(F.sum(row.cast("long"))).first()[0] or 0) <= most else table
 
 
 def ascii_lower(text: Column) -> Column:
@@ -35,7 +46,6 @@ def text_or_empty(text: Column) -> Column:
 
 def arrow_map(df: DataFrame, fn: Callable[[dict[str, list]], dict[str, list]], schema: str, rows: int = 512) -> DataFrame:
     """Run ``fn`` over Arrow batches of at most ``rows`` rows; it maps lists by column name to lists by column name."""
-    from pyspark.sql.types import StructType
     from pyspark.sql.pandas.types import to_arrow_schema
 
     target = to_arrow_schema(StructType.fromDDL(schema))

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import BROADCAST_ROWS, hinted, stored, text_or_empty
+from tallyframe.llm.common import hinted, stored, text_or_empty
 
 #: Lines of the shortest run that counts as repeated.
 RUN_LINES = 3
@@ -73,7 +73,7 @@ def repeated_lines(docs: DataFrame, run: int = RUN_LINES, words: int = RUN_WORDS
 def line_dedup(docs: DataFrame, run: int = RUN_LINES, words: int = RUN_WORDS) -> DataFrame:
     """doc_id, text (without the deleted lines), n_lines and n_removed (both of non-blank lines)."""
     gone = repeated_lines(docs, run, words).select(F.col("doc_id").alias("g_id"), F.col("text_hash").alias("g_hash"), "gone")
-    gone = hinted(stored(gone, "line-gone"), BROADCAST_ROWS // 4)  # rows hold arrays
+    gone = hinted(stored(gone, "line-gone"))
     rows = docs.select("doc_id", text_or_empty(F.col("text")).alias("text"))
     joined = rows.withColumn("h", F.xxhash64("text")).join(
         gone, F.col("doc_id").eqNullSafe(F.col("g_id")) & (F.col("h") == F.col("g_hash")), "left")

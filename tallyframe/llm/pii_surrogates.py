@@ -5,7 +5,7 @@ social security numbers, secrets and titled names) are found with one pattern; t
 the whole corpus get surrogates from a keyed hash, and a value whose surrogate another value holds, or that
 occurs in the corpus itself, draws again until all are distinct. The same value gets the same surrogate
 everywhere, so does a name's part, whatever its title, and its further mentions in the document without one. Results for odd rows: a null text stays null; a text
-without entities stays as it is; repeated rows get the same text; an empty table gives an empty one; a doc_id may
+without entities stays as it is; long texts and long values (a name or secret of a million letters) are replaced whole; repeated rows get the same text; an empty table gives an empty one; a doc_id may
 be null; other columns, whatever their names, stay as they are.
 """
 
@@ -67,17 +67,19 @@ COUNTRY_CODES = r"(?:[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|
 
 # Entity patterns (Java regular expressions); the first that matches at a place counts.
 _TITLE = "|".join(sorted((t for own in TITLES.values() for t in own), key=len, reverse=True))
-_NAME = r"\p{Lu}(?:\p{L}|['-](?!s(?!\p{L}))(?=\p{L}))+"  # without a possessive 's
+# Possessive throughout: a repeated group that may give characters back is matched by recursion, one level each.
+_NAME = r"\p{Lu}(?=\p{L}|['-]\p{L})\p{L}*+(?:['-](?!s(?!\p{L}))\p{L}++)*+"  # without a possessive 's
 _STEP = r"(?:[ ./-]|\) ?| ?\()?"  # what may stand between two digits of a phone number
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}_.+%-])[\p{L}\p{N}_.+%-]{1,64}@[\p{L}\p{N}-]{1,63}(?:\.[\p{L}\p{N}-]{1,63}){0,8}\.\p{L}{2,24}",
-    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"',;]{6,}",
+    "secret": r"(?i:\b(?:password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key)\b\s{0,3}[=:]\s{0,3}[\"']?)[^\s\"',;]{6,}+",
     "cloud_key": r"\b(?:AKIA|ASIA)[0-9A-Z]{16}\b",
     "ip": r"(?<![\d.])(?:(?:25[0-5]|2[0-4]\d|1?\d?\d)\.){3}(?:25[0-5]|2[0-4]\d|1?\d?\d)(?!\.?\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
     "ssn": r"(?<!\d)\d{3}-\d{2}-\d{4}(?!\d)",
     "phone": rf"(?=[+(\d])(?:(?<!\d)\+(?!1[ .(-])\d(?:{_STEP}\d){{7,14}}(?!\d)"  # + country code, but for North America
-    r"|(?<![\d\p{L}])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3}[ .-]\d{3,4}(?!\d)"
+    r"|(?<![\d\p{L}])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\) ?|\d{2,4}[ .-])|\(\d{2,4}\) ?)\d{3}[ .-]\d{3,4}(?!\d)"
+    r"|(?<![\d\p{L}]|\d[.,/-])[2-9]\d\d[ .-]\d{3}[ .-]\d{4}(?![.,/-]?\d)"  # groups of 3, 3 and 4: no figure is grouped so
     r"|(?<![\d\p{L}]|\d[.,/-])(?:0[1-9](?:[ .-]\d\d){4}|[6-9]\d\d(?:[ .-]\d\d){3}|9\d[ .-]\d{3}(?:[ .-]\d\d){2})(?![.,/-]?\d)"
     rf"|(?<![\d\p{{L}}]|\d[.,/-])(?=\(\d{{2,5}}\)|0\d{{1,4}}[ ./-])(?!\d\d[ ./-]\d\d[ ./-](?:19|20)\d\d(?!\d))(?:\(0?|00?)[1-9](?:{_STEP}\d){{7,13}}(?!\d))",
     "name": rf"\b(?:{_TITLE})\.? {_NAME}(?: {_NAME})?",
@@ -140,20 +142,22 @@ def parts(entity: Column, type_: Column) -> Column:
     )
 
 
-def _number(i: Column | int, bound: int) -> Column:
-    """The i-th number below ``bound`` of the keyed hash stream in column ``hex``."""
+def _number(i: Column | int, bound: int, stream: Column | str = "hex") -> Column:
+    """The i-th number below ``bound`` of 32 that a keyed hash (64 hexadecimal digits) holds."""
     at = i if isinstance(i, Column) else F.lit(i)
-    return F.conv(F.substring("hex", (at * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int") % bound
+    return F.conv(F.substring(stream, (at * 2 + 1).cast("int"), F.lit(2)), 16, 10).cast("int") % bound
 
 
-def _reshaped(value: Column, hexadecimal: Column) -> Column:
+def _reshaped(value: Column, base: Column, hexadecimal: Column) -> Column:
     """The value with every letter and digit replaced by another of its script, case and kind (of a script that is
-    not listed, by a Latin letter; of another kind of number, by a digit)."""
+    not listed, by a Latin letter; of another kind of number, by a digit). Each stretch of 32 characters has a hash of
+    its own, so the work is in proportion to the length."""
 
-    def one(c: Column, i: Column) -> Column:
+    def one(c: Column, i: Column, stream: Column) -> Column:
         low = F.lower(c)
-        place = lambda letters: F.substring(F.lit(letters), (_number(i, len(letters)) + 1).cast("int"), F.lit(1))
-        out = F.when(c.rlike(r"^\p{L}$"), place(LATIN)).when(c.rlike(r"^\p{N}$"), _number(i, 10).cast("string")).otherwise(c)
+        number = lambda bound: _number(i, bound, stream)
+        place = lambda letters: F.substring(F.lit(letters), (number(len(letters)) + 1).cast("int"), F.lit(1))
+        out = F.when(c.rlike(r"^\p{L}$"), place(LATIN)).when(c.rlike(r"^\p{N}$"), number(10).cast("string")).otherwise(c)
         for own, letters in [*((f"[{d}]", d) for d in DIGITS), *((rf"\p{{L}}(?<=\p{{Is{n}}})", x) for n, x in LETTERS.items())]:
             out = F.when(c.rlike(f"^{own}$"), place(letters)).otherwise(out)
         for letters in (GREEK, CYRILLIC, LATIN):
@@ -161,10 +165,13 @@ def _reshaped(value: Column, hexadecimal: Column) -> Column:
             mine = F.instr(F.lit(letters), low) > 0 if letters != LATIN else low.rlike(r"^\p{IsLatin}$")
             out = F.when(mine, F.when(c == low, new).otherwise(F.upper(new))).otherwise(out)
         hexed = place("0123456789abcdef")
-        out = F.when(c.rlike("^[0-9]$"), _number(i, 10).cast("string")).otherwise(out)
+        out = F.when(c.rlike("^[0-9]$"), number(10).cast("string")).otherwise(out)
         return F.when(hexadecimal & c.rlike("^[0-9a-f]$"), hexed).otherwise(out)
 
-    return F.array_join(F.transform(F.split(value, ""), one), "")
+    stretches = F.transform(F.regexp_extract_all(value, F.lit("(?s).{1,32}"), 0), lambda x, b: F.struct(
+        x.alias("x"), F.sha2(F.concat(base, b.cast("string")), 256).alias("h")))
+    return F.array_join(F.transform(stretches, lambda s: F.array_join(
+        F.transform(F.split(s["x"], ""), lambda c, i: one(c, i, s["h"])), "")), "")
 
 
 def _check_digit(body: Column) -> Column:
@@ -176,32 +183,30 @@ def _check_digit(body: Column) -> Column:
     return ((10 - total % 10) % 10).cast("string")
 
 
-#: Numbers of the stream after those for the characters of a value: for everything else.
-_MORE = 24
-
-
 def drawn(values: DataFrame, draw: int, key: str = KEY) -> DataFrame:
-    """Adds ``surrogate`` to rows of (type, norm); later draws of mail names, secrets, keys and personal names get longer."""
+    """Adds ``surrogate`` to rows of (type, norm); later draws get longer, so that no format runs out: mail names,
+    secrets, keys and personal names in themselves, numbers by an extension after an x."""
     norm, type_ = F.col("norm"), F.col("type")
     n = F.length(norm)
-    block = lambda b: F.sha2(F.concat_ws("\u0001", F.lit(key), type_, norm, F.lit(str(draw)), b.cast("string")), 256)
-    hexes = F.array_join(F.transform(F.sequence(F.lit(0), F.floor((n + _MORE) / 32).cast("int")), block), "")
-    shape = _reshaped(norm, norm.rlike("^(?=.*[a-f])[0-9a-f]{8,}$"))
-    more = lambda i, bound: _number(n + i, bound)
+    base = F.sha2(F.concat_ws("\u0001", F.lit(key), type_, norm, F.lit(str(draw))), 256)
+    # Bound once, so that no function of the whole value is worked out again for each of its characters.
+    whole = F.array(F.struct(norm.alias("norm"), F.col("base"), norm.rlike("^(?=.*[a-f])[0-9a-f]{8,}$").alias("hexadecimal")))
+    shape = F.element_at(F.transform(whole, lambda w: _reshaped(w["norm"], w["base"], w["hexadecimal"])), 1)
 
     def pick(i: int, options: list[str]) -> Column:
-        return F.element_at(F.array(*map(F.lit, options)), (more(i, len(options)) + 1).cast("int"))
+        return F.element_at(F.array(*map(F.lit, options)), (_number(i, len(options)) + 1).cast("int"))
 
     # 64 bits of the hash, whatever the value holds, so that values of few changeable characters do not run out.
-    tail = F.substring("hex", (n + 8) * 2 + 1, F.lit(16))
-    longer = [tail] if draw > 7 else [more(i, 100).cast("string") for i in (3, 4)] if draw > 3 else []
+    tail = F.substring("hex", 17, 16)
+    longer = [tail] if draw > 7 else [_number(i, 100).cast("string") for i in (3, 4)] if draw > 3 else []
     grown = F.concat("shape", F.when(type_ == "cloud_key", F.upper(tail)).otherwise(tail)) if draw > 3 else F.col("shape")
-    email = F.concat(F.regexp_extract("shape", "^[^@]*", 0), *longer, F.lit("@mail"), more(0, 10).cast("string"),
+    extension = [F.lit("x"), F.conv(tail, 16, 10)] if draw > 11 else []
+    email = F.concat(F.regexp_extract("shape", "^[^@]*", 0), *longer, F.lit("@mail"), _number(0, 10).cast("string"),
                      F.lit(".example."), pick(1, ["com", "net", "org"]))
-    ip = F.concat_ws(".", *[(more(i, 254) + 1).cast("string") for i in range(4)])
-    phone = F.concat((more(0, 8) + 2).cast("string"), F.substring("shape", 2, 300))
+    ip = F.concat(F.concat_ws(".", *[(_number(i, 254) + 1).cast("string") for i in range(4)]), *extension)
+    phone = F.concat((_number(0, 8) + 2).cast("string"), F.substring("shape", F.lit(2), n), *extension)
     body = F.concat(F.substring(norm, 1, 1), F.substring("shape", F.lit(2), n - 2))
-    card = F.concat(body, _check_digit(body))
+    card = F.concat(body, _check_digit(body), *extension)
     out = F.when(type_ == "email", email).when(type_ == "ip", ip).when(type_ == "phone", phone).when(type_ == "card", card)
     out = out.when(type_.isin("secret", "cloud_key"), grown)
     for script, syllables in SYLLABLES.items():
@@ -211,7 +216,8 @@ def drawn(values: DataFrame, draw: int, key: str = KEY) -> DataFrame:
             given = [pick(0, names)] + [F.lit("-"), pick(1, names)] * (draw > 0)
             given += [F.lit("-"), F.initcap(F.concat(*[pick(i, syllables) for i in (2, 3, 4, 5)]))] * (draw > 4)
             out = out.when(type_ == f"given:{script}:{gender}", F.concat(*given))
-    return values.withColumn("hex", hexes).withColumn("shape", shape).withColumn("surrogate", out.otherwise(F.col("shape"))).drop("hex", "shape")
+    hashed = values.withColumn("base", base).withColumn("hex", F.sha2(F.concat("base", F.lit("more")), 256)).withColumn("shape", shape)
+    return hashed.withColumn("surrogate", out.otherwise(F.concat("shape", *extension))).drop("base", "hex", "shape")
 
 
 def _space(type_: Column) -> Column:
@@ -242,14 +248,15 @@ def assign(values: DataFrame, key: str = KEY) -> DataFrame:
 
 def shown(part: Column, new: Column) -> Column:
     """A surrogate in the format of the occurrence: its digits in the places of the last digits, its case."""
-    old = part["shown"]
-    spare = F.length(F.regexp_replace(old, r"\D", "")) - F.length(new)
+    old, main = part["shown"], F.regexp_extract(new, "^[0-9]*", 0)
+    spare = F.length(F.regexp_replace(old, r"\D", "")) - F.length(main)
 
     def digit(c: Column, i: Column) -> Column:
         at = F.length(F.regexp_replace(F.substring(old, F.lit(1), i + 1), r"\D", "")) - spare
-        return F.when(c.rlike("^[0-9]$") & (at > 0), F.substring(new, at, F.lit(1))).otherwise(c)
+        return F.when(c.rlike("^[0-9]$") & (at > 0), F.substring(main, at, F.lit(1))).otherwise(c)
 
-    formatted = F.array_join(F.transform(F.split(old, ""), digit), "")
+    extension = F.regexp_replace(new, "^[0-9]*(?=x|$)", "")
+    formatted = F.concat(F.array_join(F.transform(F.split(old, ""), digit), ""), F.when(extension == "", "").otherwise(F.concat(F.lit(" "), extension)))
     word = F.when((old == F.upper(old)) & (F.length(old) > 1), F.upper(new)).otherwise(new)
     return (
         F.when(part["type"].isNull(), old).when(part["type"].isin("phone", "card", "ssn"), formatted)

@@ -260,3 +260,27 @@ def test_pipeline_keeps_clean_documents(spark):
     exact = {r["doc_id"] for r in exact_dedup.exact_dedup(docs).where("kept").collect()}
     near = simhash_dedup.simhash_dedup(docs.where(F.col("doc_id").isin(sorted(exact)))).collect()
     assert kept == {r["doc_id"] for r in near if r["doc_id"] == r["component_id"]}
+
+
+def test_plain_figures_stay(spark):
+    plain = ["12.345.678 Euro", "12 345 678 francs", "art. 100-200-300", "1990-200-1234 and 1.234.567,89", "212-555-0123-44", "5.274-555-9629"]
+    got = _replaced(spark, plain)
+    assert [got[i]["text"] for i in range(len(plain))] == plain
+
+
+@pytest.mark.parametrize("text", [
+    "Mr. A" + "b" * 1_000_000, "Dr " + "Q" * 1_000_000 + " x", "Mrs. " + "Ab-" * 300_000 + "c d", "Mr. O" + "'n" * 300_000,
+    "token = " + "a😀" * 300_000, "password: " + "Zq9/" * 250_000, "x" * 1_000_000 + "@a.b", "+" + "1 " * 500_000, "(" * 500_000])
+def test_long_runs_after_a_title_or_a_key(spark, text):
+    got = _replaced(spark, [text, "call +1 (274) 555-9629."])
+    assert got[1]["n_entities"] == 1 and (got[0]["text"] != text) == (got[0]["n_entities"] > 0)
+    if text.startswith(("M", "D", "token", "password")):
+        assert got[0]["n_entities"] == 1
+
+
+def test_numbers_of_an_exhausted_format_get_an_extension(spark):
+    values = spark.createDataFrame([("phone", "5551234"), ("card", "4539578763621486"), ("ssn", "123456789"), ("ip", "10.0.0.1")], "type string, norm string")
+    late = {r["type"]: r["surrogate"] for r in pii_surrogates.drawn(values, 12).collect()}
+    assert all(re.fullmatch(r"[0-9.]+x\d+", s) for s in late.values()), late
+    part = F.struct(F.lit("phone").alias("type"), F.lit("5551234").alias("norm"), F.lit("+1 555-1234").alias("shown"))
+    assert re.fullmatch(r"\+1 987-6543 x77", spark.range(1).select(pii_surrogates.shown(part, F.lit("9876543x77"))).first()[0])
