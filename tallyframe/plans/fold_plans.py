@@ -6,7 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import fold, ordered, sgd
+from tallyframe.operators import fold, fsm, ordered, sgd
 from tallyframe.plans.catalog import register
 from tallyframe.sources import load
 
@@ -175,3 +175,47 @@ def q_linear_mse(spark, sf):
         F.round(F.avg(F.pow(y, 2)), 6).alias("mse_zero"),
         F.round(sgd.mse(j, y, [x], F.col("w")), 6).alias("mse_fit"),
     )
+
+
+FSM_STATES = ["new", "browsing", "interested", "buyer", "lapsed"]
+
+
+def _life_cycle(state):
+    """What an event makes of a user's state; a signup resets any, a purchase of a new user is not covered."""
+    kind = F.col("event_type")
+    return (
+        F.when(kind == "signup", "new")
+        .when((kind == "view") & state.isin("new", "lapsed"), "browsing")
+        .when((kind == "click") & (state == "browsing"), "interested")
+        .when((kind == "purchase") & (state != "new") & (F.col("value") > 20), "buyer")
+        .when((kind == "error") & (state == "buyer"), "interested")
+        .when((kind == "error") & (state == "interested"), "browsing")
+        .when((kind == "error") & (state == "browsing"), "lapsed")
+    )
+
+
+@register(
+    "fold_fsm",
+    """
+    WITH RECURSIVE e AS (
+      SELECT user_id, event_id, event_type AS k, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+    s AS (
+      SELECT user_id, 0::BIGINT AS pos, NULL::BIGINT AS event_id, 'new' AS state FROM (SELECT DISTINCT user_id FROM events)
+      UNION ALL
+      SELECT e.user_id, e.pos, e.event_id,
+        CASE WHEN k = 'signup' THEN 'new'
+             WHEN k = 'view' AND state IN ('new', 'lapsed') THEN 'browsing'
+             WHEN k = 'click' AND state = 'browsing' THEN 'interested'
+             WHEN k = 'purchase' AND state <> 'new' AND value > 20 THEN 'buyer'
+             WHEN k = 'error' AND state = 'buyer' THEN 'interested'
+             WHEN k = 'error' AND state = 'interested' THEN 'browsing'
+             WHEN k = 'error' AND state = 'browsing' THEN 'lapsed' ELSE state END
+      FROM s JOIN e ON e.user_id = s.user_id AND e.pos = s.pos + 1)
+    SELECT user_id, event_id, state FROM s WHERE pos > 0
+    """,
+)
+def q_fold_fsm(spark, sf):
+    """Every state of a user's life cycle: a state machine with resets, folded in time order."""
+    ev = load(spark, sf, "events", ["user_id", "ts", "event_id", "event_type", "value"])
+    s = fsm.scan(ev, ["user_id"], ["ts", "event_id"], FSM_STATES, _life_cycle, "new", block=ordered.time_block("ts", 86400))
+    return s.select("user_id", "event_id", "state")

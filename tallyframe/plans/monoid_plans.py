@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from tallyframe.functions.exprs import ntz_micros
-from tallyframe.operators import decay, monoid, ordered
+from tallyframe.operators import aggregator, decay, monoid, ordered
 from tallyframe.plans.catalog import register
 from tallyframe.sources import load, parse_pairs
 
@@ -241,3 +243,27 @@ def q_scan_json_props(spark, sf):
     ev = load(spark, sf, "events", ["event_type", "props"])
     parsed = ev.select("event_type", F.from_json("props", "k BIGINT").alias("p"))
     return parsed.groupBy("event_type", F.col("p.k").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+
+
+#: log of a sum of exponentials, kept as (number, greatest exponent, sum relative to it), so that nothing overflows.
+LOG_SUM_EXP = aggregator.Aggregator(
+    "n long, top double, total double", lambda v: (1, v, 1.0),
+    lambda a, b: (a[0] + b[0], max(a[1], b[1]), a[2] * math.exp(a[1] - max(a[1], b[1])) + b[2] * math.exp(b[1] - max(a[1], b[1]))),
+    "n long, log_mean_exp double", lambda s: (s[0], s[1] + math.log(s[2]) - math.log(s[0])))
+
+
+@register(
+    "user_aggregator",
+    """
+    WITH e AS (SELECT event_type, value * 10 AS v, user_id FROM events), t AS (SELECT event_type, max(v) AS top FROM e GROUP BY 1)
+    SELECT event_type, count(*) AS n, round(top + ln(sum(exp(v - top))) - ln(count(*)), 6) AS log_mean_exp, min(user_id) AS first_user, max(user_id) AS last_user
+    FROM e JOIN t USING (event_type) GROUP BY event_type, top
+    """,
+)
+def q_user_aggregator(spark, sf):
+    """User-defined aggregators side by side: log-mean-exp (a three-field state) and the range of users."""
+    ev = load(spark, sf, "events", ["event_type", "value", "user_id"]).withColumn("value", F.col("value") * 10)
+    span = aggregator.Aggregator("first_user long, last_user long", lambda u: (u, u), lambda a, b: (min(a[0], b[0]), max(a[1], b[1])))
+    both = aggregator.together(LOG_SUM_EXP.prepared(lambda v, u: (v,)), span.prepared(lambda v, u: (u,)))
+    out = aggregator.aggregate(ev, ["event_type"], ["value", "user_id"], both)
+    return out.withColumn("log_mean_exp", F.round("log_mean_exp", 6))
