@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tallyframe.operators import monoid, sketch
+from tallyframe.operators import monoid, quantile_tree, sketch
 from tallyframe.plans.catalog import register
 from tallyframe.sources import load, materialize
 
@@ -217,3 +217,55 @@ def q_heavy_hitters_top10(spark, sf):
     words = monoid.word_rows(load(spark, sf, "documents", ["text"]), "text")
     hh = sketch.heavy_hitters(words, [], "word", 0.001, 1e-3, 0.001)
     return monoid.top_k(hh, [], 10, "est", "word").select("word", "est")
+
+
+@register(
+    "qtree_tree",
+    """
+    WITH v AS (SELECT o_orderpriority, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders),
+    r AS (SELECT *, row_number() OVER (PARTITION BY o_orderpriority ORDER BY cents) AS i, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM v),
+    ps AS (SELECT unnest([0.25, 0.5, 0.75, 0.99]::DOUBLE[]) AS p)
+    SELECT o_orderpriority, p, cents AS exact, true AS inside, true AS narrow FROM r, ps WHERE i = greatest(1, CAST(ceil(p * n) AS BIGINT))
+    """,
+)
+def q_qtree_tree(spark, sf):
+    """Quantile bounds of order prices (cents) per priority from compressed trees (k = 10): the exact quantile lies
+    inside them, and no more than levels * 2^-k of the values lie between them."""
+    o = load(spark, sf, "orders", ["o_orderpriority", "o_totalprice"])
+    o = o.select("o_orderpriority", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    ps = [0.25, 0.5, 0.75, 0.99]
+    bounds = quantile_tree.quantile_bounds(quantile_tree.build(o, ["o_orderpriority"], "cents"), ["o_orderpriority"], ps)
+    counts = o.groupBy("o_orderpriority", "cents").agg(F.count(F.lit(1)).alias("c"))  # the exact side of the contract
+    j = counts.join(bounds, "o_orderpriority").groupBy("o_orderpriority", "p", "lower", "upper").agg(
+        F.sum("c").alias("n"), F.sum(F.when(F.col("cents") < F.col("lower"), F.col("c")).otherwise(0)).alias("below"),
+        F.sum(F.when(F.col("cents") <= F.col("upper"), F.col("c")).otherwise(0)).alias("upto"))
+    exact = o.groupBy("o_orderpriority").agg(F.array(*[F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY cents)") for p in ps]).alias("x"))
+    exact = exact.select("o_orderpriority", F.explode(F.arrays_zip(F.array(*map(F.lit, ps)).alias("p"), F.col("x").alias("x"))).alias("q"))
+    exact = exact.select("o_orderpriority", F.col("q.p").alias("p"), F.col("q.x").cast("bigint").alias("exact"))
+    rank = F.greatest(F.ceil(F.col("p") * F.col("n")), F.lit(1))
+    return j.join(exact, ["o_orderpriority", "p"]).select(
+        "o_orderpriority", "p", "exact",
+        (F.col("exact").between(F.col("lower"), F.col("upper")) & (F.col("below") < rank) & (rank <= F.col("upto"))).alias("inside"),
+        (F.col("upto") - F.col("below") <= F.col("n") * (quantile_tree.LEVELS / 2.0**quantile_tree.K) + 1).alias("narrow"))
+
+
+@register(
+    "qtree_range",
+    """
+    WITH v AS (SELECT o_orderpriority, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders)
+    SELECT o_orderpriority, count(*) FILTER (WHERE cents >= 10000000 AND cents < 25000000) AS n,
+      CAST(coalesce(sum(cents) FILTER (WHERE cents >= 10000000 AND cents < 25000000), 0) AS BIGINT) AS total, true AS inside
+    FROM v GROUP BY 1
+    """,
+)
+def q_qtree_range(spark, sf):
+    """Number and sum of order prices from 100,000 up to 250,000 per priority: bounds from the tree around the exact values."""
+    o = load(spark, sf, "orders", ["o_orderpriority", "o_totalprice"])
+    o = o.select("o_orderpriority", F.round(F.col("o_totalprice") * 100).cast("bigint").alias("cents"))
+    low, high = 10_000_000, 25_000_000
+    found = quantile_tree.range_bounds(quantile_tree.build(o, ["o_orderpriority"], "cents"), ["o_orderpriority"], low, high)
+    held = (F.col("cents") >= low) & (F.col("cents") < high)
+    exact = o.groupBy("o_orderpriority").agg(F.count(F.when(held, 1)).alias("n"), F.coalesce(F.sum(F.when(held, F.col("cents"))), F.lit(0)).alias("total"))
+    return exact.join(found, "o_orderpriority").select(
+        "o_orderpriority", "n", "total",
+        (F.col("n").between(F.col("n_low"), F.col("n_high")) & F.col("total").between(F.col("total_low"), F.col("total_high"))).alias("inside"))
