@@ -31,79 +31,111 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import kind_of, stored
 
 CAPACITY, END_ID = 2048, 0
-#: Space-separated cells of a text that a Python worker keeps with their ids, and their longest length.
-MEMO, MEMO_LENGTH = 800_000, 64
-# Fixed value: a pattern of words none of whose alternatives holds white space, so that words never cross a space.
+# The word pattern and the normal form of the definitions that the faster encoder knows.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
-
-
-MARKS = ",.;:!?"
-_LETTER = re.compile(r"[A-Za-z]").match
+NORMAL = ["NFC", "Replace", "Lowercase"]
+#: Ends a word on its way to the faster encoder; texts that hold it go to the library.
+END_OF_WORD = "\ue000"
+# Characters whose normal form, class and lower case no version of Unicode changes: Latin letters, common marks.
+_OTHER = re.compile("[^\x00-\u017f\u2010-\u2027\u2030-\u203a\u20ac]")
+_L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe", "\t-\r \x85\xa0"
+_PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
+
+
+def reachable(definition: dict) -> bool:
+    """Whether each merge's result, merged on its own, comes from that merge. Then a merge of any two neighbours that
+    form a known piece, lowest number first, is the definition's merge: before it, the piece's stretch has been merged
+    as on its own, where only the definition's pair can be left."""
+    model = definition["model"]
+    merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    rank = {m: i for i, m in enumerate(merges)}
+    if len({a + b for a, b in merges}) < len(merges):
+        return False
+    for a, b in merges:
+        parts = list((a + b).removesuffix("</w>"))
+        parts[-1] += "</w>" * (a + b).endswith("</w>")
+        while len(parts) > 2:
+            i = min(range(len(parts) - 1), key=lambda i: rank.get((parts[i], parts[i + 1]), len(rank)))
+            if (parts[i], parts[i + 1]) not in rank:
+                return False
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+        if tuple(parts) != (a, b):
+            return False
+    return True
 
 
 class Encoder:
     """The ids that the tokenizers library gives for a definition file.
 
-    Where the definition drops white space and its words hold none, a text's ids are those of its cells between
-    spaces and line ends, one after the other; the library encodes each new cell once. Other definitions encode whole texts.
+    Byte-level byte-pair definitions with ends of words, whose results are all ``reachable``, run on tiktoken: the words
+    of a lower-cased text get an end mark, whose bytes merge with a word's last byte before anything else. Texts with
+    other than the plainest characters or with added tokens, and other definitions, run on the library itself.
     """
 
-    def __init__(self, definition: str):
+    def __init__(self, definition: str, fast: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_str(definition)
-        self.apart = self._apart(json.loads(definition))
-        self.memo: dict[str, bytes] = {}
-        self.stems: dict[str, bytes] = {}
+        known = json.loads(definition)
+        self.special = re.compile("|".join(re.escape(t["content"]) for t in known["added_tokens"]) or r"(?!)")
+        self.fast, self.id_of = self._fast(known) if fast else (None, None)
 
     @staticmethod
-    def _apart(definition: dict) -> bool:
-        steps = (definition.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
-        first = steps[0]
-        normal = {n["type"] for n in (definition.get("normalizer") or {}).get("normalizers", [])}
-        return (
-            first.get("type") == "Split" and first.get("pattern") == {"Regex": WORDS} and first.get("behavior") == "Removed"
-            and bool(first.get("invert")) and normal <= {"NFC", "Lowercase", "Replace"} and not definition.get("post_processor")
-            and all(not s.get("add_prefix_space") for s in steps)
-            and not any(" " in t["content"] or t["lstrip"] or t["rstrip"] or t["single_word"] for t in definition["added_tokens"])
-        )
-
-    def _encoded(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.library.encode_batch(texts, add_special_tokens=False)]
-
-    def _cells(self, cells: list[str]) -> list[bytes]:
-        """Ids of cells. A word always ends between an ASCII letter and the mark that ends its cell, and ASCII letters
-        count lower-cased, so a cell's two parts are encoded apart and once."""
-        split = [(c[:-1], c[-1]) if c[-1:] in MARKS and _LETTER(c[-2:-1]) else (c, "") for c in cells]
-        split = [(c.lower() if c.isascii() and c.isalpha() else c, m) for c, m in split]
-        new = list({c for c, _ in split}.union(m for _, m in split).difference(self.stems))
-        if len(self.stems) + len(new) > MEMO:
-            self.stems.clear()
-            new = list({c for c, _ in split}.union(m for _, m in split))
-        self.stems.update(zip(new, self._encoded(new)))
-        out = [self.stems[c] + self.stems[m] for c, m in split]
-        for c in new:
-            if len(c) > MEMO_LENGTH:
-                del self.stems[c]
-        return out
+    def _fast(definition: dict):
+        import tiktoken
+
+        model = definition["model"]
+        # Byte-level files write a byte as itself if printable, else as a character from U+0100 on.
+        shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        of_char = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in set(shown))}
+        mark = END_OF_WORD.encode()
+        ranks = {bytes([b]): b for b in range(256)}
+        for n in range(1, len(mark) + 1):
+            ranks |= {bytes([b]) + mark[:n]: len(ranks) + b for b in range(256)}
+        ids = np.full(len(ranks) + len(model["merges"]), -1, np.int64)
+        for c, b in of_char.items():
+            ids[b], ids[ranks[bytes([b]) + mark]] = model["vocab"][c], model["vocab"][c + "</w>"]
+        for merge in model["merges"]:
+            token = merge.replace(" ", "") if isinstance(merge, str) else "".join(merge)
+            word = token.removesuffix("</w>")
+            ids[len(ranks)] = model["vocab"][token]
+            ranks[bytes(of_char[c] for c in word) + mark * (word != token)] = len(ranks)
+        pattern = f"[^{END_OF_WORD}]+{END_OF_WORD}"
+        return tiktoken.Encoding("definition", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}), ids.astype("<u4")
+
+    def _library(self, text: str) -> bytes:
+        return array("I", self.library.encode(text, add_special_tokens=False).ids).tobytes()
+
+    def _quick(self, text: str) -> bytes:
+        words = _PIECES.findall(text.lower())
+        if not words:
+            return b""
+        words.append("")
+        return self.id_of[self.fast.encode_to_numpy(END_OF_WORD.join(words))].tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        if not self.apart:
-            return self._encoded(texts)
-        cells = [t.replace("\n", " ").split(" ") for t in texts]
-        found = [list(map(self.memo.get, row)) for row in cells]
-        new = list({c for row, ids in zip(cells, found) if None in ids for c, i in zip(row, ids) if i is None})
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-            new = list(set().union(*cells))
-        self.memo.update(zip(new, self._cells(new)))
-        out = [b"".join(list(map(self.memo.get, row)) if None in ids else ids) for row, ids in zip(cells, found)]
-        for cell in new:
-            if len(cell) > MEMO_LENGTH:
-                del self.memo[cell]
-        return out
+        if self.fast is None:
+            return list(map(self._library, texts))
+        return [self._library(t) if _OTHER.search(t) or self.special.search(t) else self._quick(t) for t in texts]
+
+
+def plain_words(definition: str) -> bool:
+    """Whether the faster encoder gives a definition's ids; worked out once, before the job."""
+    known = json.loads(definition)
+    model, steps = known["model"], (known.get("pre_tokenizer") or {}).get("pretokenizers") or [{}]
+    split, level = steps[0], steps[-1]
+    return (
+        model.get("type", "BPE") == "BPE" and model.get("end_of_word_suffix") == "</w>"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "ignore_merges", "byte_fallback", "unk_token"))
+        and [n["type"] for n in (known.get("normalizer") or {}).get("normalizers", [])] == NORMAL and not known.get("post_processor")
+        and known["normalizer"]["normalizers"][1] == {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}
+        and len(steps) == 2 and split.get("pattern") == {"Regex": WORDS} and split.get("behavior") == "Removed" and bool(split.get("invert"))
+        and level.get("type") == "ByteLevel" and not level.get("add_prefix_space") and not level.get("use_regex")
+        and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] for t in known["added_tokens"])
+        and reachable(known)
+    )
 
 
 def fullest(counts: dict[int, int], capacity: int) -> dict[int, int]:
@@ -151,20 +183,20 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY) -> tuple[np.ndarra
 
 
 @functools.lru_cache(maxsize=2)
-def _encoder(definition: str) -> Encoder:
+def _encoder(definition: str, fast: bool) -> Encoder:
     """Kept while the Python worker lives."""
-    return Encoder(definition)
+    return Encoder(definition, fast)
 
 
 def tokenized(docs: DataFrame, definition: str, capacity: int = CAPACITY, end_id: int = END_ID, ids: bool = False) -> DataFrame:
     """One row per document: doc_id, doc_tokens, the CRCs of its whole pieces, the first one's number among those of
     the partition, length and CRC of the rest, the partition and the rest's rank among those of its length in it."""
-    tail, window = np.array([end_id], "<u4").tobytes(), 4 * capacity
+    tail, window, fast = np.array([end_id], "<u4").tobytes(), 4 * capacity, plain_words(definition)
     names = ["doc_id", "doc_tokens", "whole_crcs", "whole", "rest", "rest_crc", "part", "place"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, wholes, places = TaskContext.get().partitionId(), 0, np.zeros(capacity, np.int64)
-        encoder = _encoder(definition)
+        encoder = _encoder(definition, fast)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 rows = batch.slice(at, 256)

@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
@@ -10,6 +11,7 @@ from collections import Counter, defaultdict
 from fractions import Fraction
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.llm import bin_packing, importance_resampling, product_codes, queries
 
-from ..conftest import SF001
+from ..conftest import SF01, SF001
 from .helpers import empty_documents, odd_documents, odd_texts, rows_of
 
 # --- product codes ---
@@ -120,7 +122,8 @@ def test_codes_of_an_empty_table(spark):
 
 @pytest.fixture(scope="module")
 def encoder():
-    return bin_packing.Encoder(queries.byte_model(queries.WORD_MODEL))
+    definition = queries.byte_model(queries.WORD_MODEL)
+    return bin_packing.Encoder(definition, bin_packing.plain_words(definition))
 
 
 def library_ids(encoder, text):
@@ -129,24 +132,44 @@ def library_ids(encoder, text):
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(alphabet=st.sampled_from("abAB'stdlI.,;:!?() \n\t\r\x0b\x1c\x85\xa0 ßÜééİΣσ漢😀9½<|endoftext|>"), max_size=60), max_size=6))
-def test_cells_encode_like_the_library(encoder, texts):
-    assert encoder.apart
+def test_words_encode_like_the_library(encoder, texts):
+    assert encoder.fast is not None
     for text, ids in zip(texts, encoder.encode(texts)):
         assert np.frombuffer(ids, "<u4").tolist() == library_ids(encoder, text)
 
 
-def test_encoder_of_odd_and_long_texts(encoder, monkeypatch):
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=st.characters(max_codepoint=0x20AF, exclude_categories=["Cs"]), max_size=80))
+def test_any_text_encodes_like_the_library(encoder, text):
+    assert np.frombuffer(encoder.encode([text])[0], "<u4").tolist() == library_ids(encoder, text)
+
+
+def test_every_plain_character_encodes_like_the_library(encoder):
+    plain = [c for c in map(chr, range(0x20B0)) if not bin_packing._OTHER.search(c)]
+    texts = [c for c in plain] + [f"a{c}b {c}{c}1{c}'s" for c in plain]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == [library_ids(encoder, t) for t in texts]
+
+
+def test_encoder_of_odd_and_long_texts(encoder):
     texts = [t or "" for t in odd_texts()] + [" " * 1_100_000 + "end.", "<|endoftext|>, <|startoftext|>.x", "don't! I'LL, we'd.", "a" * 200_000 + "."]
-    want = [library_ids(encoder, t) for t in texts]
-    for memo in (bin_packing.MEMO, 30):  # also with a memo that is emptied again and again
-        monkeypatch.setattr(bin_packing, "MEMO", memo)
-        assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == want
+    texts += ["a" * 1_100_000, "7" * 1_100_000, "!?" * 500_000, "ab\ue000c", "ΣΑΣ i̇İ"]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == [library_ids(encoder, t) for t in texts]
+
+
+def test_all_documents_encode_like_the_library(encoder):
+    texts = [t or "" for t in pq.read_table(f"{SF01}/documents.parquet")["text"].to_pylist()]
+    assert [np.frombuffer(b, "<u4").tolist() for b in encoder.encode(texts)] == [library_ids(encoder, t) for t in texts]
 
 
-def test_other_definitions_encode_whole_texts():
-    other = bin_packing.Encoder(queries.byte_model())
-    assert not other.apart
+def test_other_definitions_run_on_the_library():
+    definition = queries.byte_model()
+    assert not bin_packing.plain_words(definition)
+    other = bin_packing.Encoder(definition, False)
     assert np.frombuffer(other.encode(["a b  c\n"])[0], "<u4").tolist() == library_ids(other, "a b  c\n")
+    hidden = json.loads(queries.byte_model(queries.WORD_MODEL))
+    merges = hidden["model"]["merges"]
+    hidden["model"]["merges"] = merges[::-1]  # most results cannot be reached in this order
+    assert bin_packing.reachable(json.loads(queries.byte_model(queries.WORD_MODEL))) and not bin_packing.reachable(hidden)
 
 
 @settings(max_examples=150, deadline=None)
