@@ -23,6 +23,7 @@ from tallyframe.functions.exprs import (
     normal_pdf,
     normalise_weight,
 )
+from tallyframe.functions.special import poisson_quantile
 from tallyframe.operators.pmf import _by
 
 DEFAULT_CUTOFF = 1e-4
@@ -74,22 +75,13 @@ def _integer_support(params: DataFrame, lo: Column, hi: Column) -> DataFrame:
 
 
 def poisson_pmf(params: DataFrame, by, lam: str, cutoff: float = DEFAULT_CUTOFF) -> DataFrame:
-    """Poisson PMF on ``0 .. F⁻¹(1 − cutoff)``; empty when λ <= 0.
-
-    The support is exploded to a bound that holds ``F⁻¹(1 − cutoff)`` for every cutoff: Bernstein's inequality
-    gives ``P(X >= λ + t) <= cutoff`` for ``t = L/3 + √(L²/9 + 2λL)``, ``L = −ln cutoff``. It is cut at the
-    first k whose cumulative probability reaches ``1 − cutoff``, with a running sum over each row's support.
-    """
-    by = _by(by)
+    """Poisson PMF on ``0 .. F⁻¹(1 − cutoff)``; empty when λ <= 0. The end of the support comes in closed form from
+    the incomplete gamma function, so no cumulative sums are formed."""
     lam_c = F.col(lam)
     p = params.where(lam_c > 0)
-    tail = -math.log(cutoff)
-    kmax = F.ceil(lam_c + F.lit(tail / 3) + F.sqrt(F.lit(tail * tail / 9) + F.lit(2 * tail) * lam_c)) + 1
-    s = _integer_support(p, F.lit(0), kmax)
-    s = s.withColumn("prob", F.exp(F.col("k") * F.log(lam_c) - lam_c - ln_factorial(F.col("k"))))
-    w = Window.partitionBy(*by).orderBy("k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    s = s.withColumn("_cum", F.sum("prob").over(w))
-    return s.where(F.col("_cum") - F.col("prob") < F.lit(1.0 - cutoff)).drop("_cum")
+    last = poisson_quantile(F.lit(1.0 - cutoff), lam_c)
+    s = _integer_support(p, F.lit(0), last)
+    return s.withColumn("prob", F.exp(F.col("k") * F.log(lam_c) - lam_c - ln_factorial(F.col("k"))))
 
 
 def binomial_pmf(params: DataFrame, n: str, p: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""One-pass stochastic gradient descent for a linear model, in row order, at any scale.
+"""Stochastic gradient descent in row order, at any scale: one exact pass of a linear model, mixed passes of any other.
 
 The step ``w <- w − s·(w·x̃ − y)·x̃`` (``x̃ = xs ++ [1.0]``, bias last) is affine in ``w``:
 ``w <- (I − s x̃ x̃ᵀ) w + s y x̃``. A run of rows therefore composes to a single affine map. The rows of a key are cut
@@ -10,7 +10,8 @@ on the chunk's rows alone.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -18,9 +19,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions.exprs import col_of
+from tallyframe.functions.exprs import col_of, join_by
 from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
+from tallyframe.sources.tables import materialize
 
 #: Rows of a chunk, and chunks whose maps compose in one call before the maps of a key do.
 CHUNK_ROWS, CHUNK_GROUP = 50_000, 4096
@@ -107,6 +109,81 @@ def sgd_linear(
     return whole.select(*by, F.array(*weights).alias("w"), F.col("_n").alias("count"))
 
 
+Gradient = Callable[[np.ndarray, np.ndarray, float], np.ndarray]
+
+
+def logistic_gradient(w: np.ndarray, x: np.ndarray, y: float) -> np.ndarray:
+    """Of the log-loss of a label 0 or 1; x ends in the bias's 1."""
+    z = max(-700.0, min(700.0, float(w @ x)))
+    return (1.0 / (1.0 + math.exp(-z)) - y) * x
+
+
+def sgd_mixed(
+    df: DataFrame, by, order: Sequence[str], y: str | Column, xs: Sequence[str | Column], step: float,
+    gradient: Gradient = logistic_gradient, w0: Sequence[float] | None = None, rounds: int = 1,
+    block: Column | None = None, chunk_rows: int = CHUNK_ROWS,
+) -> DataFrame:
+    """Weights after ``rounds`` passes with any gradient: ``(by..., w ARRAY<DOUBLE> (bias last), count)``.
+
+    A step that is not affine in the weights has no composed form, so a round passes over each chunk of consecutive
+    rows in order, all chunks from the key's present weights, and mixes the chunks' weights by their numbers of rows.
+    With one chunk per key this is the sequential pass; with c chunks of a key each weight moves in ``rounds`` rounds
+    like the mean of ``c`` shorter passes. Chunks are packed once into a stored table (one row of doubles per chunk) and
+    each round reads that; only weights are shuffled. A point without a label or a feature is skipped.
+    """
+    by, order, d = _by(by), list(order), len(xs) + 1
+    start = [float(v) for v in w0] if w0 is not None else [0.0] * d
+    if len(start) != d or rounds < 1:
+        raise ValueError(f"w0 needs {d} values (features then bias), rounds at least 1")
+    g = by or ["_g"]
+    names = ["_y", *(f"_x{i}" for i in range(d - 1))]
+    okeys = [f"_o{i}" for i in range(len(order))]
+    rows = df.select(
+        *([F.col(b) for b in by] or [F.lit(0).alias("_g")]), *[F.col(o).alias(n) for o, n in zip(order, okeys)],
+        *[col_of(c).cast("double").alias(n) for c, n in zip([y, *xs], names)],
+        (block if block is not None else F.lit(0)).cast("bigint").alias("_blk"),
+    ).dropna(subset=names)
+    rows = ordered.row_chunks(rows, g, okeys, chunk_rows, "_chunk", F.col("_blk"))
+    keys = [f for f in rows.schema.fields if f.name in g]
+
+    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
+        points = pdf.sort_values(okeys, kind="mergesort")[names].to_numpy(float)
+        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in g}, "_n": [len(points)], "_points": [points.tobytes()]})
+
+    packed = materialize(rows.groupBy(*g, "_chunk").applyInPandas(pack, T.StructType(
+        [*keys, T.StructField("_n", T.LongType()), T.StructField("_points", T.BinaryType())])), "sgd-chunks")
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            ends = []
+            for points, w in zip(pdf["_points"], pdf["_w"]):
+                points, w = np.frombuffer(points).reshape(-1, d), np.array(w, float)
+                x = np.column_stack([points[:, 1:], np.ones(len(points))])
+                for i, label in enumerate(points[:, 0].tolist()):
+                    w = w - step * gradient(w, x[i], label)
+                ends.append(w.tolist())
+            yield pdf[[*g, "_n"]].assign(_w=ends)
+
+    passed = T.StructType([*keys, T.StructField("_n", T.LongType()), T.StructField("_w", T.ArrayType(T.DoubleType()))])
+    weights = packed.select(*g).distinct().withColumn("_w", F.array(*map(F.lit, start)))
+    for _ in range(rounds):
+        done = join_by(packed, weights, g).mapInPandas(run, passed)
+        mixed = [(F.sum(F.col("_n") * F.col("_w")[i]) / F.sum("_n")).alias(f"_w{i}") for i in range(d)]
+        weights = done.groupBy(*g).agg(*mixed, F.sum("_n").alias("_n")).select(*g, F.array(*[f"_w{i}" for i in range(d)]).alias("_w"), "_n")
+        weights = materialize(weights, "sgd-weights")
+        rows_of = weights.select(*by, F.col("_w").alias("w"), F.col("_n").alias("count"))
+        weights = weights.drop("_n")
+    return rows_of
+
+
+def log_loss(y: str | Column, xs: Sequence[str | Column], w: Column) -> Column:
+    """Mean log-loss of labels 0 or 1 at ``w`` as an aggregate expression (``w`` an array column)."""
+    z = F.element_at(w, len(xs) + 1)
+    for i, x in enumerate(xs):
+        z = z + F.element_at(w, i + 1) * col_of(x)
+    return F.avg(F.greatest(z, F.lit(0.0)) - z * col_of(y) + F.log1p(F.exp(-F.abs(z))))
+
+
 def mse(df: DataFrame, y: str | Column, xs: Sequence[str | Column], w: Column) -> Column:
     """Mean squared error of ``w·x̃`` against ``y`` as an aggregate expression (``w`` an array column)."""
     pred = F.lit(0.0)

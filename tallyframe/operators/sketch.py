@@ -8,13 +8,19 @@ frequency.
 
 from __future__ import annotations
 
+import hashlib
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tallyframe.functions.exprs import col_of, hash_positions, with_scalars
+from tallyframe.functions.exprs import col_of, hash_positions, join_by, with_scalars
 from tallyframe.operators.pmf import _by
 
 def _hash_halves(item: Column) -> list[Column]:
@@ -221,17 +227,211 @@ def cms_estimate(sketch: DataFrame, probes: DataFrame, by, item: str, eps: float
     return hit.groupBy(*by, item, *keep).agg(F.min(F.coalesce(F.col("cnt"), F.lit(0))).alias(out))
 
 
+def cms_partials(df: DataFrame, by, item: str, eps: float, delta: float) -> DataFrame:
+    """The same sketch as :func:`cms_build` without shuffling items: each task adds its rows to a sketch of its own (one
+    per group it holds), and the tasks' cells are added up, a fixed number per task and group."""
+    by = _by(by)
+    width, depth = cms_shape(eps, delta)
+    held = max(1, CELLS // (width * depth))
+    n = len(by)
+    schema = StructType([*(df.schema[c] for c in by), *StructType.fromDDL("depth int, bucket long, cnt long")])
+    target = to_arrow_schema(schema)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple, np.ndarray] = {}
+        halves = _Halves()
+        for batch in _gathered(batches):
+            for key, items, counts in _counted(batch, n):
+                cells = groups.setdefault(key, np.zeros((depth, width), np.int64))
+                for i, at in enumerate(_cells(halves, items, width, depth)):
+                    np.add.at(cells[i], at, counts)
+            if len(groups) > held:
+                yield from (_cell_rows(key, cells, target) for key, cells in groups.items())
+                groups = {}
+        yield from (_cell_rows(key, cells, target) for key, cells in groups.items())
+
+    cells = df.select(*by, F.col(item).cast("string").alias("_item")).mapInArrow(sketch, schema)
+    return cells.groupBy(*by, "depth", "bucket").agg(F.sum("cnt").alias("cnt"))
+
+
 def heavy_hitters(df: DataFrame, by, item: str, eps: float, delta: float, pct: float) -> DataFrame:
-    """Items whose CMS estimate reaches ``pct`` of the group's total count: ``(by..., item, est, exact)``."""
+    """Items whose CMS estimate reaches ``pct`` of the group's total count: ``(by..., item, est, exact)``.
+
+    Items are not grouped: a first pass adds up a sketch per task, and a second holds every item against the whole
+    sketch and counts exactly those that reach the share. Without groups the sketch, depth x width cells, goes to the
+    tasks as it is; with groups its cells are joined to the distinct items that each task holds."""
     by = _by(by)
-    # One per-item count table feeds the sketch, the candidate items and the total, so the input is read
-    # (and, for words, tokenised) once: the three branches share the same exchange.
+    if by:
+        return _grouped_heavy_hitters(df, by, item, eps, delta, pct)
+    width, depth = cms_shape(eps, delta)
+    whole = np.zeros((depth, width), np.int64)
+    for r in cms_partials(df, [], item, eps, delta).collect():  # depth x width rows at most
+        whole[r["depth"], r["bucket"]] = r["cnt"]
+    least = float(pct) * int(whole[0].sum())
+    schema = StructType([StructField("_item", StringType()), StructField("est", LongType()), StructField("n", LongType())])
+    target = to_arrow_schema(schema)
+
+    def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[str | None, list[int]] = {}
+        halves = _Halves()
+        for batch in _gathered(batches):
+            for _, items, counts in _counted(batch, 0):
+                est = np.min([whole[i, at] for i, at in enumerate(_cells(halves, items, width, depth))], axis=0)
+                for j in np.flatnonzero(est >= least):
+                    found.setdefault(items[j], [int(est[j]), 0])[1] += int(counts[j])
+        yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([e for e, _ in found.values()], pa.int64()),
+                                          pa.array([c for _, c in found.values()], pa.int64())], schema=target)
+
+    hits = df.select(F.col(item).cast("string").alias("_item")).mapInArrow(verify, schema)
+    out = hits.groupBy("_item", "est").agg(F.sum("n").alias("exact"))
+    return out.select(F.col("_item").cast(df.schema[item].dataType).alias(item), "exact", "est")
+
+
+def _grouped_heavy_hitters(df: DataFrame, by: list[str], item: str, eps: float, delta: float, pct: float) -> DataFrame:
+    # One per-item count table feeds the sketch, the candidate items and the total, so the input is read once.
     counts = df.groupBy(*by, item).agg(F.count(F.lit(1)).alias("_c"))
     sk = cms_from_counts(counts, by, item, "_c", eps, delta)
     est = cms_estimate(sk, counts, by, item, eps, delta).withColumnRenamed("_c", "exact")
+    total = counts.groupBy(*by).agg(F.sum("_c").alias("_N"))
+    est = join_by(est, total, by)
+    return est.where(F.col("est") >= F.lit(float(pct)) * F.col("_N")).drop("_N")
+
+
+# ---------------------------------------------------------------- frequent items
+
+
+def misra_gries(df: DataFrame, by, item: str | Column, counters: int) -> DataFrame:
+    """``(by..., item, count, missed)``: mergeable summaries of at most ``counters`` counts per task and group. An item's
+    true count lies between the sum of its counts and that plus the group's sum of ``missed`` (one row with a NULL
+    ``item`` per task and group), which is at most a group's rows divided by ``counters``. NULL items do not count."""
+    by = _by(by)
+    n = len(by)
+    rows = df.select(*by, col_of(item).cast("string").alias("item")).where(F.col("item").isNotNull())
+    schema = StructType([*(rows.schema[c] for c in by), *StructType.fromDDL("item string, count long, missed long")])
+    target = to_arrow_schema(schema)
+
+    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        groups: dict[tuple, tuple[dict[str, int], list[int]]] = {}
+        size = 0
+        for batch in _gathered(batches):
+            for key, items, counts in _counted(batch, n):
+                held, missed = groups.setdefault(key, ({}, [0]))
+                size -= len(held)
+                for x, c in zip(items, counts.tolist()):
+                    held[x] = held.get(x, 0) + c
+                if len(held) > 4 * counters:
+                    _cut(held, missed, counters)
+                size += len(held)
+            if size > COUNTERS:
+                yield from _summary_rows(groups, counters, target, n)
+                groups, size = {}, 0
+        yield from _summary_rows(groups, counters, target, n)
+
+    return rows.mapInArrow(summarise, schema)
+
+
+def frequent_items(df: DataFrame, by, item: str, pct: float, counters: int | None = None) -> DataFrame:
+    """``(by..., item, cnt)``: exactly the items that make up at least ``pct`` of their group's rows, with exact counts.
+
+    The summaries of the first pass name every such item and not many more (fewer than 2 / ``pct`` per group); a second
+    pass counts these only. No pass groups all items. NULL items count for the group's rows but are no item."""
+    by = _by(by)
+    counters = counters or math.ceil(2 / pct)
+    parts = misra_gries(df, by, item, counters)
+    summed = parts.where(F.col("item").isNotNull()).groupBy(*by, "item").agg(F.sum("count").alias("_low"))
+    missed = parts.where(F.col("item").isNull()).groupBy(*by).agg(F.sum("missed").alias("_missed"))
+    total = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
+    if by:
+        j = join_by(join_by(summed, missed, by), total, by)
+    else:
+        j = with_scalars(with_scalars(summed, missed, ["_missed"]), total, ["_n"])
+    could = j.where(F.col("_low") + F.col("_missed") >= F.lit(float(pct)) * F.col("_n")).select(*by, F.col("item").cast(df.schema[item].dataType).alias(item))
+    rows = df.select(*by, item)
     if by:
-        total = counts.groupBy(*by).agg(F.sum("_c").alias("_N"))
-        est = est.join(total, by)
-        return est.where(F.col("est") >= F.lit(float(pct)) * F.col("_N")).drop("_N")
-    total = counts.select(F.sum("_c")).scalar()
-    return est.where(F.col("est") >= F.lit(float(pct)) * total)
+        counted = join_by(rows.where(F.col(item).isNotNull()), could.withColumn("_", F.lit(1)), [*by, item]).groupBy(*by, item).agg(F.count(F.lit(1)).alias("cnt"))
+        whole = join_by(counted, total, by)
+    else:  # fewer than 2 / pct rows
+        counted = rows.join(F.broadcast(could), item, "left_semi").groupBy(item).agg(F.count(F.lit(1)).alias("cnt"))
+        whole = with_scalars(counted, total, ["_n"])
+    return whole.where(F.col("cnt") >= F.lit(float(pct)) * F.col("_n")).select(*by, item, "cnt")
+
+
+# ---------------------------------------------------------------- what a task holds of its rows
+
+#: Cells and counters that a task holds of all its groups, and item hashes that it remembers.
+CELLS, COUNTERS, HASHES = 4_000_000, 1_000_000, 400_000
+
+
+class _Halves(dict):
+    """h1 and h2 (two 8-hex-digit slices of md5) of an item, remembered."""
+
+    def __missing__(self, item: str | None) -> tuple[int, int]:
+        digest = hashlib.md5(item.encode()).digest() if item is not None else None
+        out = (int.from_bytes(digest[:4], "big"), int.from_bytes(digest[4:8], "big")) if digest else (0, 0)
+        if len(self) >= HASHES:
+            self.clear()
+        self[item] = out
+        return out
+
+
+def _cells(halves: _Halves, items: list[str], width: int, depth: int) -> list[np.ndarray]:
+    """The bucket of each item in each row of the sketch."""
+    h = np.array([halves[x] for x in items], np.int64).reshape(-1, 2)
+    return [(h[:, 0] + i * h[:, 1]) % width for i in range(depth)]
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """Batches put together up to ``rows`` rows, so that frequent items are counted once in more rows."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= rows:
+            yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+            held, size = [], 0
+    if held:
+        yield from pa.Table.from_batches(held).combine_chunks().to_batches()
+
+
+def _counted(batch: pa.RecordBatch, n: int) -> Iterator[tuple[tuple, list[str], np.ndarray]]:
+    """(key, distinct items, counts) of the groups in a batch of ``n`` key columns and one of items; NULL items stay out."""
+    if not n:
+        counts = pc.value_counts(pc.drop_null(batch.column(0)))
+        yield (), counts.field("values").to_pylist(), counts.field("counts").to_numpy()
+        return
+    table = pa.Table.from_batches([batch]).rename_columns([*(f"k{i}" for i in range(n)), "x"])
+    table = table.filter(pc.is_valid(table["x"])).group_by([*(f"k{i}" for i in range(n)), "x"]).aggregate([([], "count_all")])
+    groups: dict[tuple, tuple[list, list]] = {}
+    for *key, x, c in zip(*(table[name].to_pylist() for name in [*(f"k{i}" for i in range(n)), "x", "count_all"])):
+        items, counts = groups.setdefault(tuple(key), ([], []))
+        items.append(x)
+        counts.append(c)
+    for key, (items, counts) in groups.items():
+        yield key, items, np.array(counts, np.int64)
+
+
+def _cell_rows(key: tuple, cells: np.ndarray, schema: pa.Schema) -> pa.RecordBatch:
+    depth, bucket = np.nonzero(cells)
+    keys = [pa.array([k] * len(depth), f.type) for k, f in zip(key, schema)]
+    return pa.RecordBatch.from_arrays(
+        [*keys, pa.array(depth.astype(np.int32)), pa.array(bucket), pa.array(cells[depth, bucket])], schema=schema)
+
+
+def _cut(held: dict[str, int], missed: list[int], counters: int) -> None:
+    """Lowers all counts by the largest that does not stay among ``counters``, and drops those that end at zero."""
+    if len(held) > counters:
+        by = int(np.partition(np.fromiter(held.values(), np.int64, len(held)), len(held) - counters - 1)[len(held) - counters - 1])
+        missed[0] += by
+        for x in [x for x, c in held.items() if c <= by]:
+            del held[x]
+        for x in held:
+            held[x] -= by
+
+
+def _summary_rows(groups: dict, counters: int, schema: pa.Schema, n: int) -> Iterator[pa.RecordBatch]:
+    for key, (held, missed) in groups.items():
+        _cut(held, missed, counters)
+        keys = [pa.array([k] * (len(held) + 1), f.type) for k, f in zip(key, schema)]
+        yield pa.RecordBatch.from_arrays([
+            *keys, pa.array([*held, None], pa.string()), pa.array([*held.values(), 0], pa.int64()),
+            pa.array([0] * len(held) + missed, pa.int64())], schema=schema)

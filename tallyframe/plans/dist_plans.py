@@ -6,6 +6,7 @@ import math
 
 from pyspark.sql import functions as F
 
+from tallyframe.functions import special
 from tallyframe.operators import cdf, dist, kde, pmf, sample
 from tallyframe.plans.catalog import register
 from tallyframe.sources import load
@@ -140,9 +141,9 @@ def q_dist_quantile(spark, sf):
     real = rates.select("event_type", F.lit("exponential").alias("law"), "p",
                         F.round(dist.exponential_quantile(F.col("p"), F.col("lam")), 9).alias("value"))
     counts = load(spark, sf, "events", ["event_type"]).groupBy("event_type").agg((F.count(F.lit(1)) / 1000.0).alias("lam"))
-    table = dist.poisson_pmf(counts, ["event_type"], "lam")
-    whole = dist.table_quantile(table, ["event_type"], ps)
-    return real.unionByName(whole.select("event_type", F.lit("poisson").alias("law"), "p", F.col("value").cast("double").alias("value")))
+    counts = counts.select("event_type", "lam", F.explode(F.array(*map(F.lit, ps))).alias("p"))
+    whole = special.poisson_quantile(F.col("p"), F.col("lam"))
+    return real.unionByName(counts.select("event_type", F.lit("poisson").alias("law"), "p", whole.cast("double").alias("value")))
 
 
 @register(
@@ -366,3 +367,39 @@ def q_sample_max(spark, sf):
 def q_sample_join(spark, sf):
     """Monte-Carlo join with a general combiner (difference of the two draws)."""
     return _sample_two(spark, sf, lambda c: c[0] - c[1])
+
+
+@register(
+    "dist_beta_cdf",
+    SOURCE_SQL + """
+    , g AS (SELECT source, CAST(alpha AS INTEGER) AS a, CAST(alpha + beta - 1 AS INTEGER) AS n, i, i / 99.7::DOUBLE AS x FROM s, range(0, 100) r(i)),
+    m AS (SELECT source, i, CASE WHEN x = 0 THEN 0.0 WHEN x = 1 THEN 1.0
+                 ELSE exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln(x) + (n - j) * ln(1.0 - x)) END AS m, x
+          FROM g, range(0, 100000) t(j) WHERE j BETWEEN a AND n)
+    SELECT source, CAST(i AS INTEGER) AS i, round(CASE WHEN any_value(x) = 0 THEN 0.0 WHEN any_value(x) = 1 THEN 1.0 ELSE sum(m) END, 9) AS cdf FROM m GROUP BY source, i
+    """,
+)
+def q_dist_beta_cdf(spark, sf):
+    """Posterior CDF of a source's share of good documents at 100 points (i / 99.7, where no value is a tie in rounding), by the incomplete beta function; with whole
+    parameters it equals a sum of binomial masses."""
+    s = _source_labels(spark, sf).select("source", "alpha", "beta", F.explode(F.sequence(F.lit(0), F.lit(99))).alias("i"))
+    return s.select("source", "i", F.round(special.beta_cdf(F.col("i") / 99.7, F.col("alpha"), F.col("beta")), 9).alias("cdf"))
+
+
+@register(
+    "dist_binomial_quantile",
+    """
+    WITH p AS (SELECT user_id, count(*) AS n, avg(CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END) AS p FROM events GROUP BY 1),
+    s AS (SELECT user_id, k, CASE WHEN p <= 0 THEN (CASE WHEN k = 0 THEN 1.0 ELSE 0.0 END) WHEN p >= 1 THEN (CASE WHEN k = n THEN 1.0 ELSE 0.0 END)
+                 ELSE exp(lgamma(n + 1.0) - lgamma(k + 1.0) - lgamma(n - k + 1.0) + k * ln(p) + (n - k) * ln(1.0 - p)) END AS m
+          FROM p, range(0, n + 1) r(k)),
+    w AS (SELECT user_id, k, sum(m) OVER (PARTITION BY user_id ORDER BY k) AS cum FROM s)
+    SELECT user_id, q, CAST(min(k) AS BIGINT) AS value FROM w, (SELECT unnest([0.05, 0.5, 0.95]::DOUBLE[]) AS q) WHERE cum >= q GROUP BY 1, 2
+    """,
+)
+def q_dist_binomial_quantile(spark, sf):
+    """Quantiles of a user's number of purchases, in closed form: no support is exploded."""
+    ev = load(spark, sf, "events", ["user_id", "event_type"])
+    p = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0)).alias("p"))
+    p = p.select("user_id", "n", "p", F.explode(F.array(*map(F.lit, [0.05, 0.5, 0.95]))).alias("q"))
+    return p.select("user_id", "q", special.binomial_quantile(F.col("q"), F.col("n"), F.col("p")).alias("value"))

@@ -219,3 +219,37 @@ def q_fold_fsm(spark, sf):
     ev = load(spark, sf, "events", ["user_id", "ts", "event_id", "event_type", "value"])
     s = fsm.scan(ev, ["user_id"], ["ts", "event_id"], FSM_STATES, _life_cycle, "new", block=ordered.time_block("ts", 86400))
     return s.select("user_id", "event_id", "state")
+
+
+LOGISTIC_CHUNK, LOGISTIC_STEP, LOGISTIC_ROUNDS = 2500, 0.05, 2
+
+
+def _logistic_sql() -> str:
+    """Every chunk's sequential pass and the weighted mean of its weights, round by round."""
+    steps = [f"""
+    WITH r AS (SELECT l_returnflag, l_quantity / 50.0 AS x, CASE WHEN l_extendedprice > 30000 THEN 1.0 ELSE 0.0 END AS y,
+                      (row_number() OVER w - 1) // {LOGISTIC_CHUNK} AS chunk, row_number() OVER w AS i
+               FROM lineitem WINDOW w AS (PARTITION BY l_returnflag ORDER BY {", ".join(SGD_ORDER)})),
+    c AS MATERIALIZED (SELECT l_returnflag, chunk, count(*) AS n, list({{'a': x, 'b': y}} ORDER BY i) AS points FROM r GROUP BY 1, 2),
+    w0 AS (SELECT DISTINCT l_returnflag, {{'a': 0.0::DOUBLE, 'b': 0.0::DOUBLE}} AS w FROM c)"""]
+    for i in range(LOGISTIC_ROUNDS):
+        miss = "(1.0 / (1.0 + exp(-(s.a * p.a + s.b))) - p.b)"
+        steps.append(f"""p{i} AS MATERIALIZED (
+      SELECT l_returnflag, c.n, list_reduce(list_prepend(w, list_transform(points, lambda p: {{'a': CAST(p.a AS DOUBLE), 'b': CAST(p.b AS DOUBLE)}})), lambda s, p:
+        {{'a': s.a - {LOGISTIC_STEP} * {miss} * p.a, 'b': s.b - {LOGISTIC_STEP} * {miss}}}) AS w
+      FROM c JOIN w{i} USING (l_returnflag)),
+    w{i + 1} AS (SELECT l_returnflag, {{'a': sum(n * w.a) / sum(n), 'b': sum(n * w.b) / sum(n)}} AS w, sum(n) AS n FROM p{i} GROUP BY 1)""")
+    last = f"w{LOGISTIC_ROUNDS}"
+    return ", ".join(steps) + f" SELECT l_returnflag, round(w.a, 6) AS w_x, round(w.b, 6) AS w_bias, CAST(n AS BIGINT) AS count FROM {last}"
+
+
+@register("sgd_logistic", _logistic_sql())
+def q_sgd_logistic(spark, sf):
+    """A logistic model of dear lines per return flag (x = quantity/50): two rounds of passes over chunks of 2500 rows,
+    mixed by their rows."""
+    li = load(spark, sf, "lineitem", ["l_returnflag", *SGD_ORDER])
+    label = F.when(F.col("l_extendedprice") > 30000, 1.0).otherwise(0.0)
+    blk = ordered.range_block(li, "l_orderkey", SGD_BLOCKS)
+    w = sgd.sgd_mixed(li, ["l_returnflag"], SGD_ORDER, label, [F.col("l_quantity") / 50.0], LOGISTIC_STEP, rounds=LOGISTIC_ROUNDS,
+                      block=blk, chunk_rows=LOGISTIC_CHUNK)
+    return w.select("l_returnflag", F.round(F.col("w")[0], 6).alias("w_x"), F.round(F.col("w")[1], 6).alias("w_bias"), "count")

@@ -269,3 +269,29 @@ def q_qtree_range(spark, sf):
     return exact.join(found, "o_orderpriority").select(
         "o_orderpriority", "n", "total",
         (F.col("n").between(F.col("n_low"), F.col("n_high")) & F.col("total").between(F.col("total_low"), F.col("total_high"))).alias("inside"))
+
+
+@register(
+    "frequent_words",
+    f"""
+    WITH w AS (SELECT word FROM {WORDS_SQL} w0 WHERE word <> '')
+    SELECT word, count(*) AS cnt FROM w GROUP BY word HAVING count(*) >= 0.001 * (SELECT count(*) FROM w)
+    """,
+)
+def q_frequent_words(spark, sf):
+    """Exactly the words that make up 0.1% of all words: Misra-Gries summaries per task, then one counting pass."""
+    words = monoid.word_rows(load(spark, sf, "documents", ["text"]), "text")
+    return sketch.frequent_items(words, [], "word", 0.001)
+
+
+@register(
+    "frequent_parts",
+    """
+    WITH n AS (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1)
+    SELECT l_returnflag, l_partkey, count(*) AS cnt FROM lineitem JOIN n USING (l_returnflag)
+    GROUP BY l_returnflag, l_partkey, n HAVING count(*) >= 0.0002 * n
+    """,
+)
+def q_frequent_parts(spark, sf):
+    """Exactly the parts that make up 0.02% of a return flag's rows."""
+    return sketch.frequent_items(load(spark, sf, "lineitem", ["l_returnflag", "l_partkey"]), ["l_returnflag"], "l_partkey", 0.0002)

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyframe.operators import aggregator, fsm, ordered
+from tallyframe.operators import aggregator, fsm, ordered, sgd
 from tallyframe.operators.aggregator import Aggregator
 
 STATES = ["a", "b", "c"]
@@ -140,3 +140,51 @@ def test_log_mean_exp_does_not_overflow(spark):
     got = aggregator.aggregate(df, [], ["v"], LOG_SUM_EXP).first()
     top = max(values)
     assert got["log_mean_exp"] == pytest.approx(top + math.log(sum(math.exp(v - top) for v in values) / len(values)))
+
+
+# --- gradients that are not affine ---
+
+
+def logistic_rows(n=4000, seed=2):
+    rng = np.random.default_rng(seed)
+    x = rng.uniform(-1, 1, (n, 2))
+    y = (rng.uniform(size=n) < 1 / (1 + np.exp(-(2.0 * x[:, 0] - 1.0 * x[:, 1] + 0.5)))).astype(float)
+    return [(1, i, float(a), float(b), float(t)) for i, ((a, b), t) in enumerate(zip(x, y))]
+
+
+def sequential(rows, gradient, step, w, passes=1):
+    for _ in range(passes):
+        for _, _, a, b, y in rows:
+            w = w - step * gradient(w, np.array([a, b, 1.0]), y)
+    return w
+
+
+def test_mixed_passes_come_close_to_the_sequential_one(spark):
+    rows = logistic_rows()
+    df = spark.createDataFrame(rows, "g int, i long, a double, b double, y double").repartition(6)
+    want = sequential(rows, sgd.logistic_gradient, 0.05, np.zeros(3))
+    one = sgd.sgd_mixed(df, ["g"], ["i"], "y", ["a", "b"], 0.05).first()
+    assert one["w"] == pytest.approx(want.tolist(), abs=1e-12) and one["count"] == 4000  # a single chunk is the pass itself
+    mixed = sgd.sgd_mixed(df, ["g"], ["i"], "y", ["a", "b"], 0.05, rounds=8, chunk_rows=500).first()
+    again = sequential(rows, sgd.logistic_gradient, 0.05, np.zeros(3), passes=8)
+    assert np.abs(np.array(mixed["w"]) - again).max() < 0.2  # the stated distance: eight mixed rounds, eight passes
+    j = df.crossJoin(spark.createDataFrame([(mixed["w"], again.tolist())], "w array<double>, s array<double>"))
+    losses = j.agg(sgd.log_loss("y", ["a", "b"], F.col("w")).alias("m"), sgd.log_loss("y", ["a", "b"], F.col("s")).alias("s")).first()
+    assert abs(losses["m"] - losses["s"]) < 0.002
+
+
+def test_own_gradient_null_points_and_edges(spark):
+    def huber(w, x, y):  # the slope of the absolute error, softened
+        miss = float(w @ x) - y
+        return max(-1.0, min(1.0, miss)) * x
+
+    rows = [(g, i, a, b, 3 * a - b + 1 + (50 if i % 40 == 0 else 0)) for g in (1, None) for _, i, a, b, _ in logistic_rows(300, g or 9)]
+    holes = [(1, 9000, None, 1.0, 1.0), (1, 9001, 1.0, 1.0, None)]
+    df = spark.createDataFrame([*rows, *holes], "g int, i long, a double, b double, y double").repartition(3)
+    got = {r["g"]: r for r in sgd.sgd_mixed(df, ["g"], ["i"], "y", ["a", "b"], 0.1, huber, w0=[1, 1, 1]).collect()}
+    for g in (1, None):
+        want = sequential([r for r in rows if r[0] == g], huber, 0.1, np.ones(3))
+        assert got[g]["w"] == pytest.approx(want.tolist(), abs=1e-12) and got[g]["count"] == 300
+    assert sgd.sgd_mixed(df.limit(0), ["g"], ["i"], "y", ["a", "b"], 0.1, rounds=2).count() == 0
+    whole = sgd.sgd_mixed(df, [], ["i", "a"], "y", ["a", "b"], 0.1, huber, rounds=2, chunk_rows=100).collect()
+    assert len(whole) == 1 and whole[0]["count"] == 600
