@@ -170,7 +170,7 @@ def test_mixed_passes_come_close_to_the_sequential_one(spark):
     assert np.abs(np.array(mixed["w"]) - again).max() < 0.2  # the stated distance: eight mixed rounds, eight passes
     j = df.crossJoin(spark.createDataFrame([(mixed["w"], again.tolist())], "w array<double>, s array<double>"))
     losses = j.agg(sgd.log_loss("y", ["a", "b"], F.col("w")).alias("m"), sgd.log_loss("y", ["a", "b"], F.col("s")).alias("s")).first()
-    assert abs(losses["m"] - losses["s"]) < 0.002
+    assert losses["m"] < losses["s"] + 0.002
 
 
 def test_own_gradient_null_points_and_edges(spark):
