@@ -5,13 +5,15 @@ labels (main text or not) is trained on labelled pages: a bounded sample of thos
 the article, each also with its tags replaced by plain ones and with labelled comments, forms, sidebars and
 notices put in. Viterbi decoding labels all blocks of a page together. Results for odd rows: a null or empty
 html gives an empty text; a page without any labelled page to learn from is decoded by an empty model (nothing
-is main text); repeated rows repeat; an empty table gives an empty one; other columns are ignored.
+is main text); long, deep and broken pages take a time in proportion to their length; repeated rows repeat; an empty table gives an empty one; other columns are ignored.
 """
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import islice
@@ -34,6 +36,7 @@ INLINE = set(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
     "strike strong sub sup time tt u var wbr img input button".split()
 )
+CONTROLS = {"button", "label"}  # parts of forms, wherever they stand: their text is left out
 CLOSES_P = set(
     "address article aside blockquote body center details dialog dd dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr li main menu nav ol p pre search section summary table td th tr ul".split()
@@ -51,31 +54,94 @@ OTHER_WORDS = set(
     "subscribe form widget".split()
 )
 
-_TAG = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>", re.DOTALL)
+# Possessive: a tag is scanned once from its start, whatever follows.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>|<[!?][^>]*+>")
+_START = re.compile(r"</?[a-zA-Z][^\s/>]*+")
+_STEP = re.compile(r"[^<>\"']++|\"[^\"]*+\"|'[^']*+'|<")
 _ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SENTENCE = re.compile(r"[.!?…:;,]")
+#: All that labels look at.
+_LABELLING = frozenset(ARTICLE_TAGS | ARTICLE_WORDS | OTHER_TAGS | OTHER_WORDS)
 #: Matches every page whose markup names an article, and some others.
 NAMES = r"(?i)(?<![a-z])(?:articlebody|article|main)(?![a-z])"
 
 
+#: Depth up to which a labelled page is learnt from: a block's features are its ancestors.
+LEARNT_DEPTH = 256
+
+
 @dataclass
 class Block:
     tag: str
-    tags: tuple[str, ...]  # ancestors, from the outermost
+    tags: frozenset[str]  # of the ancestors
     words: frozenset[str]  # attribute words of all ancestors
     text: str
     linked: int  # characters of the text that lie in links
+    depth: int = 0
+
+
+class _Tags:
+    """The tags of a page, found in a time in proportion to its length. From the last '>' on there are none. Where a scan
+    fails for want of a closing quote, so does every scan that comes to one of the places that it passed outside quotes;
+    these are remembered, so no stretch is scanned more often than there are kinds of quotes."""
+
+    def __init__(self, page: str):
+        self.page, self.last, self.failed = page, page.rfind(">"), set()
+
+    def next(self, at: int) -> re.Match | tuple[int, int] | None:
+        """The next tag from ``at`` on, or (start, end) of the next comment, whichever comes first."""
+        page = self.page
+        while (start := page.find("<", at)) >= 0:
+            if page.startswith("<!--", start):
+                end = page.find("-->", start + 4)
+                return start, len(page) if end < 0 else end + 3
+            if start > self.last:
+                at = page.find("<!--", start)
+                if at < 0:
+                    return None
+                continue
+            if not (self.failed and self._fails(start)):
+                match = _TAG.match(page, start)
+                if match:
+                    return match
+                self._fails(start)
+            at = start + 1
+        return None
 
-
-def blocks(page: str) -> list[Block]:
-    """The leaf blocks with text, in page order; markup, comments, scripts, styles and the head are left out."""
+    def _fails(self, start: int) -> bool:
+        """Whether a tag that starts here never ends; if so, what the scan passed is noted."""
+        name = _START.match(self.page, start)
+        if not name:
+            return False
+        at, passed = name.end(), []
+        while at not in self.failed:
+            step = _STEP.match(self.page, at)
+            if not step:
+                if self.page.startswith(">", at):
+                    return False
+                break
+            passed.append(at)
+            at = step.end()
+        self.failed.update(passed)
+        return True
+
+
+def blocks(page: str, known: frozenset[str] | set[str] | None = None) -> list[Block]:
+    """The leaf blocks with text, in page order; markup, comments, scripts, styles, form controls and the head are left
+    out. ``known``, if given, holds the only tags and words that ancestors are described by; then the time is in
+    proportion to the page's length, whatever its depth."""
     out: list[Block] = []
     names: list[str] = []
+    places: dict[str, list[int]] = {}  # where the open elements of a name stand
+    scopes: list[int] = []
+    outer: list[int] = []  # where block elements stand
     words: list[frozenset[str]] = [frozenset()]
+    tags: list[frozenset[str]] = [frozenset()]
     parts: list[str] = []
     linked, links, hidden = 0, 0, 0
     unclosed: set[str] = set()
+    ends: dict[str, re.Pattern] = {}
 
     def flush() -> None:
         nonlocal linked
@@ -85,38 +151,45 @@ def blocks(page: str) -> list[Block]:
                 text = entities.unescape(text)
             text = " ".join(text.split())
             if text:
-                frame = tuple(n for n in names if n not in INLINE)
-                out.append(Block(frame[-1] if frame else "", frame, words[-1], text, linked))
+                out.append(Block(names[outer[-1]] if outer else "", tags[-1], words[-1], text, linked, len(names)))
             parts.clear()
         linked = 0
 
     def pop() -> None:
         nonlocal links, hidden
         name = names.pop()
+        at = len(names)
+        places[name].pop()
         words.pop()
+        tags.pop()
+        if scopes and scopes[-1] == at:
+            scopes.pop()
+        if outer and outer[-1] == at:
+            outer.pop()
         links -= name == "a"
-        hidden -= name == "head"
+        hidden -= name == "head" or name in CONTROLS
 
-    at = 0
-    while match := _TAG.search(page, at):
-        if match.start() > at and not hidden:
-            piece = page[at:match.start()]
+    found, at = _Tags(page), 0
+    while match := found.next(at):
+        start, end = match if isinstance(match, tuple) else match.span()
+        if start > at and not hidden:
+            piece = page[at:start]
             parts.append(piece)
             if links:
                 linked += len(piece)
-        at = match.end()
-        if match[2] is None:
+        at = end
+        if isinstance(match, tuple) or match[2] is None:
             continue
         name = match[2].lower()
         if name == "br":
             parts.append(" ")
             continue
         if match[1]:
-            if name not in names:
+            if not places.get(name):
                 if name not in INLINE:
                     flush()
                 continue
-            if name in INLINE and any(n not in INLINE for n in names[len(names) - names[::-1].index(name):]):
+            if name in INLINE and outer and outer[-1] > places[name][-1]:
                 continue  # an inline end tag does not close blocks
             if name not in INLINE:
                 flush()
@@ -126,35 +199,45 @@ def blocks(page: str) -> list[Block]:
             continue
         if name not in INLINE:
             flush()
-            if name in CLOSES_P and "p" in names:
-                while names and "p" in names[max((i for i, n in enumerate(names) if n in SCOPES), default=0):]:
+            if name in CLOSES_P:
+                while places.get("p") and places["p"][-1] >= (scopes[-1] if scopes else 0):
                     pop()
             if name in IMPLIED:
-                scope = max((i for i, n in enumerate(names) if n in SCOPES), default=-1)
-                inner = [i for i in range(scope + 1, len(names)) if names[i] in IMPLIED[name]]
-                while inner and len(names) > inner[0]:
+                scope = scopes[-1] if scopes else -1
+                inner = [own[i] for own in map(places.get, IMPLIED[name]) if own and (i := bisect_right(own, scope)) < len(own)]
+                while inner and len(names) > min(inner):
                     pop()
             if name == "body":
                 hidden = 0
         if name in VOID or match[3].endswith("/") and (name in FOREIGN or name not in RAW):
             continue
         if name in RAW:  # only its own end tag counts
-            end = None if name in unclosed else re.compile(f"</{re.escape(name)}\\b[^>]*>", re.I).search(page, at)
-            if end:
-                at = end.end()
+            pattern = ends.setdefault(name, re.compile(f"</{re.escape(name)}\\b[^>]*+>", re.I))
+            close = None if name in unclosed else pattern.search(page, at, found.last + 1)
+            if close:
+                at = close.end()
             elif name in TO_THE_END:
                 at = len(page)
             else:
                 unclosed.add(name)
             continue
+        places.setdefault(name, []).append(len(names))
+        if name in SCOPES:
+            scopes.append(len(names))
+        own_words, own_tags = words[-1], tags[-1]
+        if name not in INLINE:
+            outer.append(len(names))
+            if name not in own_tags and (known is None or name in known):
+                own_tags = own_tags | {name}
         names.append(name)
-        own = words[-1]
         if match[3]:
-            found = [w for m in _ATTRIBUTE.finditer(match[3]) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())]
-            own = own | frozenset(found) if found else own
-        words.append(own)
+            new = {w for m in _ATTRIBUTE.finditer(match[3]) for w in _WORD.findall((m[2] or m[3] or m[4] or "").lower())}
+            new = (new if known is None else new & known) - own_words
+            own_words = own_words | new if new else own_words
+        words.append(own_words)
+        tags.append(own_tags)
         links += name == "a"
-        hidden += name == "head"
+        hidden += name == "head" or name in CONTROLS
     if not hidden and at < len(page):
         parts.append(page[at:])
     flush()
@@ -163,10 +246,10 @@ def blocks(page: str) -> list[Block]:
 
 def labels(found: list[Block]) -> list[int] | None:
     """What the markup says of each block; None if it names no article."""
-    if not any(ARTICLE_TAGS & set(b.tags) or ARTICLE_WORDS & b.words for b in found):
+    if not any(ARTICLE_TAGS & b.tags or ARTICLE_WORDS & b.words for b in found):
         return None
     return [
-        int(bool(ARTICLE_TAGS & set(b.tags) or ARTICLE_WORDS & b.words) and not (OTHER_TAGS & set(b.tags) or OTHER_WORDS & b.words))
+        int(bool(ARTICLE_TAGS & b.tags or ARTICLE_WORDS & b.words) and not (OTHER_TAGS & b.tags or OTHER_WORDS & b.words))
         for b in found
     ]
 
@@ -175,7 +258,7 @@ def features(block: Block, place: int, count: int) -> list[str]:
     """Of ancestors: tags, attribute words. Of the text: length, share in links, marks, position."""
     n = len(block.text)
     return [
-        "bias", f"tag {block.tag}", *{f"in {t}" for t in block.tags if t not in ("html", "body")}, *{f"word {w}" for w in block.words},
+        "bias", f"tag {block.tag}", *(f"in {t}" for t in block.tags if t not in ("html", "body")), *(f"word {w}" for w in block.words),
         f"length {min(8, n.bit_length())}", f"linked {block.linked * 4 // max(n, 1)}",
         f"marks {sum(1 for _ in islice(_SENTENCE.finditer(block.text), 4))}", f"place {place * 4 // count}", f"last {place == count - 1}",
         f"copyright {block.text[0] in '©®'}",
@@ -191,6 +274,11 @@ class Chain:
     step: np.ndarray  # 2 x 2
     start: np.ndarray  # 2
 
+    @functools.cached_property
+    def names(self) -> frozenset[str]:
+        """The tags and words that have weights."""
+        return frozenset(f.partition(" ")[2] for f in self.index if f.startswith(("in ", "word ")))
+
     def decode(self, found: list[Block]) -> list[int]:
         """The best label sequence, by Viterbi."""
         n = len(found)
@@ -277,7 +365,9 @@ def variants(page: str, borrowed: str) -> Iterator[tuple[str, str]]:
     before = (
         f'<header class="header"><p>{words[:60]}</p></header><div class="notice cookie consent"><p>{words[:220]}</p></div>'
     )
-    richer = page.replace("<body>", "<body>" + before, 1).replace("</article>", inner + "</article>" + after, 1)
+    richer = page.replace("<body>", "<body>" + before, 1)
+    close = next((t for t in ("</article>", "</main>") if t in richer), None)  # of what is labelled
+    richer = richer.replace(close, inner + close + after, 1) if close else richer.replace("</body>", after + "</body>", 1)
     for one in (page, richer):
         yield one, one
         plain = one
@@ -299,7 +389,7 @@ def labelled_pages(pages: DataFrame, count: int) -> list[str]:
     share = min(parts, int(parts * (2 * count + 20) / max(total, 1)))
 
     def run(cols: dict[str, list]) -> dict[str, list]:
-        rows = [(p, at) for p, at in zip(cols["html"], cols["place"]) if any(labels(blocks(p)) or [])]
+        rows = [(p, at) for p, at in zip(cols["html"], cols["place"]) if any(labels(found := blocks(p, _LABELLING)) or []) and max(b.depth for b in found) <= LEARNT_DEPTH]
         return {"html": [p for p, _ in rows], "place": [at for _, at in rows]}
 
     while True:
@@ -323,7 +413,7 @@ def fit(pages: list[str]) -> Chain:
 
 
 def main_text(page: str | None, chain: Chain) -> str:
-    found = blocks(page or "")
+    found = blocks(page or "", chain.names)
     return " ".join(b.text for b, label in zip(found, chain.decode(found)) if label)
 
 

@@ -1,14 +1,17 @@
 """Line dedup by winnowing: runs of ``run`` lines, or of ``words`` words, that occur earlier in the corpus are deleted.
 
-All work is in DataFrame functions. The non-blank lines of a document, trimmed of spaces, are hashed. Windows are
-the runs of ``run`` lines and, of the shorter runs, the least from each line that holds ``words`` words, so that a
-long passage counts although it has one or two lines only. The minimum of a window's line hashes (the rightmost of
-equals) is its fingerprint. Any repeated run that holds a window holds its fingerprint at the same place in both, so
-only windows whose fingerprint occurs more than once are joined by position. A window whose lines occur earlier (by
-doc_id, then by place) is deleted, and matches extend both ways as the union of such windows: a line goes if it lies
-in any. Results for odd rows: a null text counts as empty; documents with fewer lines and words than a window stay;
-a null doc_id comes before all others; rows that repeat both doc_id and text count as one and get the same result;
-blank lines stay; an empty table gives an empty one; other columns are ignored.
+All work is in DataFrame functions. The non-blank lines of a document, trimmed of spaces, are hashed. What goes is every
+maximal run of lines that equals a run earlier in the corpus (by doc_id, then by place) and has ``run`` lines or
+``words`` words. Windows are the runs of ``run`` lines and all shorter runs that hold ``words`` words. The minimum of a
+window's line hashes (the rightmost of equals) is its fingerprint. Any repeated run that holds a window holds its
+fingerprint at the same place in both, so only windows whose fingerprint occurs more than once are joined by position,
+each with the first place of its lines. A match extends both ways from window to window, line by line, as far as the
+lines agree: a run of ``run`` lines or more is the union of the windows of ``run`` lines in it, and a shorter one that
+holds ``words`` words is a window itself, so the union of all matched windows is exactly the union of the maximal runs
+(of whichever earlier documents). Results for odd rows: a null text counts as empty; documents with fewer lines and
+words than a window stay; a null doc_id comes before all others; rows that repeat both doc_id and text count as one and
+get the same result; blank lines stay; long texts are used whole; an empty table gives an empty one; other columns are
+ignored.
 """
 
 from __future__ import annotations
@@ -44,8 +47,7 @@ def windows(lines: DataFrame, run: int, words: int) -> DataFrame:
     rows = lines.select(*_WHERE, "hashes", F.posexplode("hashes").alias("start", "_line"))
     ahead = F.slice("hashes", F.col("start") + 1, run)
     total = [F.aggregate(F.slice(ahead, 1, n), F.lit(0), lambda t, x: t + x["words"]) for n in range(1, run)]
-    long = F.coalesce(*[F.when((F.size(ahead) >= n) & (t >= words), n) for n, t in enumerate(total, 1)], F.lit(run))
-    sizes = F.array_distinct(F.array(F.lit(run), long))
+    sizes = F.array_compact(F.array(F.lit(run), *[F.when((F.size(ahead) >= n) & (t >= words), n) for n, t in enumerate(total, 1)]))
     rows = rows.select(*_WHERE, "start", ahead.alias("ahead"), F.explode(sizes).alias("size")).where(F.size("ahead") >= F.col("size"))
     inside = F.slice("ahead", F.lit(1), F.col("size"))
     least = F.array_min(F.transform(inside, lambda x: x["a"]))

@@ -173,23 +173,21 @@ WITH v AS (
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
 FROM s QUALIFY rank <= 20""",
     "op9_line_dedup": """
-WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
-l AS (
-  SELECT doc_id, text, list_filter(list_zip(list_transform(string_split(text, chr(10)), lambda x: trim(x)),
-    range(len(string_split(text, chr(10))))), lambda p: p[1] <> '') AS ls FROM d
-), c AS (
-  SELECT doc_id, i, ls, len(ls) - i AS ahead,
-    len(regexp_extract_all(ls[i + 1][1], '[^\\x20\\x09-\\x0D]+')) AS one,
-    len(regexp_extract_all(ls[i + 2][1], '[^\\x20\\x09-\\x0D]+')) AS two
+WITH l AS (
+  SELECT doc_id, coalesce(text, '') AS text, list_filter(list_zip(list_transform(string_split(coalesce(text, ''), chr(10)), lambda x: trim(x)),
+    range(len(string_split(coalesce(text, ''), chr(10))))), lambda p: p[1] <> '') AS ls FROM documents
+), c AS MATERIALIZED (
+  SELECT doc_id, i, ls[i + 1][2] AS line_no, ls[i + 1][1] AS line, len(regexp_extract_all(ls[i + 1][1], '[^\\x20\\x09-\\x0D]+')) AS words
   FROM (SELECT doc_id, ls, unnest(range(len(ls))) AS i FROM l)
-), z AS (
-  SELECT doc_id, i, ls, 3 AS n FROM c WHERE ahead >= 3
-  UNION ALL SELECT doc_id, i, ls, CASE WHEN one >= 50 THEN 1 ELSE 2 END FROM c
-  WHERE one >= 50 OR (ahead >= 2 AND one + two >= 50)
-), w AS (
-  SELECT doc_id, i, list_transform(ls[i + 1:i + n], lambda p: p[1]) AS k, list_transform(ls[i + 1:i + n], lambda p: p[2]) AS ats FROM z
-), r AS (SELECT doc_id, ats, row_number() OVER (PARTITION BY k ORDER BY doc_id, i) AS n FROM w),
-g AS (SELECT doc_id, list(DISTINCT a) AS gone FROM (SELECT doc_id, unnest(ats) AS a FROM r WHERE n > 1) GROUP BY doc_id)
+), pairs AS (
+  -- Equal lines of a later and an earlier place, side by side along their diagonal.
+  SELECT b.doc_id, b.i, b.line_no, b.words, a.doc_id AS other, b.i - a.i AS diagonal
+  FROM c b JOIN c a ON a.line = b.line AND (a.doc_id < b.doc_id OR a.doc_id = b.doc_id AND a.i < b.i)
+), runs AS (
+  SELECT *, i - row_number() OVER (PARTITION BY doc_id, other, diagonal ORDER BY i) AS run FROM pairs
+), maximal AS (
+  SELECT doc_id, list(line_no) AS ats FROM runs GROUP BY doc_id, other, diagonal, run HAVING count(*) >= 3 OR sum(words) >= 50
+), g AS (SELECT doc_id, list(DISTINCT a) AS gone FROM (SELECT doc_id, unnest(ats) AS a FROM maximal) GROUP BY doc_id)
 SELECT l.doc_id, CAST(len(l.ls) AS BIGINT) AS n_lines, CAST(coalesce(len(g.gone), 0) AS BIGINT) AS n_removed,
   CASE WHEN g.gone IS NULL THEN l.text ELSE coalesce(array_to_string(list_transform(list_filter(
     list_zip(string_split(l.text, chr(10)), range(len(string_split(l.text, chr(10))))),

@@ -1,9 +1,12 @@
 """HTML extraction, PII surrogates and the pipeline's stages."""
 
 import re
+import time
 
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -284,3 +287,79 @@ def test_numbers_of_an_exhausted_format_get_an_extension(spark):
     assert all(re.fullmatch(r"[0-9.]+x\d+", s) for s in late.values()), late
     part = F.struct(F.lit("phone").alias("type"), F.lit("5551234").alias("norm"), F.lit("+1 555-1234").alias("shown"))
     assert re.fullmatch(r"\+1 987-6543 x77", spark.range(1).select(pii_surrogates.shown(part, F.lit("9876543x77"))).first()[0])
+
+
+def test_form_controls_are_left_out():
+    texts = lambda page: [b.text for b in html_extract.blocks(page)]
+    assert texts("<article><p>Read <button>Share this</button>on.</p><label>Your mail</label><p>End</p><button>Subscribe now</button></article>") == ["Read on.", "End"]
+    assert texts("<p>a<label>b<p>c</p>d") == ["a", "c", "d"]
+    assert texts("<div><label>name</div><p>text</p>") == ["text"]
+
+
+def test_main_and_itemprop_pages_learn_other_blocks():
+    for page in ("<body><main><p>text text</p></main></body>", "<body><div itemprop='articleBody'><p>text text</p></div></body>"):
+        stated = [s for s, _ in html_extract.variants(page, "word " * 100)]
+        given = html_extract.blocks(stated[2])
+        assert {0, 1} == set(html_extract.labels(given)) and any("comments" in b.words for b in given)
+
+
+ODD_PAGES = {
+    "unclosed tags": lambda n: "<a " * (n // 3),
+    "unclosed quotes": lambda n: "<a x='" * (n // 6),
+    "unclosed quotes before a tag": lambda n: "<a x='" * (n // 6) + "<b>",
+    "quotes of both kinds": lambda n: "<a x='\"" * (n // 14) + "<a \"'" * (n // 10) + "'>\"'\">",
+    "quotes in names": lambda n: "<a\" '" * (n // 5) + "\">\"'>'",
+    "lists": lambda n: "<ul><li>x" * (n // 9),
+    "nested blocks": lambda n: "<div>x" * (n // 6),
+    "nested words": lambda n: "".join(f"<div class='w{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676 % 26)}'>x" for i in range(n // 20)),
+    "nested own tags": lambda n: "".join(f"<x-{i}>y" for i in range(n // 10)),
+    "inline": lambda n: "<b>x" * (n // 4) + "</i>" * 10,
+    "end tags": lambda n: "</div>x" * (n // 7),
+    "paragraphs": lambda n: "<p>x" * (n // 4),
+    "declarations": lambda n: "<!" * (n // 2),
+    "raw ends": lambda n: "<script>" + "</script " * (n // 9),
+    "options": lambda n: "<noscript>x" * (n // 11),
+    "comments": lambda n: "<!-- a --><p>x" * (n // 14),
+    "one name": lambda n: "<" + "a" * n + " '",
+    "less than": lambda n: "< " * (n // 2) + ">",
+    "table cells": lambda n: "<table><tr><td>x" * (n // 16),
+    "definitions": lambda n: "<dl><dt>a<dd>b" * (n // 14),
+}
+
+
+@pytest.mark.parametrize("name", ODD_PAGES)
+def test_long_odd_pages_take_linear_time(chain, name):
+    html_extract.main_text(ODD_PAGES[name](10_000), chain)
+    start = time.process_time()
+    html_extract.main_text(ODD_PAGES[name](1_000_000), chain)
+    assert time.process_time() - start < 8  # about 2 s; quadratic work took minutes
+
+
+def _plain_tags(page):
+    """Tags by the grammar alone: from each '<' on, the first that ends outside quotes."""
+    out, at = [], 0
+    while True:
+        while at < len(page):
+            m = re.match(r"</?[a-zA-Z][^\s/>]*", page[at:])
+            if m:
+                i, quote = at + m.end(), ""
+                while i < len(page) and (quote or page[i] != ">"):
+                    quote = ("" if page[i] == quote else quote) if quote else page[i] if page[i] in "\"'" else ""
+                    i += 1
+                if i < len(page):
+                    break
+            at += 1
+        if at >= len(page):
+            return out
+        out.append((at, i + 1))
+        at = i + 1
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="<<</>ab '\"x=", max_size=40))
+def test_tags_equal_the_grammar(page):
+    tags, found, at = html_extract._Tags(page), [], 0
+    while (m := tags.next(at)) is not None:
+        found.append(m.span())
+        at = m.end()
+    assert found == _plain_tags(page)

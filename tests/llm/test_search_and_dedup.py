@@ -187,20 +187,30 @@ def test_components_of_chains_and_stars(spark):
 
 
 def _line_dedup(rows, run, words):
-    seen, out = set(), {}
+    """Every maximal run that equals an earlier one, found by extending each pair of equal lines both ways."""
+    docs = []
     for doc_id, text in sorted(set(rows), key=lambda r: (r[0] is not None, r[0] or 0)):
         lines = text.split("\n")
-        solid = [(i, x.strip(" ")) for i, x in enumerate(lines) if x.strip(" ")]
-        gone = set()
-        for s in range(len(solid)):
-            long = [n for n in range(1, run) if len(re.findall(r"[^\x20\x09-\x0D]+", "\n".join(x for _, x in solid[s:s + n]))) >= words]
-            for size in {run, *long[:1]}:
-                part = solid[s:s + size]
-                key = tuple(x for _, x in part)
-                if len(part) == size:
-                    if key in seen:
-                        gone.update(i for i, _ in part)
-                    seen.add(key)
+        docs.append((doc_id, lines, [(i, x.strip(" ")) for i, x in enumerate(lines) if x.strip(" ")]))
+    places, out = {}, {}
+    for d, (_, _, solid) in enumerate(docs):
+        for i, (_, x) in enumerate(solid):
+            places.setdefault(x, []).append((d, i))
+    for d, (doc_id, lines, solid) in enumerate(docs):
+        gone, done = set(), set()
+        for i, (_, x) in enumerate(solid):
+            for e, j in places[x]:
+                if (e, j) >= (d, i) or (e, j - i, i) in done:
+                    continue
+                other, low, high = docs[e][2], 0, 0
+                while high + 1 < len(solid) - i and high + 1 < len(other) - j and solid[i + high + 1][1] == other[j + high + 1][1]:
+                    high += 1
+                while low < min(i, j) and solid[i - low - 1][1] == other[j - low - 1][1]:
+                    low += 1
+                part = solid[i - low:i + high + 1]
+                done.update((e, j - i, k) for k in range(i - low, i + high + 1))
+                if len(part) >= run or len(re.findall(r"[^\x20\x09-\x0D]+", "\n".join(y for _, y in part))) >= words:
+                    gone.update(k for k, _ in part)
         out[doc_id] = ("\n".join(x for i, x in enumerate(lines) if i not in gone), len(solid), len(gone))
     return out
 
@@ -234,6 +244,13 @@ def test_a_passage_of_over_fifty_words_in_one_or_two_lines(spark):
     assert got == {**dict(rows), 2: "other", 4: "b"}
 
 
+def test_a_long_and_a_short_line_go_together(spark):
+    long, short = " ".join(f"w{i}" for i in range(60)), "a short line"
+    rows = [(1, f"x\n{long}\n{short}\ny"), (2, f"{long}\n{short}\nend"), (3, f"{short}\n{long}"), (4, f"q\n{short}"), (5, f"{short}\n{long}\nr")]
+    got = {r["doc_id"]: r["text"] for r in line_dedup.line_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: rows[0][1], 2: "end", 3: short, 4: rows[3][1], 5: "r"}
+
+
 def test_simhash_on_given_documents(spark):
     docs = spark.read.parquet(f"{SF001}/documents.parquet")
     rows = [(r["doc_id"], _simhash(r["text"])) for r in docs.collect()]
