@@ -1,5 +1,6 @@
 """Top-k, exact and near dedup, line dedup against brute force, with odd rows."""
 
+import collections
 import itertools
 import math
 import random
@@ -260,3 +261,46 @@ def test_simhash_on_given_documents(spark):
         least[top[f]] = min(i, least.get(top[f], i))
     assert rows_of(simhash_dedup.simhash_dedup(docs), "doc_id", "fingerprint", "component_id") == sorted(
         ((i, f"{f:016x}", least[top[f]]) for i, f in rows), key=repr)
+
+
+def _clustered(seed=5, clusters=40, rows=6000, width=64):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, 1, (clusters, width)).repeat(4, axis=1)[:, :width] * rng.uniform(0.5, 2, (clusters, 1))
+    return np.floor(64 * (centres[rng.integers(0, clusters, rows)] + rng.normal(0, 0.02, (rows, width))))
+
+
+def test_bounds_save_exact_scores_on_clustered_vectors():
+    rows, kept = _clustered(), collections.Counter()
+    ids = np.arange(len(rows))
+    a, b, s = topk_search.best(ids[::20], rows[::20], ids, rows, 20, kept=kept)
+    assert kept["exact"] < 0.1 * kept["pairs"] and kept["before 4"] < kept["before 1"]
+    full = rows[::20] @ rows.T
+    for i, q in enumerate(ids[::20]):
+        order = sorted((-full[i, j], j) for j in ids if j != q)[:20]
+        assert [(-score, j) for score, j in order] == list(zip(s[a == q].tolist(), b[a == q].tolist()))
+
+
+def test_cells_that_no_query_needs_are_not_sent():
+    rows = _clustered(seed=6)
+    pivots = rows[:64]
+    cell = topk_search.home_cells(rows, pivots)
+    stats = topk_search.statistics(rows, topk_search.CELL_SEGMENTS)
+    low, high = np.full((64, stats.shape[1]), np.inf), np.full((64, stats.shape[1]), -np.inf)
+    np.minimum.at(low, cell, stats)
+    np.maximum.at(high, cell, stats)
+    used = np.unique(cell)
+    bounds = topk_search.cell_bounds(rows[::50], low[used], high[used])
+    scores = rows[::50] @ rows.T
+    for j, c in enumerate(used):
+        assert (scores[:, cell == c].max(axis=1) <= bounds[:, j] * (1 + 1e-9) + 1e-6).all()
+    kth = np.sort(scores, axis=1)[:, -21]
+    assert (bounds >= kth[:, None]).mean() < 0.3
+
+
+def test_topk_of_clustered_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk_search, "ROW_BLOCK", 100)
+    monkeypatch.setattr(topk_search, "CELLS", 8)
+    monkeypatch.setattr(topk_search, "SAMPLE", 50)
+    rows = [(i, (v / 64).tolist()) for i, v in enumerate(_clustered(seed=7, clusters=6, rows=500, width=32))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    assert rows_of(topk_search.topk(vectors, F.col("vec_id") % 20 == 0), "query_id", "rank", "vec_id", "score") == sorted(_topk(rows, 20), key=repr)
