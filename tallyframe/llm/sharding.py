@@ -1,12 +1,14 @@
 """Sharding by sampled splitters: near-equal bytes per shard, equal texts together.
 
-A row's key is (hash of the text, hash of the id). A size-weighted sample of keys gives quantile splitters, which
-range-partition the rows; ranges that an exact count finds overfull are sampled and split again. A text whose
-copies fill whole ranges gets ranges of its own, split by the id hash; every other splitter is moved to the
-start of its text, so that equal texts lie in one range. Ranges go to shards by their exact bytes, largest first,
-the ranges of a heavy text together if a shard can hold them. Results for odd rows: a null text has
-size 1 and the CRC of no bytes; repeated rows are rows of their own, in one range; an empty table gives an empty
-result; a doc_id may be null; other columns are ignored.
+A row's key is (hash of the text, hash of the id and the row's number). A size-weighted sample of keys gives quantile
+splitters, which range-partition the rows; ranges that an exact count finds overfull are sampled again, more densely
+each time, and split until none can be. A text whose copies fill whole ranges gets ranges of its own, split by the second
+hash; every other splitter is moved to the start of its text, so that equal texts lie in one range. Ranges go to shards
+by their exact bytes, largest first, the ranges of a heavy text together if a shard can hold them. The number of ranges,
+and with it all that the driver holds, follows the number of shards, not the rows; slots are numbered in parts of about
+PART_ROWS rows of a range. Results for odd rows: a null text has size 1 and the CRC of no bytes; long texts count whole;
+repeated rows are rows of their own, also without a doc_id, and split like any others; an empty table gives an empty
+result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,19 +25,19 @@ from pyspark.sql import functions as F
 from tallyframe.llm.common import stored, text_or_empty
 
 SHARDS, LAW = 8, "bytes"
-#: Ranges of each shard at least, rows of a range on average at most, and sampled keys for each range.
-RANGES, RANGE_ROWS, KEYS_PER_RANGE = 256, 50_000, 16
-#: A range of more than so many times the mean is overfull; splitting it again stops after so many rounds.
-OVERFULL, ROUNDS = 2.0, 3
+#: Ranges of each shard, sampled keys for each range, and rows of a range that are numbered in one window on average.
+RANGES, KEYS_PER_RANGE, PART_ROWS = 256, 16, 50_000
+#: A range of more than so many times the mean is overfull.
+OVERFULL = 2.0
 #: Resolution of the hash that draws the sample.
 _DRAW = 1 << 32
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 
 
-def _sample(rows: DataFrame, wanted: int, total: int) -> pd.DataFrame:
+def _sample(rows: DataFrame, wanted: int, total: int, turn: int = 0) -> pd.DataFrame:
     """Keys drawn with a chance by size, from a hash of the row: the same rows whenever a task runs again."""
     chance = F.least(F.lit(1.0), F.col("size") * F.lit(wanted / max(total, 1)))
-    draw = F.pmod(F.xxhash64("h1", "h2", F.lit(11)), F.lit(_DRAW)) / F.lit(float(_DRAW))
+    draw = F.pmod(F.xxhash64("h1", "h2", F.lit(11 + turn)), F.lit(_DRAW)) / F.lit(float(_DRAW))
     weight = F.greatest(F.lit(1.0), F.col("size") * F.lit(wanted / max(total, 1)))
     found = rows.where(draw < chance).select("h1", "h2", weight.alias("w"), *[c for c in rows.columns if c == "range"]).toPandas()
     return found.sort_values(["h1", "h2"], ignore_index=True)
@@ -106,26 +108,31 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges: int | None = None) -> D
     rows = stored(
         docs.select(
             "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
-            F.xxhash64(text).alias("h1"), F.xxhash64("doc_id", F.lit(7)).alias("h2"), F.monotonically_increasing_id().alias("row"),
+            F.xxhash64(text).alias("h1"), F.monotonically_increasing_id().alias("row"),
         ), "shard-keys",
-    )
+    ).withColumn("h2", F.xxhash64("doc_id", "row"))
     count, total = rows.agg(F.count(F.lit(1)), F.sum("size")).first()
-    wanted = ranges or max(shards * RANGES, math.ceil(count / RANGE_ROWS))
-    wanted = min(wanted, max(1, count))
-    splitters = settle(_quantiles(_sample(rows, wanted * KEYS_PER_RANGE, total or 0), wanted))
-    for _ in range(ROUNDS):
+    wanted = min(ranges or shards * RANGES, max(1, count))
+    limit = OVERFULL * (total or 0) / wanted
+    # Texts that overfill a range alone stand between splitters of their own; there are fewer than ranges.
+    single = [r["h1"] for r in rows.where(F.col("size") > limit).select("h1").distinct().collect()]
+    fences = [(h1 + i, LOWEST) for h1 in single for i in (0, 1) if h1 + i <= HIGHEST]
+    splitters, turn = settle(sorted({*fences, *_quantiles(_sample(rows, wanted * KEYS_PER_RANGE, total or 0), wanted)})), 0
+    while True:
         counted = rows.groupBy(range_of(splitters).alias("range")).agg(F.sum("size").alias("b"), F.count(F.lit(1)).alias("n")).toPandas()
-        over = counted[(counted["b"] > OVERFULL * (total or 0) / wanted) & (counted["n"] > 1)]
+        over = counted[(counted["b"] > limit) & (counted["n"] > 1)]
         if not len(over):
             break
         inside = rows.withColumn("range", range_of(splitters)).where(F.col("range").isin(over["range"].tolist()))
+        turn += 1
+        dense = wanted * KEYS_PER_RANGE << 2 * turn  # a draw that hits every row of the range in the end
         fresh = []
-        extra = dict(list(_sample(inside, wanted * KEYS_PER_RANGE, total).groupby("range")))
+        extra = dict(list(_sample(inside, dense, total, turn).groupby("range")))
         for r, b in zip(over["range"], over["b"]):
             if r in extra:
                 fresh += _quantiles(extra[r].reset_index(drop=True), math.ceil(b * wanted / total))
         grown = settle(sorted({*splitters, *fresh}))
-        if grown == splitters:
+        if grown == splitters and dense >= total:
             break
         splitters = grown
     dealt = stored(rows.withColumn("range", range_of(splitters)), "shard-ranges")
@@ -142,7 +149,13 @@ def shard(docs: DataFrame, shards: int = SHARDS, ranges: int | None = None) -> D
     table = docs.sparkSession.createDataFrame(pa.table({
         "range": pa.array([r for r, *_ in counted], pa.int64()),
         "shard": pa.array([where[r] for r, *_ in counted], pa.int32()), "base": pa.array(bases, pa.int64())}))
-    order = Window.partitionBy("range").orderBy("h1", "h2", "row")
-    return dealt.withColumn("at", F.row_number().over(order) - 1).join(F.broadcast(table), "range").select(
-        "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", (F.col("base") + F.col("at")).cast("long").alias("slot"),
+    parts = max(1, -(-count // (wanted * PART_ROWS)))
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("row"), F.lit(parts)))
+    sizes = dealt.groupBy("range", "part").agg(F.count(F.lit(1)).alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy("range").orderBy("part")) - F.col("n")
+    sizes = sizes.select("range", "part", earlier.alias("earlier"))
+    order = Window.partitionBy("range", "part").orderBy("row")
+    numbered = dealt.withColumn("at", F.row_number().over(order) - 1).join(sizes, ["range", "part"]).join(F.broadcast(table), "range")
+    return numbered.select(
+        "doc_id", "size", "text_crc32", F.lit(LAW).alias("law"), "shard", (F.col("base") + F.col("earlier") + F.col("at")).cast("long").alias("slot"),
         F.lit(None).cast("int").alias("grown_shard"), F.col("h1").alias("text_hash"))

@@ -253,6 +253,26 @@ def test_sharding_splits_a_text_that_holds_a_third(spark):
     assert max(loads) <= 1.02 * sum(loads) / 8
 
 
+@pytest.mark.parametrize("doc_id", [None, 7])
+def test_sharding_splits_rows_without_an_id_of_their_own(spark, doc_id):
+    docs = spark.range(3000).select(F.lit(doc_id).cast("long").alias("doc_id"), F.lit("one text").alias("text"))
+    got = sharding.shard(docs, shards=8).collect()
+    loads = _check_shards(docs, got, 8, 9 * 40)
+    assert min(loads) > 0
+
+
+def test_sharding_of_giant_and_tiny_texts(spark):
+    rows = [(i, "x" * 300_000 + str(i % 3)) for i in range(12)] + [(i, f"t{i}") for i in range(12, 3000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    _check_shards(docs, sharding.shard(docs, shards=4).collect(), 4, 310_000)
+
+
+def test_slots_are_numbered_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "PART_ROWS", 7)
+    docs = spark.read.parquet(f"{SF001}/documents.parquet")
+    _check_shards(docs, sharding.shard(docs, ranges=8).collect(), 8, 1 << 20)
+
+
 def test_splitters_keep_light_texts_whole():
     assert sharding.settle([(5, 9), (7, 1), (7, 4), (9, 2)]) == [
         (5, sharding.LOWEST), (7, sharding.LOWEST), (7, 1), (7, 4), (8, sharding.LOWEST), (9, sharding.LOWEST)]
