@@ -7,7 +7,7 @@ import math
 from pyspark.sql import functions as F
 
 from tallyframe.functions import special
-from tallyframe.operators import cdf, dist, kde, pmf, sample
+from tallyframe.operators import cdf, dist, exact, kde, pmf, sample
 from tallyframe.plans.catalog import register
 from tallyframe.sources import load
 
@@ -403,3 +403,48 @@ def q_dist_binomial_quantile(spark, sf):
     p = ev.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"), F.avg(F.when(F.col("event_type") == "purchase", 1.0).otherwise(0.0)).alias("p"))
     p = p.select("user_id", "n", "p", F.explode(F.array(*map(F.lit, [0.05, 0.5, 0.95]))).alias("q"))
     return p.select("user_id", "q", special.binomial_quantile(F.col("q"), F.col("n"), F.col("p")).alias("value"))
+
+
+FLAG_LAW_SQL = """
+    WITH n AS (SELECT l_linestatus AS s, l_returnflag AS f, CAST(l_quantity AS BIGINT) AS k, count(*) AS n FROM lineitem GROUP BY 1, 2, 3),
+    p AS (SELECT s, f, k, n / sum(n) OVER (PARTITION BY s, f) AS p, sum(n) OVER (PARTITION BY s, f ORDER BY k) / sum(n) OVER (PARTITION BY s, f) AS c FROM n)
+"""
+
+
+def _exact_sum_sql() -> str:
+    """One convolution after the other; a flag that a status lacks adds 0."""
+    steps = [FLAG_LAW_SQL + """, u AS (
+      SELECT s, f, k, p FROM p UNION ALL
+      SELECT s, f, 0 AS k, 1.0 AS p FROM (SELECT DISTINCT s FROM p), (SELECT DISTINCT f FROM p) WHERE (s, f) NOT IN (SELECT (s, f) FROM p)),
+    c0 AS (SELECT DISTINCT s, 0 AS k, 1.0::DOUBLE AS p FROM p)"""]
+    for i, flag in enumerate(["A", "A", "A", "N", "R"]):
+        steps.append(f"c{i + 1} AS MATERIALIZED (SELECT c.s, c.k + u.k AS k, sum(c.p * u.p) AS p FROM c{i} c JOIN u ON c.s = u.s AND u.f = '{flag}' GROUP BY 1, 2)")
+    return ", ".join(steps) + " SELECT s AS l_linestatus, CAST(k AS DOUBLE) AS outcome, round(p, 9) AS prob FROM c5"
+
+
+def _flag_laws(spark, sf):
+    li = load(spark, sf, "lineitem", ["l_linestatus", "l_returnflag", "l_quantity"])
+    return pmf.from_keys(li, ["l_linestatus", "l_returnflag"], "l_quantity")
+
+
+@register("exact_sum", _exact_sum_sql())
+def q_exact_sum(spark, sf):
+    """Exact law, per line status, of the summed quantity of three lines with flag A and one with each other flag."""
+    laws = _flag_laws(spark, sf).withColumn("times", F.when(F.col("l_returnflag") == "A", 3).otherwise(1))
+    out = exact.sum_law(laws, ["l_linestatus"], "l_returnflag", times="times", block=128)
+    return out.select("l_linestatus", "outcome", F.round("prob", 9).alias("prob"))
+
+
+@register(
+    "exact_max",
+    FLAG_LAW_SQL + """
+    , x AS (SELECT DISTINCT s, k FROM p), g AS (SELECT DISTINCT s, f FROM p),
+    w AS (SELECT x.s, x.k, g.f, coalesce(max(p.c), 0) AS c FROM x JOIN g ON x.s = g.s LEFT JOIN p ON p.s = g.s AND p.f = g.f AND p.k <= x.k GROUP BY 1, 2, 3)
+    SELECT s AS l_linestatus, CAST(k AS DOUBLE) AS outcome, round(product(c), 9) AS cdf FROM w GROUP BY 1, 2 HAVING min(c) > 0
+    """,
+)
+def q_exact_max(spark, sf):
+    """Exact distribution function, per line status, of the largest quantity of one line with each return flag."""
+    laws = cdf.to_cdf(_flag_laws(spark, sf), ["l_linestatus", "l_returnflag"])
+    out = exact.max_law(laws, ["l_linestatus"], "l_returnflag")
+    return out.select("l_linestatus", "outcome", F.round("cdf", 9).alias("cdf"))

@@ -10,9 +10,10 @@ from .conftest import SF01
 
 ALLOWED_PAIRINGS: set[str] = set()
 # Python runs in batch plans only over Arrow batches: SGD and scans by chunks of fixed size, and states that a task
-# keeps of its rows (user aggregators, compressed trees, counter summaries).
+# keeps of its rows (user aggregators, compressed trees, counter summaries), and
+# blocks of lattice points.
 ALLOWED_PYTHON = {"sgd_linear", "sgd_affine", "sgd_logistic", "linear_mse", "fold_affine", "fold_fsm", "user_aggregator", "qtree_tree", "qtree_range",
-                  "heavy_hitters", "heavy_hitters_top10", "frequent_words", "frequent_parts"}
+                  "heavy_hitters", "heavy_hitters_top10", "frequent_words", "frequent_parts", "exact_sum"}
 PYTHON_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "MapInArrow", "AggregateInPandas")
 BATCH = sorted(n for n in all_queries() if not n.startswith("stream_"))
 
