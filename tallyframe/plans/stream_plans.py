@@ -12,7 +12,7 @@ from tallyframe.plans.bayes_plans import BAYES_SET_SQL, USER_TYPES, user_type_ta
 from tallyframe.plans.catalog import register
 from tallyframe.plans.sketch_plans import _cms_sql
 from tallyframe.sources import load
-from tallyframe.streaming import file_stream, run_stream
+from tallyframe.streaming import event_time, file_stream, run_stream
 from tallyframe.streaming import ops
 
 
@@ -177,3 +177,56 @@ def q_stream_cms_heavy_hitters(spark, sf):
     est = sketch.cms_estimate(cells, counts, [], "user_id", 0.01, 1e-3)
     total = cells.where(F.col("depth") == 0).select(F.sum("cnt")).scalar()
     return est.where(F.col("est") >= F.lit(0.001) * total).select("user_id", "est", "exact")
+
+
+@register(
+    "stream_event_fold",
+    """
+    WITH RECURSIVE e AS (
+      SELECT user_id, event_id, ts, event_type, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS pos FROM events),
+    s AS (
+      SELECT user_id, 0::BIGINT AS pos, NULL::BIGINT AS event_id, NULL::TIMESTAMP AS ts, 0::BIGINT AS run, 0::DOUBLE AS best FROM (SELECT DISTINCT user_id FROM events)
+      UNION ALL
+      SELECT e.user_id, e.pos, e.event_id, e.ts, CASE WHEN e.event_type = 'error' THEN 0 ELSE s.run + 1 END,
+             CASE WHEN e.event_type = 'error' THEN 0 ELSE greatest(s.best, e.value) END
+      FROM s JOIN e ON e.user_id = s.user_id AND e.pos = s.pos + 1)
+    SELECT user_id, event_id, run, best FROM s WHERE pos > 0 AND ts < (SELECT max(ts) FROM events) - INTERVAL 1 day
+    """,
+)
+def q_stream_event_fold(spark, sf):
+    """Events since the last error and their greatest value, per user in event order, for all events that the watermark
+    (one day behind the latest event) has passed."""
+
+    def logic(state, row):
+        _, kind, value = row
+        state = (0, 0.0) if kind == "error" else (state[0] + 1, max(state[1], value))
+        return state, state
+
+    s = file_stream(spark, sf, "events").select("user_id", "event_id", "ts", "event_type", "value")
+    with event_time.rocksdb_state(spark):
+        out = run_stream(event_time.event_time_fold(
+            s, "user_id", "ts", ["event_id"], ["event_type", "value"], logic, "run long, best double", (0, 0.0), "run long, best double", "1 day"),
+            "append", sink="parquet")
+    return out.select("user_id", "event_id", "run", "best")
+
+
+@register(
+    "stream_window_hitters",
+    """
+    WITH p AS (SELECT user_id, time_bucket(INTERVAL 6 hours, ts) AS pane FROM events),
+    w AS (SELECT user_id, pane + i * INTERVAL 6 hours AS e FROM p, range(1, 5) r(i)),
+    n AS (SELECT e, count(*) AS n FROM w GROUP BY 1)
+    SELECT strftime(w.e, '%Y-%m-%d %H:%M') AS window_end, CAST(user_id AS VARCHAR) AS user_id, count(*) AS cnt
+    FROM w JOIN n ON w.e = n.e WHERE w.e <= (SELECT max(ts) FROM events) - INTERVAL 1 hour
+    GROUP BY w.e, user_id, n.n HAVING count(*) >= 0.02 * n.n
+    """,
+)
+def q_stream_window_hitters(spark, sf):
+    """Users with 2% of the events of the last 24 hours, every 6 hours, from a ring of pane summaries; windows end before
+    the watermark (one hour behind the latest event)."""
+    s = file_stream(spark, sf, "events").select("ts", "user_id")
+    with event_time.rocksdb_state(spark):
+        out = run_stream(event_time.pane_summaries(s, "ts", "user_id", 6 * 3600, 4, "1 hour", counters=100_000, buckets=8), "append", sink="parquet")
+    hits = event_time.window_heavy_hitters(out, 0.02)
+    shown = F.date_format(F.to_timestamp_ntz(F.date_format(F.timestamp_micros("end_us"), "yyyy-MM-dd HH:mm:ss")), "yyyy-MM-dd HH:mm")
+    return hits.select(shown.alias("window_end"), F.col("item").alias("user_id"), "cnt")
