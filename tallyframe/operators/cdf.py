@@ -9,12 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyframe.functions.exprs import join_by, normalise_weight
 from tallyframe.operators import ordered
 from tallyframe.operators.pmf import _by
+from tallyframe.sources.tables import materialize
 
 
 def _outcome_block(pmf: DataFrame, by: list[str], outcome: str, block):
@@ -25,6 +26,32 @@ def _outcome_block(pmf: DataFrame, by: list[str], outcome: str, block):
     return block
 
 
+def ranged_cdf(pmf: DataFrame, by, outcome: str = "outcome", weight: str = "n", parts: int | None = None) -> DataFrame:
+    """The same table as :func:`to_cdf` for groups of any size: no task holds more than its share of all outcomes.
+
+    The PMF is cut into ``parts`` ranges of (group, outcome) and stored with each row's range, so every later read sees
+    the same cut; a group that holds a third of all outcomes spreads over a third of the ranges, small groups share one.
+    Sums run within (range, group). Only groups that cross an edge take earlier ranges' sums, at most two rows per range,
+    from a table that is bounded by the number of ranges. ``pmf`` has one row per (by, outcome)."""
+    by = _by(by)
+    if not by:
+        return ranged_cdf(pmf.withColumn("_g", F.lit(0)), ["_g"], outcome, weight, parts).drop("_g")
+    parts = parts or int(pmf.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cut = pmf.repartitionByRange(parts, *by, outcome).withColumn("_part", F.spark_partition_id())
+    cut = materialize(cut, "cdf-ranges")
+    sums = cut.groupBy(*by, "_part").agg(F.sum(weight).alias("_sum"))
+    crossing = sums.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.sum("_sum").alias("_all")).where(F.col("_n") > 1).drop("_n")
+    pieces = join_by(sums, F.broadcast(crossing), by)  # fewer groups than ranges cross an edge
+    before = F.sum("_sum").over(Window.partitionBy(*by).orderBy("_part")) - F.col("_sum")
+    pieces = pieces.select(*by, "_part", before.alias("_before"), "_all")
+    here = Window.partitionBy("_part", *by)
+    run = cut.withColumn("_run", F.sum(weight).over(here.orderBy(outcome).rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    run = run.withColumn("_own", F.sum(weight).over(here))
+    j = join_by(run, F.broadcast(pieces), [*by, "_part"], "left")
+    out = j.withColumn("cum", F.col("_run") + F.coalesce("_before", F.lit(0))).withColumn("total", F.coalesce("_all", "_own"))
+    return out.withColumn("cdf", normalise_weight(F.col("cum").cast("double"), F.col("total"))).drop("_part", "_run", "_own", "_before", "_all")
+
+
 def to_cdf(pmf: DataFrame, by, outcome: str = "outcome", weight: str = "n", block="auto") -> DataFrame:
     """Running sum of weight in outcome order, plus the group total; ``cdf = cum / total``."""
     by = _by(by)

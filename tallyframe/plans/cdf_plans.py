@@ -144,3 +144,19 @@ def q_series_table(spark, sf):
         (F.concat(F.lit("pmf_"), "l_returnflag"), c.withColumn("v", F.round(F.col("n") / F.col("total"), 9))),
         (F.concat(F.lit("cdf_"), "l_returnflag"), c.withColumn("v", F.round("cdf", 9))),
     ], "outcome", "v")
+
+
+@register(
+    "cdf_by_ranges",
+    """
+    WITH k AS (SELECT l_returnflag, CAST(round(l_extendedprice * 100) AS BIGINT) AS cents, count(*) AS n FROM lineitem GROUP BY 1, 2)
+    SELECT l_returnflag, cents, CAST(sum(n) OVER w AS BIGINT) AS cum, round(sum(n) OVER w / sum(n) OVER (PARTITION BY l_returnflag), 9) AS cdf
+    FROM k WINDOW w AS (PARTITION BY l_returnflag ORDER BY cents)
+    """,
+)
+def q_cdf_by_ranges(spark, sf):
+    """CDF of line prices per return flag, where a group holds half of all outcomes: sums run in ranges of outcomes."""
+    li = load(spark, sf, "lineitem", ["l_returnflag", "l_extendedprice"])
+    prices = pmf.from_keys(li, ["l_returnflag"], F.round(F.col("l_extendedprice") * 100).cast("bigint"), outcome="cents")
+    c = cdf.ranged_cdf(prices.select("l_returnflag", "cents", "n"), ["l_returnflag"], outcome="cents")
+    return c.select("l_returnflag", "cents", "cum", F.round("cdf", 9).alias("cdf"))

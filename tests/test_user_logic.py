@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyframe.operators import aggregator, fsm, ordered, sgd
+from tallyframe.operators import aggregator, cdf, fsm, ordered, pmf, sgd
 from tallyframe.operators.aggregator import Aggregator
 
 STATES = ["a", "b", "c"]
@@ -188,3 +188,23 @@ def test_own_gradient_null_points_and_edges(spark):
     assert sgd.sgd_mixed(df.limit(0), ["g"], ["i"], "y", ["a", "b"], 0.1, rounds=2).count() == 0
     whole = sgd.sgd_mixed(df, [], ["i", "a"], "y", ["a", "b"], 0.1, huber, rounds=2, chunk_rows=100).collect()
     assert len(whole) == 1 and whole[0]["count"] == 600
+
+
+# --- running sums in ranges ---
+
+
+def test_ranged_cdf_of_a_hot_group(spark):
+    rng = random.Random(6)
+    rows = [(1, i) for i in rng.sample(range(100_000), 4000)] + [(g, rng.randint(0, 50)) for g in range(2, 900) for _ in range(3)] + [(None, 3), (None, 5), (None, 5)]
+    df = spark.createDataFrame(rows, "g int, outcome int").repartition(5)
+    p = pmf.from_keys(df, ["g"], "outcome").select("g", "outcome", "n")
+    got = cdf.ranged_cdf(p, ["g"], parts=24)
+    want = cdf.to_cdf(p, ["g"])
+    names = ["g", "outcome", "n", "cum", "total"]
+    assert sorted(map(tuple, got.select(names).collect()), key=repr) == sorted(map(tuple, want.select(names).collect()), key=repr)
+    assert {r["cdf"] for r in got.groupBy("g").agg(F.max("cdf").alias("cdf")).collect()} == {1.0}
+    cut = p.repartitionByRange(24, "g", "outcome").groupBy(F.spark_partition_id(), F.col("g").eqNullSafe(1)).count().collect()
+    assert max(r["count"] for r in cut) < 3 * p.count() / 24  # the hot group lies in many ranges
+    whole = cdf.ranged_cdf(p.where("g = 1").drop("g"), [], parts=7).orderBy("outcome").collect()
+    assert [r["cum"] for r in whole] == list(range(1, 4001)) and {r["total"] for r in whole} == {4000}
+    assert cdf.ranged_cdf(p.where("g < 0"), ["g"]).count() == 0
