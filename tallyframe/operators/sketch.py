@@ -213,7 +213,8 @@ def cms_estimate(sketch: DataFrame, probes: DataFrame, by, item: str, eps: float
                  out: str = "est") -> DataFrame:
     """Estimated frequency per distinct probe item: the minimum count over its cells (never below the truth).
 
-    The sketch has depth × width rows per group, a size fixed by (eps, delta) and not by the data.
+    The sketch has depth × width rows per group, a size fixed by (eps, delta) and not by the data; an ungrouped one of up
+    to BROADCAST_CELLS is broadcast.
     """
     by = _by(by)
     width, depth = cms_shape(eps, delta)
@@ -222,7 +223,7 @@ def cms_estimate(sketch: DataFrame, probes: DataFrame, by, item: str, eps: float
     cells = items.select(*by, item, *keep, *_hash_halves(F.col(item)))
     cells = cells.select(*by, item, *keep, F.explode(cms_cells(F.col("_h1"), F.col("_h2"), width, depth)).alias("_cell"))
     cells = cells.select(*by, item, *keep, F.col("_cell.depth").alias("depth"), F.col("_cell.bucket").alias("bucket"))
-    sk = sketch if by else F.broadcast(sketch)
+    sk = F.broadcast(sketch) if not by and width * depth <= BROADCAST_CELLS else sketch
     hit = cells.join(sk, [*by, "depth", "bucket"], "left")
     return hit.groupBy(*by, item, *keep).agg(F.min(F.coalesce(F.col("cnt"), F.lit(0))).alias(out))
 
@@ -259,11 +260,11 @@ def heavy_hitters(df: DataFrame, by, item: str, eps: float, delta: float, pct: f
 
     Items are not grouped: a first pass adds up a sketch per task, and a second holds every item against the whole
     sketch and counts exactly those that reach the share. Without groups the sketch, depth x width cells, goes to the
-    tasks as it is; with groups its cells are joined to the distinct items that each task holds."""
+    tasks as it is; with groups, or with more than CELLS cells, the distinct items are counted and joined to its cells."""
     by = _by(by)
-    if by:
-        return _grouped_heavy_hitters(df, by, item, eps, delta, pct)
     width, depth = cms_shape(eps, delta)
+    if by or width * depth > CELLS:
+        return _joined_heavy_hitters(df, by, item, eps, delta, pct)
     whole = np.zeros((depth, width), np.int64)
     for r in cms_partials(df, [], item, eps, delta).collect():  # depth x width rows at most
         whole[r["depth"], r["bucket"]] = r["cnt"]
@@ -287,13 +288,13 @@ def heavy_hitters(df: DataFrame, by, item: str, eps: float, delta: float, pct: f
     return out.select(F.col("_item").cast(df.schema[item].dataType).alias(item), "exact", "est")
 
 
-def _grouped_heavy_hitters(df: DataFrame, by: list[str], item: str, eps: float, delta: float, pct: float) -> DataFrame:
+def _joined_heavy_hitters(df: DataFrame, by: list[str], item: str, eps: float, delta: float, pct: float) -> DataFrame:
     # One per-item count table feeds the sketch, the candidate items and the total, so the input is read once.
     counts = df.groupBy(*by, item).agg(F.count(F.lit(1)).alias("_c"))
     sk = cms_from_counts(counts, by, item, "_c", eps, delta)
     est = cms_estimate(sk, counts, by, item, eps, delta).withColumnRenamed("_c", "exact")
     total = counts.groupBy(*by).agg(F.sum("_c").alias("_N"))
-    est = join_by(est, total, by)
+    est = join_by(est, total, by) if by else with_scalars(est, total, ["_N"])
     return est.where(F.col("est") >= F.lit(float(pct)) * F.col("_N")).drop("_N")
 
 
@@ -360,6 +361,8 @@ def frequent_items(df: DataFrame, by, item: str, pct: float, counters: int | Non
 
 #: Cells and counters that a task holds of all its groups, and item hashes that it remembers.
 CELLS, COUNTERS, HASHES = 4_000_000, 1_000_000, 400_000
+#: Cells of a sketch that is broadcast (about 30 bytes each).
+BROADCAST_CELLS = 400_000
 
 
 class _Halves(dict):

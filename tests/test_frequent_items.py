@@ -57,11 +57,16 @@ def test_task_sketches_equal_the_counted_sketch(spark):
         assert sorted(map(tuple, one.collect()), key=repr) == sorted(map(tuple, two.select(one.columns).collect()), key=repr)
 
 
-def test_heavy_hitters_without_grouping_all_items(spark):
+def test_heavy_hitters_without_grouping_all_items(spark, monkeypatch):
     df = spark.createDataFrame([(1, x) for _, x in skewed_rows() if x is not None], "g int, x string").repartition(4)
     one = sketch.heavy_hitters(df, [], "x", 0.01, 0.01, 0.01)
     two = sketch.heavy_hitters(df, ["g"], "x", 0.01, 0.01, 0.01)
     assert {(r["x"], r["est"], r["exact"]) for r in one.collect()} == {(r["x"], r["est"], r["exact"]) for r in two.collect()}
+    monkeypatch.setattr(sketch, "CELLS", 1)  # a sketch too wide to send
+    monkeypatch.setattr(sketch, "BROADCAST_CELLS", 1)
+    three = sketch.heavy_hitters(df, [], "x", 0.01, 0.01, 0.01)
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, three.select(one.columns).collect()))
+    monkeypatch.undo()
     numbers = spark.range(50).select((F.col("id") % 4).alias("v"))
     assert {(r["v"], r["exact"]) for r in sketch.heavy_hitters(numbers, [], "v", 0.01, 0.01, 0.2).collect()} == {(0, 13), (1, 13), (2, 12), (3, 12)}
 
