@@ -49,11 +49,10 @@ def read_json_records(spark: SparkSession, path: str, schema: str | None = None)
 
 
 def read_xy_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless ``x, y`` CSV with a line number, so order-dependent folds can follow file order.
+    """Headerless ``x, y`` CSV with each line's place, so order-dependent folds can follow file order.
 
-    The line number comes from the file offset of each line (``_metadata.row_index`` is not exposed for
-    text), via ``monotonically_increasing_id`` on a single-file, order-preserving read; it is strictly
-    increasing in file order, which is all the folds need.
+    ``(file, block, seq)`` is that order for any number of files and however they are split: a block is read by one task
+    from its first byte on, and ``seq`` rises within it. For a single file read as one block ``seq`` alone will do.
     """
     df = (
         spark.read.option("ignoreLeadingWhiteSpace", True)
@@ -61,7 +60,8 @@ def read_xy_csv(spark: SparkSession, path: str) -> DataFrame:
         .schema("x double, y double")
         .csv(path)
     )
-    return df.withColumn("seq", F.monotonically_increasing_id())
+    return df.select("x", "y", F.monotonically_increasing_id().alias("seq"), F.col("_metadata.file_path").alias("file"),
+                     F.col("_metadata.file_block_start").alias("block"))
 
 
 def read_text_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -43,3 +43,21 @@ def test_session_without_checkpoint_setting(tmp_path):
 
 def test_core_plans_without_the_optional_parts():
     run(WITHOUT_TOKENIZERS)
+
+
+def test_csv_lines_keep_their_order_over_files_and_splits(spark, tmp_path):
+    from tallyframe.sources import read_xy_csv
+
+    for name, start in (("a", 0), ("b", 3000)):
+        (tmp_path / f"{name}.csv").write_text("".join(f"{start + i}, {i % 7}\n" for i in range(3000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    try:
+        df = read_xy_csv(spark, str(tmp_path))
+        rows = df.orderBy("file", "block", "seq").collect()
+        assert df.rdd.getNumPartitions() > 4
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert [r["x"] for r in rows] == [float(i) for i in range(6000)]
