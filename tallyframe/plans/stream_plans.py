@@ -230,3 +230,15 @@ def q_stream_window_hitters(spark, sf):
     hits = event_time.window_heavy_hitters(out, 0.02)
     shown = F.date_format(F.to_timestamp_ntz(F.date_format(F.timestamp_micros("end_us"), "yyyy-MM-dd HH:mm:ss")), "yyyy-MM-dd HH:mm")
     return hits.select(shown.alias("window_end"), F.col("item").alias("user_id"), "cnt")
+
+
+@register(
+    "stream_hll_error",
+    "SELECT event_type, count(DISTINCT user_id) AS exact, true AS within_bound FROM events GROUP BY event_type",
+)
+def q_stream_hll_error(spark, sf):
+    """Running distinct users per event type with the sketch's error in percent; contract: within 4 standard errors."""
+    s = file_stream(spark, sf, "events").select("event_type", "user_id")
+    out = run_stream(ops.distinct_error(s, ["event_type"], "user_id"), "complete")
+    bound = F.lit(400 * sketch.hll_rse(12)) + F.lit(100.0) / F.col("exact")
+    return out.select("event_type", "exact", (F.abs("error_pct") <= bound).alias("within_bound"))

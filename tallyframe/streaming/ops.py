@@ -34,6 +34,14 @@ def sketch_state(stream: DataFrame, by: Sequence[str], item: str, lg_k: int = 12
     return stream.groupBy(*by).agg(F.hll_sketch_agg(F.col(item), checked_lg_k(lg_k)).alias("sketch"))
 
 
+def distinct_error(stream: DataFrame, by: Sequence[str], key: str, lg_k: int = 12) -> DataFrame:
+    """Running ``(by..., exact, est, error_pct)``: exact distinct keys, their HLL estimate and its error in percent, all
+    from state: a key enters count and sketch once, when it is new to its group."""
+    new = stream.dropDuplicates([*by, key])
+    out = new.groupBy(*by).agg(F.count(F.col(key)).alias("exact"), F.hll_sketch_estimate(F.hll_sketch_agg(F.col(key), checked_lg_k(lg_k))).alias("est"))
+    return out.withColumn("error_pct", (F.col("est") / F.nullif(F.col("exact"), F.lit(0)) - 1) * 100)
+
+
 def window_sketch(stream: DataFrame, ts: str, by: Sequence[str], item: str, window: str, lateness: str,
                   lg_k: int = 12) -> DataFrame:
     """Tumbling event-time window sketches with a watermark (state dropped once a window is final)."""
