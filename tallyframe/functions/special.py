@@ -20,7 +20,7 @@ from tallyframe.functions.exprs import lgamma
 TERMS, ROOTS = 80, 8.0
 #: Halvings of a bracket: enough for any double, and for any whole number of a long.
 HALVINGS, WHOLE_HALVINGS = 80, 63
-#: What a cumulative probability may lack of p, relative to it, to count as reaching it (rounding).
+#: What a probability may miss, relative to the smaller of p and 1 - p, to count as reaching it (rounding).
 SLACK = 1e-12
 
 
@@ -123,6 +123,16 @@ def binomial_cdf(k: Column, n: Column, p: Column) -> Column:
     return let(lambda k, n, p: F.when(k < 0, 0.0).when(k >= n, 1.0).otherwise(_beta_i(n - F.floor(k), F.floor(k) + 1.0, F.lit(1.0) - p, p)), k, n, p)
 
 
+def poisson_tail(k: Column, lam: Column) -> Column:
+    """P(X > k), with its own precision where it is small."""
+    return let(lambda k, lam: F.when(k < 0, 1.0).when(lam <= 0, 0.0).otherwise(gamma_p(F.floor(k) + 1, lam)), k, lam)
+
+
+def binomial_tail(k: Column, n: Column, p: Column) -> Column:
+    """P(X > k), with its own precision where it is small."""
+    return let(lambda k, n, p: F.when(k < 0, 1.0).when(k >= n, 0.0).otherwise(_beta_i(F.floor(k) + 1.0, n - F.floor(k), p, F.lit(1.0) - p)), k, n, p)
+
+
 # ---------------------------------------------------------------- inverses
 
 
@@ -138,12 +148,13 @@ def _halved(cdf: Callable[[Column], Column], p: Column, low: Column, high: Colum
     return (end["lo"] + end["hi"]) / 2
 
 
-def _whole(cdf: Callable[[Column], Column], p: Column, high: Column) -> Column:
-    """The smallest whole number whose cumulative probability reaches p, at most ``high``."""
+def _whole(cdf: Callable[[Column], Column], tail: Callable[[Column], Column], p: Column, high: Column) -> Column:
+    """The smallest whole number whose cumulative probability reaches p, at most ``high``. Above one half the
+    probability beyond it is held against 1 - p, which keeps its precision there."""
 
     def step(acc: Column, _: Column) -> Column:
         middle = F.floor((acc["lo"] + acc["hi"]) / 2)
-        enough = cdf(middle) >= p * (1 - SLACK)
+        enough = F.when(p > 0.5, tail(middle) <= (F.lit(1.0) - p) * (1 + SLACK)).otherwise(cdf(middle) >= p * (1 - SLACK))
         next_ = F.struct(F.when(enough, acc["lo"]).otherwise(middle.cast("double")).alias("lo"), F.when(enough, middle.cast("double")).otherwise(acc["hi"]).alias("hi"))
         return F.when(acc["hi"] - acc["lo"] <= 1, acc).otherwise(next_)
 
@@ -174,11 +185,11 @@ def poisson_quantile(p: Column, lam: Column) -> Column:
     def found(p: Column, lam: Column) -> Column:
         tail = -F.log1p(-p)
         high = F.ceil(lam + tail / 3 + F.sqrt(tail * tail / 9 + lam * tail * 2)) + 1
-        return F.when(lam <= 0, F.lit(0).cast("bigint")).otherwise(_whole(lambda k: poisson_cdf(k, lam), p, high))
+        return F.when(lam <= 0, F.lit(0).cast("bigint")).otherwise(_whole(lambda k: poisson_cdf(k, lam), lambda k: poisson_tail(k, lam), p, high))
 
     return let(found, p, lam)
 
 
 def binomial_quantile(q: Column, n: Column, p: Column) -> Column:
     """The smallest k with P(X <= k) >= q of n trials with chance p."""
-    return let(lambda q, n, p: _whole(lambda k: binomial_cdf(k, n, p), q, n), q, n, p)
+    return let(lambda q, n, p: _whole(lambda k: binomial_cdf(k, n, p), lambda k: binomial_tail(k, n, p), q, n), q, n, p)
