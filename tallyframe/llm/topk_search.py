@@ -144,6 +144,21 @@ def home_cells(v: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.argmin(np.where(np.isnan(far), np.inf, far), axis=1)
 
 
+def query_groups(pivots: np.ndarray, in_cell: np.ndarray) -> np.ndarray:
+    """The block group of each cell's queries: cells in a row of near ones, cut where a block is full."""
+    order, left = [0], set(range(1, len(pivots)))
+    while left:
+        far = {c: float(np.abs(pivots[c] - pivots[order[-1]]).sum()) for c in left}
+        order.append(min(left, key=lambda c: (far[c], c)))
+        left.remove(order[-1])
+    out, group, held = np.zeros(len(pivots), np.int64), 0, 0
+    for c in order:
+        if held and held + in_cell[c] > QUERY_BLOCK:
+            group, held = group + 1, 0
+        out[c], held = group, held + in_cell[c]
+    return out
+
+
 def cell_bounds(q: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """Upper bounds of the products of each query with any row whose statistics lie between ``low`` and ``high``."""
     with np.errstate(over="ignore", invalid="ignore"):
@@ -205,12 +220,18 @@ def topk(vectors: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE)
         low[r["cell"], r["i"]], high[r["cell"], r["i"]], size[r["cell"]] = r["low"], r["high"], r["n"]
     blocks = np.maximum(1, -(-size // ROW_BLOCK))
     queries = placed.where(is_query)
-    in_cell = {r["cell"]: r["n"] for r in queries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    query_blocks = np.array([max(1, -(-in_cell.get(c, 0) // QUERY_BLOCK)) for c in range(len(pivots))])
+    in_cell = np.zeros(len(pivots), np.int64)
+    for r in queries.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect():
+        in_cell[r["cell"]] = r["n"]
+    query_blocks = np.maximum(1, -(-in_cell // QUERY_BLOCK))
+    groups = query_groups(pivots, in_cell)
+
+    def of_cell(values: np.ndarray, cell: str = "cell") -> Column:
+        return F.element_at(F.array(*map(F.lit, values.tolist())), (F.col(cell) + 1).cast("int"))
 
     def dealt(n: np.ndarray) -> Column:
         """A number below that of the row's cell."""
-        return F.pmod(F.xxhash64("vec_id"), F.element_at(F.array(*map(F.lit, n.tolist())), (F.col("cell") + 1).cast("int"))).cast("int")
+        return F.pmod(F.xxhash64("vec_id"), of_cell(n)).cast("int")
 
     def wanted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """A row per query and cell whose bound reaches the query's floor."""
@@ -227,14 +248,13 @@ def topk(vectors: DataFrame, is_query: Column, k: int = TOP, scale: int = SCALE)
             yield pdf.iloc[x].assign(target=y, floor=floors[x])
 
     left = queries.withColumn("qb", dealt(query_blocks)).mapInPandas(
-        wanted, "vec_id long, v array<double>, cell long, qb int, target long, floor double").withColumnRenamed("cell", "qcell")
-    left = stored(left, "topk-queries")
+        wanted, "vec_id long, v array<double>, cell long, qb int, target long, floor double")
+    left = stored(left.withColumn("qcell", of_cell(groups).cast("long")).drop("cell"), "topk-queries")
     # Blocks of queries and the cells that they need.
     pairs = left.select(F.col("qcell").alias("pc"), F.col("qb").alias("pb"), F.col("target").alias("cell")).distinct()
     right = placed.withColumn("rb", dealt(blocks)).join(pairs, "cell").select(
         "vec_id", "v", F.col("pc").alias("qcell"), F.col("pb").alias("qb"), F.col("cell").alias("target"), "rb")
-    subs = F.element_at(F.array(*map(F.lit, blocks.tolist())), (F.col("target") + 1).cast("int"))
-    left = left.withColumn("rb", F.explode(F.sequence(F.lit(0), (subs - 1).cast("int"))))
+    left = left.withColumn("rb", F.explode(F.sequence(F.lit(0), (of_cell(blocks, "target") - 1).cast("int"))))
     keys = ["qcell", "qb", "target", "rb"]
 
     def search(q: pd.DataFrame, r: pd.DataFrame) -> pd.DataFrame:
