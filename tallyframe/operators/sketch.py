@@ -22,6 +22,7 @@ from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from tallyframe.functions.exprs import col_of, hash_positions, join_by, with_scalars
 from tallyframe.operators.pmf import _by
+from tallyframe.sources.tables import materialize
 
 def _hash_halves(item: Column) -> list[Column]:
     """h1, h2: the first two 8-hex-digit slices of md5(item), from one digest per item."""
@@ -303,23 +304,26 @@ def _joined_heavy_hitters(df: DataFrame, by: list[str], item: str, eps: float, d
 
 def misra_gries(df: DataFrame, by, item: str | Column, counters: int) -> DataFrame:
     """``(by..., item, count, missed)``: mergeable summaries of at most ``counters`` counts per task and group. An item's
-    true count lies between the sum of its counts and that plus the group's sum of ``missed`` (one row with a NULL
-    ``item`` per task and group), which is at most a group's rows divided by ``counters``. NULL items do not count."""
+    true count lies between the sum of its counts and that plus the group's sum of ``missed``, which is at most a group's
+    rows divided by ``counters``. One row with a NULL ``item`` per task and group holds ``missed`` and, as its count, the
+    group's rows in the task; NULL items count for these only."""
     by = _by(by)
     n = len(by)
-    rows = df.select(*by, col_of(item).cast("string").alias("item")).where(F.col("item").isNotNull())
+    rows = df.select(*by, col_of(item).cast("string").alias("item"))
     schema = StructType([*(rows.schema[c] for c in by), *StructType.fromDDL("item string, count long, missed long")])
     target = to_arrow_schema(schema)
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        groups: dict[tuple, tuple[dict[str, int], list[int]]] = {}
+        groups: dict[tuple, tuple[dict[str, int], list[int]]] = {}  # counts; missed and rows
         size = 0
         for batch in _gathered(batches):
-            for key, items, counts in _counted(batch, n):
-                held, missed = groups.setdefault(key, ({}, [0]))
+            for key, items, counts in _counted(batch, n, nulls=True):
+                held, missed = groups.setdefault(key, ({}, [0, 0]))
                 size -= len(held)
+                missed[1] += int(counts.sum())
                 for x, c in zip(items, counts.tolist()):
-                    held[x] = held.get(x, 0) + c
+                    if x is not None:
+                        held[x] = held.get(x, 0) + c
                 if len(held) > 4 * counters:
                     _cut(held, missed, counters)
                 size += len(held)
@@ -334,18 +338,16 @@ def misra_gries(df: DataFrame, by, item: str | Column, counters: int) -> DataFra
 def frequent_items(df: DataFrame, by, item: str, pct: float, counters: int | None = None) -> DataFrame:
     """``(by..., item, cnt)``: exactly the items that make up at least ``pct`` of their group's rows, with exact counts.
 
-    The summaries of the first pass name every such item and not many more (fewer than 2 / ``pct`` per group); a second
-    pass counts these only. No pass groups all items. NULL items count for the group's rows but are no item."""
+    The summaries of the first pass name every such item and not many more (fewer than 2 / ``pct`` per group) and are
+    stored; a second pass counts these only. No pass groups all items. NULL items count for the group's rows but are no
+    item."""
     by = _by(by)
     counters = counters or math.ceil(2 / pct)
-    parts = misra_gries(df, by, item, counters)
+    parts = materialize(misra_gries(df, by, item, counters), "frequent-items")
     summed = parts.where(F.col("item").isNotNull()).groupBy(*by, "item").agg(F.sum("count").alias("_low"))
-    missed = parts.where(F.col("item").isNull()).groupBy(*by).agg(F.sum("missed").alias("_missed"))
-    total = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    if by:
-        j = join_by(join_by(summed, missed, by), total, by)
-    else:
-        j = with_scalars(with_scalars(summed, missed, ["_missed"]), total, ["_n"])
+    whole = parts.where(F.col("item").isNull()).groupBy(*by).agg(F.sum("missed").alias("_missed"), F.sum("count").alias("_n"))
+    j = join_by(summed, whole, by) if by else with_scalars(summed, whole, ["_missed", "_n"])
+    total = whole.drop("_missed")
     could = j.where(F.col("_low") + F.col("_missed") >= F.lit(float(pct)) * F.col("_n")).select(*by, F.col("item").cast(df.schema[item].dataType).alias(item))
     rows = df.select(*by, item)
     if by:
@@ -396,14 +398,15 @@ def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterato
         yield from pa.Table.from_batches(held).combine_chunks().to_batches()
 
 
-def _counted(batch: pa.RecordBatch, n: int) -> Iterator[tuple[tuple, list[str], np.ndarray]]:
-    """(key, distinct items, counts) of the groups in a batch of ``n`` key columns and one of items; NULL items stay out."""
+def _counted(batch: pa.RecordBatch, n: int, nulls: bool = False) -> Iterator[tuple[tuple, list[str], np.ndarray]]:
+    """(key, distinct items, counts) of the groups in a batch of ``n`` key columns and one of items; NULL items stay out
+    unless ``nulls``."""
     if not n:
-        counts = pc.value_counts(pc.drop_null(batch.column(0)))
+        counts = pc.value_counts(batch.column(0) if nulls else pc.drop_null(batch.column(0)))
         yield (), counts.field("values").to_pylist(), counts.field("counts").to_numpy()
         return
     table = pa.Table.from_batches([batch]).rename_columns([*(f"k{i}" for i in range(n)), "x"])
-    table = table.filter(pc.is_valid(table["x"])).group_by([*(f"k{i}" for i in range(n)), "x"]).aggregate([([], "count_all")])
+    table = (table if nulls else table.filter(pc.is_valid(table["x"]))).group_by([*(f"k{i}" for i in range(n)), "x"]).aggregate([([], "count_all")])
     groups: dict[tuple, tuple[list, list]] = {}
     for *key, x, c in zip(*(table[name].to_pylist() for name in [*(f"k{i}" for i in range(n)), "x", "count_all"])):
         items, counts = groups.setdefault(tuple(key), ([], []))
@@ -436,5 +439,5 @@ def _summary_rows(groups: dict, counters: int, schema: pa.Schema, n: int) -> Ite
         _cut(held, missed, counters)
         keys = [pa.array([k] * (len(held) + 1), f.type) for k, f in zip(key, schema)]
         yield pa.RecordBatch.from_arrays([
-            *keys, pa.array([*held, None], pa.string()), pa.array([*held.values(), 0], pa.int64()),
-            pa.array([0] * len(held) + missed, pa.int64())], schema=schema)
+            *keys, pa.array([*held, None], pa.string()), pa.array([*held.values(), missed[1]], pa.int64()),
+            pa.array([0] * len(held) + missed[:1], pa.int64())], schema=schema)

@@ -36,12 +36,14 @@ def test_summaries_keep_their_bounds(spark, monkeypatch, held):
     df = spark.createDataFrame(data, "g int, x string").repartition(5)
     parts = sketch.misra_gries(df, ["g"], "x", 20).collect()
     true, rows = Counter(data), Counter(g for g, x in data if x is not None)
-    low, missed, per_task = Counter(), Counter(), Counter()
+    low, missed, per_task, seen = Counter(), Counter(), Counter(), Counter()
     for r in parts:
+        if r["item"] is None:
+            seen[r["g"]] += r["count"]
         low[r["g"], r["item"]] += r["count"]
         missed[r["g"]] += r["missed"]
         per_task[r["g"]] += r["item"] is not None
-    assert all(missed[g] <= rows[g] / 20 for g in rows)
+    assert all(missed[g] <= rows[g] / 20 for g in rows) and seen == Counter(g for g, _ in data)
     for (g, x), c in true.items():
         if x is not None:
             assert low[g, x] <= c <= low[g, x] + missed[g]
