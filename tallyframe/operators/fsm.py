@@ -10,10 +10,11 @@ on ``rows`` (or ``group``) alone.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,12 +33,11 @@ def transitions(states: Sequence, logic: Logic) -> list[Column]:
     """The number of the next state of each state. A NULL next state (logic that does not cover the row) leaves the
     state as it is; a value that is no state leads to one more, which nothing leaves."""
 
+    known = F.array(*[F.lit(s) for s in states])
+
     def number(state) -> Column:
-        after = F.coalesce(logic(F.lit(state)), F.lit(state))
-        out = F.lit(len(states))
-        for i, s in reversed(list(enumerate(states))):
-            out = F.when(after == F.lit(s), F.lit(i)).otherwise(out)
-        return out
+        place = F.array_position(known, F.coalesce(logic(F.lit(state)), F.lit(state)))  # names the logic once; 0: no state
+        return F.pmod(place - 1, F.lit(len(states) + 1))
 
     return [*(number(s) for s in states), F.lit(len(states))]
 
@@ -72,10 +72,13 @@ def scan(
     g = by or ["_g"]
     shown = list(dict.fromkeys([*order, *keep]))
     steps = [f"_t{i}" for i in range(len(states) + 1)]
+    places, spread = ordered.nulls_last(order, block)
     x = df.select(*([F.col(c) for c in by] or [F.lit(0).alias("_g")]), *[c for c in shown if c not in by],
-                  *[c.cast("int").alias(n) for c, n in zip(transitions(states, logic), steps)],
-                  (block if block is not None else F.lit(0)).cast("bigint").alias("_blk"))
-    x = ordered.row_chunks(x, g, order, rows, "_chunk", F.col("_blk")).drop("_blk")
+                  *[c.cast("int").alias(n) for c, n in zip(transitions(states, logic), steps)], spread.alias("_blk"))
+
+    def chunked(part: DataFrame) -> DataFrame:
+        return ordered.row_chunks(part, g, places, rows, "_chunk", F.col("_blk"), "_rank").drop("_blk")
+
     fields = {f.name: f for f in x.schema.fields}
     keys = [fields[c] for c in g]
     number = {c: T.StructField(c, T.LongType()) for c in ("_chunk", "_near", "_start")}
@@ -92,27 +95,43 @@ def scan(
 
         return run
 
-    def starts(ident: str):
+    def starts(ident: str, following: int = 0):
+        """First states of the chunks (or groups), or of the ones that follow them."""
+
         def run(pdf: pd.DataFrame) -> pd.DataFrame:
             pdf = pdf.sort_values(ident)
             first = int(pdf["_start"].iloc[0])
-            return pdf[[*g, ident]].assign(_start=[first, *states_after(functions(pdf), first)[:-1]])
+            after = [first, *states_after(functions(pdf), first)]
+            return pdf[[*g, ident]].assign(**{ident: pdf[ident] + following}, _start=after[following:][:len(pdf)])
 
         return run
 
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order), kind="mergesort")
-        return pdf[[*g, *[c for c in shown if c not in g]]].assign(_start=states_after(functions(pdf), int(pdf["_start"].iloc[0])))
-
-    chunks = x.groupBy(*g, "_chunk").applyInPandas(reduce(list(order), ["_chunk"]), T.StructType([*keys, number["_chunk"], *moves]))
+    carried = [*g, *[c for c in shown if c not in g]]
+    first_state, width = states.index(init), len(steps)
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = first_state
+        for batch in batches:
+            ranks = batch.column("_rank").to_numpy(zero_copy_only=False)
+            moved = memoryview(np.column_stack([batch.column(c).to_numpy(zero_copy_only=False).astype(np.int32) for c in steps]).ravel())
+            after = []
+            for i, begins in enumerate((ranks == 1).tolist()):
+                state = moved[i * width + (first_state if begins else state)]
+                after.append(state)
+            done = pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], pa.array(after, pa.int64())], names=[*carried, "_start"])
+            yield done.filter(pa.array(ranks > 0))
+
+    full = chunked(ordered.long_keys(x, g, rows))
+    chunks = full.groupBy(*g, "_chunk").applyInPandas(reduce(["_rank"], ["_chunk"]), T.StructType([*keys, number["_chunk"], *moves]))
     chunks = chunks.withColumn("_near", F.floor(F.col("_chunk") / F.lit(group)).cast("bigint"))
     groups = chunks.groupBy(*g, "_near").applyInPandas(reduce(["_chunk"], ["_near"]), T.StructType([*keys, number["_near"], *moves]))
-    first = groups.withColumn("_start", F.lit(states.index(init)).cast("bigint")).groupBy(*g).applyInPandas(
+    first = groups.withColumn("_start", F.lit(first_state).cast("bigint")).groupBy(*g).applyInPandas(
         starts("_near"), T.StructType([*keys, number["_near"], number["_start"]]))
     first = join_by(chunks, first, [*g, "_near"]).groupBy(*g, "_near").applyInPandas(
-        starts("_chunk"), T.StructType([*keys, number["_chunk"], number["_start"]]))
-    done = join_by(x, first, [*g, "_chunk"]).groupBy(*g, "_chunk").applyInPandas(
-        emit, T.StructType([*keys, *[fields[c] for c in shown if c not in g], number["_start"]]))
+        starts("_chunk", 1), T.StructType([*keys, number["_chunk"], number["_start"]]))
+    # a constant function before a chunk's first row
+    first = first.select(*g, "_chunk", *[F.col("_start").cast("int").alias(c) for c in steps])
+    done = ordered.fold_chunks(chunked(x), first, g, emit, T.StructType([*[fields[c] for c in carried], number["_start"]]))
     names = F.array(*[F.lit(s) for s in states])
     state = F.when(F.col("_start") == len(states), F.raise_error(F.lit("the logic leads to a value that is not one of the states"))).otherwise(
         F.element_at(names, (F.col("_start") + 1).cast("int")))

@@ -15,10 +15,11 @@ A NULL key is a key like any other; ``order`` must be a total order within a key
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyframe.functions.exprs import join_by, ntz_micros, with_scalars
 from tallyframe.operators.pmf import _by
@@ -98,11 +99,38 @@ def rank_within(df: DataFrame, by, order: Sequence[str], out: str = "pos", block
     return r.withColumn(out, F.col(out).cast("bigint"))
 
 
-def row_chunks(df: DataFrame, by, order: Sequence[str], rows: int, out: str, block: Column | None = None) -> DataFrame:
-    """Add ``out``: the number of the chunk of at most ``rows`` consecutive rows of a key, from 0. A chunk's size
-    does not depend on the data, whatever its key or block holds."""
-    ranked = rank_within(df, by, order, "_rank", block)
-    return ranked.withColumn(out, F.floor((F.col("_rank") - 1) / F.lit(rows)).cast("bigint")).drop("_rank")
+def row_chunks(df: DataFrame, by, order: Sequence[str], rows: int, out: str, block: Column | None = None,
+               rank: str | None = None) -> DataFrame:
+    """Add ``out``: the number of the chunk of at most ``rows`` consecutive rows of a key, from 0, and ``rank``, the
+    row's place in its key from 1. A chunk's size does not depend on the data, whatever its key or block holds."""
+    ranked = rank_within(df, by, order, rank or "_rank", block)
+    chunks = ranked.withColumn(out, F.floor((F.col(rank or "_rank") - 1) / F.lit(rows)).cast("bigint"))
+    return chunks if rank else chunks.drop("_rank")
+
+
+def long_keys(df: DataFrame, by, rows: int) -> DataFrame:
+    """The rows of keys that have more than ``rows`` rows. There are fewer such keys than rows / ``rows``."""
+    by = _by(by)
+    keys = df.groupBy(*by).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows).drop("_n")
+    return join_by(df, F.broadcast(keys), by, "left_semi")
+
+
+def fold_chunks(chunks: DataFrame, starts: DataFrame, by, fold: Callable, schema: T.StructType) -> DataFrame:
+    """Chunks of :func:`row_chunks` (columns by..., _chunk, _rank), many of them in one sorted stream of Arrow batches.
+
+    ``starts`` has a row for each chunk of a key but its first: it comes before the chunk's rows, with a ``_rank`` of 0
+    and columns that say where the chunk starts. A key's first chunk starts where ``_rank`` is 1. ``fold`` maps the
+    batches of a task, in which no chunk is split over tasks, to batches of ``schema``; it holds one batch at a time, so
+    neither the number of keys nor their sizes cost calls or memory."""
+    by = _by(by)
+    rows = chunks.unionByName(starts.withColumn("_rank", F.lit(0).cast("bigint")), allowMissingColumns=True)
+    return rows.repartition(*by, "_chunk").sortWithinPartitions(*by, "_chunk", "_rank").mapInArrow(fold, schema)
+
+
+def nulls_last(order: Sequence[str], block: Column | None) -> tuple[list[Column], Column]:
+    """``order`` and ``block`` with NULLs after all others, in which :func:`row_chunks` then numbers the rows."""
+    last = F.lit(2**63 - 1).cast("bigint")
+    return [F.col(c).asc_nulls_last() for c in order], F.coalesce(block.cast("bigint"), last) if block is not None else F.lit(0).cast("bigint")
 
 
 def neighbour(df: DataFrame, by, order: Sequence[str], col: str, out: str, direction: str = "prev",

@@ -10,7 +10,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tallyframe.operators import aggregator, cdf, fsm, ordered, pmf, sgd
+from tallyframe.operators import aggregator, cdf, fold, fsm, ordered, pmf, sgd
 from tallyframe.operators.aggregator import Aggregator
 
 STATES = ["a", "b", "c"]
@@ -208,3 +208,25 @@ def test_ranged_cdf_of_a_hot_group(spark):
     whole = cdf.ranged_cdf(p.where("g = 1").drop("g"), [], parts=7).orderBy("outcome").collect()
     assert [r["cum"] for r in whole] == list(range(1, 4001)) and {r["total"] for r in whole} == {4000}
     assert cdf.ranged_cdf(p.where("g < 0"), ["g"]).count() == 0
+
+
+def test_short_keys_share_one_stream_of_batches(spark):
+    """Many keys of one chunk each and a long one: no call per key, also with NULL places, which come last."""
+    df = spark.range(6000).select((F.col("id") % 3000).alias("g"), F.col("id").alias("i"), F.lit("x").alias("k"), F.lit(1).alias("v"))
+    df = df.unionByName(spark.range(1, 90).select(F.lit(-1).cast("long").alias("g"), F.col("id").alias("i"), F.lit("x").alias("k"), F.lit(1).alias("v")))
+    df = df.unionByName(spark.createDataFrame([(-1, None, "y", 1)], "g long, i long, k string, v int"))
+    out = fsm.scan(df, ["g"], ["i"], STATES, logic, "a", block=ordered.value_block("i", 50), rows=20, group=2)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1  # the rows of short keys pass no grouped call
+    got = out.collect()
+    assert {(r["i"] >= 3000, r["state"]) for r in got if r["g"] >= 0} == {(False, "b"), (True, "c")}
+    hot = sorted((r for r in got if r["g"] == -1), key=lambda r: (r["i"] is None, r["i"] or 0))
+    assert [r["state"] for r in hot] == [STATES[r["i"] % 3] for r in hot[:-1]] + ["b"]
+    ones = fold.affine_scan(df, ["g"], ["i"], F.lit(0.5), F.lit(1.0), block=ordered.value_block("i", 50), rows=20)
+    assert ones._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    got = ones.collect()
+    assert {(r["i"] >= 3000, r["state"]) for r in got if r["g"] >= 0} == {(False, 1.0), (True, 1.5)}
+    hot = sorted((r for r in got if r["g"] == -1), key=lambda r: (r["i"] is None, r["i"] or 0))
+    want = 0.0
+    for r in hot:
+        want = 0.5 * want + 1.0
+        assert r["state"] == want
