@@ -8,10 +8,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -102,39 +103,57 @@ def affine_scan(
     """``(by..., order..., keep..., state)``: the state after each row of ``s <- a*s + b`` from ``init``, in ``order``.
 
     A factor of 0 is a reset to ``b``; a row with a NULL factor or step leaves the state as it is. Each chunk of at
-    most ``rows`` rows of a key reduces to one map (its own a and b); the maps of a key, one small row per chunk,
-    give each chunk its first state, and the chunks then emit their states side by side.
+    most ``rows`` rows of a longer key reduces to one map (its own a and b); the maps of a key, one small row per chunk,
+    give each chunk its first state. The chunks then emit their states, all chunks of a task in one stream, so that a
+    short key costs no call of its own.
     """
     by = _by(by)
     g = by or ["_g"]
     shown = list(dict.fromkeys([*order, *keep]))
     known = a.isNotNull() & b.isNotNull()
+    places, spread = ordered.nulls_last(order, block)
     x = df.select(*([F.col(c) for c in by] or [F.lit(0).alias("_g")]), *shown,
                   F.when(known, a.cast("double")).otherwise(F.lit(1.0)).alias("_a"),
                   F.when(known, b.cast("double")).otherwise(F.lit(0.0)).alias("_b"),
-                  (block if block is not None else F.lit(0).cast("bigint")).alias("_blk"))
-    x = ordered.row_chunks(x, g, order, rows, "_chunk", F.col("_blk")).drop("_blk")
+                  spread.alias("_blk"))
+
+    def chunked(part: DataFrame) -> DataFrame:
+        return ordered.row_chunks(part, g, places, rows, "_chunk", F.col("_blk"), "_rank").drop("_blk")
+
     fields = {f.name: f for f in x.schema.fields}
     keys = [fields[c] for c in g]
 
     def chunk_map(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order), kind="mergesort")
+        pdf = pdf.sort_values("_rank")
         factor = 0.0 if (pdf["_a"] == 0).any() else pdf["_a"].prod()
         out = {c: [pdf[c].iloc[0]] for c in [*g, "_chunk"]}
         return pd.DataFrame({**out, "_a": [factor], "_b": [_states(pdf["_a"], pdf["_b"], 0.0)[-1]]})
 
     def chunk_starts(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("_chunk")
-        return pdf[[*g, "_chunk"]].assign(_start=_states(pdf["_a"], pdf["_b"], float(init))[:-1])
-
-    def emit(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(list(order), kind="mergesort")
-        return pdf[[*g, *shown]].assign(state=_states(pdf["_a"], pdf["_b"], pdf["_start"].iloc[0])[1:])
+        return pdf[[*g, "_chunk"]].assign(_chunk=pdf["_chunk"] + 1, _b=_states(pdf["_a"], pdf["_b"], float(init))[1:])
+
+    carried = [*g, *shown]
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = float(init)
+        for batch in batches:
+            ranks = batch.column("_rank").to_numpy(zero_copy_only=False)
+            states = []
+            for begins, factor, step in zip((ranks == 1).tolist(), batch.column("_a").to_pylist(), batch.column("_b").to_pylist()):
+                if begins:
+                    state = float(init)
+                state = step if factor == 0 else factor * state + step
+                states.append(state)
+            done = pa.RecordBatch.from_arrays([*[batch.column(c) for c in carried], pa.array(states, pa.float64())], names=[*carried, "state"])
+            yield done.filter(pa.array(ranks > 0))
 
     number = [T.StructField("_chunk", T.LongType())]
-    double = {c: T.StructField(c, T.DoubleType()) for c in ("_a", "_b", "_start", "state")}
-    maps = x.groupBy(*g, "_chunk").applyInPandas(chunk_map, T.StructType([*keys, *number, double["_a"], double["_b"]]))
-    starts = maps.groupBy(*g).applyInPandas(chunk_starts, T.StructType([*keys, *number, double["_start"]]))
-    out = join_by(x, starts, [*g, "_chunk"]).groupBy(*g, "_chunk").applyInPandas(
-        emit, T.StructType([*keys, *[fields[c] for c in shown], double["state"]]))
+    double = {c: T.StructField(c, T.DoubleType()) for c in ("_a", "_b", "state")}
+    full = chunked(ordered.long_keys(x, g, rows))
+    maps = full.groupBy(*g, "_chunk").applyInPandas(chunk_map, T.StructType([*keys, *number, double["_a"], double["_b"]]))
+    starts = maps.groupBy(*g).applyInPandas(chunk_starts, T.StructType([*keys, *number, double["_b"]]))
+    # a reset to the chunk's first state before its first row
+    out = ordered.fold_chunks(chunked(x), starts.withColumn("_a", F.lit(0.0)), g, emit,
+                              T.StructType([*keys, *[fields[c] for c in shown], double["state"]]))
     return out if by else out.drop("_g")
