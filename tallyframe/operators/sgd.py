@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -118,10 +119,36 @@ def logistic_gradient(w: np.ndarray, x: np.ndarray, y: float) -> np.ndarray:
     return (1.0 / (1.0 + math.exp(-z)) - y) * x
 
 
+def logistic_gradients(w: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """:func:`logistic_gradient` of many weights at a point each: rows of ``w`` and ``x``, values of ``y``."""
+    z = np.clip((w * x).sum(axis=1), -700.0, 700.0)
+    return (1.0 / (1.0 + np.exp(-z)) - y)[:, None] * x
+
+
+#: Points that the passes of a task hold at a time, of as many chunks as that makes.
+POINTS = 1 << 20
+
+
+def _passes(chunks: list[np.ndarray], w: np.ndarray, step: float, gradients: Gradient) -> np.ndarray:
+    """The weights (rows of ``w``) after a pass over each chunk, rows (y, xs...): the next point of every chunk at once,
+    each chunk's points in their order."""
+    sizes = np.array([len(c) for c in chunks])
+    longest_first = np.argsort(-sizes, kind="stable")
+    w, points = w[longest_first].copy(), np.ones((sizes.max(), len(chunks), w.shape[1] + 1))
+    for i, c in enumerate(longest_first):
+        points[:sizes[c], i, :-1] = chunks[c]
+    active = len(chunks) - np.searchsorted(np.sort(sizes), np.arange(len(points)), side="right")
+    for at, n in zip(points, active.tolist()):
+        w[:n] -= step * gradients(w[:n], at[:n, 1:], at[:n, 0])
+    out = np.empty_like(w)
+    out[longest_first] = w
+    return out
+
+
 def sgd_mixed(
     df: DataFrame, by, order: Sequence[str], y: str | Column, xs: Sequence[str | Column], step: float,
     gradient: Gradient = logistic_gradient, w0: Sequence[float] | None = None, rounds: int = 1,
-    block: Column | None = None, chunk_rows: int = CHUNK_ROWS,
+    block: Column | None = None, chunk_rows: int = CHUNK_ROWS, gradients: Gradient | None = None,
 ) -> DataFrame:
     """Weights after ``rounds`` passes with any gradient: ``(by..., w ARRAY<DOUBLE> (bias last), count)``.
 
@@ -130,11 +157,16 @@ def sgd_mixed(
     With one chunk per key this is the sequential pass; with c chunks of a key each weight moves in ``rounds`` rounds
     like the mean of ``c`` shorter passes. Chunks are packed once into a stored table (one row of doubles per chunk) and
     each round reads that; only weights are shuffled. A point without a label or a feature is skipped.
+
+    ``gradients`` is ``gradient`` of many chunks' weights at a point each (see :func:`logistic_gradients`); with it, a
+    task's chunks are passed over side by side. Without it, points are taken one by one.
     """
     by, order, d = _by(by), list(order), len(xs) + 1
     start = [float(v) for v in w0] if w0 is not None else [0.0] * d
     if len(start) != d or rounds < 1:
         raise ValueError(f"w0 needs {d} values (features then bias), rounds at least 1")
+    if gradients is None and gradient is logistic_gradient:
+        gradients = logistic_gradients
     g = by or ["_g"]
     names = ["_y", *(f"_x{i}" for i in range(d - 1))]
     okeys = [f"_o{i}" for i in range(len(order))]
@@ -143,31 +175,58 @@ def sgd_mixed(
         *[col_of(c).cast("double").alias(n) for c, n in zip([y, *xs], names)],
         (block if block is not None else F.lit(0)).cast("bigint").alias("_blk"),
     ).dropna(subset=names)
-    rows = ordered.row_chunks(rows, g, okeys, chunk_rows, "_chunk", F.col("_blk"))
+    places, spread = ordered.nulls_last(okeys, F.col("_blk"))
+    rows = ordered.row_chunks(rows, g, places, chunk_rows, "_chunk", spread, "_rank").select(*g, "_chunk", "_rank", *names)
     keys = [f for f in rows.schema.fields if f.name in g]
-
-    def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-        points = pdf.sort_values(okeys, kind="mergesort")[names].to_numpy(float)
-        return pd.DataFrame({**{k: [pdf[k].iloc[0]] for k in g}, "_n": [len(points)], "_points": [points.tobytes()]})
-
-    packed = materialize(rows.groupBy(*g, "_chunk").applyInPandas(pack, T.StructType(
-        [*keys, T.StructField("_n", T.LongType()), T.StructField("_points", T.BinaryType())])), "sgd-chunks")
+    chunked = T.StructType([*keys, T.StructField("_n", T.LongType()), T.StructField("_points", T.BinaryType())])
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, held = None, []  # of the chunk at the end of the batch
+
+        def packed_rows(done: list[tuple]) -> pa.RecordBatch:
+            points = [np.concatenate(parts) for _, parts in done]
+            columns = [pa.concat_arrays([k[i] for k, _ in done]) for i in range(len(g))]
+            return pa.RecordBatch.from_arrays([*columns, pa.array(map(len, points), pa.int64()), pa.array([p.tobytes() for p in points], pa.binary())],
+                                              names=[*g, "_n", "_points"])
+
+        for batch in batches:
+            points = np.column_stack([batch.column(c).to_numpy(zero_copy_only=False) for c in names])
+            first = np.flatnonzero(batch.column("_rank").to_numpy(zero_copy_only=False) % chunk_rows == 1 % chunk_rows)
+            edges, done = [*first.tolist(), len(points)], []
+            held.append(points[:edges[0]])
+            for low, high in zip(edges, edges[1:]):
+                if key is not None:
+                    done.append((key, held))
+                key, held = [batch.column(c).slice(low, 1) for c in g], [points[low:high]]
+            if done:
+                yield packed_rows(done)
+        if key is not None:
+            yield packed_rows([(key, held)])
+
+    packed = rows.repartition(*g, "_chunk").sortWithinPartitions(*g, "_chunk", "_rank").mapInArrow(pack, chunked)
+    packed = materialize(packed, "sgd-chunks")
+
+    def one_by_one(points: np.ndarray, w: np.ndarray) -> np.ndarray:
+        x = np.column_stack([points[:, 1:], np.ones(len(points))])
+        for i, label in enumerate(points[:, 0].tolist()):
+            w = w - step * gradient(w, x[i], label)
+        return w
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            ends = []
-            for points, w in zip(pdf["_points"], pdf["_w"]):
-                points, w = np.frombuffer(points).reshape(-1, d), np.array(w, float)
-                x = np.column_stack([points[:, 1:], np.ones(len(points))])
-                for i, label in enumerate(points[:, 0].tolist()):
-                    w = w - step * gradient(w, x[i], label)
-                ends.append(w.tolist())
-            yield pdf[[*g, "_n"]].assign(_w=ends)
+            many = max(1, POINTS // int(pdf["_n"].max())) if len(pdf) else 1
+            for low in range(0, len(pdf), many):
+                part = pdf.iloc[low:low + many]
+                chunks = [np.frombuffer(points).reshape(-1, d) for points in part["_points"]]
+                w = np.array(part["_w"].tolist(), float)
+                ends = _passes(chunks, w, step, gradients) if gradients else [one_by_one(c, w[i]) for i, c in enumerate(chunks)]
+                yield part[[*g, "_n"]].assign(_w=[end.tolist() for end in ends])
 
     passed = T.StructType([*keys, T.StructField("_n", T.LongType()), T.StructField("_w", T.ArrayType(T.DoubleType()))])
-    weights = packed.select(*g).distinct().withColumn("_w", F.array(*map(F.lit, start)))
+    weights = None
     for _ in range(rounds):
-        done = join_by(packed, weights, g).mapInPandas(run, passed)
+        begun = packed.withColumn("_w", F.array(*map(F.lit, start))) if weights is None else join_by(packed, weights, g)
+        done = begun.mapInPandas(run, passed)
         mixed = [(F.sum(F.col("_n") * F.col("_w")[i]) / F.sum("_n")).alias(f"_w{i}") for i in range(d)]
         weights = done.groupBy(*g).agg(*mixed, F.sum("_n").alias("_n")).select(*g, F.array(*[f"_w{i}" for i in range(d)]).alias("_w"), "_n")
         weights = materialize(weights, "sgd-weights")

@@ -190,6 +190,35 @@ def test_own_gradient_null_points_and_edges(spark):
     assert len(whole) == 1 and whole[0]["count"] == 600
 
 
+def test_passes_side_by_side_equal_single_ones():
+    rng = np.random.default_rng(3)
+    chunks = [np.column_stack([rng.integers(0, 2, n).astype(float), rng.normal(size=n)]) for n in (5, 0, 40, 1, 40, 17)]
+    w = rng.normal(size=(len(chunks), 2))
+    got = sgd._passes(chunks, w, 0.1, sgd.logistic_gradients)
+    for c, start, end in zip(chunks, w, got):
+        for y, x in c:
+            start = start - 0.1 * sgd.logistic_gradient(start, np.array([x, 1.0]), y)
+        assert end == pytest.approx(start, abs=1e-13)
+
+
+@pytest.mark.parametrize("size", [1, 7, 100])
+def test_mixed_passes_of_many_small_chunks(spark, size):
+    """Chunks over the edges of Arrow batches, NULL keys and NULL places (last), against the rounds by hand."""
+    rows = [(g, i, a, b, y) for g in (1, None, 3) for _, i, a, b, y in logistic_rows(290 if g == 1 else 33, g or 5)] + [(1, None, 0.5, 0.5, 1.0)]
+    df = spark.createDataFrame(rows, "g int, i long, a double, b double, y double").repartition(4)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 16)
+    try:
+        got = {r["g"]: r for r in sgd.sgd_mixed(df, ["g"], ["i"], "y", ["a", "b"], 0.1, rounds=2, chunk_rows=size).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    for g in (1, None, 3):
+        own, w = sorted((r for r in rows if r[0] == g), key=lambda r: (r[1] is None, r[1] or 0)), np.zeros(3)
+        for _ in range(2):
+            cut = [own[k:k + size] for k in range(0, len(own), size)]
+            w = sum(len(c) * sequential(c, sgd.logistic_gradient, 0.1, w) for c in cut) / len(own)
+        assert got[g]["w"] == pytest.approx(w.tolist(), abs=1e-11) and got[g]["count"] == len(own)
+
+
 # --- running sums in ranges ---
 
 
