@@ -164,18 +164,18 @@ def carry_last(df: DataFrame, values: DataFrame, by, order: Sequence[str], col:
 
     ``values`` holds just the rows of ``df`` that have one (the smaller part). Inside a block a window carries the
     value; what earlier blocks left is read from one short array per key: the last value of each block that has any.
+    The array meets the rows after the window, so that no sorted row carries it.
     """
     by = _by(by)
     order = list(order)
     ends = values.withColumn(BLOCK, block).groupBy(*by, BLOCK).agg(F.max_by(col, F.struct(*[F.col(o) for o in order])).alias("_end"))
     ends = ends.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct(F.col(BLOCK).alias("b"), F.col("_end").alias("v")))).alias("_ends"))
-    base = df.withColumn(BLOCK, block)
-    base = join_by(base, ends, by, "left") if by else with_scalars(base, ends, ["_ends"])
     inside = Window.partitionBy(*by, BLOCK).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    here = df.withColumn(BLOCK, block).withColumn("_here", F.last(col, True).over(inside))
+    here = join_by(here, ends, by, "left") if by else with_scalars(here, ends, ["_ends"])
     earlier = F.filter("_ends", lambda e: e["b"] < F.col(BLOCK))
     across = F.try_element_at(earlier, F.lit(-1))["v"]
-    return base.withColumn("_here", F.last(col, True).over(inside)).withColumn(
-        out, F.when(F.col("_here").isNull(), across).otherwise(F.col("_here"))).drop(BLOCK, "_ends", "_here")
+    return here.withColumn(out, F.when(F.col("_here").isNull(), across).otherwise(F.col("_here"))).drop(BLOCK, "_ends", "_here")
 
 
 # Splitters are searched in two steps: every so many first, then those between.

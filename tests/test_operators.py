@@ -426,3 +426,15 @@ def test_normal_tails_by_erfc(spark):
     for r in df.select("x", erfc(F.col("x")).alias("e"), normal_cdf(F.col("x"), F.lit(0.0), F.lit(1.0)).alias("c")).collect():
         assert r["e"] == pytest.approx(math.erfc(r["x"]), rel=1e-9, abs=1e-300)
         assert r["c"] == pytest.approx(0.5 * math.erfc(-r["x"] / math.sqrt(2)), rel=2e-9, abs=1e-300)
+
+
+def test_sorted_rows_carry_no_block_ends(spark):
+    df = spark.createDataFrame([(g, i, i if i % 7 == 0 else None) for g in (1, 2) for i in range(1, 60)], "g int, i int, v int")
+    marks = df.where("v is not null")
+    for by, width in (([], 4), (["g"], 4)):
+        rows = df if by else df.where("g = 1")
+        out = ordered.carry_last(rows, marks if by else marks.where("g = 1"), by, ["i"], "v", "last", ordered.value_block("i", width))
+        plan = out._jdf.queryExecution().optimizedPlan().toString()
+        below = plan[plan.index("Window ["):]
+        assert "scalar-subquery" not in below and "Join" not in below and "_ends" not in below  # what is sorted stays as narrow as the rows
+        assert all(r["last"] == (r["i"] // 7 * 7 or None) for r in out.collect())
