@@ -120,7 +120,8 @@ def poisson_cdf(k: Column, lam: Column) -> Column:
 
 def binomial_cdf(k: Column, n: Column, p: Column) -> Column:
     """P(X <= k) of n trials with chance p in [0, 1]."""
-    return let(lambda k, n, p: F.when(k < 0, 0.0).when(k >= n, 1.0).otherwise(_beta_i(n - F.floor(k), F.floor(k) + 1.0, F.lit(1.0) - p, p)), k, n, p)
+    return let(lambda k, n, p: F.when(k < 0, 0.0).when(k >= n, 1.0).otherwise(
+        let(_beta_i, n - F.floor(k), F.floor(k) + 1.0, F.lit(1.0) - p, p)), k, n, p)
 
 
 def poisson_tail(k: Column, lam: Column) -> Column:
@@ -130,7 +131,8 @@ def poisson_tail(k: Column, lam: Column) -> Column:
 
 def binomial_tail(k: Column, n: Column, p: Column) -> Column:
     """P(X > k), with its own precision where it is small."""
-    return let(lambda k, n, p: F.when(k < 0, 1.0).when(k >= n, 0.0).otherwise(_beta_i(F.floor(k) + 1.0, n - F.floor(k), p, F.lit(1.0) - p)), k, n, p)
+    return let(lambda k, n, p: F.when(k < 0, 1.0).when(k >= n, 0.0).otherwise(
+        let(_beta_i, F.floor(k) + 1.0, n - F.floor(k), p, F.lit(1.0) - p)), k, n, p)
 
 
 # ---------------------------------------------------------------- inverses
@@ -148,18 +150,22 @@ def _halved(cdf: Callable[[Column], Column], p: Column, low: Column, high: Colum
     return (end["lo"] + end["hi"]) / 2
 
 
-def _whole(cdf: Callable[[Column], Column], tail: Callable[[Column], Column], p: Column, high: Column) -> Column:
-    """The smallest whole number whose cumulative probability reaches p, at most ``high``. Above one half the
-    probability beyond it is held against 1 - p, which keeps its precision there."""
+def _whole(cdf: Callable[[Column], Column], tail: Callable[[Column], Column], p: Column, high: Column, low: Column | None = None) -> Column:
+    """The smallest whole number whose cumulative probability reaches p, at most ``high`` and above ``low`` (-1 if none is
+    known). Above one half the probability beyond it is held against 1 - p, which keeps its precision there. A middle is
+    worked out once, and there are as many halvings as the bracket needs."""
 
     def step(acc: Column, _: Column) -> Column:
         middle = F.floor((acc["lo"] + acc["hi"]) / 2)
         enough = F.when(p > 0.5, tail(middle) <= (F.lit(1.0) - p) * (1 + SLACK)).otherwise(cdf(middle) >= p * (1 - SLACK))
-        next_ = F.struct(F.when(enough, acc["lo"]).otherwise(middle.cast("double")).alias("lo"), F.when(enough, middle.cast("double")).otherwise(acc["hi"]).alias("hi"))
+        next_ = F.element_at(F.transform(F.array(enough), lambda e: F.struct(
+            F.when(e, acc["lo"]).otherwise(middle.cast("double")).alias("lo"), F.when(e, middle.cast("double")).otherwise(acc["hi"]).alias("hi"))), 1)
         return F.when(acc["hi"] - acc["lo"] <= 1, acc).otherwise(next_)
 
-    start = F.struct(F.lit(-1.0).alias("lo"), high.cast("double").alias("hi"))
-    return F.aggregate(F.sequence(F.lit(1), F.lit(WHOLE_HALVINGS)), start, step)["hi"].cast("bigint")
+    high = high.cast("double")
+    low = F.lit(-1.0) if low is None else F.greatest(F.least(low.cast("double"), high - 1), F.lit(-1.0))
+    halvings = F.least(F.ceil(F.log2(high - low)) + 2, F.lit(WHOLE_HALVINGS)).cast("int")
+    return F.aggregate(F.sequence(F.lit(1), halvings), F.struct(low.alias("lo"), high.alias("hi")), step)["hi"].cast("bigint")
 
 
 def beta_quantile(p: Column, a: Column, b: Column) -> Column:
@@ -191,5 +197,16 @@ def poisson_quantile(p: Column, lam: Column) -> Column:
 
 
 def binomial_quantile(q: Column, n: Column, p: Column) -> Column:
-    """The smallest k with P(X <= k) >= q of n trials with chance p."""
-    return let(lambda q, n, p: _whole(lambda k: binomial_cdf(k, n, p), lambda k: binomial_tail(k, n, p), q, n), q, n, p)
+    """The smallest k with P(X <= k) >= q of n trials with chance p; Bernstein's inequality bounds it on both sides."""
+
+    def found(q: Column, n: Column, p: Column) -> Column:
+        def reach(rest: Column) -> Column:
+            """How far from the mean less than exp(-rest) is left."""
+            return rest / 3 + F.sqrt(rest * rest / 9 + n * p * (F.lit(1.0) - p) * rest * 2)
+
+        inner = (q > 0) & (q < 1) & p.between(0.0, 1.0)
+        low = F.when(inner, F.floor(n * p - reach(-F.log(q))) - 2).otherwise(-1)
+        high = F.when(inner, F.least(F.ceil(n * p + reach(-F.log1p(-q))) + 2, n)).otherwise(n)
+        return let(lambda q, n, p, low, high: _whole(lambda k: binomial_cdf(k, n, p), lambda k: binomial_tail(k, n, p), q, high, low), q, n, p, low, high)
+
+    return let(found, q, n, p)
