@@ -256,18 +256,59 @@ def cms_partials(df: DataFrame, by, item: str, eps: float, delta: float) -> Data
     return cells.groupBy(*by, "depth", "bucket").agg(F.sum("cnt").alias("cnt"))
 
 
+def item_counts(df: DataFrame, item: str) -> DataFrame:
+    """``(_item, cnt)``: items counted within each task, without a shuffle. A task holds up to HASHES distinct items; an
+    item that comes again after these went out has one more row. NULL items stay out."""
+    schema = StructType.fromDDL("_item string, cnt long")
+    target = to_arrow_schema(schema)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in _gathered(batches):
+            found = pc.value_counts(pc.drop_null(batch.column(0)))
+            held.append(pa.table([found.field("values").cast(pa.string()), found.field("counts").cast(pa.int64())], schema=target))
+            size += len(found)
+            if size > HASHES:
+                held, size = [_summed(held, target)], 0
+                if len(held[0]) > HASHES // 2:
+                    yield from held.pop().to_batches()
+                else:
+                    size = len(held[0])
+        if held:
+            yield from _summed(held, target).to_batches()
+
+    return df.select(F.col(item).cast("string").alias("_item")).mapInArrow(count, schema)
+
+
+def _summed(tables: list[pa.Table], schema: pa.Schema) -> pa.Table:
+    one = pa.concat_tables(tables).group_by("_item").aggregate([("cnt", "sum")])
+    return pa.table([one["_item"], one["cnt_sum"]], schema=schema)
+
+
 def heavy_hitters(df: DataFrame, by, item: str, eps: float, delta: float, pct: float) -> DataFrame:
     """Items whose CMS estimate reaches ``pct`` of the group's total count: ``(by..., item, est, exact)``.
 
-    Items are not grouped: a first pass adds up a sketch per task, and a second holds every item against the whole
-    sketch and counts exactly those that reach the share. Without groups the sketch, depth x width cells, goes to the
+    Items are not grouped: a first pass stores what each task counts, a second adds up a sketch of these counts per task,
+    and a third holds every stored item against the whole sketch and adds up those that reach the share, so the input is
+    read once and rows do not meet the sketch. Without groups the sketch, depth x width cells, goes to the
     tasks as it is; with groups, or with more than CELLS cells, the distinct items are counted and joined to its cells."""
     by = _by(by)
     width, depth = cms_shape(eps, delta)
     if by or width * depth > CELLS:
         return _joined_heavy_hitters(df, by, item, eps, delta, pct)
+    counted = materialize(item_counts(df, item), "item-counts")
     whole = np.zeros((depth, width), np.int64)
-    for r in cms_partials(df, [], item, eps, delta).collect():  # depth x width rows at most
+    schema = StructType.fromDDL("depth int, bucket long, cnt long")
+    cells_of = to_arrow_schema(schema)
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, halves = np.zeros((depth, width), np.int64), _Halves()
+        for batch in batches:
+            for i, at in enumerate(_cells(halves, batch.column(0).to_pylist(), width, depth)):
+                np.add.at(cells[i], at, batch.column(1).to_numpy())
+        yield _cell_rows((), cells, cells_of)
+
+    for r in counted.mapInArrow(sketch, schema).groupBy("depth", "bucket").agg(F.sum("cnt").alias("cnt")).collect():  # depth x width rows at most
         whole[r["depth"], r["bucket"]] = r["cnt"]
     least = float(pct) * int(whole[0].sum())
     schema = StructType([StructField("_item", StringType()), StructField("est", LongType()), StructField("n", LongType())])
@@ -276,15 +317,15 @@ def heavy_hitters(df: DataFrame, by, item: str, eps: float, delta: float, pct: f
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found: dict[str | None, list[int]] = {}
         halves = _Halves()
-        for batch in _gathered(batches):
-            for _, items, counts in _counted(batch, 0):
-                est = np.min([whole[i, at] for i, at in enumerate(_cells(halves, items, width, depth))], axis=0)
-                for j in np.flatnonzero(est >= least):
-                    found.setdefault(items[j], [int(est[j]), 0])[1] += int(counts[j])
+        for batch in batches:
+            items, counts = batch.column(0).to_pylist(), batch.column(1).to_numpy()
+            est = np.min([whole[i, at] for i, at in enumerate(_cells(halves, items, width, depth))], axis=0)
+            for j in np.flatnonzero(est >= least):
+                found.setdefault(items[j], [int(est[j]), 0])[1] += int(counts[j])
         yield pa.RecordBatch.from_arrays([pa.array(list(found), pa.string()), pa.array([e for e, _ in found.values()], pa.int64()),
                                           pa.array([c for _, c in found.values()], pa.int64())], schema=target)
 
-    hits = df.select(F.col(item).cast("string").alias("_item")).mapInArrow(verify, schema)
+    hits = counted.mapInArrow(verify, schema)
     out = hits.groupBy("_item", "est").agg(F.sum("n").alias("exact"))
     return out.select(F.col("_item").cast(df.schema[item].dataType).alias(item), "exact", "est")
 

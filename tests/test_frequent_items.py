@@ -83,3 +83,19 @@ def test_edges(spark):
     assert sketch.heavy_hitters(empty, [], "x", 0.1, 0.1, 0.1).count() == 0
     numbers = spark.range(90).select(F.lit(1).alias("g"), (F.col("id") % 3).alias("n"))
     assert sorted(map(tuple, sketch.frequent_items(numbers, ["g"], "n", 0.3).collect())) == [(1, 0, 30), (1, 1, 30), (1, 2, 30)]
+
+
+def test_heavy_hitters_read_the_input_once(spark, monkeypatch):
+    monkeypatch.setattr(sketch, "HASHES", 4)
+    df = spark.createDataFrame([(w,) for w in ["a"] * 50 + ["b"] * 30 + [None] * 9 + [f"r{i % 15}" for i in range(20)]], "x string").repartition(3)
+    counted = sketch.item_counts(df, "x")
+    assert {(r["_item"], r["n"]) for r in counted.groupBy("_item").agg(F.sum("cnt").alias("n")).collect() if r["n"] > 2} == {("a", 50), ("b", 30)}
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            reads.add(batch.num_rows)
+            yield batch
+
+    hits = sketch.heavy_hitters(df.mapInArrow(seen, df.schema), [], "x", 0.01, 0.01, 0.2).collect()
+    assert {(r["x"], r["exact"]) for r in hits} == {("a", 50), ("b", 30)} and reads.value == df.count()
