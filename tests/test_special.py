@@ -102,3 +102,18 @@ def test_poisson_table_ends_where_its_cumulative_sum_does(spark):
 def test_null_parameters_give_null(spark):
     df = spark.createDataFrame([(None, 2.0)], "a double, b double")
     assert df.select(special.beta_cdf(F.lit(0.5), F.col("a"), F.col("b")), special.gamma_p(F.col("a"), F.lit(1.0)), special.poisson_cdf(F.lit(3), F.col("a"))).first()[:] == (None, None, None)
+
+
+def test_binomial_quantiles_in_their_bracket(spark):
+    rows = [(q, n, p) for q in (1e-9, 0.05, 0.5, 0.95, 1 - 1e-9) for n in (3.0, 400.0, 1e6) for p in (1e-5, 0.03, 0.5, 0.99)]
+    df = spark.createDataFrame(rows, "q double, n double, p double")
+    q, n, p = F.col("q"), F.col("n"), F.col("p")
+    found = df.select("q", "n", "p", special.binomial_quantile(q, n, p).alias("v"))
+    # one fraction for each side of the mean, for the law and its tail, and the halving: no step works its middle out twice
+    assert found._jdf.queryExecution().analyzed().toString().count("aggregate(") <= 5
+    for r in found.select("*", special.binomial_cdf(F.col("v"), n, p).alias("c"), special.binomial_cdf(F.col("v") - 1, n, p).alias("b"),
+                          special.binomial_tail(F.col("v"), n, p).alias("t"), special.binomial_tail(F.col("v") - 1, n, p).alias("u")).collect():
+        if r["q"] > 0.5:
+            assert r["t"] <= (1 - r["q"]) * (1 + 1e-9) and r["u"] > (1 - r["q"]) * (1 - 1e-9), r
+        else:
+            assert r["c"] >= r["q"] * (1 - 1e-9) and r["b"] < r["q"] * (1 + 1e-9), r
