@@ -1,7 +1,9 @@
 """Operators against brute force on small inputs, algebraic properties and edge rows."""
 
+import itertools
 import math
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -434,7 +436,9 @@ def test_sorted_rows_carry_no_block_ends(spark):
     for by, width in (([], 4), (["g"], 4)):
         rows = df if by else df.where("g = 1")
         out = ordered.carry_last(rows, marks if by else marks.where("g = 1"), by, ["i"], "v", "last", ordered.value_block("i", width))
-        plan = out._jdf.queryExecution().optimizedPlan().toString()
-        below = plan[plan.index("Window ["):]
-        assert "scalar-subquery" not in below and "Join" not in below and "_ends" not in below  # what is sorted stays as narrow as the rows
+        lines = out._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        top = next(i for i, line in enumerate(lines) if "Window [" in line)
+        depth = lines[top].index("Window [")
+        below = "\n".join(itertools.takewhile(lambda line: re.search("[A-Z]", line).start() > depth, lines[top + 1:]))
+        assert below and "scalar-subquery" not in below and "Join" not in below and "_ends" not in below  # what is sorted stays as narrow as the rows
         assert all(r["last"] == (r["i"] // 7 * 7 or None) for r in out.collect())
